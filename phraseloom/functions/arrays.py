@@ -20,9 +20,10 @@ def l2_normalize(c: Column | str) -> Column:
     c = as_column(c)
     # The norm enters through a one-element array, so it is computed once and not once per element.
     unit = F.transform(
-        F.array(l2_norm(c)), lambda n: F.transform(c, lambda x: (x.cast("double") / n).cast("float"))
+        F.array(l2_norm(c)),
+        lambda n: F.when(n > 0, F.transform(c, lambda x: (x.cast("double") / n).cast("float"))),
     )
-    return F.when(l2_norm(c) > 0, unit.getItem(0))
+    return unit.getItem(0)
 
 
 def softmax(c: Column | str) -> Column:
