@@ -37,7 +37,7 @@ def read_split(spark: SparkSession, path: str, name: str) -> DataFrame:
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
     """The stored retrieval index; raises if it has not been built."""
-    df = read_if_exists(spark, path)
+    df = read_if_exists(spark, path, S.INDEX)
     if df is None:
         raise FileNotFoundError("Index files not found. Build the index first.")
     return df.select(*S.INDEX.names)
