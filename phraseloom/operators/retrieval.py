@@ -25,6 +25,8 @@ from phraseloom.operators.filters import language_filter
 
 # Largest side that is sent to every executor, as bytes of float32 vectors.
 BROADCAST_BYTES = 64 * 1024 * 1024
+# Every index task emits k rows per query, so this form is for a moderate number of queries.
+FEW_QUERIES = 10_000
 PIVOTS = 64
 MAX_LANGUAGES = 64
 BLOCK_ROWS = 50_000
@@ -32,8 +34,10 @@ SCORES_AT_ONCE = 4_000_000
 _RANK_DIGITS = 10
 _ANY = ""
 
-CANDIDATES = pa.schema([("query_id", pa.int64()), ("row_id", pa.int64()), ("raw_score", pa.float64())])
-_CANDIDATE_DDL = "query_id bigint, row_id bigint, raw_score double"
+CANDIDATES = pa.schema(
+    [("query_id", pa.int64()), ("row_id", pa.int64()), ("raw_score", pa.float64()), ("rank", pa.int32())]
+)
+_CANDIDATE_DDL = "query_id bigint, row_id bigint, raw_score double, rank int"
 
 
 # ---------------------------------------------------------------------- numpy inside one task
@@ -76,33 +80,52 @@ class _Side:
         return self.take(np.argsort(self.ids, kind="stable"))
 
 
-def _top_k(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Row and column numbers of the k best per row; equal scores prefer the lower column."""
+def _best_columns(scores: np.ndarray, k: int) -> np.ndarray:
+    """Column numbers of the k best per row, in column order; equal scores prefer the lower column."""
     n = scores.shape[1]
-    if n <= k:
-        return np.nonzero(np.ones_like(scores, dtype=bool))
+    if n == k:
+        return np.broadcast_to(np.arange(n), scores.shape)
     kth = np.partition(scores, n - k, axis=1)[:, n - k, None]
     above = scores > kth
     level = scores == kth
     room = k - above.sum(axis=1, keepdims=True)
-    return np.nonzero(above | (level & (np.cumsum(level, axis=1) <= room)))
+    chosen = above | (level & (np.cumsum(level, axis=1) <= room))
+    return np.nonzero(chosen)[1].reshape(-1, k)
 
 
-def _score(queries: _Side, rows: _Side, k: int) -> Iterator[pa.RecordBatch]:
-    """k best rows of every query; `rows` is sorted by id."""
+def _best(queries: _Side, rows: _Side, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Scores and ids of the k best rows per query, padded with -inf; `rows` is sorted by id."""
+    scores = np.full((len(queries.ids), k), -np.inf)
+    ids = np.full((len(queries.ids), k), np.iinfo(np.int64).max)
     for lang in np.unique(queries.langs):
-        q = queries.take(queries.langs == lang)
+        mine = np.nonzero(queries.langs == lang)[0]
         r = rows if lang == _ANY else rows.take(rows.langs == lang)
         if len(r.ids) == 0:
             continue
+        m = min(k, len(r.ids))
         right = r.vectors.astype(np.float64).T
         step = max(1, SCORES_AT_ONCE // len(r.ids))
-        for i in range(0, len(q.ids), step):
-            block = np.round(q.vectors[i : i + step].astype(np.float64) @ right, _RANK_DIGITS)
-            at, col = _top_k(block, k)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(q.ids[i + at]), pa.array(r.ids[col]), pa.array(block[at, col])], schema=CANDIDATES
-            )
+        for i in range(0, len(mine), step):
+            part = mine[i : i + step]
+            block = np.round(queries.vectors[part].astype(np.float64) @ right, _RANK_DIGITS)
+            col = _best_columns(block, m)
+            scores[part, :m] = np.take_along_axis(block, col, 1)
+            ids[part, :m] = r.ids[col]
+    return scores, ids
+
+
+def _ranked(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k best per row in rank order."""
+    order = np.lexsort((ids, -scores), axis=-1)[:, :k]
+    return np.take_along_axis(scores, order, 1), np.take_along_axis(ids, order, 1)
+
+
+def _emit(queries: _Side, scores: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+    """Long form; `rank` is the rank among the rows this task has seen."""
+    scores, ids = _ranked(scores, ids, scores.shape[1])
+    at, col = np.nonzero(scores > -np.inf)
+    arrays = [queries.ids[at], ids[at, col], scores[at, col], (col + 1).astype(np.int32)]
+    return pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], schema=CANDIDATES)
 
 
 def _angles(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -117,13 +140,15 @@ def _slim(df: DataFrame, id_col: str, lang: Column) -> DataFrame:
     return rows.select(F.col(id_col).cast("bigint").alias(id_col), "embedding", lang.alias("lang"))
 
 
-def _fits(df: DataFrame, max_bytes: int) -> bool:
-    """Whether the vectors are within the limit; reads no more rows than the limit allows."""
+def _fits(df: DataFrame, max_bytes: int, max_rows: int | None = None) -> bool:
+    """Whether the vectors are within the limits; reads no more rows than the limits allow."""
     first = df.select(F.size("embedding").alias("d")).first()
     if first is None:
         return True
-    max_rows = max_bytes // (4 * max(1, first["d"]))
-    return df.select("lang").limit(max_rows + 1).count() <= max_rows
+    most = max_bytes // (4 * max(1, first["d"]))
+    if max_rows is not None:
+        most = min(most, max_rows)
+    return df.select("lang").limit(most + 1).count() <= most
 
 
 def _with_small_index(queries: DataFrame, index: DataFrame, k: int) -> DataFrame:
@@ -131,7 +156,8 @@ def _with_small_index(queries: DataFrame, index: DataFrame, k: int) -> DataFrame
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield from _score(_Side.of(batch, "query_id"), small.value, k)
+            queries_here = _Side.of(batch, "query_id")
+            yield _emit(queries_here, *_best(queries_here, small.value, k))
 
     return queries.mapInArrow(scan, _CANDIDATE_DDL)
 
@@ -140,8 +166,12 @@ def _with_few_queries(queries: DataFrame, index: DataFrame, k: int) -> DataFrame
     few = queries.sparkSession.sparkContext.broadcast(_Side.of(queries.toArrow(), "query_id"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = None
         for batch in batches:
-            yield from _score(few.value, _Side.of(batch, "row_id").by_id(), k)
+            here = _best(few.value, _Side.of(batch, "row_id").by_id(), k)
+            best = here if best is None else _ranked(np.hstack([best[0], here[0]]), np.hstack([best[1], here[1]]), k)
+        if best is not None:
+            yield _emit(few.value, *best)
 
     return index.mapInArrow(scan, _CANDIDATE_DDL)
 
@@ -212,42 +242,45 @@ def _with_cells(queries: DataFrame, index: DataFrame, k: int, block_rows: int, p
                 floor = np.where(langs == _ANY, np.cos(np.minimum(np.pi, angles + cell_k)).max(axis=1), -1.0)
             best_possible = np.cos(np.maximum(0.0, angles - cell_far))
             # The margin covers rounding in the angles and vectors that are unit length only to float32.
-            at, cell = np.nonzero(allowed & (best_possible >= floor[:, None] - 1e-4))
-            blocks = cell_blocks[cell]
-            rows_at = np.repeat(at, blocks)
-            salt = np.arange(len(rows_at)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
-            picked = batch.take(pa.array(rows_at))
+            visits = allowed & (best_possible >= floor[:, None] - 1e-4)
+            at, cell = np.nonzero(visits)
+            ends = np.concatenate([[0], np.cumsum(visits.sum(axis=1))]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
-                    *[picked.column(c) for c in ("query_id", "embedding", "lang")],
-                    pa.array(np.repeat(cell, blocks).astype(np.int32)),
-                    pa.array(salt.astype(np.int32)),
+                    *[batch.column(c) for c in ("query_id", "embedding", "lang")],
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(cell.astype(np.int32))),
                 ],
-                names=["query_id", "embedding", "lang", "cell", "salt"],
+                names=["query_id", "embedding", "lang", "cells"],
             )
 
     n_chunks = max(1, -(-queries.count() // block_rows))
-    chunk = F.pmod(F.xxhash64("query_id"), F.lit(n_chunks)).cast("int")
-    routed = queries.mapInArrow(
-        route, "query_id bigint, embedding array<float>, lang string, cell int, salt int"
-    ).withColumn("chunk", chunk)
-
-    table = spark.createDataFrame(
-        [(str(c["cell_lang"]), int(c["pivot"]), i, int(b)) for i, (c, b) in enumerate(zip(cells, cell_blocks))],
-        "cell_lang string, pivot int, cell int, blocks int",
+    table = F.broadcast(
+        spark.createDataFrame(
+            [(str(c["cell_lang"]), int(c["pivot"]), i, int(b)) for i, (c, b) in enumerate(zip(cells, cell_blocks))],
+            "cell_lang string, pivot int, cell int, blocks int",
+        )
+    )
+    routed = (
+        queries.mapInArrow(route, "query_id bigint, embedding array<float>, lang string, cells array<int>")
+        .withColumn("chunk", F.pmod(F.xxhash64("query_id"), F.lit(n_chunks)).cast("int"))
+        .withColumn("cell", F.explode("cells"))
+        .join(table.select("cell", "blocks"), "cell")
+        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("query_id", "embedding", "lang", "cell", "salt", "chunk")
     )
     placed = (
-        rows.join(F.broadcast(table), ["cell_lang", "pivot"])
+        rows.join(table, ["cell_lang", "pivot"])
         .withColumn("salt", F.pmod(F.xxhash64("row_id"), F.col("blocks")).cast("int"))
         .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1))))
         .select("row_id", "embedding", "lang", "cell", "salt", "chunk")
     )
 
     def block(left: pa.Table, right: pa.Table) -> pa.Table:
-        found = []
-        if left.num_rows and right.num_rows:
-            found = list(_score(_Side.of(left, "query_id"), _Side.of(right, "row_id").by_id(), k))
-        return pa.Table.from_batches(found, schema=CANDIDATES)
+        if not left.num_rows or not right.num_rows:
+            return CANDIDATES.empty_table()
+        queries_here = _Side.of(left, "query_id")
+        rows_here = _Side.of(right, "row_id").by_id()
+        return pa.Table.from_batches([_emit(queries_here, *_best(queries_here, rows_here, k))])
 
     key = ["cell", "salt", "chunk"]
     return routed.groupBy(*key).cogroup(placed.groupBy(*key)).applyInArrow(block, _CANDIDATE_DDL)
@@ -282,19 +315,21 @@ def cosine_top_k(
     if form is None:
         if _fits(r, broadcast_bytes):
             form = "small_index"
-        elif _fits(q, broadcast_bytes):
+        elif _fits(q, broadcast_bytes, FEW_QUERIES):
             form = "few_queries"
         else:
             form = "cells"
+    columns = ["query_id", "rank", "row_id", "raw_score"]
     if form == "small_index":
-        found = _with_small_index(q, r, k)
-    elif form == "few_queries":
+        # Each query has met the whole index in one task, so its ranks are final: no shuffle.
+        return _with_small_index(q, r, k).select(*columns)
+    if form == "few_queries":
         found = _with_few_queries(q, r, k)
     elif form == "cells":
         found = _with_cells(q, r, k, block_rows, pivots)
     else:
         raise ValueError(f"unknown form {form!r}")
-    return top_k(found, k).select("query_id", "rank", "row_id", "raw_score")
+    return top_k(found, k).select(*columns)
 
 
 def retrieve(
