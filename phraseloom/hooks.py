@@ -77,7 +77,9 @@ def translator(load: Callable[[], Callable[[list[str], list[str]], list[str]]])
                 texts = [one(s, p) for s, p in zip(systems, prompts)]
             yield pd.Series(texts, index=prompts.index)
 
-    return lambda df: df.withColumn("translation", translate("system_text", "prompt"))
+    # A model may answer differently each time, so Spark must not copy or move the call.
+    call = translate.asNondeterministic()
+    return lambda df: df.withColumn("translation", call("system_text", "prompt"))
 
 
 def top_hit_translator(df: DataFrame) -> DataFrame:

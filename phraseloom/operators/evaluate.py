@@ -14,6 +14,7 @@ from phraseloom.functions.text import as_column, strip, tokens
 from phraseloom.operators.encode import encode_text
 from phraseloom.operators.sampling import head_per_language
 from phraseloom.operators.translate import literal_passthrough, translate_batch
+from phraseloom.storage import stored
 
 
 def exact_match(df: DataFrame) -> DataFrame:
@@ -189,6 +190,8 @@ def evaluate_translations(
     pairs = literal_passthrough(inputs, records).select(
         F.col("query_id").alias("pair_id"), "prediction", "reference"
     )
+    # Four measures read the pairs; the model must run once.
+    pairs = stored(pairs)
     failed = pairs.agg(F.count_if(F.col("prediction") == V.TRANSLATION_FAILED).alias("failures"))
     parts = [
         exact_match(pairs),
