@@ -139,8 +139,9 @@ def pair_token_f1(df: DataFrame) -> DataFrame:
             values = pa.array([_greedy_f1(p, r) for p, r in sides], type=pa.float64())
             yield pa.RecordBatch.from_arrays([batch.column("pair_id"), values], names=["pair_id", "f1"])
 
-    slim = df.select(F.col("pair_id").cast("bigint").alias("pair_id"), "prediction_vectors", "reference_vectors")
-    return slim.mapInArrow(score, "pair_id bigint, f1 double")
+    slim = df.select("pair_id", "prediction_vectors", "reference_vectors")
+    id_type = slim.schema["pair_id"].dataType.simpleString()
+    return slim.mapInArrow(score, f"pair_id {id_type}, f1 double")
 
 
 def greedy_token_f1(df: DataFrame) -> DataFrame:
@@ -181,7 +182,7 @@ def evaluate_translations(
     code = require_language(language)
     picked = head_per_language(test.filter(F.col("target_lang") == code), n)
     inputs = picked.select(
-        F.xxhash64("row_ord").alias("query_id"),
+        F.to_json("row_ord").alias("query_id"),
         F.col("input_text").alias("text"),
         F.col("target_text").alias("reference"),
     )

@@ -34,11 +34,6 @@ SCORES_AT_ONCE = 4_000_000
 _RANK_DIGITS = 10
 _ANY = ""
 
-CANDIDATES = pa.schema(
-    [("query_id", pa.int64()), ("row_id", pa.int64()), ("raw_score", pa.float64()), ("rank", pa.int32())]
-)
-_CANDIDATE_DDL = "query_id bigint, row_id bigint, raw_score double, rank int"
-
 
 # ---------------------------------------------------------------------- numpy inside one task
 
@@ -60,21 +55,20 @@ def _strings(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
 class _Side:
     """Ids, vectors and languages of some rows; the language of a query is the one it asks for."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, langs: np.ndarray):
-        self.ids, self.vectors, self.langs = ids, vectors, langs
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, langs: np.ndarray, id_type: pa.DataType):
+        self.ids, self.vectors, self.langs, self.id_type = ids, vectors, langs, id_type
 
     @classmethod
     def of(cls, data: pa.Table | pa.RecordBatch, id_name: str) -> "_Side":
+        ids = data.column(id_name)
+        if isinstance(ids, pa.ChunkedArray):
+            ids = ids.combine_chunks()
         return cls(
-            data.column(id_name).to_numpy(zero_copy_only=False)
-            if isinstance(data, pa.RecordBatch)
-            else data.column(id_name).to_numpy(),
-            _matrix(data.column("embedding")),
-            _strings(data.column("lang")),
+            ids.to_numpy(zero_copy_only=False), _matrix(data.column("embedding")), _strings(data.column("lang")), ids.type
         )
 
     def take(self, where: np.ndarray) -> "_Side":
-        return _Side(self.ids[where], self.vectors[where], self.langs[where])
+        return _Side(self.ids[where], self.vectors[where], self.langs[where], self.id_type)
 
     def by_id(self) -> "_Side":
         return self.take(np.argsort(self.ids, kind="stable"))
@@ -124,8 +118,15 @@ def _emit(queries: _Side, scores: np.ndarray, ids: np.ndarray) -> pa.RecordBatch
     """Long form; `rank` is the rank among the rows this task has seen."""
     scores, ids = _ranked(scores, ids, scores.shape[1])
     at, col = np.nonzero(scores > -np.inf)
-    arrays = [queries.ids[at], ids[at, col], scores[at, col], (col + 1).astype(np.int32)]
-    return pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], schema=CANDIDATES)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(queries.ids[at], type=queries.id_type),
+            pa.array(ids[at, col]),
+            pa.array(scores[at, col]),
+            pa.array((col + 1).astype(np.int32)),
+        ],
+        names=["query_id", "row_id", "raw_score", "rank"],
+    )
 
 
 def _angles(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -137,7 +138,15 @@ def _angles(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _slim(df: DataFrame, id_col: str, lang: Column) -> DataFrame:
     rows = df.filter(F.col("embedding").isNotNull())
-    return rows.select(F.col(id_col).cast("bigint").alias(id_col), "embedding", lang.alias("lang"))
+    return rows.select(id_col, "embedding", lang.alias("lang"))
+
+
+def _id_type(queries: DataFrame) -> str:
+    return queries.schema["query_id"].dataType.simpleString()
+
+
+def _candidate_ddl(queries: DataFrame) -> str:
+    return f"query_id {_id_type(queries)}, row_id bigint, raw_score double, rank int"
 
 
 def _fits(df: DataFrame, max_bytes: int, max_rows: int | None = None) -> bool:
@@ -159,7 +168,7 @@ def _with_small_index(queries: DataFrame, index: DataFrame, k: int) -> DataFrame
             queries_here = _Side.of(batch, "query_id")
             yield _emit(queries_here, *_best(queries_here, small.value, k))
 
-    return queries.mapInArrow(scan, _CANDIDATE_DDL)
+    return queries.mapInArrow(scan, _candidate_ddl(queries))
 
 
 def _with_few_queries(queries: DataFrame, index: DataFrame, k: int) -> DataFrame:
@@ -173,7 +182,7 @@ def _with_few_queries(queries: DataFrame, index: DataFrame, k: int) -> DataFrame
         if best is not None:
             yield _emit(few.value, *best)
 
-    return index.mapInArrow(scan, _CANDIDATE_DDL)
+    return index.mapInArrow(scan, _candidate_ddl(queries))
 
 
 def _cells(index: DataFrame, pivots: np.ndarray) -> DataFrame:
@@ -198,7 +207,7 @@ def _with_cells(queries: DataFrame, index: DataFrame, k: int, block_rows: int, p
     # Pivots are spread over the index by a hash of the id; any choice is correct.
     chosen = index.orderBy(F.md5(F.col("row_id").cast("string"))).limit(pivots).select("embedding").toArrow()
     if chosen.num_rows == 0:
-        return spark.createDataFrame([], _CANDIDATE_DDL)
+        return spark.createDataFrame([], _candidate_ddl(queries))
     pivot_vectors = _matrix(chosen.column("embedding"))
 
     # Cells also separate languages while these are few. Otherwise one cell holds all languages and
@@ -261,7 +270,7 @@ def _with_cells(queries: DataFrame, index: DataFrame, k: int, block_rows: int, p
         )
     )
     routed = (
-        queries.mapInArrow(route, "query_id bigint, embedding array<float>, lang string, cells array<int>")
+        queries.mapInArrow(route, f"query_id {_id_type(queries)}, embedding array<float>, lang string, cells array<int>")
         .withColumn("chunk", F.pmod(F.xxhash64("query_id"), F.lit(n_chunks)).cast("int"))
         .withColumn("cell", F.explode("cells"))
         .join(table.select("cell", "blocks"), "cell")
@@ -276,14 +285,12 @@ def _with_cells(queries: DataFrame, index: DataFrame, k: int, block_rows: int, p
     )
 
     def block(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            return CANDIDATES.empty_table()
         queries_here = _Side.of(left, "query_id")
         rows_here = _Side.of(right, "row_id").by_id()
         return pa.Table.from_batches([_emit(queries_here, *_best(queries_here, rows_here, k))])
 
     key = ["cell", "salt", "chunk"]
-    return routed.groupBy(*key).cogroup(placed.groupBy(*key)).applyInArrow(block, _CANDIDATE_DDL)
+    return routed.groupBy(*key).cogroup(placed.groupBy(*key)).applyInArrow(block, _candidate_ddl(queries))
 
 
 def top_k(candidates: DataFrame, k: int) -> DataFrame:
@@ -304,7 +311,7 @@ def cosine_top_k(
 ) -> DataFrame:
     """(query_id, rank, row_id, raw_score) of the k nearest rows of each query.
 
-    `queries` has query_id and embedding, and want_lang if each query asks for its own target
+    `queries` has a unique query_id of any type and embedding, and want_lang if each query asks for its own target
     language (null: any). `form` forces one of "small_index", "few_queries", "cells".
     """
     if k < 1:

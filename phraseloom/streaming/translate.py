@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from phraseloom.hooks import top_hit_translator
@@ -22,12 +22,10 @@ def respond(
     encoder: Callable[[Column], Column] | None = None,
     **how,
 ) -> DataFrame:
-    """Responses of a batch of requests (request_id, text, target_lang)."""
-    # A request id is any text; the joins below need one number per request.
-    keyed = requests_with_language(requests.withColumn("query_id", F.xxhash64("request_id")))
+    """Responses of a batch of requests (request_id, text, target_lang); request_id is unique and not null."""
+    keyed = requests_with_language(requests.withColumnRenamed("request_id", "query_id"))
     records = translate_detected(detect(nonempty_text(keyed), detector), index, translator, encoder, **how)
-    ids = keyed.select("query_id", "request_id")
-    return api_response(keyed, records).join(ids, "query_id").drop("query_id")
+    return api_response(keyed, records).withColumnRenamed("query_id", "request_id")
 
 
 def translate_stream(
