@@ -15,6 +15,7 @@ from phraseloom.operators import sampling, splitting, translate
 from phraseloom.plans import index as index_plan, prepare, profile_report as report_plan
 from phraseloom.sinks.tables import index_manifest as manifest_of
 from phraseloom.sources import landed
+from phraseloom.storage import stored
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -342,8 +343,9 @@ def q_head_per_language(spark, sf):
 
 
 def q_profile_report(spark, sf):
+    everything = stored(unified(spark, sf))
     return report_plan.profile_report(
-        unified=unified(spark, sf), detection=cleaned(spark, sf), cross_lingual=filters.with_target(unified(spark, sf))
+        unified=everything, detection=stored(cleaned(spark, sf)), cross_lingual=filters.with_target(everything)
     )
 
 
@@ -488,7 +490,7 @@ def q_encode_text(spark, sf):
 
 
 def _fitted(spark, sf):
-    split = splitting.stratified_split(cleaned(spark, sf))
+    split = stored(splitting.stratified_split(stored(cleaned(spark, sf))))
     train, val = (split.filter(F.col("split") == s) for s in ("train", "val"))
     return detector.fit_detector(train, val, grid=(0.01, 0.1), features=1 << 12)[0], split
 

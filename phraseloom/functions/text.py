@@ -8,11 +8,11 @@ from phraseloom.functions import fixed_values as V
 
 # The characters Python's str.split() and re treat as white space; plain \s and trim() miss some.
 _SPACE = r"[\s\x1c-\x1f]"
+_VISIBLE = r"(?U)[^\s\x1c-\x1f]"
 _RUN = rf"(?U){_SPACE}+"
 # The look-behind lets only the first character of a run start a match, so that a long inner run
 # costs linear time.
 _ENDS = rf"(?U)\A{_SPACE}++|(?<!{_SPACE}){_SPACE}++\z"
-_WORD = r"(?U)[^\s\x1c-\x1f]++"
 
 
 def as_column(c: Column | str) -> Column:
@@ -41,18 +41,19 @@ def normalize_text(c: Column | str) -> Column:
 
 
 def is_blank(c: Column | str) -> Column:
-    """Null and white space only are the same."""
-    return normalize_text(c) == ""
-
-
-def token_count(c: Column | str) -> Column:
-    """Number of white-space separated tokens; null stays null."""
-    return F.regexp_count(as_column(c), F.lit(_WORD)).cast("bigint")
+    """Null and white space only are the same. The search stops at the first visible character."""
+    return ~F.coalesce(as_column(c).cast("string"), F.lit("")).rlike(_VISIBLE)
 
 
 def tokens(c: Column | str) -> Column:
     """White-space separated tokens."""
-    return F.regexp_extract_all(as_column(c), F.lit(_WORD), F.lit(0))
+    return F.array_remove(F.split(as_column(c), _RUN), "")
+
+
+def token_count(c: Column | str) -> Column:
+    """Number of white-space separated tokens; null stays null."""
+    c = as_column(c)
+    return F.when(c.isNotNull(), F.size(tokens(c)).cast("bigint"))
 
 
 def join_tokens(c: Column | str) -> Column:

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.feature import NGram
 from pyspark.sql import Column, DataFrame, functions as F
 
 from phraseloom.functions import fixed_values as V
@@ -39,58 +40,52 @@ def bleu_tokens(c: Column | str) -> Column:
     return tokens(text)
 
 
-def _grams(toks: Column, side: int) -> Column:
-    """All n-grams of orders 1 to 4 as (order, gram, in prediction, in reference)."""
-
-    def of_order(n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.size(toks) - n + 1)
-        grams = F.transform(
-            starts,
-            lambda i: F.struct(
-                F.lit(n).alias("n"),
-                F.array_join(F.slice(toks, i, n), " ").alias("gram"),
-                F.lit(1 - side).alias("p"),
-                F.lit(side).alias("r"),
-            ),
-        )
-        return F.when(F.size(toks) >= n, grams).otherwise(F.array().cast(_GRAM_TYPE))
-
-    return F.concat(*[of_order(n) for n in range(1, V.BLEU_MAX_ORDER + 1)])
-
-
-_GRAM_TYPE = "array<struct<n:int,gram:string,p:int,r:int>>"
+def _all_grams(df: DataFrame, toks: str, out: str) -> DataFrame:
+    """All n-grams of orders 1 to 4 as one list of texts; a token has no blank, so the order can be read back."""
+    orders = range(2, V.BLEU_MAX_ORDER + 1)
+    for n in orders:
+        df = NGram(n=n, inputCol=toks, outputCol=f"_{toks}{n}").transform(df)
+    lists = [toks, *[f"_{toks}{n}" for n in orders]]
+    return df.withColumn(out, F.concat(*lists)).drop(*lists)
 
 
 def bleu_statistics(df: DataFrame) -> DataFrame:
-    """One row: lengths, and matched and total n-grams per order.
+    """One row: lengths, and total and matched n-grams per order.
 
-    The pairs are hashed on pair_id once. Counting by (pair_id, order, gram) then needs no further
-    shuffle, so texts move and n-grams do not. One pass counts both sides; a match is the smaller of
-    the two counts.
+    The pairs are hashed on pair_id once. Counting by (pair_id, gram) then needs no further shuffle, so
+    texts move and n-grams do not. One pass counts both sides; a match is the smaller of the two counts,
+    and the lengths are the counts of order 1. The number of partitions is fixed, because the n-grams
+    take far more room than the texts whose size adaptive execution sees.
     """
-    toks = df.select("pair_id", bleu_tokens("prediction").alias("p"), bleu_tokens("reference").alias("r"))
-    toks = toks.repartition("pair_id")
-    lengths = toks.agg(
-        F.coalesce(F.sum(F.size("p")), F.lit(0)).alias("sys_len"),
-        F.coalesce(F.sum(F.size("r")), F.lit(0)).alias("ref_len"),
-        *[
-            F.coalesce(F.sum(F.greatest(F.size("p") - n + 1, F.lit(0))), F.lit(0)).alias(f"total{n}")
-            for n in range(1, V.BLEU_MAX_ORDER + 1)
-        ],
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = df.select("pair_id", "prediction", "reference").repartition(partitions, "pair_id")
+    toks = texts.select("pair_id", bleu_tokens("prediction").alias("p"), bleu_tokens("reference").alias("r"))
+    grams = _all_grams(_all_grams(toks, "p", "p_grams"), "r", "r_grams")
+    sides = F.array(
+        F.struct(F.lit(0).alias("side"), F.col("p_grams").alias("grams")),
+        F.struct(F.lit(1).alias("side"), F.col("r_grams").alias("grams")),
     )
-    matches = (
-        toks.select("pair_id", F.inline(F.concat(_grams(F.col("p"), 0), _grams(F.col("r"), 1))))
-        .groupBy("pair_id", "n", "gram")
-        .agg(F.sum("p").alias("in_p"), F.sum("r").alias("in_r"))
-        .agg(
-            *[
-                F.coalesce(F.sum(F.when(F.col("n") == n, F.least("in_p", "in_r"))), F.lit(0)).alias(f"match{n}")
-                for n in range(1, V.BLEU_MAX_ORDER + 1)
-            ]
-        )
+    counts = (
+        grams.select("pair_id", F.inline(sides))
+        .select("pair_id", "side", F.explode("grams").alias("gram"))
+        .groupBy("pair_id", "gram")
+        .agg(F.count_if(F.col("side") == 0).alias("in_p"), F.count_if(F.col("side") == 1).alias("in_r"))
+    )
+    blanks = F.length("gram") - F.length(F.replace("gram", F.lit(" "), F.lit("")))
+    per_order = counts.groupBy((blanks + 1).alias("n")).agg(
+        F.sum("in_p").alias("total"), F.sum("in_r").alias("ref_total"), F.sum(F.least("in_p", "in_r")).alias("match")
+    )
+
+    def of_order(n: int, c: str, name: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("n") == n, F.col(c))), F.lit(0)).alias(name)
+
+    orders = range(1, V.BLEU_MAX_ORDER + 1)
+    return per_order.agg(
+        of_order(1, "total", "sys_len"),
+        of_order(1, "ref_total", "ref_len"),
+        *[of_order(n, "total", f"total{n}") for n in orders],
+        *[of_order(n, "match", f"match{n}") for n in orders],
     )
-    # Two tables of one row each.
-    return lengths.withColumn("_one", F.lit(1)).join(matches.withColumn("_one", F.lit(1)), "_one").drop("_one")
 
 
 def bleu_score(stats: DataFrame) -> DataFrame:

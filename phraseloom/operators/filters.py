@@ -32,10 +32,10 @@ def normalize_pairs(df: DataFrame) -> DataFrame:
 
 
 def complete_pairs(df: DataFrame) -> DataFrame:
-    """Rows whose two phrases and two languages are all present; expects normalised columns."""
+    """Rows whose two phrases and two languages are all present."""
     keep = F.lit(True)
     for c in PAIR_KEYS:
-        keep = keep & (F.col(c) != "")
+        keep = keep & ~is_blank(c)
     return df.filter(keep)
 
 
@@ -53,7 +53,7 @@ def nonempty_text(df: DataFrame, col: str = "text") -> DataFrame:
 
 
 def min_tokens(df: DataFrame, n: int = V.MIN_TOKENS, col: str = "text") -> DataFrame:
-    """Rows with at least n tokens."""
+    """Rows with at least n tokens. Cleaning changes no token count, so this may run on raw text."""
     return df.filter(token_count(col) >= n)
 
 
@@ -63,9 +63,10 @@ def dropped_counts(cleaned: DataFrame, n: int = V.MIN_TOKENS) -> DataFrame:
     `cleaned` holds cleaned text before any filter. One aggregate by (text, label) and one over its
     counts; copies of a hot text merge before the shuffle.
     """
-    blank = is_blank("text")
-    short = ~blank & (token_count("text") < n)
     groups = cleaned.groupBy("text", "label").agg(F.count(F.lit(1)).alias("copies"))
+    groups = groups.select("copies", token_count("text").alias("tokens"))
+    blank = F.col("tokens") == 0
+    short = ~blank & (F.col("tokens") < n)
     kept = ~(blank | short)
 
     def total(cond: Column, value: Column) -> Column:

@@ -74,25 +74,24 @@ def token_length_stats(df: DataFrame, col: str = "text") -> DataFrame:
     )
 
 
-def _bucket_of(n_tokens: Column) -> Column:
-    expr = F.lit(None).cast("int")
-    for lo, hi in reversed(list(zip(V.LENGTH_BOUNDS, V.LENGTH_BOUNDS[1:]))):
-        expr = F.when((n_tokens >= lo) & (n_tokens < hi), lo).otherwise(expr)
-    return expr
-
-
 def token_length_histogram(df: DataFrame, col: str = "text") -> DataFrame:
     """Rows per length bucket, empty buckets with 0; a longer text than the last bound is in none."""
-    spark = df.sparkSession
-    buckets = spark.createDataFrame(list(zip(V.LENGTH_BOUNDS, V.LENGTH_BOUNDS[1:])), "lo int, hi int")
-    counts = (
-        _length_counts(df, col)
-        .withColumn("lo", _bucket_of(F.col("tokens")))
-        .filter(F.col("lo").isNotNull())
-        .groupBy("lo")
-        .agg(F.sum("n").alias("n"))
-    )
-    return buckets.join(counts, "lo", "left").select("lo", "hi", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
+    buckets = list(zip(V.LENGTH_BOUNDS, V.LENGTH_BOUNDS[1:]))
+    # Conditional sums and not a filter on the bucket: a filter would be pushed below the count and
+    # would split every text once per bound.
+    sums = [
+        F.sum(F.when((F.col("tokens") >= lo) & (F.col("tokens") < hi), F.col("n"))).alias(f"from{lo}")
+        for lo, hi in buckets
+    ]
+    rows = [
+        F.struct(
+            F.lit(lo).alias("lo"),
+            F.lit(hi).alias("hi"),
+            F.coalesce(F.col(f"from{lo}"), F.lit(0)).cast("bigint").alias("n"),
+        )
+        for lo, hi in buckets
+    ]
+    return _length_counts(df, col).agg(*sums).select(F.inline(F.array(*rows)))
 
 
 def source_breakdown(df: DataFrame) -> DataFrame:

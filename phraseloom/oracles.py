@@ -79,7 +79,7 @@ _DOT = "round(list_dot_product(q.embedding::DOUBLE[], i.embedding::DOUBLE[]), 10
 def _hits(queries: str, rows: str, k: int, on: str) -> str:
     """Best k rows per query as CTE `hits`."""
     return f"""hits AS (
-  SELECT query_id, rank, row_id, source_idiom, target_idiom, target_lang, round(s, 4) AS score FROM (
+  SELECT query_id, CAST(rank AS INTEGER) AS rank, row_id, source_idiom, target_idiom, target_lang, round(s, 4) AS score FROM (
     SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, row_id) AS rank FROM (
       SELECT q.query_id, i.row_id, i.source_idiom, i.target_idiom, i.target_lang, {_DOT} AS s
       FROM {queries} q JOIN {rows} i ON {on})) WHERE rank <= {k})"""
@@ -151,9 +151,13 @@ def _bleu_chain(t: str) -> str:
 
 
 def _bleu() -> str:
-    side = """SELECT pair_id, n, array_to_string(list_slice({c}, i, i + n - 1), ' ') AS gram, count(*) AS c
-      FROM (SELECT pair_id, {c}, n, unnest(generate_series(1, len({c}) - n + 1)) AS i
-            FROM toks, (SELECT unnest([1, 2, 3, 4]) AS n)) GROUP BY ALL"""
+    side = """SELECT pair_id, n, gram, count(*) AS c FROM (
+      SELECT pair_id, unnest([1, 2, 3, 4]) AS n,
+             unnest([w, w || ' ' || w2, w || ' ' || w2 || ' ' || w3, w || ' ' || w2 || ' ' || w3 || ' ' || w4]) AS gram
+      FROM (SELECT pair_id, w, lead(w) OVER o AS w2, lead(w, 2) OVER o AS w3, lead(w, 3) OVER o AS w4
+            FROM (SELECT pair_id, unnest({c}) AS w, generate_subscripts({c}, 1) AS i FROM toks)
+            WINDOW o AS (PARTITION BY pair_id ORDER BY i)))
+      WHERE gram IS NOT NULL GROUP BY ALL"""
     return rf"""WITH texts AS (
       SELECT doc_id AS pair_id, text AS prediction, regexp_replace(text, '^\S+\s*', '') AS reference FROM documents),
     toks AS (SELECT pair_id, {_bleu_chain("prediction")} AS p, {_bleu_chain("reference")} AS r FROM texts),

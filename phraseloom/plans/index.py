@@ -52,7 +52,7 @@ def index_pairs(pairs: DataFrame, source_lang: str | None = None, target_lang: s
     require_columns(pairs, PAIR_KEYS)
     if "source" not in pairs.columns:
         pairs = pairs.withColumn("source", F.lit(None).cast("string"))
-    kept = dedup_pairs(exclude_source(complete_pairs(normalize_pairs(pairs))))
+    kept = dedup_pairs(normalize_pairs(exclude_source(complete_pairs(pairs))))
     return language_filter(kept, source_lang, target_lang)
 
 

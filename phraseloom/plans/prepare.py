@@ -16,9 +16,12 @@ from phraseloom.storage import stored
 
 
 def clean_detection(detection: DataFrame) -> DataFrame:
-    """Clean, drop empty and short text, keep the first of each (text, label)."""
-    cleaned = clean_column(to_detection_columns(detection))
-    return dedup_clean(min_tokens(nonempty_text(cleaned)))
+    """Drop empty and short text, clean, keep the first of each (text, label).
+
+    The filters run on raw text, where they give the same rows, so that dropped rows are never cleaned.
+    """
+    long_enough = min_tokens(nonempty_text(to_detection_columns(detection)))
+    return dedup_clean(clean_column(long_enough))
 
 
 def run_preprocessing(spark: SparkSession, detection_path: str, out: str) -> dict[str, DataFrame]:

@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from phraseloom import schemas as S
 from phraseloom.functions import fixed_values as V
-from phraseloom.functions.text import any_nonzero, field, join_tokens, strip
+from phraseloom.functions.text import any_nonzero, field, is_blank, join_tokens, strip
 from phraseloom.operators.ordering import file_order, order_struct
 from phraseloom.operators.sampling import systematic_sample_by_row_ord
 
@@ -178,14 +178,12 @@ def read_multilingual_map(spark: SparkSession, path: str) -> DataFrame:
 
 def parallel_corpus(records: DataFrame) -> DataFrame:
     """Translation records -> unified rows with label -1; both texts trimmed and present."""
-    en = strip(F.coalesce(F.col("translation.en"), F.lit("")))
-    hi = strip(F.coalesce(F.col("translation.hi"), F.lit("")))
-    return records.select(
-        *unified_row(
-            en, "en", hi, "hi", F.lit(V.PARALLEL_LABEL), F.lit(""), F.lit("train"), V.SOURCE_PARALLEL
-        ),
+    present = records.filter(~is_blank("translation.en") & ~is_blank("translation.hi"))
+    en, hi = strip("translation.en"), strip("translation.hi")
+    return present.select(
+        *unified_row(en, "en", hi, "hi", F.lit(V.PARALLEL_LABEL), F.lit(""), F.lit("train"), V.SOURCE_PARALLEL),
         "row_ord",
-    ).filter((F.col("source_idiom") != "") & (F.col("target_idiom") != ""))
+    )
 
 
 def read_parallel_corpus(
@@ -222,18 +220,15 @@ def read_meaning_json_pairs(spark: SparkSession, paths: list[str]) -> DataFrame:
     records = drop_corrupt(read_json_lists(spark, paths, S.IDIOM_DICTIONARY))
     name = F.regexp_extract(F.col("row_ord.file"), r"([^/]+)$", 1)
     table = F.create_map(*[F.lit(x) for kv in V.DICTIONARY_LANGUAGES.items() for x in kv])
-    return (
-        records.select(
-            strip(F.coalesce("figurative_meaning", F.lit(""))).alias("source_idiom"),
-            F.lit("en").alias("source_lang"),
-            strip(F.coalesce("idiom", F.lit(""))).alias("target_idiom"),
-            F.try_element_at(table, name).alias("target_lang"),
-            F.concat(F.lit("Raw-"), name).alias("source"),
-            "row_ord",
-        )
-        .filter((F.col("source_idiom") != "") & (F.col("target_idiom") != ""))
-        .filter(F.col("target_lang").isNotNull())
-    )
+    present = records.filter(~is_blank("figurative_meaning") & ~is_blank("idiom"))
+    return present.select(
+        strip("figurative_meaning").alias("source_idiom"),
+        F.lit("en").alias("source_lang"),
+        strip("idiom").alias("target_idiom"),
+        F.try_element_at(table, name).alias("target_lang"),
+        F.concat(F.lit("Raw-"), name).alias("source"),
+        "row_ord",
+    ).filter(F.col("target_lang").isNotNull())
 
 
 def read_pair_csv(spark: SparkSession, glob: str) -> DataFrame:
