@@ -14,7 +14,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from phraseloom.functions import fixed_values as V
-from phraseloom.functions.arrays import l2_normalize
 
 ENCODE_BATCH = 64
 
@@ -28,15 +27,19 @@ def _in_batches(fn: Callable[[list[str]], np.ndarray], texts: pd.Series, size: i
 
 
 def encoder(load: Callable[[], Callable[[list[str]], np.ndarray]], batch: int = ENCODE_BATCH) -> Callable[[Column], Column]:
-    """Text column -> unit-norm array<float>."""
+    """Text column -> unit-norm array<float>; a zero vector gives null."""
+
+    def unit(v: np.ndarray) -> np.ndarray | None:
+        norm = np.linalg.norm(v.astype(np.float64))
+        return (v / norm).astype(np.float32) if norm > 0 else None
 
     @F.pandas_udf("array<float>")
     def encode(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = load()
         for texts in parts:
-            yield _in_batches(model, texts, batch).map(lambda v: v.astype(np.float32))
+            yield _in_batches(model, texts, batch).map(unit)
 
-    return lambda c: l2_normalize(encode(c))
+    return encode
 
 
 def scorer(load: Callable[[], Callable[[list[str]], np.ndarray]], batch: int = ENCODE_BATCH) -> Callable[[Column], Column]:

@@ -66,7 +66,7 @@ def id_buckets(df: DataFrame, id_col: str, buckets: int = 1024, name: str = "_bu
     right positions; good ones give even tasks.
     """
     probs = [i / buckets for i in range(1, buckets)]
-    bounds = df.approxQuantile(id_col, probs, 0.1 / buckets)
+    bounds = df.approxQuantile(id_col, probs, 0.1 / buckets) or [0.0]
     splits = [float("-inf"), *sorted(set(bounds)), float("inf")]
     as_double = df.withColumn("_id_double", F.col(id_col).cast("double"))
     cutter = Bucketizer(splits=splits, inputCol="_id_double", outputCol=name, handleInvalid="error")

@@ -67,6 +67,9 @@ class _Side:
             ids.to_numpy(zero_copy_only=False), _matrix(data.column("embedding")), _strings(data.column("lang")), ids.type
         )
 
+    def parts(self) -> tuple:
+        return self.ids, self.vectors, self.langs, self.id_type
+
     def take(self, where: np.ndarray) -> "_Side":
         return _Side(self.ids[where], self.vectors[where], self.langs[where], self.id_type)
 
@@ -161,26 +164,27 @@ def _fits(df: DataFrame, max_bytes: int, max_rows: int | None = None) -> bool:
 
 
 def _with_small_index(queries: DataFrame, index: DataFrame, k: int) -> DataFrame:
-    small = queries.sparkSession.sparkContext.broadcast(_Side.of(index.toArrow(), "row_id").by_id())
+    small = queries.sparkSession.sparkContext.broadcast(_Side.of(index.toArrow(), "row_id").by_id().parts())
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = _Side(*small.value)
         for batch in batches:
             queries_here = _Side.of(batch, "query_id")
-            yield _emit(queries_here, *_best(queries_here, small.value, k))
+            yield _emit(queries_here, *_best(queries_here, rows, k))
 
     return queries.mapInArrow(scan, _candidate_ddl(queries))
 
 
 def _with_few_queries(queries: DataFrame, index: DataFrame, k: int) -> DataFrame:
-    few = queries.sparkSession.sparkContext.broadcast(_Side.of(queries.toArrow(), "query_id"))
+    few = queries.sparkSession.sparkContext.broadcast(_Side.of(queries.toArrow(), "query_id").parts())
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = None
+        asked, best = _Side(*few.value), None
         for batch in batches:
-            here = _best(few.value, _Side.of(batch, "row_id").by_id(), k)
+            here = _best(asked, _Side.of(batch, "row_id").by_id(), k)
             best = here if best is None else _ranked(np.hstack([best[0], here[0]]), np.hstack([best[1], here[1]]), k)
         if best is not None:
-            yield _emit(few.value, *best)
+            yield _emit(asked, *best)
 
     return index.mapInArrow(scan, _candidate_ddl(queries))
 

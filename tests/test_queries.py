@@ -1,5 +1,8 @@
 """Every catalogue query against its SQL, and the rows-only ones against their invariants."""
 
+import subprocess
+import sys
+
 import pytest
 
 import __spark_entry__ as entry
@@ -29,6 +32,22 @@ def test_entry(spark):
     assert {r["split"] for r in entry.entry(spark).collect()} == {"train", "val", "test"}
 
 
+def test_tasks_need_no_copy_of_the_package(tmp_path):
+    """The entry file works from another folder, where workers cannot import the package."""
+    code = f"""
+import sys, importlib.util
+from pyspark.sql import SparkSession
+spec = importlib.util.spec_from_file_location("__spark_entry__", {entry.__file__!r})
+m = importlib.util.module_from_spec(spec); spec.loader.exec_module(m)
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+print([m.queries()[q](spark, {SF!r}).count() for q in ("retrieve_topk", "retrieve_topk_cells", "greedy_token_f1")])
+"""
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+    first, second, third = eval(done.stdout.strip().splitlines()[-1])
+    assert first == second > 0 and third == 1
+
+
 def test_encode_text_gives_unit_vectors(spark):
     rows = entry.queries()["encode_text"](spark, SF).collect()
     assert rows and all(r["dim"] == 256 and abs(r["norm"] - 1) < 1e-3 for r in rows if r["norm"] is not None)
