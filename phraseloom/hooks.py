@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from phraseloom.functions import fixed_values as V
 
@@ -33,7 +33,7 @@ def encoder(load: Callable[[], Callable[[list[str]], np.ndarray]], batch: int =
         norm = np.linalg.norm(v.astype(np.float64))
         return (v / norm).astype(np.float32) if norm > 0 else None
 
-    @F.pandas_udf("array<float>")
+    @F.pandas_udf(T.ArrayType(T.FloatType()))
     def encode(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = load()
         for texts in parts:
@@ -45,7 +45,7 @@ def encoder(load: Callable[[], Callable[[list[str]], np.ndarray]], batch: int =
 def scorer(load: Callable[[], Callable[[list[str]], np.ndarray]], batch: int = ENCODE_BATCH) -> Callable[[Column], Column]:
     """Text column -> array<double> of class logits."""
 
-    @F.pandas_udf("array<double>")
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = load()
         for texts in parts:
@@ -61,7 +61,7 @@ def translator(load: Callable[[], Callable[[list[str], list[str]], list[str]]])
     each row is tried by itself, so that one bad row does not take the others with it.
     """
 
-    @F.pandas_udf("string")
+    @F.pandas_udf(T.StringType())
     def translate(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         model = load()
 

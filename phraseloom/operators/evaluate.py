@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -195,7 +196,6 @@ def evaluate_translations(
         greedy_token_f1(with_token_vectors(pairs, encoder)),
         failed,
     ]
-    report = parts[0].withColumn("_one", F.lit(1))
-    for part in parts[1:]:
-        report = report.join(part.withColumn("_one", F.lit(1)), "_one")
-    return report.select(F.lit(language).alias("language"), *[c for c in report.columns if c != "_one"])
+    # Each part is one row with its own columns; together they are one row.
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return rows.agg(*[F.max(c).alias(c) for c in rows.columns]).select(F.lit(language).alias("language"), "*")

@@ -71,19 +71,11 @@ def _cuts(hashed: DataFrame) -> DataFrame:
     )
 
 
-def _assign(df: DataFrame, klass: Column, key: str, seed: int) -> DataFrame:
-    keyed = df.withColumns({"_class": klass, "_h": seeded_hash(seed, key)})
-    cuts = _cuts(keyed.select("_class", "_h"))
-    split = (
-        F.when(F.col("_h") <= F.coalesce(F.col("_cut_train"), F.lit("")), "train")
-        .when(F.col("_h") <= F.coalesce(F.col("_cut_val"), F.lit("")), "val")
-        .otherwise("test")
-    )
-    # One row per class, and the number of classes is checked by the callers.
+def _split_name(cut_train: Column, cut_val: Column) -> Column:
     return (
-        keyed.join(F.broadcast(cuts), "_class", "left")
-        .withColumn("split", split)
-        .drop("_class", "_h", "_cut_train", "_cut_val")
+        F.when(F.col("_h") <= F.coalesce(cut_train, F.lit("")), "train")
+        .when(F.col("_h") <= F.coalesce(cut_val, F.lit("")), "val")
+        .otherwise("test")
     )
 
 
@@ -96,12 +88,23 @@ def stratified_split(df: DataFrame, seed: int = V.SPLIT_SEED, key: str = "text")
     labels = distinct_label_count(df)
     if labels > MAX_LABELS:
         raise ValueError(f"{labels} labels; a split by class expects at most {MAX_LABELS}")
-    return _assign(df.drop("split"), F.coalesce(F.col("label"), F.lit(-(2**31))), key, seed)
+    klass = F.coalesce(F.col("label"), F.lit(-(2**31)))
+    keyed = df.drop("split").withColumns({"_class": klass, "_h": seeded_hash(seed, key)})
+    # One row per class, and the number of classes is checked above.
+    cuts = F.broadcast(_cuts(keyed.select("_class", "_h")))
+    return (
+        keyed.join(cuts, "_class", "left")
+        .withColumn("split", _split_name(F.col("_cut_train"), F.col("_cut_val")))
+        .drop("_class", "_h", "_cut_train", "_cut_val")
+    )
 
 
 def random_split(df: DataFrame, seed: int = V.SPLIT_SEED, key: str = "text") -> DataFrame:
-    """70/15/15 over all rows, used when there is only one class."""
-    return _assign(df.drop("split"), F.lit(0), key, seed)
+    """70/15/15 over all rows, used when there is only one class. The two cuts are read at once."""
+    keyed = df.drop("split").withColumn("_h", seeded_hash(seed, key))
+    cuts = _cuts(keyed.select(F.lit(0).alias("_class"), "_h")).first()
+    train, val = (cuts["_cut_train"], cuts["_cut_val"]) if cuts else (None, None)
+    return keyed.withColumn("split", _split_name(F.lit(train), F.lit(val))).drop("_h")
 
 
 def split_by_class_or_random(df: DataFrame, seed: int = V.SPLIT_SEED) -> DataFrame:
