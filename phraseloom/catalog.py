@@ -486,7 +486,16 @@ def q_greedy_token_f1(spark, sf):
 
 def q_encode_text(spark, sf):
     rows = encode.encode_text(table(spark, sf, "documents"), "text")
-    return rows.select("doc_id", F.size("embedding").alias("dim"), F.round(arrays.l2_norm("embedding"), 4).alias("norm"))
+    long = rows.select("doc_id", F.posexplode("embedding").alias("pos", "x"))
+    return long.filter(F.col("x") > 0).select("doc_id", "pos", F.round(F.col("x").cast("double"), 4).alias("x"))
+
+
+def q_retrieve_text(spark, sf):
+    """Benchmark texts against an index of the conversation pairs, both encoded from text."""
+    found = index_plan.index_rows(index_plan.index_pairs(pairs_unified(spark, sf)))
+    asked = table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    hits = retrieval.retrieve(encode.encode_text(asked, "text"), found, 5, target_lang="hi")
+    return hits.select("query_id", "rank", "source_idiom", "target_idiom", "score")
 
 
 def _fitted(spark, sf):

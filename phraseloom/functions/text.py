@@ -25,8 +25,10 @@ def collapse(c: Column | str) -> Column:
 
 
 def strip(c: Column | str) -> Column:
-    """White space removed at both ends."""
-    return F.regexp_replace(as_column(c), _ENDS, "")
+    """White space removed at both ends. Most texts have none there, and two characters tell."""
+    c = as_column(c)
+    touched = is_blank(F.substring(c, 1, 1)) | is_blank(F.substring(c, -1, 1))
+    return F.when(touched, F.regexp_replace(c, _ENDS, "")).otherwise(c)
 
 
 def clean_text(c: Column | str) -> Column:

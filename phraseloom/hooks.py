@@ -1,6 +1,9 @@
 """The three places where a user plugs in a model. Each hook takes a `load` function that builds the
 model once per Python worker; the model is never shipped with the tasks.
 
+The calls are marked as non-deterministic, so that Spark neither copies a call into a filter on its
+result nor moves it: each row meets the model once.
+
 load() of an encoder returns texts -> 2-d float array, of a scorer texts -> 2-d logits, of a
 translator (system texts, prompts) -> translations.
 """
@@ -18,12 +21,15 @@ from phraseloom.functions import fixed_values as V
 ENCODE_BATCH = 64
 
 
-def _in_batches(fn: Callable[[list[str]], np.ndarray], texts: pd.Series, size: int) -> pd.Series:
-    values = texts.fillna("").tolist()
-    out: list[np.ndarray] = []
-    for i in range(0, len(values), size):
-        out.extend(np.asarray(fn(values[i : i + size])))
-    return pd.Series(out, index=texts.index, dtype=object)
+def _in_batches(fn: Callable[[list[str]], np.ndarray], texts: pd.Series, size: int, finish: Callable) -> pd.Series:
+    """One finished vector per text. A null text never reaches the model and stays null."""
+    out = pd.Series([None] * len(texts), index=texts.index, dtype=object)
+    at = np.flatnonzero(texts.notna())
+    for i in range(0, len(at), size):
+        part = at[i : i + size]
+        for where, v in zip(part, np.asarray(fn(texts.iloc[part].tolist()))):
+            out.iat[where] = finish(v)
+    return out
 
 
 def encoder(load: Callable[[], Callable[[list[str]], np.ndarray]], batch: int = ENCODE_BATCH) -> Callable[[Column], Column]:
@@ -37,9 +43,9 @@ def encoder(load: Callable[[], Callable[[list[str]], np.ndarray]], batch: int =
     def encode(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = load()
         for texts in parts:
-            yield _in_batches(model, texts, batch).map(unit)
+            yield _in_batches(model, texts, batch, unit)
 
-    return encode
+    return encode.asNondeterministic()
 
 
 def scorer(load: Callable[[], Callable[[list[str]], np.ndarray]], batch: int = ENCODE_BATCH) -> Callable[[Column], Column]:
@@ -49,9 +55,9 @@ def scorer(load: Callable[[], Callable[[list[str]], np.ndarray]], batch: int = E
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = load()
         for texts in parts:
-            yield _in_batches(model, texts, batch).map(lambda v: v.astype(np.float64))
+            yield _in_batches(model, texts, batch, lambda v: v.astype(np.float64))
 
-    return score
+    return score.asNondeterministic()
 
 
 def translator(load: Callable[[], Callable[[list[str], list[str]], list[str]]]) -> Callable[[DataFrame], DataFrame]:
@@ -80,7 +86,6 @@ def translator(load: Callable[[], Callable[[list[str], list[str]], list[str]]])
                 texts = [one(s, p) for s, p in zip(systems, prompts)]
             yield pd.Series(texts, index=prompts.index)
 
-    # A model may answer differently each time, so Spark must not copy or move the call.
     call = translate.asNondeterministic()
     return lambda df: df.withColumn("translation", call("system_text", "prompt"))
 

@@ -16,7 +16,7 @@ from phraseloom.operators.metrics import macro_metrics
 
 FEATURES = 1 << 16
 GRID = (0.001, 0.01, 0.1)
-MAX_ITERATIONS = 50
+MAX_ITERATIONS = 25
 
 
 def feature_stages(max_tokens: int = V.MAX_MODEL_TOKENS, features: int = FEATURES) -> list:

@@ -1,29 +1,33 @@
-"""Phrase vectors. The built-in encoder hashes character n-grams and needs no model file."""
+"""Phrase vectors. The built-in encoder hashes character 3-grams and needs no model file."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.feature import HashingTF, NGram, Normalizer
-from pyspark.ml.functions import vector_to_array
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from phraseloom.functions.text import normalize_text
+from phraseloom.hooks import encoder as encoder_hook
 
 DIM = 256
-NGRAM = 3
+# Bucket of a 3-gram with code points a, b, c: (a * A + b * B + c * C) mod P mod DIM.
+MULTIPLIERS = (73856093, 19349663, 83492791)
+MODULUS = 1_000_003
 
 
-def _char_ngram_vectors(df: DataFrame, col: str, out: str, dim: int) -> DataFrame:
-    # Blanks around the text mark word starts and ends at its borders too.
-    padded = F.concat(F.lit(" "), F.lower(normalize_text(col)), F.lit(" "))
-    df = df.withColumn("_chars", F.split(padded, ""))
-    df = NGram(n=NGRAM, inputCol="_chars", outputCol="_grams").transform(df)
-    df = HashingTF(numFeatures=dim, inputCol="_grams", outputCol="_tf").transform(df)
-    df = Normalizer(p=2.0, inputCol="_tf", outputCol="_unit").transform(df)
-    has_gram = F.size("_grams") > 0
-    vector = F.when(has_gram, vector_to_array("_unit", "float32"))
-    return df.withColumn(out, vector).drop("_chars", "_grams", "_tf", "_unit")
+def gram_counts(texts: list[str], dim: int = DIM) -> np.ndarray:
+    """Counts of hashed character 3-grams, one row per text; a text of under three characters is all zero."""
+    out = np.zeros((len(texts), dim))
+    for i, text in enumerate(texts):
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+        if len(points) >= 3:
+            a, b, c = (points[k : len(points) - 2 + k] * m for k, m in enumerate(MULTIPLIERS))
+            out[i] = np.bincount((a + b + c) % MODULUS % dim, minlength=dim)
+    return out
+
+
+_builtin = encoder_hook(lambda: gram_counts, batch=1024)
 
 
 def encode_text(
@@ -31,9 +35,19 @@ def encode_text(
     col: str,
     encoder: Callable[[Column], Column] | None = None,
     out: str = "embedding",
-    dim: int = DIM,
+    only: Column | None = None,
 ) -> DataFrame:
-    """Add a unit-norm array<float> for a text column; `encoder` is a hook column function."""
+    """Add a unit-norm array<float> for a text column; `encoder` is a hook column function.
+
+    Rows outside the condition `only` get no vector and cost no model call. A blank text has no vector
+    from the built-in encoder and so no hits.
+    """
+    text = normalize_text(col)
+    if only is not None:
+        text = F.when(only, text)
     if encoder is not None:
-        return df.withColumn(out, encoder(normalize_text(col)))
-    return _char_ngram_vectors(df, col, out, dim)
+        return df.withColumn(out, encoder(text))
+    # A blank on both sides marks the first and the last word like those inside. A blank text becomes
+    # two blanks, too short for a 3-gram.
+    padded = F.concat(F.lit(" "), F.lower(text), F.lit(" "))
+    return df.withColumn(out, _builtin(padded))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from phraseloom.functions import fixed_values as V
 from phraseloom.functions.language import require_language
-from phraseloom.functions.text import as_column, strip, tokens
+from phraseloom.functions.text import as_column, is_blank, strip, tokens
 from phraseloom.operators.encode import encode_text
 from phraseloom.operators.sampling import head_per_language
 from phraseloom.operators.translate import literal_passthrough, translate_batch
@@ -32,7 +32,10 @@ def exact_match(df: DataFrame) -> DataFrame:
 
 def bleu_tokens(c: Column | str) -> Column:
     """Tokens of the public 13a rules."""
-    text = F.regexp_replace(F.coalesce(as_column(c), F.lit("")), r"(?U)[\s\x1c-\x1f]++\z", "")
+    text = F.coalesce(as_column(c), F.lit(""))
+    # Trailing white space goes first. Most texts have none, and the last character tells.
+    ends_blank = is_blank(F.substring(text, -1, 1))
+    text = F.when(ends_blank, F.regexp_replace(text, r"(?U)[\s\x1c-\x1f]++\z", "")).otherwise(text)
     for old, new in V.BLEU_LITERALS:
         text = F.replace(text, F.lit(old), F.lit(new))
     text = F.concat(F.lit(" "), text, F.lit(" "))

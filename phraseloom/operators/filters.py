@@ -60,11 +60,15 @@ def min_tokens(df: DataFrame, n: int = V.MIN_TOKENS, col: str = "text") -> DataF
 def dropped_counts(cleaned: DataFrame, n: int = V.MIN_TOKENS) -> DataFrame:
     """One row: rows in, blank, too short, repeated, kept.
 
-    `cleaned` holds cleaned text before any filter. One aggregate by (text, label) and one over its
-    counts; copies of a hot text merge before the shuffle.
+    `cleaned` holds cleaned text before any filter. Only a 128-bit digest of the text is shuffled, and
+    copies of a hot text merge before that.
     """
-    groups = cleaned.groupBy("text", "label").agg(F.count(F.lit(1)).alias("copies"))
-    groups = groups.select("copies", token_count("text").alias("tokens"))
+    digests = cleaned.select(
+        "label", F.unhex(F.md5("text")).alias("digest"), token_count("text").alias("tokens")
+    )
+    groups = digests.groupBy("digest", "label").agg(
+        F.count(F.lit(1)).alias("copies"), F.max("tokens").alias("tokens")
+    )
     blank = F.col("tokens") == 0
     short = ~blank & (F.col("tokens") < n)
     kept = ~(blank | short)

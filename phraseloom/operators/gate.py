@@ -11,8 +11,7 @@ from phraseloom import schemas as S
 from phraseloom.functions import fixed_values as V
 from phraseloom.operators.detector import detect, load_model
 from phraseloom.operators.encode import encode_text
-from phraseloom.operators.filters import idiomatic_only
-from phraseloom.operators.retrieval import pack_hits, retrieve
+from phraseloom.operators.retrieval import attach_hits
 
 
 def failure_detail(error: Exception) -> str:
@@ -23,26 +22,26 @@ def failure_detail(error: Exception) -> str:
     return lines[0][: V.FAILURE_DETAIL_CHARS]
 
 
-def hits_for(
-    queries: DataFrame,
-    index: DataFrame,
+def with_hits(
+    df: DataFrame,
+    index: DataFrame | None,
     k: int,
     target_lang: str | None = None,
     encoder: Callable[[Column], Column] | None = None,
+    only: Column | None = None,
     **how,
 ) -> DataFrame:
-    """Packed hits per query_id. Queries with an embedding keep it, others are encoded from text."""
-    if "embedding" not in queries.columns:
-        queries = encode_text(queries, "text", encoder)
-    return pack_hits(retrieve(queries, index, k, target_lang=target_lang, **how))
-
+    """Add `hits` to rows (query_id, text). Rows outside `only`, or without an index, get an empty list.
 
-def _attach(df: DataFrame, hits: DataFrame | None) -> DataFrame:
-    empty = F.lit(None).cast(ArrayType(S.HIT))
-    if hits is None:
-        return df.withColumn("hits", F.coalesce(empty, F.array().cast(ArrayType(S.HIT))))
-    joined = df.join(hits.select("query_id", F.col("hits").alias("hits")), "query_id", "left")
-    return joined.withColumn("hits", F.coalesce(F.col("hits"), F.array().cast(ArrayType(S.HIT))))
+    An embedding column is used if there is one, else the text is encoded.
+    """
+    if index is None:
+        return df.drop("embedding").withColumn("hits", F.array().cast(ArrayType(S.HIT)))
+    if "embedding" not in df.columns:
+        df = encode_text(df, "text", encoder, only=only)
+    elif only is not None:
+        df = df.withColumn("embedding", F.when(only, F.col("embedding")))
+    return attach_hits(df, index, k, target_lang=target_lang, **how)
 
 
 def gate_retrieve(
@@ -55,16 +54,14 @@ def gate_retrieve(
 ) -> DataFrame:
     """input, detection, retrieval and message for rows (query_id, text, detection).
 
-    Literal rows are filtered out before encoding and search, and joined back for the answer.
+    Literal rows are neither encoded nor searched.
     """
-    literal = ~F.col("detection.is_idiomatic")
-    hits = None
-    if index is not None:
-        hits = hits_for(idiomatic_only(detected), index, k, target_lang, encoder, **how)
-    message = F.when(literal, V.MESSAGE_LITERAL)
+    idiomatic = F.col("detection.is_idiomatic")
+    message = F.when(~idiomatic, V.MESSAGE_LITERAL)
     if index is None:
         message = message.otherwise(V.MESSAGE_NO_INDEX)
-    return _attach(detected, hits).select(
+    found = with_hits(detected, index, k, target_lang, encoder, idiomatic, **how)
+    return found.select(
         "query_id",
         F.col("text").alias("input"),
         "detection",
@@ -83,11 +80,10 @@ def retrieve_without_detector(
     **how,
 ) -> DataFrame:
     """The answer when the detector cannot be loaded: every row is searched."""
-    hits = None if index is None else hits_for(queries, index, k, target_lang, encoder, **how)
     detection = F.struct(
         F.lit(V.LABEL_UNAVAILABLE).alias("label"), F.lit(None).alias("confidence"), F.lit(None).alias("is_idiomatic")
     ).cast(S.DETECTION)
-    return _attach(queries, hits).select(
+    return with_hits(queries, index, k, target_lang, encoder, **how).select(
         "query_id",
         F.col("text").alias("input"),
         detection.alias("detection"),

@@ -19,9 +19,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from phraseloom.operators.filters import language_filter
+from phraseloom.schemas import HIT
+from phraseloom.storage import stored
 
 # Largest side that is sent to every executor, as bytes of float32 vectors.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -375,3 +377,80 @@ def pack_hits(hits: DataFrame) -> DataFrame:
     """One row per query with its at most k hits as a list in rank order."""
     hit = F.struct("rank", "source_idiom", "source_lang", "target_idiom", "target_lang", "score")
     return hits.groupBy("query_id").agg(F.array_sort(F.collect_list(hit)).alias("hits"))
+
+
+# ---------------------------------------------------------------------- hits as a column
+
+_META = ["source_idiom", "source_lang", "target_idiom", "target_lang"]
+
+
+def _index_bytes_fit(index: DataFrame, max_bytes: int) -> bool:
+    """Whether vectors and texts together are within the limit; reads a bounded number of rows."""
+    width = 4 * F.size("embedding") + sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in _META), F.lit(0))
+    # Even a vector of one element and no text counts four bytes, so more rows than this cannot fit.
+    total = index.select(width.alias("b")).limit(max_bytes // 4 + 1).agg(F.sum("b")).first()[0]
+    return (total or 0) <= max_bytes
+
+
+def _attach_in_one_pass(df: DataFrame, index: DataFrame, k: int) -> DataFrame:
+    rows = index.filter(F.col("embedding").isNotNull()).withColumn("lang", F.coalesce("target_lang", F.lit(_ANY)))
+    data = rows.select("row_id", "embedding", "lang", *_META).toArrow().sort_by("row_id")
+    shared = df.sparkSession.sparkContext.broadcast(
+        (_Side.of(data, "row_id").parts(), [data.column(c).combine_chunks() for c in _META])
+    )
+    out = T.StructType([f for f in df.schema.fields if f.name != "embedding"] + [T.StructField("hits", T.ArrayType(HIT))])
+    kept = [f.name for f in out.fields[:-1]]
+    has_want = "want_lang" in df.columns
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        side, meta = shared.value
+        rows = _Side(*side)
+        for batch in batches:
+            n = batch.num_rows
+            asked = np.flatnonzero(batch.column("embedding").is_valid().to_numpy(zero_copy_only=False))
+            vectors = _matrix(batch.column("embedding").drop_null())
+            langs = _strings(batch.column("want_lang"))[asked] if has_want else np.full(len(asked), _ANY, dtype=object)
+            scores, ids = _ranked(*_best(_Side(asked, vectors, langs, pa.int64()), rows, k), k)
+            at, rank = np.nonzero(scores > -np.inf)
+            place = pa.array(np.searchsorted(rows.ids, ids[at, rank]))
+            per_row = np.zeros(n + 1, dtype=np.int32)
+            np.add.at(per_row, asked[at] + 1, 1)
+            hit = pa.StructArray.from_arrays(
+                [
+                    pa.array((rank + 1).astype(np.int32)),
+                    *[c.take(place) for c in meta],
+                    pa.array(np.round(scores[at, rank], 4)),
+                ],
+                names=HIT.names,
+            )
+            hits = pa.ListArray.from_arrays(pa.array(np.cumsum(per_row, dtype=np.int32)), hit)
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], hits], names=[*kept, "hits"])
+
+    return df.mapInArrow(scan, out)
+
+
+def attach_hits(
+    df: DataFrame,
+    index: DataFrame,
+    k: int,
+    *,
+    source_lang: str | None = None,
+    target_lang: str | None = None,
+    form: str | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    **how,
+) -> DataFrame:
+    """Replace `embedding` by `hits`, the list of the k best rows in rank order; no vector, no hits.
+
+    With a small index this is one pass over `df` without a shuffle. Otherwise `df` is stored first,
+    because the search and the join back both read it and whatever computed it must run once.
+    """
+    if k < 1:
+        raise ValueError("k must be at least 1")
+    rows = language_filter(index, source_lang, target_lang)
+    if form in (None, "small_index") and _index_bytes_fit(rows, broadcast_bytes):
+        return _attach_in_one_pass(df, rows, k)
+    kept = stored(df)
+    hits = pack_hits(retrieve(kept, rows, k, form=form, broadcast_bytes=broadcast_bytes, **how))
+    joined = kept.drop("embedding").join(hits, "query_id", "left")
+    return joined.withColumn("hits", F.coalesce("hits", F.array().cast(T.ArrayType(HIT))))

@@ -17,12 +17,10 @@ def seeded_hash(seed: int, c: Column | str) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), as_column(c).cast("string")))
 
 
-def _every_nth(positions: DataFrame, n: int) -> DataFrame:
+def _every_nth(positions: DataFrame, n: int, total: int) -> DataFrame:
     """Rows at 0, step, 2*step, ... with step = max(1, total // n), the first n of them."""
     if n < 1:
         raise ValueError("n must be at least 1")
-    total = positions.agg(F.max("position")).first()[0]
-    total = 0 if total is None else total + 1
     step = max(1, total // max(1, min(n, total)))
     return positions.filter((F.col("position") % step == 0) & (F.col("position") < n * step))
 
@@ -32,7 +30,8 @@ def systematic_sample(df: DataFrame, n: int, id_col: str) -> DataFrame:
 
     Only the id is ranked and shuffled. The at most n chosen ids then pick the rows from the input.
     """
-    chosen = _every_nth(position_by_id(df.select(id_col), id_col), n).select(id_col)
+    ids = df.select(id_col)
+    chosen = _every_nth(position_by_id(ids, id_col), n, ids.count()).select(id_col)
     if n <= BROADCAST_KEYS:
         chosen = F.broadcast(chosen)
     return df.join(chosen, id_col, "left_semi")
@@ -41,7 +40,8 @@ def systematic_sample(df: DataFrame, n: int, id_col: str) -> DataFrame:
 def systematic_sample_by_row_ord(df: DataFrame, n: int) -> DataFrame:
     """Systematic sample in file order, for a frame that carries row_ord."""
     place = df.select("row_ord").withColumns({"_file": F.col("row_ord.file"), "_block": F.col("row_ord.block")})
-    chosen = _every_nth(dense_position(place, ["_file", "_block"], ["row_ord"]), n).select("row_ord")
+    positions = dense_position(place, ["_file", "_block"], ["row_ord"])
+    chosen = _every_nth(positions, n, place.count()).select("row_ord")
     if n <= BROADCAST_KEYS:
         chosen = F.broadcast(chosen)
     return df.join(chosen, "row_ord", "left_semi")

@@ -12,7 +12,7 @@ from phraseloom.functions.text import as_column, capitalize
 from phraseloom.hooks import top_hit_translator
 from phraseloom.operators.detector import detect
 from phraseloom.operators.filters import idiomatic_only, nonempty_text
-from phraseloom.operators.gate import hits_for
+from phraseloom.operators.gate import with_hits
 
 RECORD = ["english_idiom", "detected_confidence", "retrieved_context", "target_language", "translation"]
 
@@ -64,9 +64,8 @@ def translate_detected(
     row selects its target language; an unknown name searches all.
     """
     todo = idiomatic_only(nonempty_text(detected)).withColumn("want_lang", language_code("target_language"))
-    hits = hits_for(todo, index, k, encoder=encoder, **how)
-    rows = todo.drop("embedding").join(hits, "query_id", "left")
-    rows = rows.withColumn("retrieved_context", context_string(F.coalesce("hits", F.array())))
+    rows = with_hits(todo, index, k, encoder=encoder, **how)
+    rows = rows.withColumn("retrieved_context", context_string("hits"))
     rows = rows.withColumns(
         {
             "system_text": system_text("target_language"),

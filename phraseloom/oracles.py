@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from phraseloom.functions import fixed_values as V
+from phraseloom.operators.encode import DIM, MODULUS, MULTIPLIERS
 
 
 def _clean(t: str) -> str:
@@ -215,6 +216,21 @@ def _report() -> str:
     return f"WITH {UNIFIED}, all_cleaned AS {cleaned} " + " UNION ALL ".join(f"({p})" for p in parts)
 
 
+def _vectors(source: str, ident: str) -> str:
+    """(ident, pos, x): the hashed 3-gram vector of each text as its non-zero elements."""
+    a, b, c = MULTIPLIERS
+    return f"""
+      SELECT {ident}, pos, n / sqrt(sum(n * n) OVER (PARTITION BY {ident})) AS x FROM (
+        SELECT {ident}, CAST((unicode(c0)::BIGINT * {a} + unicode(c1)::BIGINT * {b} + unicode(c2)::BIGINT * {c}) % {MODULUS} % {DIM} AS INTEGER) AS pos,
+               CAST(count(*) AS DOUBLE) AS n
+        FROM (SELECT {ident}, ch AS c0, lead(ch) OVER o AS c1, lead(ch, 2) OVER o AS c2
+              FROM (SELECT {ident}, unnest(chars) AS ch, generate_subscripts(chars, 1) AS i
+                    FROM (SELECT {ident}, string_split(' ' || lower({_strip('text')}) || ' ', '') AS chars
+                          FROM {source} WHERE {_strip('text')} <> ''))
+              WINDOW o AS (PARTITION BY {ident} ORDER BY i))
+        WHERE c2 IS NOT NULL GROUP BY ALL)"""
+
+
 def oracle_sql() -> dict[str, str]:
     name = _NAME
     by_split = _split("cleaned", "text", "label")
@@ -317,6 +333,20 @@ def oracle_sql() -> dict[str, str]:
             SELECT query_id, rank, row_id, target_lang, score FROM hits""",
         "retrieve_topk_cells": f"""WITH {IDX}, {_hits(_VEC_QUERIES, "idx", 5, "true")}
             SELECT query_id, rank, row_id, target_lang, score FROM hits""",
+        "encode_text": f"""SELECT doc_id, pos, round(CAST(CAST(x AS FLOAT) AS DOUBLE), 4) AS x
+            FROM ({_vectors('documents', 'doc_id')})""",
+        "retrieve_text": f"""WITH {PAIRS}, n AS (
+            SELECT {_strip('source_idiom')} AS source_idiom, {_strip('target_idiom')} AS target_idiom, conv_id, turn
+            FROM pairs WHERE target_lang = 'hi'), d AS (
+            SELECT source_idiom, target_idiom, min(conv_id * 1000 + turn) AS row_id FROM n
+            WHERE source_idiom <> '' AND target_idiom <> '' GROUP BY ALL),
+            t AS (SELECT row_id, source_idiom AS text FROM d),
+            iv AS ({_vectors('t', 'row_id')}), qv AS ({_vectors('benchmark', 'item_id')}),
+            s AS (SELECT item_id, row_id, round(sum(CAST(iv.x AS FLOAT)::DOUBLE * CAST(qv.x AS FLOAT)::DOUBLE), 10) AS s
+                  FROM qv JOIN iv USING (pos) GROUP BY item_id, row_id),
+            r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY s DESC, row_id) AS rank FROM s)
+            SELECT item_id AS query_id, CAST(rank AS INTEGER) AS rank, source_idiom, target_idiom, round(s, 4) AS score
+            FROM r JOIN d USING (row_id) WHERE rank <= 5""",
         "gate_retrieve": f"""WITH {KNOWN}, {IDX}, {_hits("(SELECT * FROM known WHERE label = 1)", "idx", 3, "true")}
             SELECT k.query_id, any_value({name.replace('label', 'k.label')}) AS label, any_value(k.confidence) AS confidence,
             coalesce(string_agg(h.target_idiom, ',' ORDER BY h.rank), '') AS found,

@@ -142,10 +142,18 @@ def test_failure_detail():
     assert gate.failure_detail(ValueError()) == ""
 
 
-def test_literal_rows_leave_before_the_search(asked, index):
-    plan = gate.retrieve_with_detector(asked, index, hooks.scorer(bucket_scorer), k=1)._jdf.queryExecution().optimizedPlan().toString()
-    search = plan[plan.index("MapInArrow") :]
-    assert "is_idiomatic" in search or "Filter" in search
+def test_literal_rows_cost_no_encoding(spark, asked, index):
+    calls = spark.sparkContext.accumulator(0)
+
+    def load():
+        def model(texts):
+            calls.add(len(texts))
+            return np.array([[1.0] + [0.0] * 255 for _ in texts])
+
+        return model
+
+    rows = gate.retrieve_with_detector(asked, index, hooks.scorer(bucket_scorer), k=1, encoder=hooks.encoder(load)).collect()
+    assert len(rows) == 2 and calls.value == 1
 
 
 # ---------------------------------------------------------------------- translation

@@ -48,11 +48,6 @@ print([m.queries()[q](spark, {SF!r}).count() for q in ("retrieve_topk", "retriev
     assert first == second > 0 and third == 1
 
 
-def test_encode_text_gives_unit_vectors(spark):
-    rows = entry.queries()["encode_text"](spark, SF).collect()
-    assert rows and all(r["dim"] == 256 and abs(r["norm"] - 1) < 1e-3 for r in rows if r["norm"] is not None)
-
-
 def test_train_predict(spark):
     rows = entry.queries()["train_predict"](spark, SF).collect()
     assert rows and all(0.5 <= r["confidence"] <= 1 and r["predicted"] in (0, 1) for r in rows)

@@ -145,3 +145,42 @@ def test_encoder_hook(spark):
     df = spark.createDataFrame([("abc",), (None,)], "t string")
     got = [r[0] for r in encode_text(df, "t", encoder(load, batch=1)).select("embedding").collect()]
     assert got[0] == pytest.approx([3 / 10**0.5, 1 / 10**0.5]) and got[1] == [0.0, 1.0]
+
+
+@pytest.mark.parametrize("how", [{}, {"form": "few_queries"}, {"form": "cells", "block_rows": 25, "pivots": 6}, {"broadcast_bytes": 4000}])
+def test_attach_hits_equals_packed_hits(spark, data, how):
+    vectors, langs, queries, wants = data
+    index = index_frame(spark, vectors, langs)
+    rows = [(f"q{i}", "text" * (i % 3), v.tolist() if i % 5 else None, w) for i, (v, w) in enumerate(zip(queries, wants))]
+    q = spark.createDataFrame(rows, "query_id string, text string, embedding array<float>, want_lang string").repartition(3)
+    got = retrieval.attach_hits(q, index, 4, **how)
+    assert got.columns == ["query_id", "text", "want_lang", "hits"]
+    packed = {r["query_id"]: r["hits"] for r in retrieval.pack_hits(retrieval.retrieve(q, index, 4)).collect()}
+    assert got.count() == 40
+    for r in got.collect():
+        assert r["hits"] == packed.get(r["query_id"], [])
+
+
+def test_small_index_needs_no_shuffle(spark, data):
+    vectors, langs, queries, _ = data
+    q = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(queries)], "query_id bigint, embedding array<float>")
+    plan = retrieval.attach_hits(q, index_frame(spark, vectors, langs), 4)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_a_model_meets_each_row_once(spark, data):
+    calls = spark.sparkContext.accumulator(0)
+
+    def load():
+        def model(texts):
+            calls.add(len(texts))
+            return np.array([[len(t), 1.0] for t in texts])
+
+        return model
+
+    vectors, langs, _, _ = data
+    df = spark.createDataFrame([(i, "x" * (i + 1)) for i in range(10)], "query_id bigint, text string")
+    encoded = encode_text(df, "text", encoder(load), only=F.col("query_id") < 7)
+    two = index_frame(spark, vectors[:, :2], langs)
+    rows = retrieval.attach_hits(encoded, two, 2).filter(F.size("hits") > 0).collect()
+    assert len(rows) == 7 and calls.value == 7
