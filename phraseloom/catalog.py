@@ -6,8 +6,12 @@ assistant turn that follows; `idx` is the embeddings with the vector label as ta
 
 from __future__ import annotations
 
+import uuid
+
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from phraseloom import hooks
 from phraseloom.functions import arrays, fixed_values as V, language
 from phraseloom.functions.text import clean_text, token_count
 from phraseloom.operators import dedup, detector, encode, evaluate, filters, gate, metrics, profile, retrieval
@@ -15,7 +19,8 @@ from phraseloom.operators import sampling, splitting, translate
 from phraseloom.plans import index as index_plan, prepare, profile_report as report_plan
 from phraseloom.sinks.tables import index_manifest as manifest_of
 from phraseloom.sources import landed
-from phraseloom.storage import stored
+from phraseloom.storage import ensure_checkpoint_dir, stored
+from phraseloom.streaming.translate import translate_stream
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -211,6 +216,12 @@ def q_bidirectional_pairs(spark, sf):
     return landed.idiom_dictionary(_dictionary(spark, sf), "ml").drop("row_ord")
 
 
+def q_meaning_pairs(spark, sf):
+    file = F.element_at(F.array(F.lit("/raw/hindi.json"), F.lit("/raw/telugu.json"), F.lit("/raw/other.json")), (F.col("row_ord.row") % 3 + 1).cast("int"))
+    records = _dictionary(spark, sf).withColumn("row_ord", F.col("row_ord").withField("file", file))
+    return landed.meaning_pairs(records).drop("row_ord")
+
+
 def q_unify_dedup(spark, sf):
     return unified(spark, sf).drop("row_ord")
 
@@ -498,6 +509,51 @@ def q_retrieve_text(spark, sf):
     return hits.select("query_id", "rank", "source_idiom", "target_idiom", "score")
 
 
+def _odd_length_scorer():
+    """A stand-in for a detector model: texts of odd length are idiomatic."""
+    return lambda texts: np.array([[0.0, 2.0] if len(t) % 2 else [2.0, 0.0] for t in texts])
+
+
+def _text_requests(spark, sf):
+    codes = F.array(F.lit("hi"), F.lit("te"), F.lit("ml"), F.lit("ta"))
+    return table(spark, sf, "benchmark").select(
+        F.col("item_id").cast("string").alias("request_id"),
+        "text",
+        F.element_at(codes, (F.col("item_id") % 4 + 1).cast("int")).alias("target_lang"),
+    )
+
+
+def q_translate_stream(spark, sf):
+    """Benchmark texts landed as request files and answered by the stream."""
+    base = f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    _text_requests(spark, sf).repartition(3).write.json(f"{base}/requests")
+    found = stored(index_plan.index_rows(index_plan.index_pairs(pairs_unified(spark, sf))))
+    run = translate_stream(
+        spark, f"{base}/requests", f"{base}/responses", f"{base}/state", found, hooks.scorer(_odd_length_scorer), max_files=2
+    )
+    run.awaitTermination()
+    return spark.read.parquet(f"{base}/responses").drop("batch_id")
+
+
+def q_translation_report(spark, sf):
+    """The evaluation report over all pairs of one language."""
+    found = stored(index_plan.index_rows(index_plan.index_pairs(pairs_unified(spark, sf))))
+    test = pairs_unified(spark, sf).select(
+        F.col("source_idiom").alias("input_text"), F.col("target_idiom").alias("target_text"), "target_lang", "row_ord"
+    )
+    return evaluate.evaluate_translations(test, found, hooks.scorer(_odd_length_scorer), "telugu", n=2**31 - 1)
+
+
+def q_text_token_f1(spark, sf):
+    """Each answer of a conversation against its question."""
+    texts = pairs(spark, sf).select(
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("pair_id"),
+        F.col("target_idiom").alias("prediction"),
+        F.col("source_idiom").alias("reference"),
+    )
+    return evaluate.text_token_f1(texts).select("pair_id", F.round("f1", 4).alias("f1"))
+
+
 def _fitted(spark, sf):
     split = stored(splitting.stratified_split(stored(cleaned(spark, sf))))
     train, val = (split.filter(F.col("split") == s) for s in ("train", "val"))

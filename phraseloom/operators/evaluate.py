@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from phraseloom.functions import fixed_values as V
 from phraseloom.functions.language import require_language
 from phraseloom.functions.text import as_column, is_blank, strip, tokens
-from phraseloom.operators.encode import encode_text
+from phraseloom.operators.encode import gram_counts
 from phraseloom.operators.sampling import head_per_language
 from phraseloom.operators.translate import literal_passthrough, translate_batch
 from phraseloom.storage import stored
@@ -118,12 +118,34 @@ def corpus_bleu(df: DataFrame) -> DataFrame:
     return bleu_score(bleu_statistics(df))
 
 
-def _greedy_f1(pred: list, ref: list) -> float:
-    if not pred or not ref:
+SIMS_AT_ONCE = 4_000_000
+
+
+def _greedy_f1(pred: np.ndarray, ref: np.ndarray) -> float:
+    """Precision is the mean best match of the prediction tokens, recall that of the reference tokens."""
+    if not len(pred) or not len(ref):
         return 0.0
-    sims = np.array(pred, dtype=np.float64) @ np.array(ref, dtype=np.float64).T
-    p, r = sims.max(axis=1).mean(), sims.max(axis=0).mean()
-    return 2 * p * r / (p + r) if p + r != 0 else 0.0
+    best_pred, best_ref = [], np.full(len(ref), -np.inf)
+    step = max(1, SIMS_AT_ONCE // len(ref))
+    for i in range(0, len(pred), step):
+        sims = pred[i : i + step] @ ref.T
+        best_pred.append(sims.max(axis=1))
+        best_ref = np.maximum(best_ref, sims.max(axis=0))
+    p, r = np.concatenate(best_pred).mean(), best_ref.mean()
+    return float(2 * p * r / (p + r)) if p + r != 0 else 0.0
+
+
+def _pair_scores(df: DataFrame, left: str, right: str, score: Callable[[], Callable]) -> DataFrame:
+    """(pair_id, f1) where score() gives a function of the two columns of a batch to a list of numbers."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of_batch = score()
+        for batch in batches:
+            values = of_batch(batch.column(left).to_pylist(), batch.column(right).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column("pair_id"), pa.array(values, type=pa.float64())], names=["pair_id", "f1"])
+
+    id_type = df.schema["pair_id"].dataType.simpleString()
+    return df.select("pair_id", left, right).mapInArrow(scan, f"pair_id {id_type}, f1 double")
 
 
 def pair_token_f1(df: DataFrame) -> DataFrame:
@@ -132,15 +154,10 @@ def pair_token_f1(df: DataFrame) -> DataFrame:
     Both sides are in one row, so no join and no pairs of tokens leave the task.
     """
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sides = zip(batch.column("prediction_vectors").to_pylist(), batch.column("reference_vectors").to_pylist())
-            values = pa.array([_greedy_f1(p, r) for p, r in sides], type=pa.float64())
-            yield pa.RecordBatch.from_arrays([batch.column("pair_id"), values], names=["pair_id", "f1"])
+    def score():
+        return lambda preds, refs: [_greedy_f1(np.array(p or []), np.array(r or [])) for p, r in zip(preds, refs)]
 
-    slim = df.select("pair_id", "prediction_vectors", "reference_vectors")
-    id_type = slim.schema["pair_id"].dataType.simpleString()
-    return slim.mapInArrow(score, f"pair_id {id_type}, f1 double")
+    return _pair_scores(df, "prediction_vectors", "reference_vectors", score)
 
 
 def greedy_token_f1(df: DataFrame) -> DataFrame:
@@ -148,23 +165,32 @@ def greedy_token_f1(df: DataFrame) -> DataFrame:
     return pair_token_f1(df).agg(F.avg("f1").alias("token_f1"))
 
 
-def token_vectors(df: DataFrame, col: str, out: str, encoder: Callable[[Column], Column] | None = None) -> DataFrame:
-    """(pair_id, list of unit vectors of the tokens of a text, in order).
+def text_token_f1(df: DataFrame, load: Callable[[], Callable[[list[str]], np.ndarray]] | None = None) -> DataFrame:
+    """(pair_id, f1) from the texts (pair_id, prediction, reference).
 
-    Hashing on pair_id first makes the final grouping free of a second shuffle.
+    `load` builds a token encoder as in the encoder hook; the default is the built-in one. Vectors are
+    made and used inside the task, once per distinct token of a batch, and never stored.
     """
-    words = df.select("pair_id", tokens(col).alias("_w")).repartition("pair_id")
-    long = words.select("pair_id", F.posexplode("_w").alias("pos", "word"))
-    encoded = encode_text(long, "word", encoder, out="vector").filter(F.col("vector").isNotNull())
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "vector")))
-    return encoded.groupBy("pair_id").agg(F.transform(ordered, lambda s: s["vector"]).alias(out))
 
+    def score():
+        model = load() if load is not None else (lambda words: gram_counts([f" {w.lower()} " for w in words]))
+
+        def of_batch(preds: list, refs: list) -> list[float]:
+            preds, refs = [p or [] for p in preds], [r or [] for r in refs]
+            words = sorted({w for text in (*preds, *refs) for w in text})
+            vectors = np.zeros((0, 0))
+            if words:
+                parts = [np.asarray(model(words[i : i + 1024]), dtype=np.float64) for i in range(0, len(words), 1024)]
+                vectors = np.concatenate(parts)
+                norms = np.linalg.norm(vectors, axis=1, keepdims=True)
+                vectors = vectors / np.where(norms > 0, norms, 1.0)
+            at = {w: i for i, w in enumerate(words)}
+            return [_greedy_f1(vectors[[at[w] for w in p]], vectors[[at[w] for w in r]]) if p and r else 0.0 for p, r in zip(preds, refs)]
+
+        return of_batch
 
-def with_token_vectors(df: DataFrame, encoder: Callable[[Column], Column] | None = None) -> DataFrame:
-    """Rows (pair_id, prediction, reference) with the token vectors of both texts."""
-    p = token_vectors(df, "prediction", "prediction_vectors", encoder)
-    r = token_vectors(df, "reference", "reference_vectors", encoder)
-    return df.select("pair_id").join(p, "pair_id", "left").join(r, "pair_id", "left")
+    words = df.select("pair_id", tokens("prediction").alias("p"), tokens("reference").alias("r"))
+    return _pair_scores(words, "p", "r", score)
 
 
 def evaluate_translations(
@@ -175,6 +201,7 @@ def evaluate_translations(
     n: int = V.EVALUATION_ROWS,
     translator: Callable[[DataFrame], DataFrame] | None = None,
     encoder: Callable[[Column], Column] | None = None,
+    token_model: Callable[[], Callable[[list[str]], np.ndarray]] | None = None,
     **how,
 ) -> DataFrame:
     """One report row for a language over the first n rows of (input_text, target_text, target_lang, row_ord)."""
@@ -196,7 +223,7 @@ def evaluate_translations(
     parts = [
         exact_match(pairs),
         corpus_bleu(pairs).select("bleu"),
-        greedy_token_f1(with_token_vectors(pairs, encoder)),
+        text_token_f1(pairs, token_model).agg(F.avg("f1").alias("token_f1")),
         failed,
     ]
     # Each part is one row with its own columns; together they are one row.

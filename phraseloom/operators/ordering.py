@@ -59,20 +59,28 @@ def dense_position(df: DataFrame, chunk: list[str], order: list[str], name: str
     )
 
 
-def id_buckets(df: DataFrame, id_col: str, buckets: int = 1024, name: str = "_bucket") -> DataFrame:
+SAMPLE_PER_BUCKET = 200
+
+
+def id_buckets(df: DataFrame, id_col: str, total: int, buckets: int = 1024, name: str = "_bucket") -> DataFrame:
     """Cut a numeric id into buckets of about equal row count that keep the id order.
 
-    The bounds are approximate quantiles: at most `buckets` numbers reach the driver. Any bounds give
-    right positions; good ones give even tasks.
+    The bounds are quantiles of a small sample of the ids. Any bounds give right positions; these give
+    even tasks. At most `buckets` numbers reach the driver.
     """
     probs = [i / buckets for i in range(1, buckets)]
-    bounds = df.approxQuantile(id_col, probs, 0.1 / buckets) or [0.0]
+    fraction = min(1.0, SAMPLE_PER_BUCKET * buckets / max(1, total))
+    some_ids = df.select(id_col).sample(fraction, seed=1) if fraction < 1 else df
+    bounds = some_ids.approxQuantile(id_col, probs, 0.1 / buckets) or [0.0]
     splits = [float("-inf"), *sorted(set(bounds)), float("inf")]
     as_double = df.withColumn("_id_double", F.col(id_col).cast("double"))
     cutter = Bucketizer(splits=splits, inputCol="_id_double", outputCol=name, handleInvalid="error")
     return cutter.transform(as_double).withColumn(name, F.col(name).cast("int")).drop("_id_double")
 
 
-def position_by_id(df: DataFrame, id_col: str, name: str = "position", buckets: int = 1024) -> DataFrame:
+def position_by_id(
+    df: DataFrame, id_col: str, name: str = "position", total: int | None = None, buckets: int = 1024
+) -> DataFrame:
     """0-based position of each row in the order of a unique numeric id."""
-    return dense_position(id_buckets(df, id_col, buckets), ["_bucket"], [id_col], name).drop("_bucket")
+    total = df.count() if total is None else total
+    return dense_position(id_buckets(df, id_col, total, buckets), ["_bucket"], [id_col], name).drop("_bucket")

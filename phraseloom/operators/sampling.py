@@ -31,7 +31,8 @@ def systematic_sample(df: DataFrame, n: int, id_col: str) -> DataFrame:
     Only the id is ranked and shuffled. The at most n chosen ids then pick the rows from the input.
     """
     ids = df.select(id_col)
-    chosen = _every_nth(position_by_id(ids, id_col), n, ids.count()).select(id_col)
+    total = ids.count()
+    chosen = _every_nth(position_by_id(ids, id_col, total=total), n, total).select(id_col)
     if n <= BROADCAST_KEYS:
         chosen = F.broadcast(chosen)
     return df.join(chosen, id_col, "left_semi")

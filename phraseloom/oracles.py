@@ -231,6 +231,29 @@ def _vectors(source: str, ident: str) -> str:
         WHERE c2 IS NOT NULL GROUP BY ALL)"""
 
 
+def _stream() -> str:
+    return f"""WITH {PAIRS}, n AS (
+      SELECT {_strip('source_idiom')} AS source_idiom, {_strip('target_idiom')} AS target_idiom, target_lang, conv_id, turn
+      FROM pairs), d AS (
+      SELECT source_idiom, target_idiom, target_lang, min(conv_id * 1000 + turn) AS row_id FROM n
+      WHERE source_idiom <> '' AND target_idiom <> '' GROUP BY ALL),
+      t AS (SELECT row_id, source_idiom AS text FROM d),
+      asked AS (SELECT item_id, text, CASE item_id % 4 WHEN 0 THEN 'hi' WHEN 1 THEN 'te' ELSE 'ml' END AS want FROM benchmark),
+      odd AS (SELECT * FROM asked WHERE length(text) % 2 = 1 AND {_strip('text')} <> ''),
+      iv AS ({_vectors('t', 'row_id')}), qv AS ({_vectors('odd', 'item_id')}),
+      s AS (SELECT item_id, row_id, round(sum(CAST(iv.x AS FLOAT)::DOUBLE * CAST(qv.x AS FLOAT)::DOUBLE), 10) AS s
+            FROM qv JOIN iv USING (pos) GROUP BY item_id, row_id),
+      r AS (SELECT item_id, target_idiom, row_number() OVER (PARTITION BY item_id ORDER BY s DESC, row_id) AS rank
+            FROM s JOIN d USING (row_id) JOIN odd USING (item_id) WHERE d.target_lang = odd.want),
+      h AS (SELECT item_id, {_text(V.CONTEXT_PREFIX)} || string_agg('''' || target_idiom || '''', ', ' ORDER BY rank) AS context,
+                   max(CASE WHEN rank = 1 THEN target_idiom END) AS top FROM r WHERE rank <= 5 GROUP BY item_id)
+      SELECT CAST(a.item_id AS VARCHAR) AS request_id,
+        CASE WHEN a.text = '' THEN NULL WHEN odd.item_id IS NULL THEN {_text(V.RESPONSE_LITERAL_CONTEXT)} ELSE coalesce(h.context, '') END AS retrieved_context,
+        CASE WHEN a.text = '' THEN NULL WHEN odd.item_id IS NULL THEN {_text(V.RESPONSE_LITERAL_TRANSLATION)} ELSE coalesce(h.top, a.text) END AS generated_translation,
+        CASE WHEN a.text = '' THEN {_text(V.RESPONSE_NO_TEXT)} END AS error
+      FROM asked a LEFT JOIN odd USING (item_id) LEFT JOIN h USING (item_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
     name = _NAME
     by_split = _split("cleaned", "text", "label")
@@ -333,6 +356,11 @@ def oracle_sql() -> dict[str, str]:
             SELECT query_id, rank, row_id, target_lang, score FROM hits""",
         "retrieve_topk_cells": f"""WITH {IDX}, {_hits(_VEC_QUERIES, "idx", 5, "true")}
             SELECT query_id, rank, row_id, target_lang, score FROM hits""",
+        "meaning_pairs": f"""WITH {DICTIONARY} SELECT {_strip('meaning')} AS source_idiom, 'en' AS source_lang,
+            {_strip('native')} AS target_idiom, CASE p_partkey % 3 WHEN 0 THEN 'hi' ELSE 'te' END AS target_lang,
+            CASE p_partkey % 3 WHEN 0 THEN 'Raw-hindi.json' ELSE 'Raw-telugu.json' END AS source
+            FROM dictionary WHERE p_partkey % 3 < 2""",
+        "translate_stream": _stream(),
         "encode_text": f"""SELECT doc_id, pos, round(CAST(CAST(x AS FLOAT) AS DOUBLE), 4) AS x
             FROM ({_vectors('documents', 'doc_id')})""",
         "retrieve_text": f"""WITH {PAIRS}, n AS (

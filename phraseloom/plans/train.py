@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from phraseloom.operators.detector import fit_detector, load_model, predict, save_model
-from phraseloom.operators.metrics import classification_report, confusion_matrix, macro_metrics
-from phraseloom.sinks.tables import write_report, write_table
+from phraseloom.operators.metrics import macro_metrics
+from phraseloom.sinks.tables import write_detection_report, write_table
 from phraseloom.sources.tables import read_split, read_table
 
 
@@ -20,8 +20,7 @@ def evaluate_detector(spark: SparkSession, splits_path: str, model_path: str, ou
     )
     write_table(scored, f"{out}/predictions")
     scored = read_table(spark, f"{out}/predictions")
-    write_report(classification_report(scored), f"{out}/class_report")
-    write_report(confusion_matrix(scored), f"{out}/confusion")
+    write_detection_report(scored, out)
     return macro_metrics(scored)
 
 

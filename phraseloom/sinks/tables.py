@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from phraseloom.operators.filters import labelled_only, with_target
+from phraseloom.operators.metrics import classification_report, confusion_matrix
 from phraseloom.schemas import UNIFIED
 
 
@@ -64,5 +65,15 @@ def write_report(df: DataFrame, path: str, fmt: str = "json") -> None:
     df.coalesce(1).write.mode("overwrite").format(fmt).options(**({"header": True} if fmt == "csv" else {})).save(path)
 
 
+def write_detection_report(scored: DataFrame, path: str) -> None:
+    """Class report and confusion matrix of rows (actual, predicted)."""
+    write_report(classification_report(scored), f"{path}/class_report")
+    write_report(confusion_matrix(scored), f"{path}/confusion")
+
+
+def write_translation_report(report: DataFrame, path: str) -> None:
+    write_report(report, path)
+
+
 def write_index_manifest(index: DataFrame, path: str, model_name: str) -> None:
     write_report(index_manifest(index, model_name), path)

@@ -221,8 +221,11 @@ def read_idiom_json(spark: SparkSession, path: str, lang: str) -> DataFrame:
 
 
 def read_meaning_json_pairs(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """English meaning -> native idiom from dictionary files; the file name gives the language."""
-    records = drop_corrupt(read_json_lists(spark, paths, S.IDIOM_DICTIONARY))
+    return meaning_pairs(drop_corrupt(read_json_lists(spark, paths, S.IDIOM_DICTIONARY)))
+
+
+def meaning_pairs(records: DataFrame) -> DataFrame:
+    """English meaning -> native idiom from dictionary items; the file name gives the language."""
     name = F.regexp_extract(F.col("row_ord.file"), r"([^/]+)$", 1)
     table = F.create_map(*[F.lit(x) for kv in V.DICTIONARY_LANGUAGES.items() for x in kv])
     present = records.filter(~is_blank("figurative_meaning") & ~is_blank("idiom"))

@@ -296,9 +296,25 @@ def test_greedy_f1(spark):
 
 
 def test_token_vectors_of_equal_texts(spark):
-    df = evaluate.with_token_vectors(pairs(spark, [("one two", "one two"), ("", "x")]))
-    got = {r["pair_id"]: r["f1"] for r in evaluate.pair_token_f1(df).collect()}
-    assert got[0] == pytest.approx(1, abs=1e-6) and got[1] == 0.0
+    rows = [("one two", "two one"), ("", "x"), (None, "x"), ("a b", "a c")]
+    got = {r["pair_id"]: r["f1"] for r in evaluate.text_token_f1(pairs(spark, rows)).collect()}
+    assert got[0] == pytest.approx(1) and got[1] == got[2] == 0.0 and 0 < got[3] < 1
+
+
+def test_token_model(spark):
+    def load():
+        return lambda words: np.array([[1.0, 0.0] if w < "m" else [0.0, 2.0] for w in words])
+
+    got = [r["f1"] for r in evaluate.text_token_f1(pairs(spark, [("a z", "b"), ("a", "z")]), load).orderBy("pair_id").collect()]
+    assert got == [pytest.approx(2 * 0.5 * 1 / 1.5), 0.0]
+
+
+def test_f1_in_small_steps(monkeypatch):
+    rng = np.random.default_rng(1)
+    p, r = rng.normal(size=(17, 5)), rng.normal(size=(9, 5))
+    whole = evaluate._greedy_f1(p, r)
+    monkeypatch.setattr(evaluate, "SIMS_AT_ONCE", 20)
+    assert evaluate._greedy_f1(p, r) == pytest.approx(whole)
 
 
 def test_evaluation_report(spark, index, tmp_path):

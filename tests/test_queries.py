@@ -53,6 +53,27 @@ def test_train_predict(spark):
     assert rows and all(0.5 <= r["confidence"] <= 1 and r["predicted"] in (0, 1) for r in rows)
 
 
+def test_translation_report(spark):
+    row = entry.queries()["translation_report"](spark, SF).first()
+    assert row["language"] == "telugu" and row["pairs"] > 0 and 0 <= row["bleu"] <= 100 and 0 < row["token_f1"] <= 1
+
+
+def test_text_token_f1_by_brute_force(spark):
+    import numpy as np
+    from phraseloom import catalog
+    from phraseloom.operators.encode import gram_counts
+
+    def unit(text):
+        m = gram_counts([f" {w.lower()} " for w in text.split()])
+        return m / np.linalg.norm(m, axis=1, keepdims=True)
+
+    texts = {r["conv_id"] * 1000 + r["turn"]: r for r in catalog.pairs(spark, SF).collect()}
+    for r in entry.queries()["text_token_f1"](spark, SF).collect():
+        sims = unit(texts[r["pair_id"]]["target_idiom"]) @ unit(texts[r["pair_id"]]["source_idiom"]).T
+        p, q = sims.max(axis=1).mean(), sims.max(axis=0).mean()
+        assert r["f1"] == pytest.approx(2 * p * q / (p + q), abs=1e-4)
+
+
 def test_translate_text(spark):
     df = entry.queries()["translate_text"](spark, SF)
     rows = df.collect()
