@@ -235,8 +235,8 @@ def q_cross_lingual_subset(spark, sf):
 
 
 def q_min_tokens(spark, sf):
-    rows = filters.nonempty_text(filters.clean_column(lab(spark, sf)))
-    return filters.min_tokens(rows).select("doc_id", "text", "label")
+    rows = filters.min_tokens(filters.nonempty_text(lab(spark, sf)))
+    return filters.clean_column(rows).select("doc_id", "text", "label")
 
 
 def q_dedup_clean(spark, sf):
@@ -330,7 +330,7 @@ def q_systematic_sample(spark, sf):
 
 
 def q_stratified_split(spark, sf):
-    return splitting.stratified_split(cleaned(spark, sf)).select("text", "label", "split")
+    return splitting.stratified_split(stored(cleaned(spark, sf))).select("text", "label", "split")
 
 
 def q_random_split(spark, sf):
@@ -338,7 +338,7 @@ def q_random_split(spark, sf):
 
 
 def q_split_stats(spark, sf):
-    return profile.split_stats(splitting.stratified_split(cleaned(spark, sf)))
+    return profile.split_stats(splitting.stratified_split(stored(cleaned(spark, sf))))
 
 
 def q_leakage(spark, sf):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from phraseloom.schemas import ROW_ORD
 
@@ -27,21 +27,18 @@ def concat_sources(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), ranked)
 
 
-def keep_first(df: DataFrame, key: list[str], order: list[Column | str]) -> DataFrame:
-    """The first row of each key in the given order, all columns kept.
+def keep_first(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
+    """The first row of each key by the order columns, all columns kept.
 
     min() over (order, other columns) is an aggregate with a map-side step: a key that holds a third
     of all rows shrinks to one row per task before the shuffle. The other columns follow the order, so
     that rows equal in the order still give one answer.
     """
-    others = [c for c in df.columns if c not in key]
-    ranking = [(F.col(o) if isinstance(o, str) else o).alias(f"_o{i}") for i, o in enumerate(order)]
-    first = F.min(F.struct(*ranking, F.struct(*others).alias("_row"))).alias("_first")
-    return (
-        df.groupBy(*key)
-        .agg(first)
-        .select(*[F.col(f"_first._row.{c}").alias(c) if c in others else F.col(c) for c in df.columns])
-    )
+    ranked = [*order, *[c for c in df.columns if c not in key and c not in order]]
+    if not ranked:
+        return df.distinct()
+    first = df.groupBy(*key).agg(F.min(F.struct(*ranked)).alias("_first"))
+    return first.select(*[c if c in key else F.col(f"_first.{c}").alias(c) for c in df.columns])
 
 
 def dedup_unified(df: DataFrame) -> DataFrame:

@@ -47,11 +47,12 @@ def fit_detector(
     Returns the model and (strength, macro F1) of each try. Classes are weighted by their share, and
     every try reads the same stored feature table. Only scalars reach the driver.
     """
-    labels = {r["label"]: r["n"] for r in train.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if set(labels) != {0, 1}:
-        raise ValueError(f"training needs the labels 0 and 1, found {sorted(map(str, labels))}")
-    total = sum(labels.values())
-    weight = F.when(F.col("label") == 0, total / (2.0 * labels[0])).otherwise(total / (2.0 * labels[1]))
+    literal, idiomatic, total = train.agg(
+        F.count_if(F.col("label") == 0), F.count_if(F.col("label") == 1), F.count(F.lit(1))
+    ).first()
+    if not literal or not idiomatic or literal + idiomatic != total:
+        raise ValueError(f"training needs the labels 0 and 1 only: {literal} and {idiomatic} of {total} rows")
+    weight = F.when(F.col("label") == 0, total / (2.0 * literal)).otherwise(total / (2.0 * idiomatic))
 
     prepare = Pipeline(stages=feature_stages(features=features)).fit(_with_text(train, "text"))
     keep = ["label", "features"]

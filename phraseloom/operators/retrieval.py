@@ -31,6 +31,7 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 FEW_QUERIES = 10_000
 PIVOTS = 64
 MAX_LANGUAGES = 64
+ANGLE_STEPS = 1000  # per radian
 BLOCK_ROWS = 50_000
 SCORES_AT_ONCE = 4_000_000
 _RANK_DIGITS = 10
@@ -222,26 +223,28 @@ def _with_cells(queries: DataFrame, index: DataFrame, k: int, block_rows: int, p
     cell_lang = F.col("lang") if by_lang else F.lit(_ANY)
     rows = _cells(index, pivot_vectors).withColumn("cell_lang", cell_lang)
 
-    # At most PIVOTS x MAX_LANGUAGES rows: size, farthest row, and the angle within which k rows lie.
-    nearest = Window.partitionBy("cell_lang", "pivot").orderBy("angle", "row_id")
-    kth = (
-        rows.select("cell_lang", "pivot", "angle", "row_id")
-        .withColumn("_rn", F.row_number().over(nearest))
-        .filter(F.col("_rn") <= k)
-        .groupBy("cell_lang", "pivot")
-        .agg(F.max("angle").alias("k_angle"))
-    )
+    # Per cell: size, farthest row, and an angle within which k rows lie. The angles are counted in
+    # small steps and rounded up, so one aggregate with a map-side step gives safe bounds, and at most
+    # PIVOTS x MAX_LANGUAGES rows reach the driver. The extra step covers the error of arccos near 0,
+    # up to half a step for the pivot and half a step for the query.
+    step = (F.ceil(F.col("angle") * ANGLE_STEPS) + 1).alias("step")
+    steps = rows.groupBy("cell_lang", "pivot", step).agg(F.count(F.lit(1)).alias("n"))
+    outward = Window.partitionBy("cell_lang", "pivot").orderBy("step")
     cells = (
-        rows.groupBy("cell_lang", "pivot")
-        .agg(F.count(F.lit(1)).alias("n"), F.max("angle").alias("far"))
-        .join(kth, ["cell_lang", "pivot"])
+        steps.withColumn("within", F.sum("n").over(outward))
+        .groupBy("cell_lang", "pivot")
+        .agg(
+            F.sum("n").alias("n"),
+            (F.max("step") / ANGLE_STEPS).alias("far"),
+            (F.min(F.when(F.col("within") >= k, F.col("step"))) / ANGLE_STEPS).alias("k_angle"),
+        )
         .orderBy("cell_lang", "pivot")
         .collect()
     )
     cell_langs = np.array([c["cell_lang"] for c in cells], dtype=object)
     cell_pivot = np.array([c["pivot"] for c in cells])
     cell_far = np.array([c["far"] for c in cells])
-    cell_k = np.array([c["k_angle"] if c["n"] >= k else math.inf for c in cells])
+    cell_k = np.array([math.inf if c["k_angle"] is None else c["k_angle"] for c in cells])
     cell_blocks = np.array([-(-c["n"] // block_rows) for c in cells])
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,7 +259,7 @@ def _with_cells(queries: DataFrame, index: DataFrame, k: int, block_rows: int, p
                 allowed = np.ones(angles.shape, dtype=bool)
                 floor = np.where(langs == _ANY, np.cos(np.minimum(np.pi, angles + cell_k)).max(axis=1), -1.0)
             best_possible = np.cos(np.maximum(0.0, angles - cell_far))
-            # The margin covers rounding in the angles and vectors that are unit length only to float32.
+            # The margin covers vectors that are unit length only to float32.
             visits = allowed & (best_possible >= floor[:, None] - 1e-4)
             at, cell = np.nonzero(visits)
             ends = np.concatenate([[0], np.cumsum(visits.sum(axis=1))]).astype(np.int32)
@@ -317,8 +320,9 @@ def cosine_top_k(
 ) -> DataFrame:
     """(query_id, rank, row_id, raw_score) of the k nearest rows of each query.
 
-    `queries` has a unique query_id of any type and embedding, and want_lang if each query asks for its own target
-    language (null: any). `form` forces one of "small_index", "few_queries", "cells".
+    `queries` has a unique query_id of any type and embedding, and want_lang if each query asks for its
+    own target language (null: any). All vectors have unit length; a null vector has no hits. `form`
+    forces one of "small_index", "few_queries", "cells".
     """
     if k < 1:
         raise ValueError("k must be at least 1")

@@ -9,7 +9,7 @@ from phraseloom.functions.text import as_column, cut, normalize_text
 from phraseloom.operators.ordering import dense_position, position_by_id
 
 # A list of sampled keys below this length is small enough to send to every executor.
-BROADCAST_KEYS = 1_000_000
+BROADCAST_KEYS = 100_000
 
 
 def seeded_hash(seed: int, c: Column | str) -> Column:

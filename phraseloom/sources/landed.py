@@ -264,5 +264,5 @@ def read_or_fallback(
 
 
 def synthetic_order(id_col: Column, sub: Column | None = None) -> Column:
-    """row_ord for a table with a numeric id: 100,000 ids form one chunk."""
-    return order_struct(block=F.floor(id_col / 100_000), row=id_col, sub=sub)
+    """row_ord for a table with a numeric id: 2^17 ids form one chunk."""
+    return order_struct(block=F.shiftright(id_col.cast("bigint"), 17), row=id_col, sub=sub)

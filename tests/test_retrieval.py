@@ -184,3 +184,17 @@ def test_a_model_meets_each_row_once(spark, data):
     two = index_frame(spark, vectors[:, :2], langs)
     rows = retrieval.attach_hits(encoded, two, 2).filter(F.size("hits") > 0).collect()
     assert len(rows) == 7 and calls.value == 7
+
+
+def test_cells_with_vectors_that_nearly_coincide(spark):
+    """Angles so small that arccos is inexact must not cost a hit."""
+    rng = np.random.default_rng(11)
+    base = unit(rng.normal(size=(6, 12)))
+    vectors = unit(np.vstack([base[i % 6] + 1e-4 * rng.normal(size=12) for i in range(300)]))
+    queries = unit(np.vstack([base[i % 6] + 1e-4 * rng.normal(size=12) for i in range(30)]))
+    q = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(queries)], "query_id bigint, embedding array<float>")
+    index = index_frame(spark, vectors, ["hi"] * 300)
+    got = {}
+    for r in retrieval.cosine_top_k(q, index, 5, form="cells", pivots=30).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(r["row_id"])
+    assert got == brute(queries, [None] * 30, vectors, ["hi"] * 300, 5)
