@@ -29,11 +29,14 @@ from phraseloom.storage import stored
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Every index task emits k rows per query, so this form is for a moderate number of queries.
 FEW_QUERIES = 10_000
-PIVOTS = 64
+# One pivot per block of index rows, up to this many.
+MAX_PIVOTS = 1024
 MAX_LANGUAGES = 64
 ANGLE_STEPS = 1000  # per radian
 BLOCK_ROWS = 50_000
 SCORES_AT_ONCE = 4_000_000
+GROUP_COLUMNS = 64
+PAIRS_AT_ONCE = 50_000
 _RANK_DIGITS = 10
 _ANY = ""
 
@@ -79,22 +82,64 @@ class _Side:
     def by_id(self) -> "_Side":
         return self.take(np.argsort(self.ids, kind="stable"))
 
+    def useful(self, k: int) -> "_Side":
+        """In id order, without rows that cannot be a hit."""
+        rows = self.by_id()
+        return rows.take(_first_copies(rows.vectors, rows.langs, k))
 
-def _best_columns(scores: np.ndarray, k: int) -> np.ndarray:
-    """Column numbers of the k best per row, in column order; equal scores prefer the lower column."""
+
+def _first_copies(vectors: np.ndarray, langs: np.ndarray, k: int) -> np.ndarray:
+    """Mask of the first k rows of every (vector, language).
+
+    Equal vectors tie for every query and ties go to the lower id, so with rows in id order the other
+    copies are never hits. This is what keeps a vector with a third of all rows cheap.
+    """
+    keep = np.ones(len(vectors), dtype=bool)
+    if len(vectors) <= k:
+        return keep
+    words = np.ascontiguousarray(vectors, dtype=np.float32).view(np.uint32).astype(np.uint64)
+    mix = np.random.default_rng(0).integers(1, 2**63, size=words.shape[1], dtype=np.uint64) | np.uint64(1)
+    # A hash finds the few vectors that may repeat; only these are compared as a whole.
+    _, group, size = np.unique(words @ mix, return_inverse=True, return_counts=True)
+    often = np.flatnonzero(size[group] > k)
+    seen: dict[tuple, int] = {}
+    for i in often:
+        copy = (vectors[i].tobytes(), langs[i])
+        seen[copy] = seen.get(copy, 0) + 1
+        keep[i] = seen[copy] <= k
+    return keep
+
+
+def _candidates(queries: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(query, row) numbers that include the k best rows of every query, and few others.
+
+    Scores are float32 here. The k-th largest of the maxima of column groups is a lower bound for the
+    k-th best score, found without sorting; the slack covers the float32 error of a dot product.
+    """
+    scores = queries @ rows.T
     n = scores.shape[1]
-    if n == k:
-        return np.broadcast_to(np.arange(n), scores.shape)
-    kth = np.partition(scores, n - k, axis=1)[:, n - k, None]
-    above = scores > kth
-    level = scores == kth
-    room = k - above.sum(axis=1, keepdims=True)
-    chosen = above | (level & (np.cumsum(level, axis=1) <= room))
-    return np.nonzero(chosen)[1].reshape(-1, k)
+    groups = n // GROUP_COLUMNS
+    heads = scores
+    if groups >= k:
+        heads = scores[:, : groups * GROUP_COLUMNS].reshape(len(scores), groups, GROUP_COLUMNS).max(axis=2)
+    at_least = np.partition(heads, heads.shape[1] - k, axis=1)[:, heads.shape[1] - k, None]
+    scale = np.linalg.norm(queries, axis=1).max() * np.linalg.norm(rows, axis=1).max()
+    slack = 4 * queries.shape[1] * np.finfo(np.float32).eps * scale + 10.0**-_RANK_DIGITS
+    return np.nonzero(scores >= at_least - np.float32(slack))
+
+
+def _exact_scores(queries: np.ndarray, at: np.ndarray, rows: np.ndarray, col: np.ndarray) -> np.ndarray:
+    """Dot products of the given pairs in float64, in pieces, since copies can make many candidates."""
+    out = np.empty(len(at))
+    for i in range(0, len(at), PAIRS_AT_ONCE):
+        s = slice(i, i + PAIRS_AT_ONCE)
+        left, right = queries[at[s]].astype(np.float64), rows[col[s]].astype(np.float64)
+        out[s] = np.einsum("ij,ij->i", left, right)
+    return np.round(out, _RANK_DIGITS)
 
 
 def _best(queries: _Side, rows: _Side, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Scores and ids of the k best rows per query, padded with -inf; `rows` is sorted by id."""
+    """Scores and ids of the k best rows per query in rank order, padded with -inf; `rows` is sorted by id."""
     scores = np.full((len(queries.ids), k), -np.inf)
     ids = np.full((len(queries.ids), k), np.iinfo(np.int64).max)
     for lang in np.unique(queries.langs):
@@ -103,14 +148,17 @@ def _best(queries: _Side, rows: _Side, k: int) -> tuple[np.ndarray, np.ndarray]:
         if len(r.ids) == 0:
             continue
         m = min(k, len(r.ids))
-        right = r.vectors.astype(np.float64).T
         step = max(1, SCORES_AT_ONCE // len(r.ids))
         for i in range(0, len(mine), step):
             part = mine[i : i + step]
-            block = np.round(queries.vectors[part].astype(np.float64) @ right, _RANK_DIGITS)
-            col = _best_columns(block, m)
-            scores[part, :m] = np.take_along_axis(block, col, 1)
-            ids[part, :m] = r.ids[col]
+            at, col = _candidates(queries.vectors[part], r.vectors, m)
+            exact = _exact_scores(queries.vectors, part[at], r.vectors, col)
+            order = np.lexsort((col, -exact, at))
+            at, col, exact = at[order], col[order], exact[order]
+            rank = np.arange(len(at)) - np.searchsorted(at, at)
+            keep = rank < m
+            scores[part[at[keep]], rank[keep]] = exact[keep]
+            ids[part[at[keep]], rank[keep]] = r.ids[col[keep]]
     return scores, ids
 
 
@@ -122,7 +170,6 @@ def _ranked(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np
 
 def _emit(queries: _Side, scores: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
     """Long form; `rank` is the rank among the rows this task has seen."""
-    scores, ids = _ranked(scores, ids, scores.shape[1])
     at, col = np.nonzero(scores > -np.inf)
     return pa.RecordBatch.from_arrays(
         [
@@ -167,7 +214,7 @@ def _fits(df: DataFrame, max_bytes: int, max_rows: int | None = None) -> bool:
 
 
 def _with_small_index(queries: DataFrame, index: DataFrame, k: int) -> DataFrame:
-    small = queries.sparkSession.sparkContext.broadcast(_Side.of(index.toArrow(), "row_id").by_id().parts())
+    small = queries.sparkSession.sparkContext.broadcast(_Side.of(index.toArrow(), "row_id").useful(k).parts())
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = _Side(*small.value)
@@ -184,7 +231,7 @@ def _with_few_queries(queries: DataFrame, index: DataFrame, k: int) -> DataFrame
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked, best = _Side(*few.value), None
         for batch in batches:
-            here = _best(asked, _Side.of(batch, "row_id").by_id(), k)
+            here = _best(asked, _Side.of(batch, "row_id").useful(k), k)
             best = here if best is None else _ranked(np.hstack([best[0], here[0]]), np.hstack([best[1], here[1]]), k)
         if best is not None:
             yield _emit(asked, *best)
@@ -192,11 +239,14 @@ def _with_few_queries(queries: DataFrame, index: DataFrame, k: int) -> DataFrame
     return index.mapInArrow(scan, _candidate_ddl(queries))
 
 
-def _cells(index: DataFrame, pivots: np.ndarray) -> DataFrame:
-    """The index with its nearest pivot and the angle to it."""
+def _cells(index: DataFrame, pivots: np.ndarray, k: int) -> DataFrame:
+    """The index with its nearest pivot and the angle to it; spare copies leave here, before any shuffle."""
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.sort_by("row_id")
+            spare = _first_copies(_matrix(batch.column("embedding")), _strings(batch.column("lang")), k)
+            batch = batch.filter(pa.array(spare))
             angles = _angles(_matrix(batch.column("embedding")), pivots)
             nearest = angles.argmin(axis=1)
             extra = [pa.array(nearest.astype(np.int32)), pa.array(angles[np.arange(len(nearest)), nearest])]
@@ -209,8 +259,10 @@ def _cells(index: DataFrame, pivots: np.ndarray) -> DataFrame:
     return index.mapInArrow(assign, ddl)
 
 
-def _with_cells(queries: DataFrame, index: DataFrame, k: int, block_rows: int, pivots: int) -> DataFrame:
+def _with_cells(queries: DataFrame, index: DataFrame, k: int, block_rows: int, pivots: int | None) -> DataFrame:
     spark = queries.sparkSession
+    if pivots is None:
+        pivots = min(MAX_PIVOTS, max(1, -(-index.count() // block_rows)))
     # Pivots are spread over the index by a hash of the id; any choice is correct.
     chosen = index.orderBy(F.md5(F.col("row_id").cast("string"))).limit(pivots).select("embedding").toArrow()
     if chosen.num_rows == 0:
@@ -221,11 +273,11 @@ def _with_cells(queries: DataFrame, index: DataFrame, k: int, block_rows: int, p
     # the block does the language test; the size bounds below then speak for no single language.
     by_lang = index.select("lang").distinct().limit(MAX_LANGUAGES + 1).count() <= MAX_LANGUAGES
     cell_lang = F.col("lang") if by_lang else F.lit(_ANY)
-    rows = _cells(index, pivot_vectors).withColumn("cell_lang", cell_lang)
+    rows = _cells(index, pivot_vectors, k).withColumn("cell_lang", cell_lang)
 
     # Per cell: size, farthest row, and an angle within which k rows lie. The angles are counted in
     # small steps and rounded up, so one aggregate with a map-side step gives safe bounds, and at most
-    # PIVOTS x MAX_LANGUAGES rows reach the driver. The extra step covers the error of arccos near 0,
+    # MAX_PIVOTS x MAX_LANGUAGES rows reach the driver. The extra step covers the error of arccos near 0,
     # up to half a step for the pivot and half a step for the query.
     step = (F.ceil(F.col("angle") * ANGLE_STEPS) + 1).alias("step")
     steps = rows.groupBy("cell_lang", "pivot", step).agg(F.count(F.lit(1)).alias("n"))
@@ -295,7 +347,7 @@ def _with_cells(queries: DataFrame, index: DataFrame, k: int, block_rows: int, p
 
     def block(left: pa.Table, right: pa.Table) -> pa.Table:
         queries_here = _Side.of(left, "query_id")
-        rows_here = _Side.of(right, "row_id").by_id()
+        rows_here = _Side.of(right, "row_id").useful(k)
         return pa.Table.from_batches([_emit(queries_here, *_best(queries_here, rows_here, k))])
 
     key = ["cell", "salt", "chunk"]
@@ -316,7 +368,7 @@ def cosine_top_k(
     form: str | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
     block_rows: int = BLOCK_ROWS,
-    pivots: int = PIVOTS,
+    pivots: int | None = None,
 ) -> DataFrame:
     """(query_id, rank, row_id, raw_score) of the k nearest rows of each query.
 
@@ -399,6 +451,7 @@ def _index_bytes_fit(index: DataFrame, max_bytes: int) -> bool:
 def _attach_in_one_pass(df: DataFrame, index: DataFrame, k: int) -> DataFrame:
     rows = index.filter(F.col("embedding").isNotNull()).withColumn("lang", F.coalesce("target_lang", F.lit(_ANY)))
     data = rows.select("row_id", "embedding", "lang", *_META).toArrow().sort_by("row_id")
+    data = data.filter(pa.array(_first_copies(_matrix(data.column("embedding")), _strings(data.column("lang")), k)))
     shared = df.sparkSession.sparkContext.broadcast(
         (_Side.of(data, "row_id").parts(), [data.column(c).combine_chunks() for c in _META])
     )
@@ -414,7 +467,7 @@ def _attach_in_one_pass(df: DataFrame, index: DataFrame, k: int) -> DataFrame:
             asked = np.flatnonzero(batch.column("embedding").is_valid().to_numpy(zero_copy_only=False))
             vectors = _matrix(batch.column("embedding").drop_null())
             langs = _strings(batch.column("want_lang"))[asked] if has_want else np.full(len(asked), _ANY, dtype=object)
-            scores, ids = _ranked(*_best(_Side(asked, vectors, langs, pa.int64()), rows, k), k)
+            scores, ids = _best(_Side(asked, vectors, langs, pa.int64()), rows, k)
             at, rank = np.nonzero(scores > -np.inf)
             place = pa.array(np.searchsorted(rows.ids, ids[at, rank]))
             per_row = np.zeros(n + 1, dtype=np.int32)

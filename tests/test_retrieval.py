@@ -198,3 +198,11 @@ def test_cells_with_vectors_that_nearly_coincide(spark):
     for r in retrieval.cosine_top_k(q, index, 5, form="cells", pivots=30).orderBy("query_id", "rank").collect():
         got.setdefault(r["query_id"], []).append(r["row_id"])
     assert got == brute(queries, [None] * 30, vectors, ["hi"] * 300, 5)
+
+
+def test_spare_copies():
+    v = np.array([[1, 0], [0, 1], [1, 0], [1, 0], [0, 1], [1, 0]], dtype=np.float32)
+    langs = np.array(["a", "a", "a", "b", "a", "a"], dtype=object)
+    assert retrieval._first_copies(v, langs, 2).tolist() == [True, True, True, True, True, False]
+    assert retrieval._first_copies(v, langs, 1).tolist() == [True, True, False, True, False, False]
+    assert retrieval._first_copies(v[:0], langs[:0], 1).tolist() == []
