@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from phraseloom.llm import exact_dedup, token_files
+from phraseloom.llm import exact_dedup, license_scan, quality, token_files, toxicity
 from phraseloom.llm.scratch import shared_folder
 
 
@@ -27,6 +27,18 @@ def op1_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return token_files.with_crc32(token_files.read_token_files(spark, path))
 
 
+def op3_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.quality_table(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+def op8_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.toxicity_table(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+def op9_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return license_scan.license_scan(table(spark, sf, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     index = exact_dedup.DigestIndex(spark, f"digests_{uuid.uuid4().hex}")
     return exact_dedup.exact_dedup(table(spark, sf, "documents"), index)

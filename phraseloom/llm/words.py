@@ -94,12 +94,17 @@ class Words:
     @property
     def hash(self) -> np.ndarray:
         if self._hash is None:
-            up, down = powers(BYTE_BASE, len(self.data) + 1)
-            sums = np.zeros(len(self.data) + 1, np.uint64)
-            np.cumsum(byte_values()[self.data] * up[:-1], out=sums[1:])
-            self._hash = mix((sums[self.end] - sums[self.start]) * down[self.start])
+            self._hash = mix(self.bytes_between(self.start, self.end))
         return self._hash
 
+    def bytes_between(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Unmixed hashes of the byte sequences [a, b)."""
+        if not hasattr(self, "_byte_sums"):
+            up, self._byte_down = powers(BYTE_BASE, len(self.data) + 1)
+            self._byte_sums = np.zeros(len(self.data) + 1, np.uint64)
+            np.cumsum(byte_values()[self.data] * up[:-1], out=self._byte_sums[1:])
+        return (self._byte_sums[b] - self._byte_sums[a]) * self._byte_down[a]
+
     def rolling(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of k consecutive words by first word, and which of them lie within one text."""
         n = len(self) - k + 1
