@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from phraseloom.llm import exact_dedup, license_scan, quality, token_files, toxicity
+from phraseloom.llm import exact_dedup, license_scan, quality, substring_dedup, token_files, toxicity
 from phraseloom.llm.scratch import shared_folder
 
 
@@ -39,6 +39,10 @@ def op9_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return license_scan.license_scan(table(spark, sf, "documents"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return substring_dedup.substring_dedup(table(spark, sf, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     index = exact_dedup.DigestIndex(spark, f"digests_{uuid.uuid4().hex}")
     return exact_dedup.exact_dedup(table(spark, sf, "documents"), index)
