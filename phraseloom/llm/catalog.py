@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from phraseloom.llm import exact_dedup, license_scan, quality, substring_dedup, token_files, toxicity
+from phraseloom.llm import exact_dedup, jaccard_join, license_scan, quality, substring_dedup, token_files, toxicity
 from phraseloom.llm.scratch import shared_folder
 
 
@@ -31,6 +31,10 @@ def op3_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_table(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.toxicity_table(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
