@@ -5,9 +5,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from phraseloom.llm import exact_dedup, jaccard_join, license_scan, quality, substring_dedup, token_files, toxicity
+from phraseloom.llm import exact_dedup, jaccard_join, kd_search, license_scan, quality, substring_dedup, token_files, toxicity
 from phraseloom.llm.scratch import shared_folder
 
 
@@ -52,6 +52,10 @@ def op5_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf, "documents"), index)
 
 
+def op10_kd_search(spark: SparkSession, sf: str) -> DataFrame:
+    return kd_search.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
