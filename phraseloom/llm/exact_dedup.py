@@ -43,7 +43,9 @@ class DigestIndex:
 
     def add(self, digests: DataFrame) -> None:
         """Append the digests of (digest, doc_id) rows that are new. Repeating an interrupted call is safe."""
-        first = digests.groupBy("digest").agg(F.min("doc_id").alias("keep_id"))
+        # Written before the join: the optimiser would move the anti-join below the aggregate, onto all copies.
+        scratch = Scratch(self.spark, "digests")
+        first = scratch.write(digests.groupBy("digest").agg(F.min("doc_id").alias("keep_id")), "first")
         new = first.join(self.read().hint("merge"), "digest", "left_anti")
         (
             new.select("digest", "keep_id")
@@ -55,6 +57,7 @@ class DigestIndex:
             .option("path", self.path)
             .saveAsTable(self.name)
         )
+        scratch.drop("first")
 
 
 def exact_dedup(docs: DataFrame, index: DigestIndex) -> DataFrame:
