@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from phraseloom.llm import exact_dedup, jaccard_join, kd_search, license_scan, quality, substring_dedup, token_files, toxicity
+from phraseloom.llm import exact_dedup, jaccard_join, kd_search, license_scan, mixing, piece_fst, quality, substring_dedup, token_files, toxicity
 from phraseloom.llm.scratch import shared_folder
 
 
@@ -27,10 +27,18 @@ def op1_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return token_files.with_crc32(token_files.read_token_files(spark, path))
 
 
+def op2_piece_fst(spark: SparkSession, sf: str) -> DataFrame:
+    return piece_fst.encode_pieces(table(spark, sf, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op3_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_table(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op6_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mix(table(spark, sf, "documents"))
+
+
 def op7_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf, "documents"))
 
