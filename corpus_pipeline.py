@@ -1,26 +1,59 @@
-"""A corpus pipeline of the llm operators: every stage works on all that its predecessor kept."""
+"""A corpus pipeline of the llm operators: every stage works on all that its predecessor kept.
+
+Rows without a doc_id leave at the second stage, as no later stage could name them.
+"""
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from phraseloom.llm import exact_dedup
+from phraseloom.llm import catalog, exact_dedup, jaccard_join, mixing, piece_fst, quality
 from phraseloom.llm.scratch import Scratch
 
+MODEL = "piece_bpe_32k.model"
+
+
+def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier, fitted on the labelled ones, accepts."""
+    labels = catalog.table(spark, sf_dir, "labels")
+    return quality.keep_good(docs, quality.fit_quality(docs, labels, F.lit(True)))
 
-def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the document with the smallest id stays."""
+
+def first_of_equal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts, the document with the smallest id."""
     index = exact_dedup.DigestIndex(spark, f"digests_{uuid.uuid4().hex}")
     kept = exact_dedup.exact_dedup(docs, index).filter("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi")
+    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+
+
+def first_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by their shingles, the one with the smallest id."""
+    kept = jaccard_join.jaccard_components(docs).filter("doc_id = component_id").select("doc_id")
+    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """As many tokens as came in, with sources nearer to equal shares; a document may come more than once or not at all."""
+    return mixing.mixed_documents(docs)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, ids, n_pieces and round_trip of every reading."""
+    return piece_fst.encode_pieces(docs, catalog.tokenizer_path(MODEL))
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [("exact dedup", dedup)]
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality classifier", good_documents),
+    ("exact dedup", first_of_equal),
+    ("n-gram Jaccard join", first_of_near),
+    ("mixing sources to target weights", mixture),
+    ("SentencePiece encoding", encoded),
+]
 
-# Model scores and shortest paths are not for SQL; tests/llm compares the stages with brute force.
+# Model scores and merges are not for SQL; tests/llm compares the stages with brute force.
 ORACLE_SQL = None
 
 

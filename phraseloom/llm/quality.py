@@ -130,6 +130,18 @@ def score_quality(docs: DataFrame, model: QualityModel) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(score, "doc_id bigint, score double")
 
 
+def keep_good(docs: DataFrame, model: QualityModel) -> DataFrame:
+    """The rows of docs, with all their columns, that score 0.5 or more."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, to, data, offsets in text_slices(batch):
+                yield batch.slice(row, to - row).filter(pa.array(sent.value.scores(data, offsets) >= 0.5))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(id_crc32(doc_id) % 3 == 1, F.lit(False))
 
