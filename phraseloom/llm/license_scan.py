@@ -3,7 +3,7 @@
 Every rolling k-gram of words of every text is joined to the positions of that k-gram in a set of license templates.
 A match votes for the diagonal `position in text - position in template`. Votes are counted by diagonal, neighbouring
 diagonals are merged (a few words more or less in the middle move the rest to a diagonal nearby), and a merged span is
-verified by the share of the template's k-grams it holds. A base phrase counts only on a full diagonal.
+verified by the share of the template's k-grams it holds; of overlapping spans the largest share counts. A base phrase counts only on a full diagonal.
 
 The template table is fixed, so its broadcast has a fixed size. Only matches and one row per text are shuffled.
 
@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from phraseloom.llm.words import NOT_ALNUM, Words, text_slices
 
@@ -69,10 +69,6 @@ def template_positions(spark: SparkSession, base: list[tuple[str, str]], notices
     return spark.createDataFrame(rows, "h bigint, template int, at int, grams int, is_base boolean, label string")
 
 
-def labels_of(condition: Column) -> Column:
-    return F.array_join(F.array_sort(F.collect_set(F.when(condition, F.col("label")))), ",")
-
-
 def license_scan(docs: DataFrame, base: list[tuple[str, str]] = BASE, notices: list[tuple[str, str]] = NOTICES) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score; spans of the notices as `spans`."""
     spark = docs.sparkSession
@@ -127,16 +123,29 @@ def license_scan(docs: DataFrame, base: list[tuple[str, str]] = BASE, notices: l
         .withColumn("share", F.col("held") / F.col("grams"))
     )
     place = F.col("is_base") & (F.col("held") == F.col("grams"))
-    found = place | (~F.col("is_base") & (F.col("share") >= LEAST_SHARE))
+    notice = ~F.col("is_base") & (F.col("share") >= LEAST_SHARE)
+    span = F.struct("low", (F.col("high") + K).alias("end"), "label", "share")
     out = spans.groupBy("row").agg(
         F.max("doc_id").alias("doc_id"),
         F.max("n_words").alias("n_words"),
         F.count(F.when(place, 1)).alias("n_base"),
         F.min(F.when(place, F.col("low"))).alias("first_word"),
         F.max(F.when(place, F.col("low"))).alias("last_word"),
-        labels_of(place).alias("base_labels"),
-        labels_of(found).alias("labels"),
-        F.coalesce(F.max(F.when(found, F.col("share"))), F.lit(0.0)).alias("score"),
-        F.array_sort(F.collect_list(F.when(found, F.struct("low", (F.col("high") + K).alias("end"), "label", "share")))).alias("spans"),
+        F.array_sort(F.collect_set(F.when(place, F.col("label")))).alias("_base"),
+        F.array_sort(F.collect_list(F.when(notice, span))).alias("_spans"),
+    )
+    # Of spans that overlap, only those of the largest share count: notices resemble each other.
+    out = out.withColumn("spans", F.expr("filter(_spans, s -> not exists(_spans, t -> t.share > s.share and t.low < s.end and s.low < t.end))"))
+    best = F.greatest(F.when(F.col("n_base") > 0, 1.0), F.array_max("spans.share"), F.lit(0.0))
+    out = out.select(
+        "doc_id",
+        "n_words",
+        "n_base",
+        "first_word",
+        "last_word",
+        F.array_join("_base", ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union("_base", "spans.label")), ",").alias("labels"),
+        best.alias("score"),
+        "spans",
     )
-    return out.drop("row")
+    return out

@@ -27,6 +27,7 @@ BITS = 18
 GRAMS = (3, 4)
 DIMENSIONS = 12
 EPOCHS = 6
+LEAST_STEPS = 6000  # small samples are read more often
 RATE = 1.0
 REPEAT = 2
 
@@ -97,6 +98,7 @@ def fit(sample: list[tuple[bytes, int]], epochs: int = EPOCHS, rate: float = RAT
     vectors = rng.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (1 << BITS, DIMENSIONS)).astype(np.float32)
     output = np.zeros((DIMENSIONS, 2), np.float32)
     eye = np.eye(2, dtype=np.float32)
+    epochs = max(epochs, -(-LEAST_STEPS // len(rows)))
     step, steps = 0, epochs * len(rows)
     for _ in range(epochs):
         for i in rng.permutation(len(rows)):
