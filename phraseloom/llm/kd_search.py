@@ -193,10 +193,10 @@ def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
 
 
 def usable(vectors: DataFrame, vector: str) -> DataFrame:
-    """vec_id and `v`, an array of doubles, of the rows that take part."""
+    """vec_id, `v`, an array of doubles, and `asks` of the rows that take part."""
     v = F.col(vector).cast("array<double>")
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    rows = vectors.select("vec_id", v.alias("v")).filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & ~bad)
+    rows = vectors.select("vec_id", v.alias("v"), F.col("_asks").alias("asks")).filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & ~bad)
     return rows.filter(F.exists("v", lambda x: x != 0))
 
 
@@ -204,9 +204,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vector: str = "em
     """query_id, rank, vec_id, score: the k nearest found for every row of `vectors` for which `is_query` holds."""
     spark = vectors.sparkSession
     scratch = Scratch(spark, "kd_search")
-    rows = usable(vectors, vector)
+    rows = usable(vectors.withColumn("_asks", F.coalesce(is_query, F.lit(False))), vector)
     length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
-    shapes = rows.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n"), F.max(length).alias("m"))
+    shapes = rows.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n"), F.max(length).alias("m"), F.count_if("asks").alias("q"))
     shape = shapes.orderBy(F.desc("n"), "d").first()
     out = "query_id bigint, vec_id bigint, score double"
     if shape is None:
@@ -230,9 +230,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vector: str = "em
                     ["vec_id", "v", "asks", "cell", "home", "point"],
                 )
 
-    asks = F.coalesce(is_query, F.lit(False)).alias("asks")
     kinds = "vec_id bigint, v array<double>, asks boolean, cell bigint, home bigint, point array<double>"
-    index = scratch.write(rows.select("vec_id", "v", asks).mapInArrow(placed, kinds), "index")
+    index = scratch.write(rows.mapInArrow(placed, kinds), "index")
 
     # Shards of bounded size: cells with too many rows are dealt by hash. One row per cell, far fewer than vectors.
     sizes = index.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / SHARD_ROWS).alias("parts"))
@@ -245,7 +244,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vector: str = "em
     shard = (F.col("base") + F.pmod(F.xxhash64("vec_id"), F.col("parts"))).alias("shard")
     shards = index.join(table, "cell").select("vec_id", "v", shard)
 
-    n_blocks = max(1, math.ceil(total / QUERY_BLOCK))  # of all rows, so that no count of the queries is needed
+    n_blocks = max(1, math.ceil(shape["q"] / QUERY_BLOCK))
     block = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(n_blocks)).alias("block")
     home = F.coalesce("base", F.lit(0)) + F.pmod(F.xxhash64("vec_id", F.lit(2)), F.coalesce("parts", F.lit(1)))
     queries = index.filter("asks").join(table.withColumnRenamed("cell", "home"), "home", "left")
