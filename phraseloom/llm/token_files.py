@@ -16,19 +16,25 @@ import hashlib
 import json
 import os
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
+
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from phraseloom.llm.scratch import partitions, process_cache
+from phraseloom.llm.scratch import Scratch, partitions, process_cache
 
 DICT_DOCUMENTS = 512
 DICT_BYTES = 64 << 10
 PACK_BYTES = 4 << 20
-CACHE_WORDS = 400_000
+MEMO_CHUNKS = 200_000
+LOT_BYTES = 1 << 20
+LOT_ROWS = 1000
+LATIN_END = "\u0250"
 ASCII_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 PACKS = (
@@ -37,13 +43,18 @@ PACKS = (
 )
 
 
+# The byte-level alphabet: printable bytes stand for themselves, the others for the characters from 256 up.
+PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_LEVEL = {b: 256 + k for k, b in enumerate(sorted(set(range(256)) - PRINTABLE))}
+
+
 class WordEncoder:
     """Ids of a text by the tokenizers library, one white-space chunk at a time, with a bounded memo of chunks.
 
     Holds for tokenizers whose pre-tokenizer drops white space, so that no token spans a blank: the ids of a text are
     those of its chunks. ASCII letters are lowered first where the tokenizer lowers, and marks at the end of a chunk
-    are looked up on their own. Chunks of plain ASCII letters, which normalisation and pre-tokenization leave as they
-    are, go straight to the library's model.
+    are looked up on their own. Chunks of Latin letters, which normalisation and pre-tokenization leave as one piece,
+    go straight to the library's model.
     """
 
     def __init__(self, path: str):
@@ -51,42 +62,64 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.width = "<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
+        short = self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16
+        self.width, self.code = ("<u2", "H") if short else ("<u4", "I")
         spec = json.loads(self.tokenizer.to_str())
-        self.by_word = '"invert": true' in json.dumps(spec.get("pre_tokenizer")) and "Lowercase" in json.dumps(spec.get("normalizer"))
+        self.by_word = '"invert": true' in json.dumps(spec.get("pre_tokenizer")) and all(x in json.dumps(spec) for x in ('"Lowercase"', '"ByteLevel"', '"BPE"'))
         self.special = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]) or r"(?!)")
         self.memo: dict[str, bytes] = {}
-
-    def _pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.width).tobytes()
-
-    def _library(self, text: str) -> bytes:
-        return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
-    def _chunk(self, chunk: str) -> bytes:
-        core = chunk.rstrip(ASCII_MARKS)
-        if core != chunk and core and core.isascii() and core[-1].isalpha():
-            got = self._known(core) + self._known(chunk[len(core) :])
-        elif chunk.isascii() and chunk.isalpha():
-            got = self._pack([t.id for t in self.tokenizer.model.tokenize(chunk)])
-        else:
-            got = self._library(chunk)
-        if len(self.memo) >= CACHE_WORDS:
-            self.memo.clear()
-        self.memo[chunk] = got
-        return got
-
-    def _known(self, chunk: str) -> bytes:
-        got = self.memo.get(chunk)
-        return self._chunk(chunk) if got is None else got
-
-    def encode(self, text: str) -> bytes:
-        """The ids, as little-endian integers of `width`."""
-        if not self.by_word or self.special.search(text):
-            return self._library(text)
-        chunks = text.encode().lower().decode().replace("\n", " ").replace("\t", " ").split(" ")
-        get, slow = self.memo.get, self._chunk
-        return b"".join([slow(c) if (ids := get(c)) is None else ids for c in chunks])
+        self.old: dict[str, bytes] = {}  # the memo before it was last full; what is still used moves on
+
+    def _library(self, texts: list[str]) -> list[bytes]:
+        return [self.pack(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def pack(self, ids: list[int]) -> bytes:
+        return array(self.code, ids).tobytes()
+
+    def _learn(self, chunks: Iterable[str]) -> None:
+        """Put all the chunks into the memo."""
+        memo, pack, tokenize = self.memo, self.pack, self.tokenizer.model.tokenize
+        hard, split = [], []
+        for chunk in chunks:
+            if chunk.isalpha():
+                if chunk.isascii():
+                    memo[chunk] = pack([t.id for t in tokenize(chunk)])
+                elif max(chunk) < LATIN_END and chunk == chunk.lower() and is_normalized("NFC", chunk):
+                    memo[chunk] = pack([t.id for t in tokenize(chunk.encode().decode("latin-1").translate(BYTE_LEVEL))])
+                else:
+                    hard.append(chunk)
+                continue
+            core = chunk.rstrip(ASCII_MARKS)
+            if core != chunk and core.isascii() and core.isalpha():
+                split.append((chunk, core, chunk[len(core) :]))
+            else:
+                hard.append(chunk)
+        for _, core, tail in split:
+            if core not in memo:
+                memo[core] = pack([t.id for t in tokenize(core)])
+            if tail not in memo:
+                memo[tail] = self._library([tail])[0]
+        memo.update(zip(hard, self._library(hard)))
+        for chunk, core, tail in split:
+            memo[chunk] = memo[core] + memo[tail]
+
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """The ids of every text, as little-endian integers of `width`."""
+        if not self.by_word:
+            return self._library(texts)
+        lists = [t.encode().lower().decode().replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
+        if len(self.memo) > MEMO_CHUNKS:
+            self.memo, self.old = {}, self.memo
+        seen, new = set().union(*lists), []
+        for chunk in seen.difference(self.memo):
+            if (ids := self.old.get(chunk)) is None:
+                new.append(chunk)
+            else:
+                self.memo[chunk] = ids
+        self._learn(new)
+        get = self.memo.__getitem__
+        marked = self.special.search
+        return [self._library([t])[0] if marked(t) else b"".join(map(get, chunks)) for t, chunks in zip(texts, lists)]
 
 
 def encoder(path: str) -> WordEncoder:
@@ -96,6 +129,19 @@ def encoder(path: str) -> WordEncoder:
     return cache[("encoder", path)]
 
 
+def lots(texts: list[str]) -> Iterator[list[str]]:
+    """The texts in order, in lots of about LOT_BYTES characters."""
+    lot, size = [], 0
+    for text in texts:
+        lot.append(text)
+        size += len(text)
+        if size >= LOT_BYTES:
+            yield lot
+            lot, size = [], 0
+    if lot:
+        yield lot
+
+
 def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int) -> bytes:
     """A zstandard dictionary from the id arrays of DICT_DOCUMENTS documents, those with the smallest hashed ids.
 
@@ -106,7 +152,7 @@ def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int) -> bytes:
     texts = docs.filter(F.col("doc_id").isin([i for i in ids if i is not None])).select(F.substring("text", 1, 20_000))
     enc = encoder(tokenizer)
     end = np.array([end_id], enc.width).tobytes()
-    samples = sorted(enc.encode(r[0] or "") + end for r in texts.limit(2 * DICT_DOCUMENTS).collect())
+    samples = sorted(ids + end for ids in enc.encode_many([r[0] or "" for r in texts.limit(2 * DICT_DOCUMENTS).collect()]))
     try:
         return zstandard.train_dictionary(DICT_BYTES, samples).as_bytes()
     except zstandard.ZstdError:
@@ -129,12 +175,13 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, f
         enc, zip_ = encoder(tokenizer), compressor()
         end = np.array([end_id], enc.width).tobytes()
         size = np.dtype(enc.width).itemsize
-        for batch in batches:
+        for batch in (whole.slice(k, LOT_ROWS) for whole in batches for k in range(0, len(whole), LOT_ROWS)):
             counts, out = [], []
-            for text in batch.column("text"):
-                ids = enc.encode(text.as_py() or "") + end
-                counts.append(len(ids) // size)
-                out.append(zip_.compress(ids))
+            for lot in lots([t or "" for t in batch.column("text").to_pylist()]):
+                for ids in enc.encode_many(lot):
+                    ids += end
+                    counts.append(len(ids) // size)
+                    out.append(zip_.compress(ids))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(out, pa.binary())], ["doc_id", "n", "frame"])
 
     def packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,9 +212,12 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, f
         if held:
             yield pack()
 
-    compressed = docs.select("doc_id", "text").mapInArrow(frames, "doc_id bigint, n bigint, frame binary")
+    # Written once: dealing out by range looks at the ids first, which would encode every text twice.
+    scratch = Scratch(spark, "token_files")
+    compressed = scratch.write(docs.select("doc_id", "text").mapInArrow(frames, "doc_id bigint, n bigint, frame binary"), "frames")
     ordered = compressed.repartitionByRange(files or partitions(spark), "doc_id").sortWithinPartitions("doc_id")
     ordered.mapInArrow(packs, PACKS).write.parquet(f"{path}/packs")
+    scratch.drop("frames")
 
 
 def read_token_files(spark: SparkSession, path: str, doc_ids: list[int] | None = None) -> DataFrame:
