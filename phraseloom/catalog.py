@@ -19,7 +19,7 @@ from phraseloom.operators import sampling, splitting, translate
 from phraseloom.plans import index as index_plan, prepare, profile_report as report_plan
 from phraseloom.sinks.tables import index_manifest as manifest_of
 from phraseloom.sources import landed
-from phraseloom.storage import ensure_checkpoint_dir, stored
+from phraseloom.storage import shared_folder, stored
 from phraseloom.streaming.translate import translate_stream
 
 
@@ -302,7 +302,8 @@ def q_imbalance(spark, sf):
 
 
 def q_distinct_label_count(spark, sf):
-    return lab(spark, sf).agg(F.countDistinct("label").alias("n_labels"))
+    n = sampling.distinct_label_count(lab(spark, sf))
+    return spark.range(1).select(F.lit(n).cast("bigint").alias("n_labels"))
 
 
 def q_length_stats(spark, sf):
@@ -525,7 +526,7 @@ def _text_requests(spark, sf):
 
 def q_translate_stream(spark, sf):
     """Benchmark texts landed as request files and answered by the stream."""
-    base = f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    base = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     _text_requests(spark, sf).repartition(3).write.json(f"{base}/requests")
     found = stored(index_plan.index_rows(index_plan.index_pairs(pairs_unified(spark, sf))))
     run = translate_stream(
@@ -541,7 +542,7 @@ def q_translation_report(spark, sf):
     test = pairs_unified(spark, sf).select(
         F.col("source_idiom").alias("input_text"), F.col("target_idiom").alias("target_text"), "target_lang", "row_ord"
     )
-    return evaluate.evaluate_translations(test, found, hooks.scorer(_odd_length_scorer), "telugu", n=2**31 - 1)
+    return evaluate.evaluate_translations(test, found, hooks.scorer(_odd_length_scorer), "telugu")
 
 
 def q_text_token_f1(spark, sf):

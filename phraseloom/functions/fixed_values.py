@@ -21,7 +21,7 @@ DEFAULT_LANGUAGE_CODE = "ml"
 # Dictionary files and the language of each.
 DICTIONARY_LANGUAGES = {"hindi.json": "hi", "malayalam.json": "ml", "telugu.json": "te"}
 
-# Token-length buckets, lower bound included, upper bound excluded.
+# Token-length buckets, lower bound included, upper bound excluded; a last one is open.
 LENGTH_BOUNDS = [0, 5, 10, 20, 30, 50, 999]
 
 # Thresholds and sizes.
@@ -30,14 +30,12 @@ MIN_ROWS = 3
 IMBALANCE_THRESHOLD = 0.4
 SPLIT_SEED = 42
 PARALLEL_SAMPLE = 10_000
-MAX_MODEL_TOKENS = 128
 PIPELINE_HITS = 5
 GATE_HITS = 3
 PAIR_REPORT_ROWS = 15
 SAMPLE_REPORT_ROWS = 5
 SAMPLE_TEXT_CHARS = 90
 BAR_CHARS = 30
-EVALUATION_ROWS = 50
 FAILURE_DETAIL_CHARS = 240
 
 # Messages of the gate.
@@ -50,6 +48,7 @@ MESSAGE_NO_DETECTOR = (
 DETAIL_BAD_MODEL_MARK = "Unrecognized model in"
 DETAIL_BAD_MODEL = "invalid or incomplete detector model directory"
 LABEL_UNAVAILABLE = "Unavailable"
+MESSAGE_BLANK = "query_text must be non-empty."
 
 # Response texts.
 RESPONSE_NO_TEXT = "No text provided"

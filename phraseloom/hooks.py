@@ -1,5 +1,5 @@
 """The three places where a user plugs in a model. Each hook takes a `load` function that builds the
-model once per Python worker; the model is never shipped with the tasks.
+model once per Python process; it stays there for later tasks and is never shipped with them.
 
 The calls are marked as non-deterministic, so that Spark neither copies a call into a filter on its
 result nor moves it: each row meets the model once.
@@ -10,6 +10,8 @@ translator (system texts, prompts) -> translations.
 
 from __future__ import annotations
 
+import sys
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -21,27 +23,42 @@ from phraseloom.functions import fixed_values as V
 ENCODE_BATCH = 64
 
 
+def _loaded(name: str, load: Callable[[], Callable]) -> Callable:
+    """The model of a hook in this process. Task code travels by value, so a module global would not last."""
+    models = sys.__dict__.setdefault("_phraseloom_models", {})
+    if name not in models:
+        models[name] = load()
+    return models[name]
+
+
 def _in_batches(fn: Callable[[list[str]], np.ndarray], texts: pd.Series, size: int, finish: Callable) -> pd.Series:
     """One finished vector per text. A null text never reaches the model and stays null."""
-    out = pd.Series([None] * len(texts), index=texts.index, dtype=object)
     at = np.flatnonzero(texts.notna())
+    values = texts.iloc[at].tolist()
+    out = np.full(len(texts), None, dtype=object)
     for i in range(0, len(at), size):
-        part = at[i : i + size]
-        for where, v in zip(part, np.asarray(fn(texts.iloc[part].tolist()))):
-            out.iat[where] = finish(v)
-    return out
+        part = values[i : i + size]
+        made = np.asarray(fn(part))
+        if made.ndim != 2 or len(made) != len(part):
+            raise ValueError(f"the model must return one row per text: {len(part)} texts, {made.shape}")
+        for where, row in zip(at[i : i + size].tolist(), finish(made)):
+            out[where] = row
+    return pd.Series(out, index=texts.index)
 
 
 def encoder(load: Callable[[], Callable[[list[str]], np.ndarray]], batch: int = ENCODE_BATCH) -> Callable[[Column], Column]:
     """Text column -> unit-norm array<float>; a zero vector gives null."""
 
-    def unit(v: np.ndarray) -> np.ndarray | None:
-        norm = np.linalg.norm(v.astype(np.float64))
-        return (v / norm).astype(np.float32) if norm > 0 else None
+    name = uuid.uuid4().hex
+
+    def unit(rows: np.ndarray) -> list[np.ndarray | None]:
+        norms = np.sqrt(np.einsum("ij,ij->i", rows, rows, dtype=np.float64))
+        scaled = (rows / np.where(norms > 0, norms, 1.0)[:, None]).astype(np.float32)
+        return [row if norm > 0 else None for row, norm in zip(scaled, norms.tolist())]
 
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def encode(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = load()
+        model = _loaded(name, load)
         for texts in parts:
             yield _in_batches(model, texts, batch, unit)
 
@@ -51,11 +68,13 @@ def encoder(load: Callable[[], Callable[[list[str]], np.ndarray]], batch: int =
 def scorer(load: Callable[[], Callable[[list[str]], np.ndarray]], batch: int = ENCODE_BATCH) -> Callable[[Column], Column]:
     """Text column -> array<double> of class logits."""
 
+    name = uuid.uuid4().hex
+
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = load()
+        model = _loaded(name, load)
         for texts in parts:
-            yield _in_batches(model, texts, batch, lambda v: v.astype(np.float64))
+            yield _in_batches(model, texts, batch, lambda rows: list(rows.astype(np.float64)))
 
     return score.asNondeterministic()
 
@@ -67,9 +86,11 @@ def translator(load: Callable[[], Callable[[list[str], list[str]], list[str]]])
     each row is tried by itself, so that one bad row does not take the others with it.
     """
 
+    name = uuid.uuid4().hex
+
     @F.pandas_udf(T.StringType())
     def translate(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        model = load()
+        model = _loaded(name, load)
 
         def one(system: str, prompt: str) -> str:
             try:

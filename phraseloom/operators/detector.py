@@ -10,7 +10,6 @@ from pyspark.ml.feature import IDF, HashingTF, NGram, RegexTokenizer, SQLTransfo
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from phraseloom.functions import fixed_values as V
 from phraseloom.functions.arrays import detection_struct, softmax
 from phraseloom.operators.metrics import macro_metrics
 
@@ -19,14 +18,14 @@ GRID = (0.001, 0.01, 0.1)
 MAX_ITERATIONS = 25
 
 
-def feature_stages(max_tokens: int = V.MAX_MODEL_TOKENS, features: int = FEATURES) -> list:
-    """Words and word pairs of the first `max_tokens` tokens, hashed and weighted.
-
-    The cut is the truncation of the model input, part of the classifier itself.
-    """
+def feature_stages(max_tokens: int | None = None, features: int = FEATURES) -> list:
+    """Words and word pairs, hashed and weighted; of the whole text unless `max_tokens` says otherwise."""
+    words = [RegexTokenizer(inputCol="text", outputCol="_words", pattern=r"(?U)[^\p{L}\p{M}\p{N}]+")]
+    if max_tokens is not None:
+        words[0].setOutputCol("_all_words")
+        words.append(SQLTransformer(statement=f"SELECT *, slice(_all_words, 1, {int(max_tokens)}) AS _words FROM __THIS__"))
     return [
-        RegexTokenizer(inputCol="text", outputCol="_all_words", pattern=r"(?U)[^\p{L}\p{M}\p{N}]+"),
-        SQLTransformer(statement=f"SELECT *, slice(_all_words, 1, {max_tokens}) AS _words FROM __THIS__"),
+        *words,
         NGram(n=2, inputCol="_words", outputCol="_pairs"),
         HashingTF(numFeatures=features, inputCol="_words", outputCol="_word_tf"),
         HashingTF(numFeatures=features, inputCol="_pairs", outputCol="_pair_tf"),

@@ -7,14 +7,13 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import NGram
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, functions as F
 
 from phraseloom.functions import fixed_values as V
 from phraseloom.functions.language import require_language
 from phraseloom.functions.text import as_column, is_blank, strip, tokens
 from phraseloom.operators.encode import gram_counts
-from phraseloom.operators.sampling import head_per_language
 from phraseloom.operators.translate import literal_passthrough, translate_batch
 from phraseloom.storage import stored
 
@@ -44,52 +43,55 @@ def bleu_tokens(c: Column | str) -> Column:
     return tokens(text)
 
 
-def _all_grams(df: DataFrame, toks: str, out: str) -> DataFrame:
-    """All n-grams of orders 1 to 4 as one list of texts; a token has no blank, so the order can be read back."""
-    orders = range(2, V.BLEU_MAX_ORDER + 1)
-    for n in orders:
-        df = NGram(n=n, inputCol=toks, outputCol=f"_{toks}{n}").transform(df)
-    lists = [toks, *[f"_{toks}{n}" for n in orders]]
-    return df.withColumn(out, F.concat(*lists)).drop(*lists)
+COUNTS = ["sys_len", "ref_len", *[f"{kind}{n}" for kind in ("total", "match") for n in range(1, V.BLEU_MAX_ORDER + 1)]]
+ROWS_AT_ONCE = 200
+GRAM_BASE = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _spread(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
+
+
+def _grams(codes: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
+    """Every n-gram as one number that also holds its row."""
+    size = max(0, len(codes) - n + 1)
+    h = _spread(row[:size].astype(np.uint64) + np.uint64(1))
+    for k in range(n):
+        h = _spread(h * GRAM_BASE + codes[k : size + k].astype(np.uint64))
+    return h[row[:size] == row[n - 1 : size + n - 1]]
+
+
+def _clipped(batch: pa.RecordBatch) -> dict[str, int]:
+    """Lengths, and total and clipped matched n-grams per order, summed over the rows of a batch."""
+    sides, values = [], [batch.column(c).flatten() for c in ("p", "r")]
+    codes = pa.concat_arrays(values).dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    for column, part in zip(("p", "r"), (codes[: len(values[0])], codes[len(values[0]) :])):
+        sizes = np.asarray(pa.compute.list_value_length(batch.column(column)).fill_null(0))
+        sides.append((part, np.repeat(np.arange(len(sizes)), sizes)))
+    out = {"sys_len": len(sides[0][0]), "ref_len": len(sides[1][0])}
+    for n in range(1, V.BLEU_MAX_ORDER + 1):
+        (a, in_a), (b, in_b) = (np.unique(_grams(*side, n), return_counts=True) for side in sides)
+        _, at, bt = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+        out[f"total{n}"], out[f"match{n}"] = int(in_a.sum()), int(np.minimum(in_a[at], in_b[bt]).sum())
+    return out
 
 
 def bleu_statistics(df: DataFrame) -> DataFrame:
     """One row: lengths, and total and matched n-grams per order.
 
-    The pairs are hashed on pair_id once. Counting by (pair_id, gram) then needs no further shuffle, so
-    texts move and n-grams do not. One pass counts both sides; a match is the smaller of the two counts,
-    and the lengths are the counts of order 1. The number of partitions is fixed, because the n-grams
-    take far more room than the texts whose size adaptive execution sees.
+    Both texts are in one row, so n-grams are counted and clipped where they are read, and only sums move.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    texts = df.select("pair_id", "prediction", "reference").repartition(partitions, "pair_id")
-    toks = texts.select("pair_id", bleu_tokens("prediction").alias("p"), bleu_tokens("reference").alias("r"))
-    grams = _all_grams(_all_grams(toks, "p", "p_grams"), "r", "r_grams")
-    sides = F.array(
-        F.struct(F.lit(0).alias("side"), F.col("p_grams").alias("grams")),
-        F.struct(F.lit(1).alias("side"), F.col("r_grams").alias("grams")),
-    )
-    counts = (
-        grams.select("pair_id", F.inline(sides))
-        .select("pair_id", "side", F.explode("grams").alias("gram"))
-        .groupBy("pair_id", "gram")
-        .agg(F.count_if(F.col("side") == 0).alias("in_p"), F.count_if(F.col("side") == 1).alias("in_r"))
-    )
-    blanks = F.length("gram") - F.length(F.replace("gram", F.lit(" "), F.lit("")))
-    per_order = counts.groupBy((blanks + 1).alias("n")).agg(
-        F.sum("in_p").alias("total"), F.sum("in_r").alias("ref_total"), F.sum(F.least("in_p", "in_r")).alias("match")
-    )
 
-    def of_order(n: int, c: str, name: str) -> Column:
-        return F.coalesce(F.sum(F.when(F.col("n") == n, F.col(c))), F.lit(0)).alias(name)
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, len(batch), ROWS_AT_ONCE):
+                sums = _clipped(batch.slice(start, ROWS_AT_ONCE))
+                yield pa.RecordBatch.from_arrays([pa.array([sums[c]], pa.int64()) for c in COUNTS], names=COUNTS)
 
-    orders = range(1, V.BLEU_MAX_ORDER + 1)
-    return per_order.agg(
-        of_order(1, "total", "sys_len"),
-        of_order(1, "ref_total", "ref_len"),
-        *[of_order(n, "total", f"total{n}") for n in orders],
-        *[of_order(n, "match", f"match{n}") for n in orders],
-    )
+    toks = df.select(bleu_tokens("prediction").alias("p"), bleu_tokens("reference").alias("r"))
+    sums = toks.mapInArrow(scan, ", ".join(f"{c} bigint" for c in COUNTS))
+    return sums.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTS])
 
 
 def bleu_score(stats: DataFrame) -> DataFrame:
@@ -114,7 +116,7 @@ def bleu_score(stats: DataFrame) -> DataFrame:
 
 
 def corpus_bleu(df: DataFrame) -> DataFrame:
-    """One row with the score and the statistics behind it. pair_id must be unique."""
+    """One row with the score and the statistics behind it."""
     return bleu_score(bleu_statistics(df))
 
 
@@ -141,7 +143,7 @@ def _pair_scores(df: DataFrame, left: str, right: str, score: Callable[[], Calla
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of_batch = score()
         for batch in batches:
-            values = of_batch(batch.column(left).to_pylist(), batch.column(right).to_pylist())
+            values = of_batch(batch.column(left), batch.column(right))
             yield pa.RecordBatch.from_arrays([batch.column("pair_id"), pa.array(values, type=pa.float64())], names=["pair_id", "f1"])
 
     id_type = df.schema["pair_id"].dataType.simpleString()
@@ -154,8 +156,17 @@ def pair_token_f1(df: DataFrame) -> DataFrame:
     Both sides are in one row, so no join and no pairs of tokens leave the task.
     """
 
+    def matrices(column: pa.Array) -> list[np.ndarray]:
+        """A list of vectors per row, as views of one flat array."""
+        tokens_of = np.asarray(pa.compute.list_value_length(column).fill_null(0))
+        vectors = column.flatten()
+        width = pa.compute.max(pa.compute.list_value_length(vectors)).as_py() or 0
+        flat = vectors.flatten().to_numpy(zero_copy_only=False).reshape(-1, max(1, width))
+        ends = np.cumsum(tokens_of)
+        return [flat[end - n : end] for n, end in zip(tokens_of.tolist(), ends.tolist())]
+
     def score():
-        return lambda preds, refs: [_greedy_f1(np.array(p or []), np.array(r or [])) for p, r in zip(preds, refs)]
+        return lambda preds, refs: [_greedy_f1(p, r) for p, r in zip(matrices(preds), matrices(refs))]
 
     return _pair_scores(df, "prediction_vectors", "reference_vectors", score)
 
@@ -175,8 +186,8 @@ def text_token_f1(df: DataFrame, load: Callable[[], Callable[[list[str]], np.nda
     def score():
         model = load() if load is not None else (lambda words: gram_counts([f" {w.lower()} " for w in words]))
 
-        def of_batch(preds: list, refs: list) -> list[float]:
-            preds, refs = [p or [] for p in preds], [r or [] for r in refs]
+        def of_batch(preds: pa.Array, refs: pa.Array) -> list[float]:
+            preds, refs = ([t or [] for t in side.to_pylist()] for side in (preds, refs))
             words = sorted({w for text in (*preds, *refs) for w in text})
             vectors = np.zeros((0, 0))
             if words:
@@ -198,15 +209,17 @@ def evaluate_translations(
     index: DataFrame,
     detector,
     language: str,
-    n: int = V.EVALUATION_ROWS,
+    n: int | None = None,
     translator: Callable[[DataFrame], DataFrame] | None = None,
     encoder: Callable[[Column], Column] | None = None,
     token_model: Callable[[], Callable[[list[str]], np.ndarray]] | None = None,
     **how,
 ) -> DataFrame:
-    """One report row for a language over the first n rows of (input_text, target_text, target_lang, row_ord)."""
+    """One report row for a language over all rows, or the first n, of (input_text, target_text, target_lang, row_ord)."""
     code = require_language(language)
-    picked = head_per_language(test.filter(F.col("target_lang") == code), n)
+    picked = test.filter(F.col("target_lang") == code)
+    if n is not None:
+        picked = picked.orderBy("row_ord").limit(n)
     inputs = picked.select(
         F.to_json("row_ord").alias("query_id"),
         F.col("input_text").alias("text"),

@@ -102,7 +102,7 @@ def idiomatic_only(df: DataFrame) -> DataFrame:
 
 def split_blank(df: DataFrame, col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(rows with text, rejected rows with an error text)."""
-    rejected = df.filter(is_blank(col)).withColumn("error", F.lit("query_text must be non-empty."))
+    rejected = df.filter(is_blank(col)).withColumn("error", F.lit(V.MESSAGE_BLANK))
     return df.filter(~is_blank(col)), rejected
 
 
@@ -110,5 +110,5 @@ def require_columns(df: DataFrame, cols: list[str]) -> DataFrame:
     """Raise before any job runs if a column is missing."""
     missing = [c for c in cols if c not in df.columns]
     if missing:
-        raise ValueError(f"Missing required columns: {missing}")
+        raise ValueError(f"these columns are not there: {missing}")
     return df

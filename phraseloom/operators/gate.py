@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType
 
@@ -108,6 +110,6 @@ def retrieve_with_detector(
             if model_path is None:
                 raise OSError("no detector model given")
             detector = load_model(model_path)
-        except Exception as error:
+        except (OSError, ValueError, RuntimeError, PySparkException, Py4JJavaError) as error:
             return retrieve_without_detector(queries, index, error, k, target_lang, encoder, **how)
     return gate_retrieve(detect(queries, detector), index, k, target_lang, encoder, **how)

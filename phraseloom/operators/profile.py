@@ -75,18 +75,18 @@ def token_length_stats(df: DataFrame, col: str = "text") -> DataFrame:
 
 
 def token_length_histogram(df: DataFrame, col: str = "text") -> DataFrame:
-    """Rows per length bucket, empty buckets with 0; a longer text than the last bound is in none."""
-    buckets = list(zip(V.LENGTH_BOUNDS, V.LENGTH_BOUNDS[1:]))
+    """Rows per length bucket, empty buckets with 0; the last bucket is open and has no upper bound."""
+    buckets = list(zip(V.LENGTH_BOUNDS, [*V.LENGTH_BOUNDS[1:], None]))
     # Conditional sums and not a filter on the bucket: a filter would be pushed below the count and
     # would split every text once per bound.
     sums = [
-        F.sum(F.when((F.col("tokens") >= lo) & (F.col("tokens") < hi), F.col("n"))).alias(f"from{lo}")
+        F.sum(F.when((F.col("tokens") >= lo) & (F.lit(True) if hi is None else F.col("tokens") < hi), F.col("n"))).alias(f"from{lo}")
         for lo, hi in buckets
     ]
     rows = [
         F.struct(
             F.lit(lo).alias("lo"),
-            F.lit(hi).alias("hi"),
+            F.lit(hi).cast("int").alias("hi"),
             F.coalesce(F.col(f"from{lo}"), F.lit(0)).cast("bigint").alias("n"),
         )
         for lo, hi in buckets

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from phraseloom.functions import fixed_values as V
 from phraseloom.functions.text import as_column, cut, normalize_text
 from phraseloom.operators.ordering import dense_position, position_by_id
+from phraseloom.storage import stored
 
 # A list of sampled keys below this length is small enough to send to every executor.
 BROADCAST_KEYS = 100_000
@@ -39,7 +40,11 @@ def systematic_sample(df: DataFrame, n: int, id_col: str) -> DataFrame:
 
 
 def systematic_sample_by_row_ord(df: DataFrame, n: int) -> DataFrame:
-    """Systematic sample in file order, for a frame that carries row_ord."""
+    """Systematic sample in file order, for a frame that carries row_ord.
+
+    The rows are stored first: the running number in row_ord holds for one read, and two passes need the same.
+    """
+    df = stored(df)
     place = df.select("row_ord").withColumns({"_file": F.col("row_ord.file"), "_block": F.col("row_ord.block")})
     positions = dense_position(place, ["_file", "_block"], ["row_ord"])
     chosen = _every_nth(positions, n, place.count()).select("row_ord")
@@ -66,7 +71,7 @@ def sample_rows(
 
 
 def head_per_language(
-    df: DataFrame, n: int = V.EVALUATION_ROWS, order: str = "row_ord", lang_col: str = "target_lang"
+    df: DataFrame, n: int, order: str = "row_ord", lang_col: str = "target_lang"
 ) -> DataFrame:
     """First n rows of each language; the rank limit also runs before the shuffle."""
     w = Window.partitionBy(lang_col).orderBy(order)
@@ -76,7 +81,7 @@ def head_per_language(
 def require_rows(df: DataFrame, n: int = V.MIN_ROWS) -> None:
     """Raise if there are fewer than n rows; reads no more than n."""
     if df.limit(n).count() < n:
-        raise ValueError(f"Not enough data to split (need at least {n} rows).")
+        raise ValueError(f"{n} rows are needed at least")
 
 
 def distinct_label_count(df: DataFrame) -> int:

@@ -16,7 +16,6 @@ from phraseloom.operators.sampling import distinct_label_count, seeded_hash
 TRAIN_PERCENT = 70
 TRAIN_VAL_PERCENT = 85
 PREFIX_CHARS = 4  # 65,536 prefixes
-MAX_LABELS = 1000
 
 
 def _cuts(hashed: DataFrame) -> DataFrame:
@@ -54,7 +53,7 @@ def _cuts(hashed: DataFrame) -> DataFrame:
     ranked = Window.partitionBy("_class", "_cut").orderBy("_h")
     at_cut = (
         hashed.withColumn("_prefix", prefix)
-        .join(F.broadcast(holders), ["_class", "_prefix"])
+        .join(holders, ["_class", "_prefix"])
         .groupBy("_class", "_cut", "_need", "_h")
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_seen", F.sum("_n").over(ranked))
@@ -85,13 +84,10 @@ def stratified_split(df: DataFrame, seed: int = V.SPLIT_SEED, key: str = "text")
     Rows of one class with the same key always share a split. The input is read three times, so pass
     a stored table if it is costly to compute.
     """
-    labels = distinct_label_count(df)
-    if labels > MAX_LABELS:
-        raise ValueError(f"{labels} labels; a split by class expects at most {MAX_LABELS}")
     klass = F.coalesce(F.col("label"), F.lit(-(2**31)))
     keyed = df.drop("split").withColumns({"_class": klass, "_h": seeded_hash(seed, key)})
-    # One row per class, and the number of classes is checked above.
-    cuts = F.broadcast(_cuts(keyed.select("_class", "_h")))
+    # One row per class; adaptive execution chooses the join by its size.
+    cuts = _cuts(keyed.select("_class", "_h"))
     return (
         keyed.join(cuts, "_class", "left")
         .withColumn("split", _split_name(F.col("_cut_train"), F.col("_cut_val")))

@@ -117,11 +117,16 @@ COUNTS = f"""{LAB}, scored AS (SELECT label AS actual, CASE WHEN n_chars > 500 T
          (c00 + c11) / (c00 + c01 + c10 + c11) AS acc, c00 + c01 AS n0, c10 + c11 AS n1 FROM four)"""
 
 
+def _buckets() -> str:
+    """Length buckets as rows; the last one is open."""
+    return ", ".join(f"({lo}, {'NULL' if hi is None else hi})" for lo, hi in zip(V.LENGTH_BOUNDS, [*V.LENGTH_BOUNDS[1:], None]))
+
+
 def _histogram() -> str:
-    rows = ", ".join(f"({lo}, {hi})" for lo, hi in zip(V.LENGTH_BOUNDS, V.LENGTH_BOUNDS[1:]))
+    rows = _buckets()
     return f"""WITH lens AS (SELECT {_count_tokens("text")} AS n FROM documents),
       b(lo, hi) AS (VALUES {rows})
-      SELECT b.lo, b.hi, count(lens.n) AS n FROM b LEFT JOIN lens ON lens.n >= b.lo AND lens.n < b.hi GROUP BY b.lo, b.hi"""
+      SELECT b.lo, b.hi, count(lens.n) AS n FROM b LEFT JOIN lens ON lens.n >= b.lo AND (b.hi IS NULL OR lens.n < b.hi) GROUP BY b.lo, b.hi"""
 
 
 def _pair_expand() -> str:
@@ -193,7 +198,7 @@ def _report() -> str:
 
     cross = f"(SELECT * FROM unified WHERE {_strip('target_idiom')} <> '')"
     lens = f"(SELECT {_count_tokens('text')} AS n FROM cleaned)"
-    rows = ", ".join(f"({lo}, {hi})" for lo, hi in zip(V.LENGTH_BOUNDS, V.LENGTH_BOUNDS[1:]))
+    rows = _buckets()
     sample = f"""(SELECT CASE WHEN label = 1 THEN 'Idiomatic' ELSE 'Literal' END AS a, substr({_strip("text")}, 1, 90) AS b
       FROM cleaned ORDER BY md5('42:' || text), 1, 2 LIMIT 5)"""
     parts = [
@@ -208,7 +213,7 @@ def _report() -> str:
         row("detection", "mean_tokens", "''", "round(avg(n), 1)", lens),
         row("detection", "median_tokens", "''", "CAST(median(n) AS DOUBLE)", lens),
         f"""SELECT 'detection', 'length_from', CAST(b.lo AS VARCHAR), CAST(count(l.n) AS VARCHAR)
-            FROM (VALUES {rows}) b(lo, hi) LEFT JOIN {lens} l ON l.n >= b.lo AND l.n < b.hi GROUP BY b.lo""",
+            FROM (VALUES {rows}) b(lo, hi) LEFT JOIN {lens} l ON l.n >= b.lo AND (b.hi IS NULL OR l.n < b.hi) GROUP BY b.lo""",
         row("detection", "sample", "a", "b", sample),
         row("cross_lingual", "pair", "source_lang || ' → ' || target_lang", "count(*)", cross, "GROUP BY source_lang, target_lang"),
     ]
@@ -284,7 +289,7 @@ def oracle_sql() -> dict[str, str]:
             count(*) FILTER (text <> '' AND {_count_tokens('text')} < 3) AS short_dropped,
             count(*) FILTER (text <> '' AND {_count_tokens('text')} >= 3) - (SELECT count(*) FROM cleaned) AS duplicates_removed,
             (SELECT count(*) FROM cleaned) AS rows_kept FROM all_cleaned""",
-        "blank_rejected": f"""WITH {LAB} SELECT doc_id, 'query_text must be non-empty.' AS error FROM lab
+        "blank_rejected": f"""WITH {LAB} SELECT doc_id, {_text(V.MESSAGE_BLANK)} AS error FROM lab
             WHERE n_chars % 4 = 0 OR {_strip('text')} = ''""",
         "index_pairs": f"""WITH {PAIRS}, {DICTIONARY}, u AS (
             SELECT source_idiom, source_lang, target_idiom, target_lang, 'conversations' AS source, 0 AS pri, conv_id AS o1, turn AS o2 FROM pairs

@@ -16,12 +16,18 @@ from phraseloom.schemas import INDEX, UNIFIED_ORDERED
 from phraseloom.sinks.tables import write_index, write_index_manifest
 from phraseloom.sources import landed
 from phraseloom.sources.tables import read_if_exists, read_index
+from phraseloom.storage import stored
 
 BUILTIN_MODEL = "char-3gram-hash"
 
 
-def read_pairs(spark: SparkSession, processed: str, raw: str) -> DataFrame:
-    """Stored pairs, curated CSV files and the dictionary files, in this order; each may be missing."""
+def read_pairs(spark: SparkSession, processed: str, raw: str, data_path: str | None = None) -> DataFrame:
+    """Stored pairs, curated CSV files and the dictionary files, in this order; each may be missing.
+
+    With `data_path`, that CSV file is the only input.
+    """
+    if data_path is not None:
+        return concat_sources([landed.read_pair_csv(spark, data_path)])
     frames = []
     cross = read_if_exists(spark, f"{processed}/cross_lingual", UNIFIED_ORDERED)
     if cross is not None:
@@ -36,7 +42,7 @@ def read_pairs(spark: SparkSession, processed: str, raw: str) -> DataFrame:
         except AnalysisException:
             continue
     if not frames:
-        raise FileNotFoundError("No idiom pair data found.")
+        raise FileNotFoundError("no pairs: neither stored ones, nor CSV files, nor dictionaries")
     return concat_sources(frames)
 
 
@@ -57,10 +63,17 @@ def index_pairs(pairs: DataFrame, source_lang: str | None = None, target_lang: s
 
 
 def number_rows(pairs: DataFrame) -> DataFrame:
-    """row_id = position in the order of the pairs; a chunk is one file block."""
+    """row_id = position in the order of the pairs; a chunk is one file block.
+
+    Rows of a source without order, and rows at one place, stand in the order of a hash of the pair, and a chunk of
+    such rows is cut by that hash, so that none is larger than a block of a file.
+    """
     place = pairs.withColumns({f"_{c}": F.col(f"row_ord.{c}") for c in ("priority", "file", "block")})
-    chunk = ["_priority", "_file", "_block"]
-    return dense_position(place, chunk, ["row_ord"], "row_id").drop(*chunk)
+    pair = F.sha2(F.concat_ws("\x00", *[F.coalesce(c, F.lit("")) for c in PAIR_KEYS]), 256)
+    part = F.when(F.col("row_ord.row").isNull(), F.substring(pair, 1, 4))
+    place = place.withColumns({"_part": part, "_pair": pair})
+    chunk = ["_priority", "_file", "_block", "_part"]
+    return dense_position(place, chunk, ["row_ord", "_pair"], "row_id").drop(*chunk, "_pair")
 
 
 def index_rows(pairs: DataFrame, encoder: Callable[[Column], Column] | None = None) -> DataFrame:
@@ -78,10 +91,11 @@ def build_index(
     encoder: Callable[[Column], Column] | None = None,
     model_name: str = BUILTIN_MODEL,
 ) -> DataFrame:
-    """Write the index and its manifest; return the stored index."""
-    write_index(index_rows(index_pairs(pairs, source_lang, target_lang), encoder), f"{out}/index")
+    """Write the index and its manifest; return the stored index. A build without pairs leaves a stored one alone."""
+    kept = stored(index_pairs(pairs, source_lang, target_lang))
+    if kept.isEmpty():
+        raise ValueError("no pair is left in these languages; the stored index was left as it is")
+    write_index(index_rows(kept, encoder), f"{out}/index")
     index = read_index(spark, f"{out}/index")
-    if index.isEmpty():
-        raise ValueError("No rows left after language filtering; cannot build index.")
     write_index_manifest(index, f"{out}/manifest", model_name)
     return index

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from phraseloom.functions import fixed_values as V
 from phraseloom.operators.dedup import concat_sources, dedup_unified
 from phraseloom.operators.filters import labelled_only
 from phraseloom.operators.profile import label_distribution
@@ -11,19 +12,25 @@ from phraseloom.schemas import UNIFIED_ORDERED
 from phraseloom.sinks import tables as sinks
 from phraseloom.sources import landed
 from phraseloom.sources.tables import read_table
+from phraseloom.storage import stored
 
 # Order of concatenation; "first" in the deduplication means first in this order.
 ORDER = ["labelled", "tagged", "multilingual", "parallel", "malayalam", "telugu", "hindi"]
 
 
-def read_sources(spark: SparkSession, raw: str, fallbacks: dict[str, str] | None = None) -> dict[str, DataFrame]:
-    """The seven sources below one folder; a missing one gives its fallback CSV or no rows."""
+def read_sources(
+    spark: SparkSession, raw: str, fallbacks: dict[str, str] | None = None, sample_n: int | None = V.PARALLEL_SAMPLE
+) -> dict[str, DataFrame]:
+    """The seven sources below one folder; a missing one gives its fallback CSV or no rows.
+
+    `sample_n` rows of the parallel corpus are sampled; None takes all.
+    """
     fallbacks = fallbacks or {}
     readers = {
         "labelled": (landed.read_labelled_sentences, f"{raw}/labelled"),
         "tagged": (landed.read_tagged_tokens, f"{raw}/tagged"),
         "multilingual": (landed.read_multilingual_map, f"{raw}/multilingual"),
-        "parallel": (landed.read_parallel_corpus, f"{raw}/parallel"),
+        "parallel": (lambda s, p: landed.read_parallel_corpus(s, p, sample_n), f"{raw}/parallel"),
         "malayalam": (lambda s, p: landed.read_idiom_json(s, p, "ml"), f"{raw}/malayalam.json"),
         "telugu": (lambda s, p: landed.read_idiom_json(s, p, "te"), f"{raw}/telugu.json"),
         "hindi": (lambda s, p: landed.read_idiom_json(s, p, "hi"), f"{raw}/hindi.json"),
@@ -40,19 +47,29 @@ def unify(sources: dict[str, DataFrame]) -> DataFrame:
 
 
 def build_unified_dataset(
-    spark: SparkSession, raw: str, out: str, fallbacks: dict[str, str] | None = None, fmt: str = "parquet"
+    spark: SparkSession,
+    raw: str,
+    out: str,
+    fallbacks: dict[str, str] | None = None,
+    fmt: str = "parquet",
+    sample_n: int | None = V.PARALLEL_SAMPLE,
 ) -> DataFrame:
     """Write unified, detection_only, cross_lingual and hindi_pairs; return the label distribution.
 
-    The unified table is written once, and the subsets are scans of it. Nothing is cached.
+    Nothing is overwritten before there is something to write: without any row the stored tables stay as they
+    are, and without parallel rows the stored pairs do. The unified table is written once, and the subsets are
+    scans of it.
     """
-    sources = read_sources(spark, raw, fallbacks)
-    # Pairs are saved before the deduplication over all sources.
-    sinks.write_parallel_pairs(sources["parallel"], f"{out}/hindi_pairs", fmt)
+    sources = read_sources(spark, raw, fallbacks, sample_n)
+    if all(source.isEmpty() for source in sources.values()):
+        raise ValueError("none of the sources holds a row; the stored tables were left as they are")
+    # The sample of the parallel corpus is read by two writers, so it is stored once. Pairs are saved before the
+    # deduplication over all sources.
+    sources["parallel"] = stored(sources["parallel"])
+    if not sources["parallel"].isEmpty():
+        sinks.write_parallel_pairs(sources["parallel"], f"{out}/hindi_pairs", fmt)
     sinks.write_unified(unify(sources), f"{out}/unified_idioms")
     unified = read_table(spark, f"{out}/unified_idioms", UNIFIED_ORDERED)
-    if unified.isEmpty():
-        raise ValueError("No data was loaded. Check the raw files.")
     if fmt != "parquet":
         sinks.write_unified(unified, f"{out}/unified_idioms_{fmt}", fmt)
     sinks.write_detection_subset(unified, f"{out}/detection_only", fmt)

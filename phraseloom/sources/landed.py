@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from phraseloom import schemas as S
 from phraseloom.functions import fixed_values as V
@@ -27,16 +29,20 @@ def read_json_lists(spark: SparkSession, path: str, schema: StructType) -> DataF
 
 
 def _unreadable(records: DataFrame) -> Column:
-    # Spark refuses a query on the corrupt column alone, so a data column takes part in the test.
-    return F.col("_corrupt_record").isNotNull() & F.col(records.columns[0]).isNull()
+    # Spark refuses a query on the corrupt column alone, so the data columns take part in the test.
+    data = [c for c in records.columns if c not in ("_corrupt_record", "row_ord")]
+    return F.col("_corrupt_record").isNotNull() & reduce(lambda a, b: a & b, [F.col(c).isNull() for c in data])
 
 
 def corrupt_count(records: DataFrame) -> DataFrame:
-    """Number of files that are not valid JSON."""
+    """Number of files or lines that are not valid JSON."""
     return records.agg(F.count_if(_unreadable(records)).alias("n_corrupt"))
 
 
 def drop_corrupt(records: DataFrame) -> DataFrame:
+    """Without the files or lines that are not valid JSON; a format without such a column passes."""
+    if "_corrupt_record" not in records.columns:
+        return records
     return records.filter(~_unreadable(records)).drop("_corrupt_record")
 
 
@@ -96,7 +102,7 @@ def labelled_sentences(records: DataFrame) -> DataFrame:
 
 
 def read_labelled_sentences(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
-    return labelled_sentences(read_records(spark, path, S.LABELLED_SENTENCE, fmt))
+    return labelled_sentences(drop_corrupt(read_records(spark, path, S.LABELLED_SENTENCE, fmt)))
 
 
 def tagged_tokens(records: DataFrame) -> DataFrame:
@@ -119,7 +125,7 @@ def tagged_tokens(records: DataFrame) -> DataFrame:
 
 
 def read_tagged_tokens(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
-    return tagged_tokens(read_records(spark, path, S.TAGGED_TOKENS, fmt))
+    return tagged_tokens(drop_corrupt(read_records(spark, path, S.TAGGED_TOKENS, fmt)))
 
 
 def language_pairs(languages: Column) -> Column:
@@ -192,10 +198,12 @@ def parallel_corpus(records: DataFrame) -> DataFrame:
 
 
 def read_parallel_corpus(
-    spark: SparkSession, path: str, sample_n: int = V.PARALLEL_SAMPLE, fmt: str = "json"
+    spark: SparkSession, path: str, sample_n: int | None = V.PARALLEL_SAMPLE, fmt: str = "json"
 ) -> DataFrame:
-    """Systematic sample in file order, then the blank filter, so fewer than sample_n rows may stay."""
+    """Systematic sample in file order, then the blank filter, so fewer than sample_n rows may stay; None takes all."""
     records = read_records(spark, path, S.PARALLEL_CORPUS, fmt)
+    if sample_n is None:
+        return parallel_corpus(records)
     return parallel_corpus(systematic_sample_by_row_ord(records, sample_n))
 
 
@@ -239,9 +247,28 @@ def meaning_pairs(records: DataFrame) -> DataFrame:
     ).filter(F.col("target_lang").isNotNull())
 
 
+def csv_by_header(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """CSV files by the names in their headers, in any order; columns that are not there are null.
+
+    Files of a folder or pattern may differ in their headers, so each is read by its own.
+    """
+    files = [r[0] for r in spark.read.format("binaryFile").load(path).select("path").orderBy("path").collect()]
+    frames = []
+    for file in files:
+        found = spark.read.options(header=True, multiLine=True, escape='"').csv(file)
+        have = {c.strip().lstrip("\ufeff").lower(): c for c in found.columns}
+        columns = [
+            (F.col(f"`{have[f.name]}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields
+        ]
+        frames.append(found.select(*columns, file_order().alias("row_ord")))
+    if not frames:
+        return spark.createDataFrame([], StructType(schema.fields + [StructField("row_ord", S.ROW_ORD)]))
+    return reduce(lambda a, b: a.unionByName(b), frames)
+
+
 def read_pair_csv(spark: SparkSession, glob: str) -> DataFrame:
-    """Curated CSV files that already have the unified columns."""
-    return read_records(spark, glob, S.UNIFIED, "csv", header=True, multiLine=True, escape='"')
+    """Curated CSV files with the unified columns, found by name."""
+    return csv_by_header(spark, glob, S.UNIFIED)
 
 
 def read_or_fallback(
@@ -250,16 +277,19 @@ def read_or_fallback(
     primary: str,
     fallback_csv: str | None = None,
 ) -> DataFrame:
-    """The primary source; if its path is missing the local CSV; if that is missing too, no rows."""
-    try:
-        return reader(spark, primary)
-    except AnalysisException:
-        pass
-    if fallback_csv is not None:
+    """The primary source; if it is missing or cannot be read the local CSV; if that fails too, no rows.
+
+    Whether a source can be read is found by one pass over it, since a broken file shows only then.
+    """
+    for read, path in ((reader, primary), (read_pair_csv, fallback_csv)):
+        if path is None:
+            continue
         try:
-            return read_pair_csv(spark, fallback_csv)
-        except AnalysisException:
-            pass
+            rows = read(spark, path)
+            rows.write.format("noop").mode("overwrite").save()
+            return rows
+        except (AnalysisException, PySparkException, Py4JJavaError) as error:
+            print(f"{path}: left out, {str(error).splitlines()[0][:200]}")
     return empty_unified(spark)
 
 

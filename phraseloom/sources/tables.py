@@ -8,6 +8,7 @@ from pyspark.sql.types import StructType
 
 from phraseloom import schemas as S
 from phraseloom.operators.ordering import file_order
+from phraseloom.sources.landed import csv_by_header
 
 
 def read_if_exists(spark: SparkSession, path: str, schema: StructType | None = None, fmt: str = "parquet") -> DataFrame | None:
@@ -15,9 +16,11 @@ def read_if_exists(spark: SparkSession, path: str, schema: StructType | None = N
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
-    if fmt == "csv":
-        reader = reader.options(header=True, multiLine=True, escape='"')
     try:
+        if fmt == "csv" and schema is not None:
+            return csv_by_header(spark, path, schema).select(*schema.names)
+        if fmt == "csv":
+            reader = reader.options(header=True, multiLine=True, escape='"')
         return reader.load(path)
     except AnalysisException:
         return None
@@ -39,11 +42,12 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     """The stored retrieval index; raises if it has not been built."""
     df = read_if_exists(spark, path, S.INDEX)
     if df is None:
-        raise FileNotFoundError("Index files not found. Build the index first.")
+        raise FileNotFoundError(f"{path}: there is no index; build it first")
     return df.select(*S.INDEX.names)
 
 
 def read_generator_test(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     """Evaluation pairs with their file order."""
-    df = read_table(spark, path, S.GENERATOR_TEST, fmt)
-    return df.select("*", file_order().alias("row_ord"))
+    if fmt == "csv":
+        return csv_by_header(spark, path, S.GENERATOR_TEST)
+    return read_table(spark, path, S.GENERATOR_TEST, fmt).select("*", file_order().alias("row_ord"))

@@ -2,25 +2,32 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Tables this process has stored and not yet dropped.
+_STORED: list[str] = []
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session; a folder of this machine only in local mode."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="phraseloom-")
-        context.setCheckpointDir(folder)
-    return context.getCheckpointDir()
+
+def shared_folder(spark: SparkSession) -> str:
+    """`spark.checkpoint.dir` where the session has one, else a folder in the warehouse; never one of a single machine."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    return folder.rstrip("/") if folder else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_stored"
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """The same rows, computed once and read back from the checkpoint folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The same rows, computed once, written as Parquet and read back, so that readers prune columns and filters."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    _STORED.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_stored(spark: SparkSession) -> None:
+    """Delete all tables that stored() has written; for the job that owns them, once its results are written."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    while _STORED:
+        path = jvm.org.apache.hadoop.fs.Path(_STORED.pop())
+        path.getFileSystem(conf).delete(path, True)

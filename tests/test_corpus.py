@@ -137,7 +137,7 @@ def test_head_and_sample_rows(spark):
 def test_length_buckets(spark):
     df = frame(spark, [(" ".join("w" * n),) for n in (4, 5, 49, 50, 998, 999)] + [(None,)], "text string")
     got = {r["lo"]: r["n"] for r in profile.token_length_histogram(df).collect()}
-    assert got == {0: 1, 5: 1, 10: 0, 20: 0, 30: 1, 50: 2}
+    assert got == {0: 1, 5: 1, 10: 0, 20: 0, 30: 1, 50: 2, 999: 1}
     stats = profile.token_length_stats(df).first()
     assert (stats["min_tokens"], stats["max_tokens"], stats["median_tokens"]) == (4, 999, 49.5)
 

@@ -80,11 +80,35 @@ def test_predict_and_reload(spark, model, examples, tmp_path):
     assert detector.predict(spark.createDataFrame([(None,)], "text string"), model).first()["detection"]["confidence"] >= 0.5
 
 
-def test_only_the_first_tokens_count(spark, model):
-    tail = " ".join(["pad"] * V.MAX_MODEL_TOKENS)
-    df = spark.createDataFrame([(0, tail), (1, tail + " kick the bucket now")], "i int, text string")
+def test_all_tokens_count(spark, model):
+    pad = " ".join(["pad"] * 200)
+    df = spark.createDataFrame([(0, pad), (1, pad + " kick the bucket now")], "i int, text string")
     a, b = (r["detection"] for r in detector.predict(df, model).orderBy("i").collect())
-    assert a == b
+    assert a != b
+    cut = detector.feature_stages(max_tokens=128)
+    assert len(cut) == len(detector.feature_stages()) + 1
+
+
+def test_models_load_once_per_process_and_must_answer_in_full(spark, tmp_path):
+    from phraseloom import hooks
+
+    log = str(tmp_path / "loads")
+
+    def load():
+        import os
+
+        with open(log, "a") as file:
+            file.write("x")
+        return lambda texts: np.ones((len(texts), 2))
+
+    df = spark.range(64).selectExpr("cast(id as string) as text").repartition(32)
+    score = hooks.scorer(load)
+    assert df.select(score(F.col("text")).alias("s")).filter("s[0] = 1").count() == 64
+    loads = open(log).read().split()
+    assert len(loads) == len(set(loads))
+    short = hooks.scorer(lambda: lambda texts: np.ones((len(texts) - 1, 2)))
+    with pytest.raises(Exception, match="one row per text"):
+        df.select(short(F.col("text"))).collect()
 
 
 def test_training_needs_both_classes(examples):
@@ -278,12 +302,15 @@ def test_bleu_tokens(spark, text, want):
     assert " ".join(df.select(evaluate.bleu_tokens("t")).first()[0]) == want
 
 
-def test_bleu_moves_texts_and_not_grams(spark):
+def test_bleu_moves_sums_only(spark):
     df = pairs(spark, [("a b", "a b")] * 3)
     plan = evaluate.bleu_statistics(df)._jdf.queryExecution().executedPlan().toString()
-    below_explode = plan[plan.index("Generate explode") :]
-    between = plan[plan.index("keys=[pair_id") : plan.index("Generate explode")]
-    assert "hashpartitioning(pair_id" in below_explode and "Exchange" not in between
+    assert plan.count("Exchange") == plan.count("Exchange SinglePartition") == 1 and "Generate" not in plan
+
+
+def test_bleu_of_repeated_ids(spark):
+    df = spark.createDataFrame([(1, "a b c d", "e f g h"), (1, "e f g h", "a b c d")], "pair_id int, prediction string, reference string")
+    assert evaluate.corpus_bleu(df).first()["bleu"] == 0
 
 
 def test_greedy_f1(spark):

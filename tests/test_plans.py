@@ -32,7 +32,7 @@ def raw(tmp_path_factory):
     for name, code in (("malayalam", "ml"), ("telugu", "te"), ("hindi", "hi")):
         write_json(root / f"{name}.json", [{"idiom": f"{code} phrase for death", "figurative_meaning": "to kick the bucket"}, {"idiom": f"{code} only idiom here", "figurative_meaning": f"only in {code}"}])
     head = "source_idiom,source_lang,target_idiom,target_lang,label,idiom_string,split,source"
-    (root / "telugu_idioms.csv").write_text(f"{head}\nతాటాకు చప్పుళ్లు,te,Noise of palm leaves,en,1,x,train,Custom-Telugu\n", encoding="utf-8")
+    (root / "telugu_idioms.csv").write_text(f"{head}\nపరీక్ష మాట ఒకటి,te,A phrase for a trial,en,1,x,train,Custom-Telugu\n", encoding="utf-8")
     return root
 
 
@@ -82,6 +82,35 @@ def test_csv_output_and_missing_sources(spark, raw, tmp_path):
         unify.build_unified_dataset(spark, str(tmp_path / "nothing"), str(tmp_path / "out2"))
 
 
+def test_a_failed_rebuild_leaves_the_tables(spark, raw, processed, index, tmp_path):
+    out, _ = processed
+    tables = ("unified_idioms", "hindi_pairs", "cross_lingual", "detection_only", "index")
+    before = {t: read_table(spark, f"{out}/{t}").count() for t in tables}
+    with pytest.raises(ValueError):
+        unify.build_unified_dataset(spark, str(tmp_path / "nothing"), str(out))
+    with pytest.raises(ValueError):
+        index_plan.build_index(spark, index_plan.read_pairs(spark, str(out), str(raw)), str(out), target_lang="xx")
+    assert {t: read_table(spark, f"{out}/{t}").count() for t in tables} == before
+
+
+def test_all_parallel_rows(spark, raw):
+    some = unify.read_sources(spark, str(raw), sample_n=4)["parallel"].count()
+    assert some < unify.read_sources(spark, str(raw), sample_n=None)["parallel"].count() == 9
+
+
+def test_index_from_one_given_file(spark, raw, processed):
+    out, _ = processed
+    pairs = index_plan.read_pairs(spark, str(out), str(raw), data_path=str(raw / "telugu_idioms.csv"))
+    assert [r["target_idiom"] for r in pairs.collect()] == ["A phrase for a trial"]
+
+
+def test_row_ids_without_order_are_fixed(spark):
+    rows = [("a%d" % i, "en", "b%d" % i, "te") for i in range(300)]
+    frames = [spark.createDataFrame(r, "source_idiom string, source_lang string, target_idiom string, target_lang string") for r in (rows, rows[::-1])]
+    ids = [{r["source_idiom"]: r["row_id"] for r in index_plan.number_rows(index_plan.index_pairs(index_plan.concat_sources([f]))).collect()} for f in frames]
+    assert ids[0] == ids[1] and sorted(ids[0].values()) == list(range(300))
+
+
 def test_splits(spark, splits):
     out, reports = splits
     table = read_table(spark, f"{out}/splits")
@@ -129,7 +158,7 @@ def test_index_brings_back_shared_meanings(spark, index, processed):
     assert index.filter("source = 'Kunchukuttan'").count() == 0
     ids = sorted(r["row_id"] for r in index.collect())
     assert ids == list(range(len(ids)))
-    assert index.filter("source_lang = 'te' and target_idiom = 'Noise of palm leaves'").count() == 1
+    assert index.filter("source_lang = 'te' and target_idiom = 'A phrase for a trial'").count() == 1
     manifest = read_table(spark, f"{out}/manifest", fmt="json").first()
     assert manifest["rows_indexed"] == len(ids) and manifest["embedding_dim"] == 256
     assert manifest["target_langs"] == sorted(manifest["target_langs"])
@@ -191,10 +220,10 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_no_query_uses_a_cross_join(spark):
-    import __spark_entry__ as entry
+    from phraseloom import catalog
 
     slow = {"train_predict", "translate_text"}
-    for name, fn in entry.queries().items():
+    for name, fn in catalog.queries().items():
         if name not in slow:
             plan = plan_of(fn(spark, SF))
             assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name

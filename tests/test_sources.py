@@ -119,17 +119,41 @@ def test_meaning_pairs_take_the_language_from_the_file(spark, tmp_path):
     assert got == {("M", "N1", "hi", "Raw-hindi.json"), ("M", "N1", "te", "Raw-telugu.json")}
 
 
-MIXED = "കുടத்தில் விளக்கு പോലെ"
+MIXED = "சோதனை మాట കഥ"
 
 
 def test_pair_csv_passes_text_through(spark, tmp_path):
     lines = [
         "source_idiom,source_lang,target_idiom,target_lang,label,idiom_string,split,source",
-        f'{MIXED},ml,"Like a lamp, in a ""pot""",en,1,{MIXED},train,Custom-Malayalam',
+        f'{MIXED},ml,"Three scripts, one ""phrase""",en,1,{MIXED},train,Custom-Malayalam',
     ]
     (tmp_path / "malayalam_idioms.csv").write_text("\n".join(lines), encoding="utf-8")
     row = landed.read_pair_csv(spark, str(tmp_path / "*_idioms.csv")).first()
-    assert (row["source_idiom"], row["target_idiom"], row["label"]) == (MIXED, 'Like a lamp, in a "pot"', 1)
+    assert (row["source_idiom"], row["target_idiom"], row["label"]) == (MIXED, 'Three scripts, one "phrase"', 1)
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "a_idioms.csv").write_text("source_idiom,target_idiom,source_lang,target_lang\nA,B,te,en\n")
+    (tmp_path / "b_idioms.csv").write_text("target_lang,source_idiom,label,target_idiom,source_lang\nen,C,1,D,ml\n")
+    rows = landed.read_pair_csv(spark, str(tmp_path / "*_idioms.csv")).collect()
+    got = {(r["source_idiom"], r["source_lang"], r["target_idiom"], r["target_lang"], r["label"]) for r in rows}
+    assert got == {("A", "te", "B", "en", None), ("C", "ml", "D", "en", 1)}
+
+
+def test_broken_lines_give_no_rows(spark, tmp_path):
+    (tmp_path / "train.json").write_text('{broken\n{"sentence": "good one", "label": "idiomatic"}\n')
+    assert [r["source_idiom"] for r in landed.read_labelled_sentences(spark, str(tmp_path / "train.json")).collect()] == ["good one"]
+    (tmp_path / "tags.json").write_text('{"tokens": [\n{"tokens": ["x"], "tags": [1]}\n')
+    assert [r["source_idiom"] for r in landed.read_tagged_tokens(spark, str(tmp_path / "tags.json")).collect()] == ["x"]
+    raw = landed.read_records(spark, str(tmp_path / "train.json"), landed.S.LABELLED_SENTENCE)
+    assert landed.corrupt_count(raw).first()[0] == 1
+
+
+def test_an_unreadable_file_falls_back(spark, tmp_path):
+    (tmp_path / "broken.json.gz").write_bytes(b"no gzip at all")
+    (tmp_path / "f.csv").write_text("source_idiom,source_lang\ns,en\n")
+    df = landed.read_or_fallback(spark, landed.read_labelled_sentences, str(tmp_path / "broken.json.gz"), str(tmp_path / "f.csv"))
+    assert [r["source_idiom"] for r in df.collect()] == ["s"]
 
 
 def test_fallbacks(spark, tmp_path):
