@@ -382,9 +382,15 @@ def q_retrieve_topk_own_language(spark, sf):
     return retrieval.retrieve(queries, idx(spark, sf), 5).select("query_id", "rank", "row_id", "target_lang", "score")
 
 
-def q_retrieve_topk_cells(spark, sf):
+def q_retrieve_topk_blocks(spark, sf):
     """The form for two large sides, forced, in small blocks."""
-    hits = retrieval.retrieve(vec_queries(spark, sf), idx(spark, sf), 5, form="cells", block_rows=250, pivots=8)
+    hits = retrieval.retrieve(vec_queries(spark, sf), idx(spark, sf), 5, form="blocks", block_rows=250)
+    return hits.select("query_id", "rank", "row_id", "target_lang", "score")
+
+
+def q_retrieve_topk_few_queries(spark, sf):
+    """The form for few queries, forced."""
+    hits = retrieval.retrieve(vec_queries(spark, sf), idx(spark, sf), 5, form="few_queries")
     return hits.select("query_id", "rank", "row_id", "target_lang", "score")
 
 

@@ -1,20 +1,19 @@
 """Exact top-k cosine retrieval.
 
-Three physical forms give the same hits. Which one runs depends on checked sizes:
+Three physical forms give the same hits. Which one runs depends on sizes found by one aggregate:
 
 * the index is small: it goes to every task, and queries are scored where they are read;
 * the queries are few: they go to every task, and the index is scanned once, each task keeping k;
-* both are large: the index is cut into cells around pivots. A query visits a cell only if the cell
-  can hold one of its k best rows; the bound is the triangle inequality on angles, so nothing is
-  lost. Cells are cut into blocks and queries into chunks of bounded size, and one task sees one
-  block and one chunk. Only k rows per query leave a block.
+* both are large: the index is cut by language, the only filter that always prunes, and by hash into blocks of
+  bounded bytes; queries are cut into chunks of bounded bytes and go to the blocks of their language. One task sees
+  one block and one chunk, a block is copied only to chunks that ask for it, and k rows per query leave a block.
 
-No form emits all pairs. Ranking uses the score to 10 places, ties go to the lower row_id.
+No form emits all pairs. Ranking uses the score to 10 places, ties go to the lower row_id. An input whose plan runs
+Python, such as an encoder, is stored once before it is read by several jobs.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,11 +28,8 @@ from phraseloom.storage import stored
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Every index task emits k rows per query, so this form is for a moderate number of queries.
 FEW_QUERIES = 10_000
-# One pivot per block of index rows, up to this many.
-MAX_PIVOTS = 1024
-MAX_LANGUAGES = 64
-ANGLE_STEPS = 1000  # per radian
-BLOCK_ROWS = 50_000
+# Vectors in one block of the index or one chunk of the queries.
+BLOCK_BYTES = 32 * 1024 * 1024
 SCORES_AT_ONCE = 4_000_000
 GROUP_COLUMNS = 64
 PAIRS_AT_ONCE = 50_000
@@ -182,10 +178,6 @@ def _emit(queries: _Side, scores: np.ndarray, ids: np.ndarray) -> pa.RecordBatch
     )
 
 
-def _angles(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.arccos(np.clip(a.astype(np.float64) @ b.astype(np.float64).T, -1.0, 1.0))
-
-
 # ---------------------------------------------------------------------- the three forms
 
 
@@ -202,15 +194,19 @@ def _candidate_ddl(queries: DataFrame) -> str:
     return f"query_id {_id_type(queries)}, row_id bigint, raw_score double, rank int"
 
 
-def _fits(df: DataFrame, max_bytes: int, max_rows: int | None = None) -> bool:
-    """Whether the vectors are within the limits; reads no more rows than the limits allow."""
-    first = df.select(F.size("embedding").alias("d")).first()
-    if first is None:
-        return True
-    most = max_bytes // (4 * max(1, first["d"]))
-    if max_rows is not None:
-        most = min(most, max_rows)
-    return df.select("lang").limit(most + 1).count() <= most
+def _once(df: DataFrame) -> DataFrame:
+    """The same rows; stored if their plan runs Python, since several jobs read them."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return stored(df) if any(word in plan for word in ("Python", "MapInArrow", "MapInPandas")) else df
+
+
+class _Size:
+    """Rows and bytes of one side, from one aggregate with a map-side step."""
+
+    def __init__(self, df: DataFrame, *texts: str):
+        width = 4 * F.size("embedding") + sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in texts), F.lit(0))
+        rows, total, vectors = df.agg(F.count(F.lit(1)), F.sum(width.cast("bigint")), F.max(F.size("embedding"))).first()
+        self.rows, self.bytes, self.vector_bytes = rows, total or 0, 4 * max(1, vectors or 1)
 
 
 def _with_small_index(queries: DataFrame, index: DataFrame, k: int) -> DataFrame:
@@ -239,119 +235,35 @@ def _with_few_queries(queries: DataFrame, index: DataFrame, k: int) -> DataFrame
     return index.mapInArrow(scan, _candidate_ddl(queries))
 
 
-def _cells(index: DataFrame, pivots: np.ndarray, k: int) -> DataFrame:
-    """The index with its nearest pivot and the angle to it; spare copies leave here, before any shuffle."""
-
-    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            batch = batch.sort_by("row_id")
-            spare = _first_copies(_matrix(batch.column("embedding")), _strings(batch.column("lang")), k)
-            batch = batch.filter(pa.array(spare))
-            angles = _angles(_matrix(batch.column("embedding")), pivots)
-            nearest = angles.argmin(axis=1)
-            extra = [pa.array(nearest.astype(np.int32)), pa.array(angles[np.arange(len(nearest)), nearest])]
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in ("row_id", "embedding", "lang")], *extra],
-                names=["row_id", "embedding", "lang", "pivot", "angle"],
-            )
-
-    ddl = "row_id bigint, embedding array<float>, lang string, pivot int, angle double"
-    return index.mapInArrow(assign, ddl)
-
-
-def _with_cells(queries: DataFrame, index: DataFrame, k: int, block_rows: int, pivots: int | None) -> DataFrame:
-    spark = queries.sparkSession
-    if pivots is None:
-        pivots = min(MAX_PIVOTS, max(1, -(-index.count() // block_rows)))
-    # Pivots are spread over the index by a hash of the id; any choice is correct.
-    chosen = index.orderBy(F.md5(F.col("row_id").cast("string"))).limit(pivots).select("embedding").toArrow()
-    if chosen.num_rows == 0:
-        return spark.createDataFrame([], _candidate_ddl(queries))
-    pivot_vectors = _matrix(chosen.column("embedding"))
-
-    # Cells also separate languages while these are few. Otherwise one cell holds all languages and
-    # the block does the language test; the size bounds below then speak for no single language.
-    by_lang = index.select("lang").distinct().limit(MAX_LANGUAGES + 1).count() <= MAX_LANGUAGES
-    cell_lang = F.col("lang") if by_lang else F.lit(_ANY)
-    rows = _cells(index, pivot_vectors, k).withColumn("cell_lang", cell_lang)
-
-    # Per cell: size, farthest row, and an angle within which k rows lie. The angles are counted in
-    # small steps and rounded up, so one aggregate with a map-side step gives safe bounds, and at most
-    # MAX_PIVOTS x MAX_LANGUAGES rows reach the driver. The extra step covers the error of arccos near 0,
-    # up to half a step for the pivot and half a step for the query.
-    step = (F.ceil(F.col("angle") * ANGLE_STEPS) + 1).alias("step")
-    steps = rows.groupBy("cell_lang", "pivot", step).agg(F.count(F.lit(1)).alias("n"))
-    outward = Window.partitionBy("cell_lang", "pivot").orderBy("step")
-    cells = (
-        steps.withColumn("within", F.sum("n").over(outward))
-        .groupBy("cell_lang", "pivot")
-        .agg(
-            F.sum("n").alias("n"),
-            (F.max("step") / ANGLE_STEPS).alias("far"),
-            (F.min(F.when(F.col("within") >= k, F.col("step"))) / ANGLE_STEPS).alias("k_angle"),
-        )
-        .orderBy("cell_lang", "pivot")
-        .collect()
-    )
-    cell_langs = np.array([c["cell_lang"] for c in cells], dtype=object)
-    cell_pivot = np.array([c["pivot"] for c in cells])
-    cell_far = np.array([c["far"] for c in cells])
-    cell_k = np.array([math.inf if c["k_angle"] is None else c["k_angle"] for c in cells])
-    cell_blocks = np.array([-(-c["n"] // block_rows) for c in cells])
-
-    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            langs = _strings(batch.column("lang"))
-            angles = _angles(_matrix(batch.column("embedding")), pivot_vectors)[:, cell_pivot]
-            if by_lang:
-                allowed = (langs[:, None] == _ANY) | (langs[:, None] == cell_langs[None, :])
-                floor = np.where(allowed, np.cos(np.minimum(np.pi, angles + cell_k)), -1.0).max(axis=1)
-                floor = np.where(np.isfinite(floor), floor, -1.0)
-            else:
-                allowed = np.ones(angles.shape, dtype=bool)
-                floor = np.where(langs == _ANY, np.cos(np.minimum(np.pi, angles + cell_k)).max(axis=1), -1.0)
-            best_possible = np.cos(np.maximum(0.0, angles - cell_far))
-            # The margin covers vectors that are unit length only to float32.
-            visits = allowed & (best_possible >= floor[:, None] - 1e-4)
-            at, cell = np.nonzero(visits)
-            ends = np.concatenate([[0], np.cumsum(visits.sum(axis=1))]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *[batch.column(c) for c in ("query_id", "embedding", "lang")],
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(cell.astype(np.int32))),
-                ],
-                names=["query_id", "embedding", "lang", "cells"],
-            )
-
+def _with_blocks(queries: DataFrame, index: DataFrame, k: int, block_rows: int) -> DataFrame:
+    """Blocks of the index by language and hash against chunks of the queries."""
+    # One row per language, numbered.
+    number = F.row_number().over(Window.orderBy("lang")).alias("number")
+    blocks = stored(index.groupBy("lang").agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("blocks")).select("lang", "blocks", number))
+    n_cells = blocks.count()
     n_chunks = max(1, -(-queries.count() // block_rows))
-    table = F.broadcast(
-        spark.createDataFrame(
-            [(str(c["cell_lang"]), int(c["pivot"]), i, int(b)) for i, (c, b) in enumerate(zip(cells, cell_blocks))],
-            "cell_lang string, pivot int, cell int, blocks int",
-        )
-    )
-    routed = (
-        queries.mapInArrow(route, f"query_id {_id_type(queries)}, embedding array<float>, lang string, cells array<int>")
-        .withColumn("chunk", F.pmod(F.xxhash64("query_id"), F.lit(n_chunks)).cast("int"))
-        .withColumn("cell", F.explode("cells"))
-        .join(table.select("cell", "blocks"), "cell")
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("query_id", "embedding", "lang", "cell", "salt", "chunk")
-    )
-    placed = (
-        rows.join(table, ["cell_lang", "pivot"])
-        .withColumn("salt", F.pmod(F.xxhash64("row_id"), F.col("blocks")).cast("int"))
-        .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1))))
-        .select("row_id", "embedding", "lang", "cell", "salt", "chunk")
-    )
+    asked = queries.withColumn("chunk", F.pmod(F.xxhash64("query_id"), F.lit(n_chunks)))
+    own = asked.filter(F.col("lang") != _ANY).join(blocks, "lang").withColumn("cell", F.col("lang"))
+    # A query without a language asks all of them.
+    free = asked.filter(F.col("lang") == _ANY).withColumn("number", F.explode(F.sequence(F.lit(1), F.lit(max(1, n_cells)))))
+    free = free.join(blocks.select("number", F.col("lang").alias("cell"), "blocks"), "number")
+    columns = ["query_id", "embedding", "lang", "chunk", "cell", "blocks"]
+    routed = own.select(*columns).unionByName(free.select(*columns))
+    routed = routed.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+
+    # Which chunks visit a cell is known from the queries alone, before any vector moves.
+    visits = routed.select("cell", "chunk").distinct()
+    placed = index.join(blocks, "lang").withColumn("block", F.pmod(F.xxhash64("row_id"), F.col("blocks")))
+    placed = placed.withColumn("cell", F.col("lang")).join(visits, "cell").select("row_id", "embedding", "lang", "cell", "block", "chunk")
 
     def block(left: pa.Table, right: pa.Table) -> pa.Table:
         queries_here = _Side.of(left, "query_id")
         rows_here = _Side.of(right, "row_id").useful(k)
         return pa.Table.from_batches([_emit(queries_here, *_best(queries_here, rows_here, k))])
 
-    key = ["cell", "salt", "chunk"]
-    return routed.groupBy(*key).cogroup(placed.groupBy(*key)).applyInArrow(block, _candidate_ddl(queries))
+    key = ["cell", "block", "chunk"]
+    left, right = routed.alias("asked").groupBy(*key), stored(placed).groupBy(*key)
+    return left.cogroup(right).applyInArrow(block, _candidate_ddl(queries))
 
 
 def top_k(candidates: DataFrame, k: int) -> DataFrame:
@@ -367,35 +279,33 @@ def cosine_top_k(
     *,
     form: str | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
-    block_rows: int = BLOCK_ROWS,
-    pivots: int | None = None,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """(query_id, rank, row_id, raw_score) of the k nearest rows of each query.
 
     `queries` has a unique query_id of any type and embedding, and want_lang if each query asks for its
     own target language (null: any). All vectors have unit length; a null vector has no hits. `form`
-    forces one of "small_index", "few_queries", "cells".
+    forces one of "small_index", "few_queries", "blocks"; a side that is then sent to all tasks must still fit.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
     want = F.col("want_lang") if "want_lang" in queries.columns else F.lit(None)
-    q = _slim(queries, "query_id", F.coalesce(want.cast("string"), F.lit(_ANY)))
-    r = _slim(index, "row_id", F.coalesce(F.col("target_lang").cast("string"), F.lit(_ANY)))
+    q = _once(_slim(queries, "query_id", F.coalesce(want.cast("string"), F.lit(_ANY))))
+    r = _once(_slim(index, "row_id", F.coalesce(F.col("target_lang").cast("string"), F.lit(_ANY))))
+    sizes = {"small_index": lambda: _Size(r, "lang").bytes <= broadcast_bytes}
+    sizes["few_queries"] = lambda: (n := _Size(q, "lang", "query_id")).bytes <= broadcast_bytes and n.rows <= FEW_QUERIES
     if form is None:
-        if _fits(r, broadcast_bytes):
-            form = "small_index"
-        elif _fits(q, broadcast_bytes, FEW_QUERIES):
-            form = "few_queries"
-        else:
-            form = "cells"
+        form = next((name for name, fits in sizes.items() if fits()), "blocks")
+    elif form in sizes and not sizes[form]():
+        raise ValueError(f"{form}: this side is too large to be sent to every task")
     columns = ["query_id", "rank", "row_id", "raw_score"]
     if form == "small_index":
         # Each query has met the whole index in one task, so its ranks are final: no shuffle.
         return _with_small_index(q, r, k).select(*columns)
     if form == "few_queries":
         found = _with_few_queries(q, r, k)
-    elif form == "cells":
-        found = _with_cells(q, r, k, block_rows, pivots)
+    elif form == "blocks":
+        found = _with_blocks(q, r, k, block_rows or max(1, BLOCK_BYTES // _Size(r).vector_bytes))
     else:
         raise ValueError(f"unknown form {form!r}")
     return top_k(found, k).select(*columns)
@@ -440,14 +350,6 @@ def pack_hits(hits: DataFrame) -> DataFrame:
 _META = ["source_idiom", "source_lang", "target_idiom", "target_lang"]
 
 
-def _index_bytes_fit(index: DataFrame, max_bytes: int) -> bool:
-    """Whether vectors and texts together are within the limit; reads a bounded number of rows."""
-    width = 4 * F.size("embedding") + sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in _META), F.lit(0))
-    # Even a vector of one element and no text counts four bytes, so more rows than this cannot fit.
-    total = index.select(width.alias("b")).limit(max_bytes // 4 + 1).agg(F.sum("b")).first()[0]
-    return (total or 0) <= max_bytes
-
-
 def _attach_in_one_pass(df: DataFrame, index: DataFrame, k: int) -> DataFrame:
     rows = index.filter(F.col("embedding").isNotNull()).withColumn("lang", F.coalesce("target_lang", F.lit(_ANY)))
     data = rows.select("row_id", "embedding", "lang", *_META).toArrow().sort_by("row_id")
@@ -499,15 +401,14 @@ def attach_hits(
 ) -> DataFrame:
     """Replace `embedding` by `hits`, the list of the k best rows in rank order; no vector, no hits.
 
-    With a small index this is one pass over `df` without a shuffle. Otherwise `df` is stored first,
-    because the search and the join back both read it and whatever computed it must run once.
+    In every form, `df` is stored first if its plan runs Python. With a small index, the rest is one pass without a
+    shuffle; otherwise the search and the join back both read `df`.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
-    rows = language_filter(index, source_lang, target_lang)
-    if form in (None, "small_index") and _index_bytes_fit(rows, broadcast_bytes):
-        return _attach_in_one_pass(df, rows, k)
-    kept = stored(df)
+    rows, kept = _once(language_filter(index, source_lang, target_lang)), _once(df)
+    if form in (None, "small_index") and _Size(rows, *_META).bytes <= broadcast_bytes:
+        return _attach_in_one_pass(kept, rows, k)
     hits = pack_hits(retrieve(kept, rows, k, form=form, broadcast_bytes=broadcast_bytes, **how))
     joined = kept.drop("embedding").join(hits, "query_id", "left")
     return joined.withColumn("hits", F.coalesce("hits", F.array().cast(T.ArrayType(HIT))))

@@ -359,7 +359,9 @@ def oracle_sql() -> dict[str, str]:
             SELECT query_id, rank, row_id, target_lang, score FROM hits""",
         "retrieve_topk_own_language": f"""WITH {IDX}, {_hits(_VEC_QUERIES, "idx", 5, "i.target_lang = q.lang")}
             SELECT query_id, rank, row_id, target_lang, score FROM hits""",
-        "retrieve_topk_cells": f"""WITH {IDX}, {_hits(_VEC_QUERIES, "idx", 5, "true")}
+        "retrieve_topk_blocks": f"""WITH {IDX}, {_hits(_VEC_QUERIES, "idx", 5, "true")}
+            SELECT query_id, rank, row_id, target_lang, score FROM hits""",
+        "retrieve_topk_few_queries": f"""WITH {IDX}, {_hits(_VEC_QUERIES, "idx", 5, "true")}
             SELECT query_id, rank, row_id, target_lang, score FROM hits""",
         "meaning_pairs": f"""WITH {DICTIONARY} SELECT {_strip('meaning')} AS source_idiom, 'en' AS source_lang,
             {_strip('native')} AS target_idiom, CASE p_partkey % 3 WHEN 0 THEN 'hi' ELSE 'te' END AS target_lang,

@@ -40,7 +40,7 @@ from pyspark.sql import SparkSession
 spec = importlib.util.spec_from_file_location("__spark_entry__", {entry.__file__!r})
 m = importlib.util.module_from_spec(spec); spec.loader.exec_module(m)
 spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
-print([m.queries()[q](spark, {SF!r}).count() for q in ("retrieve_topk", "retrieve_topk_cells", "greedy_token_f1")])
+print([m.queries()[q](spark, {SF!r}).count() for q in ("retrieve_topk", "retrieve_topk_blocks", "greedy_token_f1")])
 """
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300)
     assert done.returncode == 0, done.stderr[-2000:]

@@ -7,7 +7,7 @@ from phraseloom.operators.encode import encode_text
 from phraseloom.hooks import encoder
 
 DDL = "row_id bigint, source_idiom string, source_lang string, target_idiom string, target_lang string, embedding array<float>"
-FORMS = [("small_index", {}), ("few_queries", {}), ("cells", {"block_rows": 25, "pivots": 6})]
+FORMS = [("small_index", {}), ("few_queries", {}), ("blocks", {"block_rows": 25})]
 
 
 def unit(m):
@@ -55,34 +55,47 @@ def test_equals_brute_force(spark, data, form, how, filtered):
     assert got == want
 
 
-def test_cells_without_language_cells(spark, data, monkeypatch):
-    monkeypatch.setattr(retrieval, "MAX_LANGUAGES", 1)
-    vectors, langs, queries, wants = data
-    q = spark.createDataFrame([(str(i), v.tolist(), w) for i, (v, w) in enumerate(zip(queries, wants))], "query_id string, embedding array<float>, want_lang string")
-    rows = retrieval.cosine_top_k(q, index_frame(spark, vectors, langs), 4, form="cells", block_rows=25, pivots=6).orderBy("query_id", "rank").collect()
-    got = {}
-    for r in rows:
-        got.setdefault(int(r["query_id"]), []).append(r["row_id"])
-    assert got == {k: v for k, v in brute(queries, wants, vectors, langs, 4).items() if v}
-
-
-def test_cells_skip_far_cells(spark):
-    """With tight, far groups a query meets only its own group."""
-    rng = np.random.default_rng(3)
-    vectors = unit(np.vstack([np.eye(8)[i % 8] * 10 + 0.05 * rng.normal(size=8) for i in range(400)]))
-    index = index_frame(spark, vectors, ["hi"] * 400)
-    q = spark.createDataFrame([(i, vectors[i].tolist()) for i in range(8)], "query_id bigint, embedding array<float>")
-    got = retrieval.cosine_top_k(q, index, 3, form="cells", pivots=40)
+def test_blocks_move_what_is_asked_for(spark, data):
+    """Rows of the index are copied once per chunk that asks for their language, and to no other."""
+    vectors, langs, queries, _ = data
+    q = spark.createDataFrame([(i, v.tolist(), "hi") for i, v in enumerate(queries)], "query_id bigint, embedding array<float>, want_lang string")
+    index = index_frame(spark, vectors, langs)
+    got = retrieval.cosine_top_k(q, index, 3, form="blocks", block_rows=25)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    ids = {(r["query_id"], r["row_id"] % 8) for r in got.collect()}
-    assert ids == {(i, i) for i in range(8)}
+    assert {r["row_id"] for r in got.collect()} <= {i for i, lang in enumerate(langs) if lang == "hi"}
+
+
+def test_a_forced_form_is_checked_too(spark, data):
+    vectors, langs, queries, _ = data
+    q = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(queries)], "query_id bigint, embedding array<float>")
+    for form in ("small_index", "few_queries"):
+        with pytest.raises(ValueError, match="too large"):
+            retrieval.cosine_top_k(q, index_frame(spark, vectors, langs), 2, form=form, broadcast_bytes=100)
+
+
+@pytest.mark.parametrize("form,how", FORMS)
+def test_both_sides_are_encoded_once(spark, form, how):
+    calls = spark.sparkContext.accumulator(0)
+
+    def load():
+        def model(texts):
+            calls.add(len(texts))
+            return np.array([[len(t), 1.0] for t in texts])
+
+        return model
+
+    texts = spark.createDataFrame([(i, "x" * (i + 1)) for i in range(30)], "row_id bigint, text string")
+    index = encode_text(texts, "text", encoder(load)).select("row_id", F.lit("hi").alias("target_lang"), "embedding")
+    q = encode_text(texts.limit(10), "text", encoder(load)).select(F.col("row_id").alias("query_id"), "embedding")
+    retrieval.cosine_top_k(q, index, 2, form=form, **how).collect()
+    assert calls.value == 40
 
 
 def test_form_follows_size(spark, data, monkeypatch):
     vectors, langs, queries, _ = data
     used = []
-    for name in ("_with_small_index", "_with_few_queries", "_with_cells"):
+    for name in ("_with_small_index", "_with_few_queries", "_with_blocks"):
         real = getattr(retrieval, name)
         monkeypatch.setattr(retrieval, name, lambda *a, _n=name, _r=real: (used.append(_n), _r(*a))[1])
     index = index_frame(spark, vectors, langs)
@@ -90,7 +103,7 @@ def test_form_follows_size(spark, data, monkeypatch):
     retrieval.cosine_top_k(q, index, 2)
     retrieval.cosine_top_k(q, index, 2, broadcast_bytes=16 * 4 * 100)
     retrieval.cosine_top_k(q, index, 2, broadcast_bytes=16 * 4 * 10)
-    assert used == ["_with_small_index", "_with_few_queries", "_with_cells"]
+    assert used == ["_with_small_index", "_with_few_queries", "_with_blocks"]
 
 
 @pytest.mark.parametrize("form,how", FORMS)
@@ -147,7 +160,7 @@ def test_encoder_hook(spark):
     assert got[0] == pytest.approx([3 / 10**0.5, 1 / 10**0.5]) and got[1] == [0.0, 1.0]
 
 
-@pytest.mark.parametrize("how", [{}, {"form": "few_queries"}, {"form": "cells", "block_rows": 25, "pivots": 6}, {"broadcast_bytes": 4000}])
+@pytest.mark.parametrize("how", [{}, {"form": "few_queries"}, {"form": "blocks", "block_rows": 25}, {"broadcast_bytes": 4000}])
 def test_attach_hits_equals_packed_hits(spark, data, how):
     vectors, langs, queries, wants = data
     index = index_frame(spark, vectors, langs)
@@ -186,20 +199,6 @@ def test_a_model_meets_each_row_once(spark, data):
     assert len(rows) == 7 and calls.value == 7
 
 
-def test_cells_with_vectors_that_nearly_coincide(spark):
-    """Angles so small that arccos is inexact must not cost a hit."""
-    rng = np.random.default_rng(11)
-    base = unit(rng.normal(size=(6, 12)))
-    vectors = unit(np.vstack([base[i % 6] + 1e-4 * rng.normal(size=12) for i in range(300)]))
-    queries = unit(np.vstack([base[i % 6] + 1e-4 * rng.normal(size=12) for i in range(30)]))
-    q = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(queries)], "query_id bigint, embedding array<float>")
-    index = index_frame(spark, vectors, ["hi"] * 300)
-    got = {}
-    for r in retrieval.cosine_top_k(q, index, 5, form="cells", pivots=30).orderBy("query_id", "rank").collect():
-        got.setdefault(r["query_id"], []).append(r["row_id"])
-    assert got == brute(queries, [None] * 30, vectors, ["hi"] * 300, 5)
-
-
 def test_spare_copies():
     v = np.array([[1, 0], [0, 1], [1, 0], [1, 0], [0, 1], [1, 0]], dtype=np.float32)
     langs = np.array(["a", "a", "a", "b", "a", "a"], dtype=object)
