@@ -469,16 +469,13 @@ def q_translate_batch(spark, sf):
 
 
 def q_api_response(spark, sf):
-    rows = requests(spark, sf)
-    records = translate.translate_detected(rows, three_language_index(spark, sf))
-    asked = rows.withColumn("text", F.when(F.col("query_id") % 7 == 0, "").otherwise(F.col("text")))
-    return translate.api_response(asked, records)
+    asked = requests(spark, sf).withColumn("text", F.when(F.col("query_id") % 7 == 0, "").otherwise(F.col("text")))
+    return translate.api_response(translate.translate_rows(asked, three_language_index(spark, sf)))
 
 
 def q_literal_passthrough(spark, sf):
-    rows = requests(spark, sf)
-    records = translate.translate_detected(rows, three_language_index(spark, sf))
-    return translate.literal_passthrough(rows.select("query_id", "text"), records)
+    answered = translate.translate_rows(requests(spark, sf), three_language_index(spark, sf))
+    return translate.literal_passthrough(answered).select("query_id", "text", "prediction")
 
 
 def q_exact_match(spark, sf):

@@ -80,7 +80,7 @@ def scorer(load: Callable[[], Callable[[list[str]], np.ndarray]], batch: int = E
 
 
 def translator(load: Callable[[], Callable[[list[str], list[str]], list[str]]]) -> Callable[[DataFrame], DataFrame]:
-    """Adds `translation` from the columns `system_text` and `prompt`.
+    """Adds `translation` from the columns `system_text` and `prompt`; a row without a prompt makes no call.
 
     A call that fails gives the fixed failure text for its row; the job goes on. After a failed batch
     each row is tried by itself, so that one bad row does not take the others with it.
@@ -98,14 +98,19 @@ def translator(load: Callable[[], Callable[[list[str], list[str]], list[str]]])
             except Exception:
                 return V.TRANSLATION_FAILED
 
-        for systems, prompts in parts:
+        for all_systems, all_prompts in parts:
+            asked = all_prompts.notna()
+            systems, prompts = all_systems[asked], all_prompts[asked]
+            if not len(prompts):
+                yield pd.Series([None] * len(all_prompts), index=all_prompts.index, dtype=object)
+                continue
             try:
                 texts = [str(t).strip() for t in model(systems.tolist(), prompts.tolist())]
                 if len(texts) != len(prompts):
                     raise ValueError("the model must return one text per prompt")
             except Exception:
                 texts = [one(s, p) for s, p in zip(systems, prompts)]
-            yield pd.Series(texts, index=prompts.index)
+            yield pd.Series(texts, index=prompts.index, dtype=object).reindex(all_prompts.index, fill_value=None)
 
     call = translate.asNondeterministic()
     return lambda df: df.withColumn("translation", call("system_text", "prompt"))

@@ -14,7 +14,8 @@ from phraseloom.functions import fixed_values as V
 from phraseloom.functions.language import require_language
 from phraseloom.functions.text import as_column, is_blank, strip, tokens
 from phraseloom.operators.encode import gram_counts
-from phraseloom.operators.translate import literal_passthrough, translate_batch
+from phraseloom.operators.detector import detect
+from phraseloom.operators.translate import literal_passthrough, translate_rows
 from phraseloom.storage import stored
 
 
@@ -224,12 +225,11 @@ def evaluate_translations(
         F.to_json("row_ord").alias("query_id"),
         F.col("input_text").alias("text"),
         F.col("target_text").alias("reference"),
+        F.lit(language).alias("target_language"),
     )
     chosen = {} if translator is None else {"translator": translator}
-    records = translate_batch(inputs, index, detector, language, encoder=encoder, **chosen, **how)
-    pairs = literal_passthrough(inputs, records).select(
-        F.col("query_id").alias("pair_id"), "prediction", "reference"
-    )
+    answered = translate_rows(detect(inputs, detector), index, encoder=encoder, **chosen, **how)
+    pairs = literal_passthrough(answered).select(F.col("query_id").alias("pair_id"), "prediction", "reference")
     # Four measures read the pairs; the model must run once.
     pairs = stored(pairs)
     failed = pairs.agg(F.count_if(F.col("prediction") == V.TRANSLATION_FAILED).alias("failures"))

@@ -350,13 +350,21 @@ def pack_hits(hits: DataFrame) -> DataFrame:
 _META = ["source_idiom", "source_lang", "target_idiom", "target_lang"]
 
 
-def _attach_in_one_pass(df: DataFrame, index: DataFrame, k: int) -> DataFrame:
-    rows = index.filter(F.col("embedding").isNotNull()).withColumn("lang", F.coalesce("target_lang", F.lit(_ANY)))
-    data = rows.select("row_id", "embedding", "lang", *_META).toArrow().sort_by("row_id")
-    data = data.filter(pa.array(_first_copies(_matrix(data.column("embedding")), _strings(data.column("lang")), k)))
-    shared = df.sparkSession.sparkContext.broadcast(
-        (_Side.of(data, "row_id").parts(), [data.column(c).combine_chunks() for c in _META])
-    )
+class PreparedIndex:
+    """An index made ready once for many calls of attach_hits(): stored if computed, and sent out if it is small."""
+
+    def __init__(self, index: DataFrame, k: int, broadcast_bytes: int = BROADCAST_BYTES):
+        self.rows, self.k, self.shared = _once(index), k, None
+        if _Size(self.rows, *_META).bytes <= broadcast_bytes:
+            rows = self.rows.filter(F.col("embedding").isNotNull()).withColumn("lang", F.coalesce("target_lang", F.lit(_ANY)))
+            data = rows.select("row_id", "embedding", "lang", *_META).toArrow().sort_by("row_id")
+            data = data.filter(pa.array(_first_copies(_matrix(data.column("embedding")), _strings(data.column("lang")), k)))
+            self.shared = index.sparkSession.sparkContext.broadcast(
+                (_Side.of(data, "row_id").parts(), [data.column(c).combine_chunks() for c in _META])
+            )
+
+
+def _attach_in_one_pass(df: DataFrame, shared, k: int) -> DataFrame:
     out = T.StructType([f for f in df.schema.fields if f.name != "embedding"] + [T.StructField("hits", T.ArrayType(HIT))])
     kept = [f.name for f in out.fields[:-1]]
     has_want = "want_lang" in df.columns
@@ -390,7 +398,7 @@ def _attach_in_one_pass(df: DataFrame, index: DataFrame, k: int) -> DataFrame:
 
 def attach_hits(
     df: DataFrame,
-    index: DataFrame,
+    index: DataFrame | PreparedIndex,
     k: int,
     *,
     source_lang: str | None = None,
@@ -406,9 +414,15 @@ def attach_hits(
     """
     if k < 1:
         raise ValueError("k must be at least 1")
-    rows, kept = _once(language_filter(index, source_lang, target_lang)), _once(df)
-    if form in (None, "small_index") and _Size(rows, *_META).bytes <= broadcast_bytes:
-        return _attach_in_one_pass(kept, rows, k)
+    kept = _once(df)
+    if isinstance(index, PreparedIndex) and (source_lang or target_lang or k > index.k or form is not None):
+        index = index.rows
+    if not isinstance(index, PreparedIndex):
+        rows = language_filter(index, source_lang, target_lang)
+        index = PreparedIndex(rows, k, broadcast_bytes if form in (None, "small_index") else -1)
+    if index.shared is not None:
+        return _attach_in_one_pass(kept, index.shared, k)
+    rows = index.rows
     hits = pack_hits(retrieve(kept, rows, k, form=form, broadcast_bytes=broadcast_bytes, **how))
     joined = kept.drop("embedding").join(hits, "query_id", "left")
     return joined.withColumn("hits", F.coalesce("hits", F.array().cast(T.ArrayType(HIT))))

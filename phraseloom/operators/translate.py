@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from phraseloom.functions import fixed_values as V
 from phraseloom.functions.language import language_code, language_name
-from phraseloom.functions.text import as_column, capitalize
+from phraseloom.functions.text import as_column, capitalize, is_blank
 from phraseloom.hooks import top_hit_translator
 from phraseloom.operators.detector import detect
 from phraseloom.operators.filters import idiomatic_only, nonempty_text
@@ -50,7 +50,7 @@ def prompt_text(text: Column | str, context: Column | str, language: Column | st
     )
 
 
-def translate_detected(
+def translate_rows(
     detected: DataFrame,
     index: DataFrame,
     translator: Callable[[DataFrame], DataFrame] = top_hit_translator,
@@ -58,21 +58,32 @@ def translate_detected(
     k: int = V.PIPELINE_HITS,
     **how,
 ) -> DataFrame:
-    """Translation records of the idiomatic rows of (query_id, text, target_language, detection).
+    """All rows (query_id, text, target_language, detection) with retrieved_context, translation and `translated`.
 
-    Blank and literal rows leave before encoding, search and translation. The language name of each
-    row selects its target language; an unknown name searches all.
+    Blank and literal rows are neither encoded nor searched; their prompt is null, and a translator makes no call for
+    such a row. The language name of each row selects its target language; an unknown name searches all.
     """
-    todo = idiomatic_only(nonempty_text(detected)).withColumn("want_lang", language_code("target_language"))
-    rows = with_hits(todo, index, k, encoder=encoder, **how)
-    rows = rows.withColumn("retrieved_context", context_string("hits"))
-    rows = rows.withColumns(
-        {
-            "system_text": system_text("target_language"),
-            "prompt": prompt_text("text", "retrieved_context", "target_language"),
-        }
-    )
-    return translator(rows).select(
+    todo = ~is_blank("text") & F.coalesce(F.col("detection.is_idiomatic"), F.lit(False))
+    rows = detected.withColumns({"want_lang": language_code("target_language"), "translated": todo})
+    rows = with_hits(rows, index, k, encoder=encoder, only=F.col("translated"), **how)
+    rows = rows.withColumn("retrieved_context", F.when(F.col("translated"), context_string("hits")))
+    prompt = prompt_text("text", "retrieved_context", "target_language")
+    rows = rows.withColumns({"system_text": system_text("target_language"), "prompt": F.when(F.col("translated"), prompt)})
+    done = translator(rows).withColumn("translation", F.when(F.col("translated"), F.col("translation")))
+    return done.drop("want_lang", "hits", "system_text", "prompt")
+
+
+def translate_detected(
+    detected: DataFrame,
+    index: DataFrame,
+    translator: Callable[[DataFrame], DataFrame] = top_hit_translator,
+    encoder: Callable[[Column], Column] | None = None,
+    k: int = V.PIPELINE_HITS,
+    **how,
+) -> DataFrame:
+    """Translation records of the idiomatic rows; the others leave before encoding, search and translation."""
+    todo = idiomatic_only(nonempty_text(detected))
+    return translate_rows(todo, index, translator, encoder, k, **how).select(
         "query_id",
         F.col("text").alias("english_idiom"),
         F.col("detection.confidence").alias("detected_confidence"),
@@ -103,35 +114,26 @@ def requests_with_language(requests: DataFrame) -> DataFrame:
     return requests.withColumns({"text": F.coalesce("text", F.lit("")), "target_language": language_name(code)})
 
 
-def api_response(requests: DataFrame, records: DataFrame) -> DataFrame:
-    """One response per request: an error for empty text, fixed texts for literal input."""
-    found = records.select("query_id", "retrieved_context", "translation", F.lit(True).alias("_found"))
-    joined = requests.select("query_id", F.coalesce("text", F.lit("")).alias("text")).join(found, "query_id", "left")
-    empty = F.col("text") == ""
-    translated = F.coalesce("_found", F.lit(False))
+def api_response(answered: DataFrame) -> DataFrame:
+    """One response per row of translate_rows(): an error for empty text, fixed texts for literal input."""
+    empty = F.coalesce("text", F.lit("")) == ""
 
     def answer(value: str, missing: str, literal: str) -> Column:
-        shown = F.when(translated, F.coalesce(value, F.lit(missing))).otherwise(literal)
+        shown = F.when(F.col("translated"), F.coalesce(value, F.lit(missing))).otherwise(literal)
         return F.when(~empty, shown)
 
-    return joined.select(
+    return answered.select(
         "query_id",
         answer("retrieved_context", V.RESPONSE_NO_CONTEXT, V.RESPONSE_LITERAL_CONTEXT).alias("retrieved_context"),
-        answer("translation", V.RESPONSE_NO_TRANSLATION, V.RESPONSE_LITERAL_TRANSLATION).alias(
-            "generated_translation"
-        ),
+        answer("translation", V.RESPONSE_NO_TRANSLATION, V.RESPONSE_LITERAL_TRANSLATION).alias("generated_translation"),
         F.when(empty, V.RESPONSE_NO_TEXT).alias("error"),
     )
 
 
-def literal_passthrough(inputs: DataFrame, records: DataFrame) -> DataFrame:
-    """Prediction of every input row: its translation, or its own text if there is none.
+def literal_passthrough(answered: DataFrame) -> DataFrame:
+    """Rows of translate_rows() with a prediction: the translation, or the row's own text if it was not translated.
 
-    A record with a null translation counts as an empty prediction, not as a missing record.
+    A null translation counts as an empty prediction, not as a missing one.
     """
-    found = records.select("query_id", F.coalesce("translation", F.lit("")).alias("_translation"))
-    return (
-        inputs.join(found, "query_id", "left")
-        .withColumn("prediction", F.coalesce("_translation", "text"))
-        .drop("_translation")
-    )
+    own = F.when(F.col("translated"), F.coalesce("translation", F.lit(""))).otherwise(F.col("text"))
+    return answered.withColumn("prediction", own)

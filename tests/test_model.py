@@ -230,17 +230,37 @@ def test_api_response(spark, index):
     requests = translate.requests_with_language(spark.createDataFrame(rows, "query_id string, text string, target_lang string"))
     names = {r["query_id"]: r["target_language"] for r in requests.collect()}
     assert names == {"a": "telugu", "b": "hindi", "c": "malayalam", "d": "hindi", "e": "hindi", "f": "malayalam"}
-    records = translate.translate_batch(requests, index, hooks.scorer(bucket_scorer))
-    got = {r["query_id"]: tuple(r)[1:] for r in translate.api_response(requests, records).collect()}
+    detected = detector.detect(requests, hooks.scorer(bucket_scorer))
+    answered = translate.translate_rows(detected, index)
+    got = {r["query_id"]: tuple(r)[1:] for r in translate.api_response(answered).collect()}
     literal = (V.RESPONSE_LITERAL_CONTEXT, V.RESPONSE_LITERAL_TRANSLATION, None)
     assert got["a"][1] == "చనిపోవు" and got["b"] == literal and got["e"] == literal
     assert got["c"] == got["d"] == (None, None, V.RESPONSE_NO_TEXT)
     assert got["f"] == ("", "a bucket", None)
-    gaps = records.withColumn("retrieved_context", F.lit(None)).withColumn("translation", F.lit(None))
-    got = {r["query_id"]: tuple(r)[1:] for r in translate.api_response(requests, gaps).collect()}
+    gaps = answered.withColumn("retrieved_context", F.lit(None)).withColumn("translation", F.lit(None))
+    got = {r["query_id"]: tuple(r)[1:] for r in translate.api_response(gaps).collect()}
     assert got["a"] == (V.RESPONSE_NO_CONTEXT, V.RESPONSE_NO_TRANSLATION, None)
 
 
+def test_a_translator_makes_no_call_for_literal_rows(spark, index):
+    calls = spark.sparkContext.accumulator(0)
+
+    def load():
+        def model(systems, prompts):
+            calls.add(len(prompts))
+            return [f"out {p[:3]}" for p in prompts]
+
+        return model
+
+    rows = [("a", "kick the bucket", "hindi"), ("b", "plain", "hindi"), ("c", " ", "hindi"), ("d", None, "hindi")]
+    df = spark.createDataFrame(rows, "query_id string, text string, target_language string")
+    answered = translate.translate_rows(detector.detect(df, hooks.scorer(bucket_scorer)), index, hooks.translator(load))
+    got = {r["query_id"]: (r["translated"], r["translation"]) for r in answered.collect()}
+    assert got == {"a": (True, "out Eng"), "b": (False, None), "c": (False, None), "d": (False, None)} and calls.value == 1
+    plan = translate.api_response(answered)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+
+
 # ---------------------------------------------------------------------- evaluation
 
 
