@@ -355,9 +355,12 @@ def q_head_per_language(spark, sf):
 
 
 def q_profile_report(spark, sf):
-    everything = stored(unified(spark, sf))
+    everything, kept = stored(unified(spark, sf)), stored(cleaned(spark, sf))
     return report_plan.profile_report(
-        unified=everything, detection=stored(cleaned(spark, sf)), cross_lingual=filters.with_target(everything)
+        unified=everything,
+        detection=kept,
+        splits=stored(splitting.stratified_split(kept)),
+        cross_lingual=filters.with_target(everything),
     )
 
 

@@ -8,12 +8,17 @@ from phraseloom.functions import fixed_values as V
 from phraseloom.functions.text import label_name, token_count
 
 
-def row_count(df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("n"))
+def _rows(weight: str | None) -> Column:
+    """Number of rows, or of the rows that stand behind a table of counts with that column."""
+    return (F.count(F.lit(1)) if weight is None else F.coalesce(F.sum(weight), F.lit(0))).alias("n")
 
 
-def counts_by(df: DataFrame, *cols: str) -> DataFrame:
-    return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
+def row_count(df: DataFrame, weight: str | None = None) -> DataFrame:
+    return df.agg(_rows(weight))
+
+
+def counts_by(df: DataFrame, *cols: str, weight: str | None = None) -> DataFrame:
+    return df.groupBy(*cols).agg(_rows(weight))
 
 
 def label_distribution(df: DataFrame) -> DataFrame:
@@ -21,11 +26,11 @@ def label_distribution(df: DataFrame) -> DataFrame:
     return counts_by(df, "label").select(label_name("label").alias("label_name"), "n")
 
 
-def class_balance(df: DataFrame) -> DataFrame:
+def class_balance(df: DataFrame, weight: str | None = None) -> DataFrame:
     """Rows, percent to one place and a bar of up to 30 characters per class."""
     share = F.col("n") / F.sum("n").over(Window.partitionBy())
     bar = F.repeat(F.lit("█"), F.floor(F.lit(V.BAR_CHARS) * share).cast("int"))
-    return counts_by(df, "label").select(
+    return counts_by(df, "label", weight=weight).select(
         label_name("label").alias("label_name"),
         "n",
         F.round(100 * share, 1).alias("pct"),
@@ -55,18 +60,20 @@ def imbalance_check(df: DataFrame, threshold: float = V.IMBALANCE_THRESHOLD) ->
     )
 
 
-def _length_counts(df: DataFrame, col: str) -> DataFrame:
-    """Rows per token count: a small table, whatever the number of rows."""
-    return (
-        df.filter(F.col(col).isNotNull())
-        .groupBy(token_count(col).alias("tokens"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+def length_counts(df: DataFrame, col: str = "text", *by: str) -> DataFrame:
+    """Rows per token count (null for no text) and more columns: a small table, whatever the number of rows."""
+    return df.groupBy(*by, token_count(col).alias("tokens")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def token_length_stats(df: DataFrame, col: str = "text") -> DataFrame:
     """Minimum, maximum, mean to one place and exact median of the token counts."""
-    return _length_counts(df, col).agg(
+    return length_stats(length_counts(df, col))
+
+
+def length_stats(counts: DataFrame) -> DataFrame:
+    """The same from a table of length_counts()."""
+    known = counts.filter("tokens IS NOT NULL").groupBy("tokens").agg(F.sum("n").alias("n"))
+    return known.agg(
         F.min("tokens").alias("min_tokens"),
         F.max("tokens").alias("max_tokens"),
         F.round(F.sum(F.col("tokens") * F.col("n")) / F.sum("n"), 1).alias("mean_tokens"),
@@ -75,6 +82,10 @@ def token_length_stats(df: DataFrame, col: str = "text") -> DataFrame:
 
 
 def token_length_histogram(df: DataFrame, col: str = "text") -> DataFrame:
+    return length_histogram(length_counts(df, col))
+
+
+def length_histogram(counts: DataFrame) -> DataFrame:
     """Rows per length bucket, empty buckets with 0; the last bucket is open and has no upper bound."""
     buckets = list(zip(V.LENGTH_BOUNDS, [*V.LENGTH_BOUNDS[1:], None]))
     # Conditional sums and not a filter on the bucket: a filter would be pushed below the count and
@@ -91,25 +102,25 @@ def token_length_histogram(df: DataFrame, col: str = "text") -> DataFrame:
         )
         for lo, hi in buckets
     ]
-    return _length_counts(df, col).agg(*sums).select(F.inline(F.array(*rows)))
+    return counts.agg(*sums).select(F.inline(F.array(*rows)))
 
 
-def source_breakdown(df: DataFrame) -> DataFrame:
-    return counts_by(df.filter(F.col("source").isNotNull()), "source").orderBy(F.desc("n"), "source")
+def source_breakdown(df: DataFrame, weight: str | None = None) -> DataFrame:
+    return counts_by(df.filter(F.col("source").isNotNull()), "source", weight=weight).orderBy(F.desc("n"), "source")
 
 
-def language_counts(df: DataFrame) -> DataFrame:
-    return counts_by(df.filter(F.col("source_lang").isNotNull()), "source_lang").orderBy(F.desc("n"), "source_lang")
+def language_counts(df: DataFrame, weight: str | None = None) -> DataFrame:
+    return counts_by(df.filter(F.col("source_lang").isNotNull()), "source_lang", weight=weight).orderBy(F.desc("n"), "source_lang")
 
 
-def pair_coverage(df: DataFrame, top: int = V.PAIR_REPORT_ROWS) -> DataFrame:
+def pair_coverage(df: DataFrame, top: int = V.PAIR_REPORT_ROWS, weight: str | None = None) -> DataFrame:
     """The most frequent language pairs; a pair with a missing language does not count."""
     pair = F.concat(F.col("source_lang"), F.lit(" → "), F.col("target_lang"))
     return (
-        df.select(pair.alias("pair"))
+        df.withColumn("pair", pair)
         .filter(F.col("pair").isNotNull())
         .groupBy("pair")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(_rows(weight))
         .orderBy(F.desc("n"), "pair")
         .limit(top)
     )

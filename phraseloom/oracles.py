@@ -217,8 +217,29 @@ def _report() -> str:
         row("detection", "sample", "a", "b", sample),
         row("cross_lingual", "pair", "source_lang || ' → ' || target_lang", "count(*)", cross, "GROUP BY source_lang, target_lang"),
     ]
+    for part in ("train", "val", "test"):
+        source = f"(SELECT * FROM by_split WHERE split = '{part}')"
+        part_lens = f"(SELECT {_count_tokens('text')} AS n FROM by_split WHERE split = '{part}')"
+        parts += [
+            row(part, "n", "''", "count(*)", source),
+            row(part, "class", _NAME, "count(*)", source, "GROUP BY label"),
+            row(part, "min_tokens", "''", "min(n)", part_lens),
+            row(part, "max_tokens", "''", "max(n)", part_lens),
+            row(part, "mean_tokens", "''", "round(avg(n), 1)", part_lens),
+            row(part, "median_tokens", "''", "CAST(median(n) AS DOUBLE)", part_lens),
+            f"""SELECT '{part}', 'length_from', CAST(b.lo AS VARCHAR), CAST(count(l.n) AS VARCHAR)
+                FROM (VALUES {rows}) b(lo, hi) LEFT JOIN {part_lens} l ON l.n >= b.lo AND (b.hi IS NULL OR l.n < b.hi) GROUP BY b.lo""",
+        ]
+    both = ("train", "val"), ("train", "test"), ("val", "test")
+    shared = {
+        f"{a}_{b}": f"(SELECT count(*) FROM (SELECT text FROM by_split WHERE split = '{a}' INTERSECT SELECT text FROM by_split WHERE split = '{b}'))"
+        for a, b in both
+    }
+    parts += [f"SELECT 'splits', '{name}', '', CAST({count} AS VARCHAR)" for name, count in shared.items()]
+    parts.append(f"SELECT 'splits', 'clean', '', CAST({' + '.join(shared.values())} = 0 AS VARCHAR)")
     cleaned = CLEANED.split("all_cleaned AS", 1)[1]
-    return f"WITH {UNIFIED}, all_cleaned AS {cleaned} " + " UNION ALL ".join(f"({p})" for p in parts)
+    split = f"by_split AS (SELECT * FROM {_split('cleaned', 'text', 'label')})"
+    return f"WITH {UNIFIED}, all_cleaned AS {cleaned}, {split} " + " UNION ALL ".join(f"({p})" for p in parts)
 
 
 def _vectors(source: str, ident: str) -> str:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from phraseloom.operators import profile as P
 from phraseloom.operators.sampling import sample_rows
+from phraseloom.storage import stored
 
 
 def _long(df: DataFrame, table: str, metric: str, item: str | None, value: str) -> DataFrame:
@@ -23,36 +24,46 @@ def _wide(df: DataFrame, table: str) -> list[DataFrame]:
     return [_long(df, table, c, None, c) for c in df.columns]
 
 
+def _of_texts(counts: DataFrame, table: str) -> list[DataFrame]:
+    """Rows, classes and lengths from counts by label and length."""
+    return [
+        *_wide(P.row_count(counts, "n"), table),
+        _long(P.class_balance(counts, "n"), table, "class", "label_name", "n"),
+        *_wide(P.length_stats(counts), table),
+        _long(P.length_histogram(counts), table, "length_from", "lo", "n"),
+    ]
+
+
 def profile_report(
     unified: DataFrame | None = None,
     detection: DataFrame | None = None,
     splits: DataFrame | None = None,
     cross_lingual: DataFrame | None = None,
 ) -> DataFrame:
-    """Profile of the tables at hand; a missing table is left out."""
+    """Profile of the tables at hand; a missing table is left out.
+
+    Each table is counted in one pass by the columns that the report needs; that small table is stored, and all
+    numbers come from it. Only the sample and the leakage check read texts once more.
+    """
     parts: list[DataFrame] = []
-    for name, df in (("unified", unified), ("detection", detection), ("cross_lingual", cross_lingual)):
-        if df is not None:
-            parts += _wide(P.row_count(df), name)
     if unified is not None:
-        parts.append(_long(P.source_breakdown(unified), "unified", "source", "source", "n"))
-        parts.append(_long(P.language_counts(unified), "unified", "language", "source_lang", "n"))
+        counts = stored(P.counts_by(unified, "source", "source_lang"))
+        parts += _wide(P.row_count(counts, "n"), "unified")
+        parts.append(_long(P.source_breakdown(counts, "n"), "unified", "source", "source", "n"))
+        parts.append(_long(P.language_counts(counts, "n"), "unified", "language", "source_lang", "n"))
     if detection is not None:
         col = "source_idiom" if "source_idiom" in detection.columns else "text"
-        parts.append(_long(P.class_balance(detection), "detection", "class", "label_name", "n"))
-        parts += _wide(P.token_length_stats(detection, col), "detection")
-        parts.append(_long(P.token_length_histogram(detection, col), "detection", "length_from", "lo", "n"))
+        parts += _of_texts(stored(P.length_counts(detection, col, "label")), "detection")
         parts.append(_long(sample_rows(detection, col=col), "detection", "sample", "label_name", "sample_text"))
     if splits is not None:
+        counts = stored(P.length_counts(splits, "text", "split", "label"))
         for name in ("train", "val", "test"):
-            part = splits.filter(F.col("split") == name)
-            parts += _wide(P.row_count(part), name)
-            parts.append(_long(P.class_balance(part), name, "class", "label_name", "n"))
-            parts += _wide(P.token_length_stats(part), name)
-            parts.append(_long(P.token_length_histogram(part), name, "length_from", "lo", "n"))
+            parts += _of_texts(counts.filter(F.col("split") == name), name)
         parts += _wide(P.leakage_check(splits), "splits")
     if cross_lingual is not None:
-        parts.append(_long(P.pair_coverage(cross_lingual), "cross_lingual", "pair", "pair", "n"))
+        counts = stored(P.counts_by(cross_lingual, "source_lang", "target_lang"))
+        parts += _wide(P.row_count(counts, "n"), "cross_lingual")
+        parts.append(_long(P.pair_coverage(counts, weight="n"), "cross_lingual", "pair", "pair", "n"))
     if not parts:
         raise ValueError("no table to profile")
     return reduce(lambda a, b: a.unionByName(b), parts)
