@@ -257,6 +257,30 @@ def _vectors(source: str, ident: str) -> str:
         WHERE c2 IS NOT NULL GROUP BY ALL)"""
 
 
+def _text_f1() -> str:
+    """Greedy token F1 of each answer against its question, with the vectors of the distinct tokens."""
+
+    def toks(c: str) -> str:
+        return rf"list_filter(string_split_regex({c}, '\s+'), lambda w: w <> '')"
+
+    def side(name: str, c: str) -> str:
+        return f"{name} AS (SELECT pair_id, unnest({c}) AS w, generate_subscripts({c}, 1) AS i FROM tk)"
+
+    def best(name: str, by: str) -> str:
+        return f"{name} AS (SELECT pair_id, avg(m) AS {name} FROM (SELECT pair_id, {by}, max(s) AS m FROM d GROUP BY pair_id, {by}) GROUP BY pair_id)"
+
+    return f"""WITH {PAIRS}, tk AS (
+      SELECT conv_id * 1000 + turn AS pair_id, {toks('target_idiom')} AS pl, {toks('source_idiom')} AS rl FROM pairs),
+    {side('pw', 'pl')}, {side('rw', 'rl')},
+    wd AS (SELECT w, w AS text FROM pw UNION SELECT w, w AS text FROM rw), v AS ({_vectors('wd', 'w')}),
+    need AS (SELECT DISTINCT pw.w AS a, rw.w AS b FROM pw JOIN rw USING (pair_id)),
+    dots AS (SELECT a, b, sum(x.x * y.x) AS s FROM need JOIN v x ON x.w = a JOIN v y ON y.w = b AND y.pos = x.pos GROUP BY a, b),
+    d AS (SELECT pw.pair_id, pw.i, rw.i AS j, coalesce(s, 0) AS s FROM pw JOIN rw USING (pair_id) LEFT JOIN dots ON a = pw.w AND b = rw.w),
+    {best('p', 'i')}, {best('r', 'j')}
+    SELECT pair_id, round(coalesce(CASE WHEN p + r <> 0 THEN 2 * p * r / (p + r) ELSE 0 END, 0), 4) AS f1
+    FROM tk LEFT JOIN p USING (pair_id) LEFT JOIN r USING (pair_id)"""
+
+
 def _stream() -> str:
     return f"""WITH {PAIRS}, n AS (
       SELECT {_strip('source_idiom')} AS source_idiom, {_strip('target_idiom')} AS target_idiom, target_lang, conv_id, turn
@@ -445,6 +469,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT count(*) AS pairs, count(*) FILTER ({_strip('p')} = {_strip('r')}) AS exact_matches FROM t)
             SELECT pairs, exact_matches, exact_matches / pairs * 100 AS exact_match_pct FROM m""",
         "corpus_bleu": _bleu(),
+        "text_token_f1": _text_f1(),
         "greedy_token_f1": """WITH e AS (SELECT vec_id, vec_id // 5 AS g, embedding::DOUBLE[] AS v FROM embeddings),
             d AS (SELECT a.g, a.vec_id AS a, b.vec_id AS b, list_dot_product(a.v, b.v) AS s FROM e a JOIN e b ON b.g = a.g + 1),
             p AS (SELECT g, avg(m) AS p FROM (SELECT g, a, max(s) AS m FROM d GROUP BY g, a) GROUP BY g),
