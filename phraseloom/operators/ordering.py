@@ -60,14 +60,16 @@ def dense_position(df: DataFrame, chunk: list[str], order: list[str], name: str
 
 
 SAMPLE_PER_BUCKET = 200
+BUCKET_ROWS = 250_000
 
 
-def id_buckets(df: DataFrame, id_col: str, total: int, buckets: int = 1024, name: str = "_bucket") -> DataFrame:
+def id_buckets(df: DataFrame, id_col: str, total: int, buckets: int | None = None, name: str = "_bucket") -> DataFrame:
     """Cut a numeric id into buckets of about equal row count that keep the id order.
 
     The bounds are quantiles of a small sample of the ids. Any bounds give right positions; these give
-    even tasks. At most `buckets` numbers reach the driver.
+    even tasks. At most `buckets` numbers reach the driver; by default there is one per BUCKET_ROWS rows.
     """
+    buckets = max(8, -(-total // BUCKET_ROWS)) if buckets is None else buckets
     probs = [i / buckets for i in range(1, buckets)]
     fraction = min(1.0, SAMPLE_PER_BUCKET * buckets / max(1, total))
     some_ids = df.select(id_col).sample(fraction, seed=1) if fraction < 1 else df
@@ -79,7 +81,7 @@ def id_buckets(df: DataFrame, id_col: str, total: int, buckets: int = 1024, name
 
 
 def position_by_id(
-    df: DataFrame, id_col: str, name: str = "position", total: int | None = None, buckets: int = 1024
+    df: DataFrame, id_col: str, name: str = "position", total: int | None = None, buckets: int | None = None
 ) -> DataFrame:
     """0-based position of each row in the order of a unique numeric id."""
     total = df.count() if total is None else total

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import decimal
 import sys
+import tempfile
 import time
 from collections import Counter
 from pathlib import Path
@@ -68,8 +69,11 @@ def main() -> None:
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:]
+    folder = tempfile.mkdtemp(prefix="compare-")
     spark = (
         SparkSession.builder.master("local[8]")
+        .config("spark.checkpoint.dir", f"{folder}/shared")
+        .config("spark.sql.warehouse.dir", f"{folder}/warehouse")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
