@@ -2,17 +2,21 @@
 
 Sets. Equal sets are one class from the start; the class stands under its smallest id.
 
-Index. A class is a point: its shingles are hashed into 64 groups and the coordinates are the group counts. Two sets
+Index. A class is a point: its shingles are hashed into groups, about one per two shingles and 128 at least, and the
+coordinates are the group counts; a point with more groups folds onto one with fewer. Two sets
 share at most the sum of their coordinate minima, and a box of points (a node of the R-tree) bounds a query by its
-upper corner. Top levels of the tree are equi-join keys: classes that can link share one of their smallest hashed
-shingles, and lie in the same or in neighbouring size bands (sizes differ by 4/3 at most). A set of n shingles has its
-n/4 + 1 smallest hashes as keys, the exact prefix bound, or 32 if that is less. With 32, a linked pair has no common
-key only if each of the 32 smallest hashes of the union falls outside the intersection, a chance of 0.25**32 = 5e-20
-per pair, which is that of equal 64-bit hashes. Below the keys are leaves of at most 64 points, filled by components
-found so far and split by hash; a leaf pair is opened only if the boxes can hold a linked pair.
-
-Steps. (a) Every class is tested against the smallest class of each of its keys, and links make first components; a
-large group of near copies becomes one component with one test per class. (b) Keys that still hold more than one
+upper corner. Top levels of the tree are equi-join keys: classes that can link share one of their keys, and lie in the
+same or in neighbouring size bands (sizes differ by 4/3 at most). Below the keys are leaves of at most 64 points, filled
+by components found so far and split by hash; a leaf pair is opened only if the boxes can hold a linked pair.
+
+Keys. Shingles are ordered by hash, with those that are frequent in a bounded sample of documents last; any order gives
+right results, this one keeps passages that many documents share out of the keys. A set of n shingles has its first
+n/4 + 1 as keys, the exact prefix bound; but if n >= 128 and at least half are not frequent, the first 32 do. A linked
+pair then has no common key only if 32 independent draws all fall outside the intersection, each with a chance of at
+most 7/16 (1/4 without frequent shingles): under 4e-12 per pair at a similarity of just 0.75, far less above it.
+
+Steps. (a) Every class is tested against the smallest and the largest class of each of its keys, and links make first components; a
+large group of near copies becomes one component with a few tests per class. (b) Keys that still hold more than one
 component go through leaves, and only pairs from different components are tested. Pairs whose bound reaches the
 threshold are verified on the full sets. No pairs are emitted within a group, and no group is gathered.
 
@@ -37,10 +41,14 @@ from phraseloom.llm.words import BLANKS, Words, mix, text_slices
 SHINGLE = 5
 NUMERATOR, DENOMINATOR = 75, 100
 KEYS = 32
-GROUPS = 64
+GROUPS, MOST_GROUPS = 128, 1 << 20
+HEAD = 16
 LEAF = 64
+SAMPLE_ROWS = 8000
+FREQUENT = 5  # documents of the sample
+FINE = 0xFFFF
 
-SETS = "doc_id bigint, n bigint, c1 bigint, c2 bigint, counts binary, key bigint"
+SETS = "doc_id bigint, n bigint, c1 bigint, c2 bigint, counts binary, head binary, key bigint"
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
@@ -56,35 +64,79 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
             yield np.zeros(0, np.uint64)
 
 
-def set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def frequent_shingles(docs: DataFrame) -> np.ndarray:
+    """Sorted shingles of at least FREQUENT of SAMPLE_ROWS documents, those with the smallest hashed ids.
+
+    At most SAMPLE_ROWS / FREQUENT times the shingles of a text. They change the work, not the result.
+    """
+    picked = docs.select("doc_id").filter("doc_id IS NOT NULL").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, data, offsets in text_slices(batch):
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(list(shingle_sets(data, offsets))).view(np.int64))], ["shingle"])
+
+    every = docs.select("doc_id", "text").join(picked, "doc_id").mapInArrow(shingles, "shingle bigint")
+    hot = every.groupBy("shingle").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= FREQUENT).select("shingle").toArrow()
+    return np.sort(hot.column(0).to_numpy().view(np.uint64))
+
+
+def keys_of(s: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """The keys of a sorted set."""
+    common = np.zeros(len(s), bool)
+    if len(frequent):
+        common = frequent[np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)] == s
+    rare = s[~common]
+    most = KEYS if len(s) >= 4 * KEYS and 2 * len(rare) >= len(s) else len(s) // 4 + 1
+    return np.concatenate([rare, s[common]])[:most]
+
+
+def point_of(s: np.ndarray) -> np.ndarray:
+    """Group counts of a set; the number of groups is a power of two."""
+    groups = GROUPS
+    while groups * 3 < len(s) and groups < MOST_GROUPS:
+        groups *= 2
+    return np.bincount((s & np.uint64(groups - 1)).astype(np.int64), minlength=groups).astype("u1")
+
+
+def folded(points: list[bytes], kind: str = "u1") -> np.ndarray:
+    """Points as rows of a matrix, folded to the smallest number of groups among them."""
+    arrays = [np.frombuffer(p, kind) for p in points]
+    groups = min(map(len, arrays))
+    return np.stack([a.reshape(-1, groups).sum(0, dtype=np.int32) for a in arrays])
+
+
+def set_rows(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
     """A row per text with its size, digest and group counts, and a row per key."""
     names = [f.split()[0] for f in SETS.split(", ")]
-    kinds = [pa.int64()] * 4 + [pa.binary(), pa.int64()]
+    kinds = [pa.int64()] * 4 + [pa.binary(), pa.binary(), pa.int64()]
     for batch in batches:
         ids = batch.column("doc_id").to_pylist()
         for row, _, data, offsets in text_slices(batch):
             head, keys, owners = [], [], []
             for i, s in enumerate(shingle_sets(data, offsets), row):
                 n = len(s)
-                counts = np.bincount((s & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype("<u4").tobytes() if n else None
+                counts = point_of(s).tobytes() if n else None
                 c1, c2 = (int(mix(s + np.uint64(salt)).sum().view(np.int64)) if n else 0 for salt in (1, 7))
-                head.append((ids[i], n, c1, c2, counts, None))
+                own = keys_of(s, frequent).view(np.int64)
+                head.append((ids[i], n, c1, c2, counts, np.sort(own)[:HEAD].tobytes(), None))
                 if n and ids[i] is not None:
-                    own = s[: min(n // 4 + 1, KEYS)]
-                    keys.append(own.view(np.int64))
+                    keys.append(own)
                     owners += [ids[i]] * len(own)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*head), kinds)], names)
             if keys:
                 m = len(owners)
-                empty = [pa.nulls(m, k) for k in kinds[1:5]]
+                empty = [pa.nulls(m, k) for k in kinds[1:6]]
                 yield pa.RecordBatch.from_arrays([pa.array(owners, pa.int64()), *empty, pa.array(np.concatenate(keys))], names)
 
 
 def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row, to, data, offsets in text_slices(batch):
-            sets = [s.tobytes() for s in shingle_sets(data, offsets)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(row, to - row), pa.array(sets, pa.binary())], ["doc_id", "shingles"])
+            sets = list(shingle_sets(data, offsets))
+            fine = [np.sort((s >> np.uint64(8) & np.uint64(FINE)).astype(np.uint16)).tobytes() for s in sets]
+            columns = [batch.column("doc_id").slice(row, to - row), pa.array(fine, pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fine", "shingles"])
 
 
 def reach(shared: np.ndarray, total: np.ndarray) -> np.ndarray:
@@ -96,11 +148,30 @@ def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs (u, v) whose group counts allow a link."""
     for batch in batches:
         if len(batch):
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(-1, GROUPS).astype(np.int64) for c in ("a", "b"))
-            keep = reach(np.minimum(a, b).sum(1), a.sum(1) + b.sum(1))
+            keep = []
+            for pair in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+                both = folded(list(pair))
+                keep.append(bool(reach(both.min(0).sum(), both.sum())))
             yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v")], ["u", "v"]).filter(pa.array(keep))
 
 
+def closely_bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (u, v) whose counts in 65,536 groups, kept as sorted lists of group numbers, allow a link."""
+    for batch in batches:
+        keep = []
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+            x, y = np.frombuffer(a, np.uint16), np.frombuffer(b, np.uint16)
+            groups = np.bincount(x, minlength=FINE + 1) if len(x) > 4096 else None
+            if groups is not None:
+                shared = np.minimum(groups, np.bincount(y, minlength=FINE + 1)).sum()
+            else:
+                first = np.searchsorted(x, x)  # the r-th of equal numbers in x meets the r-th in y
+                at = np.searchsorted(y, x) + np.arange(len(x)) - first
+                shared = (y[np.minimum(at, len(y) - 1)] == x)[at < len(y)].sum() if len(y) else 0
+            keep.append(bool(reach(shared, len(x) + len(y))))
+        yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v")], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
+
+
 def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs (u, v) whose sets reach the threshold."""
     for batch in batches:
@@ -118,6 +189,18 @@ def with_sides(pairs: DataFrame, side: DataFrame, column: str) -> DataFrame:
     return pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b")
 
 
+def links_of(pairs: DataFrame, docs: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """The pairs that link: first by the closer bound, then on the full sets, which are made for their documents only."""
+    ids = pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
+    ids = scratch.write(ids, f"{name}-ids")
+    sets = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
+    sets = scratch.write(sets.mapInArrow(full_sets, "doc_id bigint, fine binary, shingles binary"), f"{name}-sets")
+    near = scratch.write(with_sides(pairs, sets, "fine").mapInArrow(closely_bounded, "u bigint, v bigint"), f"{name}-near")
+    links = scratch.write(with_sides(near, sets, "shingles").mapInArrow(verified, "u bigint, v bigint"), name)
+    scratch.drop(f"{name}-ids", f"{name}-sets", f"{name}-near")
+    return links
+
+
 def group_runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
     """Runs of equal `key` in a sorted stream. A run is one leaf pair, so it is small."""
     rest = None
@@ -141,7 +224,9 @@ def leaf_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     size = 0
     for run in group_runs(batches, "pair"):
         ids, comp, left = (run.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "component", "left"))
-        points = np.frombuffer(b"".join(run.column("counts").to_pylist()), "<u4").reshape(-1, GROUPS).astype(np.int32)
+        points = folded(run.column("counts").to_pylist())
+        heads = [set(np.frombuffer(h, np.int64).tolist()) for h in run.column("head").to_pylist()]
+        key = run.column("key")[0].as_py()
         total = points.sum(1)
         lone = left.all()
         rows = np.flatnonzero(left)
@@ -155,6 +240,8 @@ def leaf_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             near = others[(others > i) if lone else slice(None)]
             near = near[comp[near] != comp[i]]
             near = near[reach(np.minimum(points[near], points[i]).sum(1), total[near] + total[i])]
+            # Of the keys that two sets share, the smallest speaks for the pair, as far as heads show it.
+            near = near[[min(heads[i] & heads[j], default=key) == key for j in near.tolist()]] if len(near) else near
             if len(near):
                 found.append(np.stack([np.minimum(ids[near], ids[i]), np.maximum(ids[near], ids[i])]))
                 size += len(near)
@@ -170,59 +257,66 @@ def box_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Leaf pairs whose boxes can hold a linked pair: `a`, `b` are upper corners, `na`, `nb` the smallest sizes."""
     for batch in batches:
         if len(batch):
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(-1, GROUPS).astype(np.int64) for c in ("a", "b"))
-            keep = reach(np.minimum(a, b).sum(1), batch.column("na").to_numpy() + batch.column("nb").to_numpy())
+            shared = [folded(list(pair), "<u4").min(0).sum() for pair in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist())]
+            keep = reach(np.array(shared), batch.column("na").to_numpy() + batch.column("nb").to_numpy())
             yield batch.select(["la", "lb"]).filter(pa.array(keep))
 
 
+BOXES = "key bigint, band bigint, leaf bigint, least bigint, corner binary, only bigint"
+
+
 def leaf_boxes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    out = []
+    """The box of every leaf; `only` is its component, null if it holds more than one."""
+    names, kinds, out = [f.split()[0] for f in BOXES.split(", ")], [pa.int64()] * 4 + [pa.binary(), pa.int64()], []
     for run in group_runs(batches, "leaf"):
-        points = np.frombuffer(b"".join(run.column("counts").to_pylist()), "<u4").reshape(-1, GROUPS)
-        one = run.slice(0, 1)
-        out.append((one.column("key")[0].as_py(), one.column("band")[0].as_py(), one.column("leaf")[0].as_py(), int(points.sum(1).min()), points.max(0).tobytes()))
+        points = folded(run.column("counts").to_pylist())
+        comp = run.column("component").to_numpy()
+        one = [run.column(c)[0].as_py() for c in ("key", "band", "leaf")]
+        out.append((*one, int(points.sum(1).min()), points.max(0).astype("<u4").tobytes(), int(comp[0]) if (comp == comp[0]).all() else None))
         if len(out) >= 2000:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], ["key", "band", "leaf", "least", "corner"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
             out = []
     if out:
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], ["key", "band", "leaf", "least", "corner"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
 
 
 def across_components(keyed: DataFrame, scratch: Scratch) -> DataFrame:
     """Pairs of different components that share a key and whose group counts allow a link.
 
-    `keyed`: key, doc_id, n, counts, component.
+    `keyed`: key, doc_id, n, counts, head, component.
     """
     spark = keyed.sparkSession
     mixed = keyed.groupBy("key").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).filter("_a <> _b").select("key")
     mixed = scratch.write(mixed, "mixed")
     band = F.floor(F.log("n") / math.log(DENOMINATOR / NUMERATOR) + 1e-9).cast("bigint")
     rows = scratch.write(keyed.join(mixed, "key").withColumn("band", band), "mixed_rows")
-    # Leaves hold a component together where it fits, else they split it by hash.
-    blocks = rows.groupBy("key", "band").agg(F.count(F.lit(1)).alias("_block"))
-    own = rows.groupBy("key", "band", "component").agg(F.count(F.lit(1)).alias("_own"))
-    sizes = scratch.write(own.join(blocks, ["key", "band"]), "sizes")
-    by_component = F.pmod(F.xxhash64("component"), F.ceil(F.col("_block") / LEAF))
+    # Small components share leaves, each whole; a large one has leaves of its own, split by hash.
+    own = scratch.write(rows.groupBy("key", "band", "component").agg(F.count(F.lit(1)).alias("_own")), "own")
+    small = own.groupBy("key", "band").agg(F.sum(F.when(F.col("_own") <= LEAF, F.col("_own")).otherwise(0)).alias("_block"))
+    sizes = scratch.write(own.join(small, ["key", "band"]), "sizes")
+    by_component = F.pmod(F.xxhash64("component"), F.greatest(F.ceil(F.col("_block") / LEAF), F.lit(1)))
     by_row = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.ceil(F.col("_own") / LEAF))
-    leaf = F.xxhash64("key", "band", by_component, F.when(F.col("_own") > LEAF, F.struct("component", by_row)))
+    large = F.col("_own") > LEAF
+    leaf = F.xxhash64("key", "band", F.when(~large, by_component), F.when(large, F.struct("component", by_row)))
     rows = scratch.write(rows.join(sizes, ["key", "band", "component"]).withColumn("leaf", leaf), "leaves")
-    scratch.drop("mixed", "mixed_rows", "sizes")
+    scratch.drop("mixed", "mixed_rows", "own", "sizes")
 
     parts = partitions(spark)
-    boxes = rows.select("key", "band", "leaf", "counts").repartition(parts, "leaf").sortWithinPartitions("leaf")
-    boxes = scratch.write(boxes.mapInArrow(leaf_boxes, "key bigint, band bigint, leaf bigint, least bigint, corner binary"), "boxes")
-    a = boxes.select("key", "band", F.col("leaf").alias("la"), F.col("least").alias("na"), F.col("corner").alias("a"))
-    b = boxes.select("key", F.col("band").alias("_to"), F.col("leaf").alias("lb"), F.col("least").alias("nb"), F.col("corner").alias("b"))
+    boxes = rows.select("key", "band", "leaf", "component", "counts").repartition(parts, "leaf").sortWithinPartitions("leaf")
+    boxes = scratch.write(boxes.mapInArrow(leaf_boxes, BOXES), "boxes")
+    a = boxes.select("key", "band", F.col("leaf").alias("la"), F.col("least").alias("na"), F.col("corner").alias("a"), F.col("only").alias("ca"))
+    b = boxes.select("key", F.col("band").alias("_to"), F.col("leaf").alias("lb"), F.col("least").alias("nb"), F.col("corner").alias("b"), F.col("only").alias("cb"))
     reachable = a.withColumn("_to", F.explode(F.array("band", F.col("band") + 1))).join(b, ["key", "_to"])
     reachable = reachable.filter((F.col("la") < F.col("lb")) | (F.col("_to") > F.col("band")))
+    reachable = reachable.filter("ca IS NULL OR cb IS NULL OR ca <> cb")  # else all is known to be linked
     opened = reachable.select("la", "lb", "na", "nb", "a", "b").mapInArrow(box_pairs, "la bigint, lb bigint")
-    opened = opened.unionByName(boxes.select(F.col("leaf").alias("la"), F.col("leaf").alias("lb")))
+    opened = opened.unionByName(boxes.filter("only IS NULL").select(F.col("leaf").alias("la"), F.col("leaf").alias("lb")))
     opened = opened.withColumn("pair", F.xxhash64("la", "lb"))
     sides = opened.select("pair", F.col("la").alias("leaf"), F.lit(True).alias("left")).unionByName(
         opened.filter("la <> lb").select("pair", F.col("lb").alias("leaf"), F.lit(False).alias("left"))
     )
     sides = scratch.write(sides, "sides")
-    dealt = rows.select("leaf", "doc_id", "component", "counts").join(sides, "leaf").select("pair", "left", "doc_id", "component", "counts")
+    dealt = rows.select("leaf", "key", "doc_id", "component", "counts", "head").join(sides, "leaf").drop("leaf")
     found = dealt.repartition(parts, "pair").sortWithinPartitions("pair").mapInArrow(leaf_pairs, "u bigint, v bigint")
     return found.distinct()
 
@@ -231,35 +325,34 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of docs."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "jaccard_join")
-    rows = scratch.write(docs.select("doc_id", "text").mapInArrow(set_rows, SETS), "sets")
+    frequent = spark.sparkContext.broadcast(frequent_shingles(docs))
+    rows = docs.select("doc_id", "text").mapInArrow(lambda batches: set_rows(batches, frequent.value), SETS)
+    rows = scratch.write(rows, "sets")
     points = rows.filter("n IS NOT NULL")
     digest = ["n", "c1", "c2"]
-    classes = points.filter("n > 0 AND doc_id IS NOT NULL").groupBy(*digest).agg(F.min("doc_id").alias("rep"), F.first("counts").alias("counts"))
+    classes = points.filter("n > 0 AND doc_id IS NOT NULL").groupBy(*digest).agg(F.min("doc_id").alias("rep"), F.first("counts").alias("counts"), F.first("head").alias("head"))
     classes = scratch.write(classes, "classes")
-    reps = classes.select(F.col("rep").alias("doc_id"), "n", "counts")
+    reps = classes.select(F.col("rep").alias("doc_id"), "n", "counts", "head")
 
     keys = rows.filter("key IS NOT NULL").select("key", "doc_id").join(reps.select("doc_id"), "doc_id", "left_semi")
     keys = scratch.write(keys.select("key", "doc_id").distinct(), "keys")
-    leaders = keys.groupBy("key").agg(F.min("doc_id").alias("leader"), F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
+    leaders = keys.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high")
     keys = scratch.write(keys.join(scratch.write(leaders, "leaders"), "key"), "shared")
     scratch.drop("keys", "leaders")
 
-    # Full sets of every class that shares a key with another: the only ones that can link.
-    busy = keys.select("doc_id").distinct()
-    sets = scratch.write(docs.select("doc_id", "text").join(busy, "doc_id", "left_semi").mapInArrow(full_sets, "doc_id bigint, shingles binary"), "full")
-
-    star = keys.filter("doc_id <> leader").select(F.col("leader").alias("u"), F.col("doc_id").alias("v")).distinct()
-    star = with_sides(star, reps, "counts").mapInArrow(bounded, "u bigint, v bigint")
-    star = scratch.write(with_sides(star, sets, "shingles").mapInArrow(verified, "u bigint, v bigint"), "star")
+    star = keys.select(F.explode(F.array("low", "high")).alias("u"), F.col("doc_id").alias("v")).filter("u <> v")
+    star = star.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    star = scratch.write(with_sides(star, reps, "counts").mapInArrow(bounded, "u bigint, v bigint"), "star-pairs")
+    star = links_of(star, docs, scratch, "star")
     first = scratch.write(components(star, scratch, "first"), "first_components")
 
     comp = F.coalesce("component", "doc_id").alias("component")
     keyed = keys.select("key", "doc_id").join(reps, "doc_id").join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    keyed = scratch.write(keyed.select("key", "doc_id", "n", "counts", comp), "keyed")
+    keyed = scratch.write(keyed.select("key", "doc_id", "n", "counts", "head", comp), "keyed")
     scratch.drop("shared")
     rest = scratch.write(across_components(keyed, scratch), "rest")
-    more = scratch.write(with_sides(rest, sets, "shingles").mapInArrow(verified, "u bigint, v bigint"), "more")
-    scratch.drop("full", "keyed", "leaves", "boxes", "sides")
+    more = links_of(rest, docs, scratch, "more")
+    scratch.drop("star-pairs", "keyed", "leaves", "boxes", "sides", "rest")
     links = star.unionByName(more)
     final = scratch.write(components(links, scratch, "final"), "final_components")
 
