@@ -32,13 +32,14 @@ from pyspark.sql import DataFrame
 from phraseloom.llm.scratch import process_cache
 
 MARK = "▁"
-MEMO_CELLS = 200_000
+ASCII_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+MEMO_CELLS = 120_000
 LOT_CHARS = 1 << 20
 LOT_ROWS = 1000
 # Kinds of pieces in the model file.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)
 UNIGRAM, BPE = 1, 2
-MEMO_PAIRS = 2_000_000
+MEMO_PAIRS = 1_000_000
 
 
 def wire_fields(raw: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -166,9 +167,9 @@ class Transducer:
             answers.append(answer)
         return np.array(answers, bool)[back]
 
-    def shortest(self, cells: list[str]) -> list[list[int]]:
-        """Ids on the shortest path over each (normalised) cell."""
-        out: list[list[int]] = [[] for _ in cells]
+    def shortest(self, cells: list[str]) -> list[bytes]:
+        """Ids on the shortest path over each (normalised) cell, as little-endian 32-bit integers."""
+        out = [b""] * len(cells)
         sizes = np.array([len(c) for c in cells])
         widths = np.maximum(8, 2 ** np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64))
         for width in np.unique(widths):
@@ -177,7 +178,7 @@ class Transducer:
                 self._shortest(cells, sizes, lot, out)
         return out
 
-    def _shortest(self, cells: list[str], sizes: np.ndarray, lot: np.ndarray, out: list[list[int]]) -> None:
+    def _shortest(self, cells: list[str], sizes: np.ndarray, lot: np.ndarray, out: list[bytes]) -> None:
         size = sizes[lot]
         chars = np.zeros((len(lot), int(size.max(initial=0))), np.int64)
         flat = np.frombuffer("".join([cells[i] for i in lot]).encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -213,16 +214,32 @@ class Transducer:
                 best[own, end], from_[own, end], piece[own, end] = cost[take], i, self.leaf[at]
                 more = size[live] > end
                 live, states = live[more], states[more]
-        for row, i in enumerate(lot.tolist()):
-            back, ids, at, path = from_[row].tolist(), piece[row].tolist(), int(size[row]), []
-            while at:
-                if ids[at] >= 0:
-                    path.append(ids[at])
-                else:
-                    raw = cells[i][at - 1].encode("utf-8", "surrogatepass")
-                    path += [self.byte_id.get(b, self.unknown) for b in reversed(raw)] if self.byte_id else [self.unknown]
-                at = back[at]
-            out[i] = path[::-1]
+        # Walk back from the end of every cell at once; -2 stands where a cell has no more pieces.
+        rows, at, steps = np.arange(len(lot)), size.copy(), []
+        while at.any():
+            steps.append(np.where(at > 0, piece[rows, at], -2))
+            at = np.where(at > 0, from_[rows, at], 0)
+        path = np.stack(steps[::-1], 1) if steps else np.zeros((len(lot), 0), np.int64)
+        taken = path >= 0
+        raw = path[taken].astype("<i4").tobytes()
+        ends = (4 * np.cumsum(taken.sum(1))).tolist()
+        start = 0
+        for i, end, plain in zip(lot.tolist(), ends, (path != -1).all(1).tolist()):
+            out[i] = raw[start:end] if plain else b""
+            start = end
+        for row in np.flatnonzero((path == -1).any(1)).tolist():
+            out[lot[row]] = self._with_fallback(cells[lot[row]], from_[row].tolist(), piece[row].tolist())
+
+    def _with_fallback(self, cell: str, back: list[int], pieces: list[int]) -> bytes:
+        path, at = [], len(cell)
+        while at:
+            if pieces[at] >= 0:
+                path.append(pieces[at])
+            else:
+                raw = cell[at - 1].encode("utf-8", "surrogatepass")
+                path += [self.byte_id.get(b, self.unknown) for b in reversed(raw)] if self.byte_id else [self.unknown]
+            at = back[at]
+        return np.array(path[::-1], "<i4").tobytes()
 
 
 class PieceEncoder:
@@ -236,7 +253,6 @@ class PieceEncoder:
         self.by_word, self.by_line = not inner, not newline
         self.memo: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        self.newline = np.array(self.fst.shortest(["\n"])[0], "<i4").tobytes()
 
     def normalise(self, text: str) -> str:
         if self.model.remove_extra:
@@ -276,8 +292,13 @@ class PieceEncoder:
         return out
 
     def split(self, cell: str) -> list[str]:
-        """A cell in parts, cut between characters that are side by side in no piece."""
+        """A cell in parts, cut between characters that are side by side in no piece; words of letters stay whole."""
         follows, parts, start = self.fst.follows, [], 0
+        if cell[1:].isalpha():
+            return [cell]
+        core = cell.rstrip(ASCII_MARKS)
+        if core != cell and core[1:].isalpha() and (core[-1], cell[len(core)]) not in follows:
+            return [core, cell[len(core) :]]
         for k, pair in enumerate(zip(cell, cell[1:]), 1):
             if pair not in follows:
                 parts.append(cell[start:k])
@@ -298,7 +319,7 @@ class PieceEncoder:
                 self.memo[cell] = ids
         memo = self.memo
         atoms = [a for a in {part for _, parts in new for part in parts} if a not in memo]
-        memo.update(zip(atoms, [np.array(p, "<i4").tobytes() for p in self.fst.shortest(atoms)]))
+        memo.update(zip(atoms, self.fst.shortest(atoms)))
         for cell, parts in new:
             if len(parts) > 1:
                 memo[cell] = b"".join([memo[p] for p in parts])

@@ -12,7 +12,7 @@ from phraseloom.llm.scratch import process_cache
 MASK = (1 << 64) - 1
 BYTE_BASE = 0x9E3779B97F4A7C15
 WORD_BASE = 0xD1342543DE82EF95
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 
 
 def byte_class(*ranges: tuple[int, int]) -> np.ndarray:

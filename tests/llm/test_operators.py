@@ -128,7 +128,8 @@ def test_shortest_path_of_a_unigram_model():
     fst = piece_fst.Transducer(model)
     cost = {p: (-s, i) for i, (p, s, k) in enumerate(zip(model.pieces, model.scores, model.kinds)) if k == piece_fst.NORMAL}
     cells = ["▁the", "tionality", "日本x\t", "aaaaaaaaaaa", "▁▁▁a"]
-    for cell, ids in zip(cells, fst.shortest(cells)):
+    for cell, raw in zip(cells, fst.shortest(cells)):
+        ids = np.frombuffer(raw, "<i4").tolist()
         best = [0.0] + [np.inf] * len(cell)
         for j in range(1, len(cell) + 1):
             best[j] = min([best[i] + cost[cell[i:j]][0] for i in range(j) if cell[i:j] in cost] + [best[j - 1] + fst.fallback])
