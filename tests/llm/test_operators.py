@@ -365,6 +365,19 @@ def test_kd_search_recall(spark):
     assert found / (20 * len(asked)) >= 0.9
 
 
+def test_kd_search_meets_its_recall_where_boxes_are_points(monkeypatch):
+    monkeypatch.setattr(kd_search, "LEAF", 1)  # nothing but the stopping test then helps a neighbour in
+    rng = np.random.default_rng(2)
+    vectors = rng.normal(size=(4000, 64))
+    vectors /= np.sqrt((vectors**2).sum(1))[:, None]
+    ids, n = np.arange(len(vectors)), 40
+    row, found, _, _ = kd_search.search(ids, vectors, ids[:n], vectors[:n], np.full(n, -np.inf), 1.0, 20)
+    scores = vectors[:n] @ vectors.T
+    scores[ids[:n], ids[:n]] = -np.inf
+    true = np.argsort(-scores, axis=1)[:, :20]
+    assert sum(len({*found[row == q]} & {*true[q]}) for q in range(n)) / (20 * n) >= 0.95
+
+
 def test_kd_search_of_awkward_vectors(spark, monkeypatch):
     rng = np.random.default_rng(1)
     rows = [(i, rng.normal(size=8).tolist(), "x") for i in range(400)]
