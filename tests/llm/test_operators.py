@@ -444,6 +444,42 @@ def test_pipeline_stages(spark):
     assert len(last) == len(rows[4]) and all(r["round_trip"] for r in last)
 
 
+def test_pipeline_stages_of_awkward_rows(spark, docs, monkeypatch):
+    import corpus_pipeline
+
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    alone = [(3, "only here " * 5, "en", "b", 0), (None, "a clean text without an id " * 3, "en", "a", 0), (None, "a  clean text without an id " * 3, "en", "a", 0)]
+    body = next(t for _, t in PAIRS if t and t.count(" ") == 119)
+    clash = [(9, "changed " + body, "en", "a", 0), (9, "the same id, another text " * 4, "en", "b", 0)]
+    table = docs.select(columns).unionByName(spark.createDataFrame(alone + clash, docs.select(columns).schema)).repartition(4)
+    monkeypatch.setattr(corpus_pipeline.quality, "fit_quality", lambda *a: None)
+    monkeypatch.setattr(corpus_pipeline.quality, "keep_good", lambda docs, model: docs)
+    scratch, tables = Scratch(spark, "awkward_stages"), [table]
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        tables.append(scratch.write(stage(spark, tables[-1], SF), f"s{k}"))
+    rows = [[tuple(r) for r in t.select("doc_id", "text").collect()] for t in tables[:-1]]
+    assert as_set(rows[1]) == as_set(rows[0])
+    # One row a text, under the smallest id.
+    order = lambda r: (r[0] is None, r[0] or 0, r[1] or "")
+    first: dict[bytes, int | None] = {}
+    for i, t in sorted(rows[1], key=order):
+        first.setdefault(brute.BLANK.sub(b" ", (t or "").encode()), i)
+    assert as_set((brute.BLANK.sub(b" ", (t or "").encode()), i) for i, t in rows[2]) == as_set(first.items())
+    # One row a component, of rows under numbers of their own in the order of their ids.
+    own = sorted(rows[2], key=order)
+    parts = {c for _, _, c in brute.linked([(k, t) for k, (_, t) in enumerate(own)])}
+    assert as_set((i, t) for i, t in rows[3]) == as_set(own[k] for k in parts)
+    texts = {t for _, t in rows[3]}
+    assert {alone[0][1], clash[1][1]} <= texts and any(i is None and "without" in t for i, t in rows[3] if t)
+    # The rows of a source are read as often as each other, but for the last, partial reading.
+    sources, read = {(r["doc_id"], r["text"]): r["source"] for r in tables[3].collect()}, as_set(rows[4])
+    assert set(read) <= set(rows[3])
+    for source in set(sources.values()):
+        times = [read[r] for r in rows[3] if sources[r] == source and brute.words_of(r[1])]
+        assert not times or max(times) - min(times) <= 1
+    assert tables[-1].count() == len(rows[4])
+
+
 def test_rest_works_without_this_subpackage(tmp_path):
     code = """
 import sys
