@@ -11,9 +11,12 @@ by components found so far and split by hash; a leaf pair is opened only if the
 
 Keys. Shingles are ordered by hash, with those that are frequent in a bounded sample of documents last; any order gives
 right results, this one keeps passages that many documents share out of the keys. A set of n shingles has its first
-n/4 + 1 as keys, the exact prefix bound; but if n >= 128 and at least half are not frequent, the first 32 do. A linked
-pair then has no common key only if 32 independent draws all fall outside the intersection, each with a chance of at
-most 7/16 (1/4 without frequent shingles): under 4e-12 per pair at a similarity of just 0.75, far less above it.
+n/4 + 1 as keys, the exact prefix bound; but if n >= 128 and at least half are not frequent, the first 32 do. For such
+sets the join is probabilistic: nothing finds a linked pair that has no common key. If both sets are capped, 32 draws
+must all fall outside the intersection, each with a chance of at most 4/9 (equal sizes, all differences rare, half of
+each set frequent): 5.4e-12 per pair at a similarity of just 0.75. If only the larger is, as its part in the smaller
+is mostly frequent, at most 1/2: 2.4e-10. Without frequent shingles it is 1/4, and far less above 0.75. Which sets are
+capped depends on the sample.
 
 Steps. (a) Every class is tested against the smallest and the largest class of each of its keys, and links make first components; a
 large group of near copies becomes one component with a few tests per class. (b) Keys that still hold more than one
@@ -67,7 +70,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
 def frequent_shingles(docs: DataFrame) -> np.ndarray:
     """Sorted shingles of at least FREQUENT of SAMPLE_ROWS documents, those with the smallest hashed ids.
 
-    At most SAMPLE_ROWS / FREQUENT times the shingles of a text. They change the work, not the result.
+    At most SAMPLE_ROWS / FREQUENT times the shingles of a text. They change the work, and which sets have KEYS keys only.
     """
     picked = docs.select("doc_id").filter("doc_id IS NOT NULL").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
 
