@@ -18,7 +18,7 @@ import brute
 import __spark_entry__ as entry
 from compare import connect, compare
 from phraseloom.llm import catalog, components, exact_dedup, jaccard_join, kd_search, license_scan, mixing, piece_fst, quality
-from phraseloom.llm import substring_dedup, token_files, toxicity, words
+from phraseloom.llm import labelled, substring_dedup, token_files, toxicity, words
 from phraseloom.llm.scratch import Scratch
 
 SF = "/root/testdata/sf0.001"
@@ -173,6 +173,20 @@ def test_scores_of_awkward_rows(spark, docs, empty):
         assert all(r["score"] == pytest.approx(0.5) for r in make(docs, labels.limit(0)).collect())
 
 
+def test_repeated_labelled_rows_stay_off_the_driver(spark, monkeypatch):
+    texts = [f"text {k:03}" for k in range(500)]
+    docs = spark.createDataFrame([(7, t) for t in texts] + [(8, "other")], "doc_id bigint, text string").repartition(4)
+    labels = spark.createDataFrame([(7, 1), (8, 0)], "doc_id bigint, quality int")
+    held: list[int] = []
+    collect = type(docs).toArrow
+    monkeypatch.setattr(type(docs), "toArrow", lambda self: (got := collect(self), held.append(len(got)))[0])
+    got = labelled.labelled_sample(docs, labels, "quality", F.lit(True), 10)
+    assert held == [10]
+    first = spark.range(7, 9).orderBy(F.xxhash64("id")).first()[0]
+    both = [(b"other", 0)], [(t.encode(), 1) for t in texts]
+    assert got == ((both[1] if first == 7 else both[0] + both[1])[:10])
+
+
 def test_held_out_labels_change_nothing(spark, docs):
     base = spark.createDataFrame([(i, int(i % 2 == 0), int(i % 2)) for i in range(0, 90, 3)], "doc_id bigint, quality int, toxic int")
     for module, make, label in ((quality, quality.quality_table, "quality"), (toxicity, toxicity.toxicity_table, "toxic")):
