@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from phraseloom.llm.scratch import Scratch, partitions, process_cache
 
 DICT_DOCUMENTS = 512
+DICT_PIECES, PIECE_CHARS = 8, 2500  # of a document
 DICT_BYTES = 64 << 10
 PACK_BYTES = 4 << 20
 MEMO_CHUNKS = 200_000
@@ -145,14 +146,23 @@ def lots(texts: list[str]) -> Iterator[list[str]]:
 def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int) -> bytes:
     """A zstandard dictionary from the id arrays of DICT_DOCUMENTS documents, those with the smallest hashed ids.
 
+    Of a text of more than DICT_PIECES * PIECE_CHARS characters, as many pieces are used, evenly spread from its
+    beginning to its end; of others, all. With rows that share ids, twice as many rows at most: the driver holds no more
+    than 20,480,000 characters, of four bytes at most.
+
     Empty if there is too little to train on; frames are then compressed without one.
     """
     picked = docs.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(DICT_DOCUMENTS)
     ids = [r[0] for r in picked.collect()]
-    texts = docs.filter(F.col("doc_id").isin([i for i in ids if i is not None])).select(F.substring("text", 1, 20_000))
+    size = F.length("text")
+    spread = [F.substring("text", (1 + F.floor((size - PIECE_CHARS) * k / (DICT_PIECES - 1))).cast("int"), F.lit(PIECE_CHARS)) for k in range(DICT_PIECES)]
+    pieces = F.when(size > DICT_PIECES * PIECE_CHARS, F.array(*spread)).otherwise(F.array(F.coalesce("text", F.lit(""))))
+    texts = docs.filter(F.col("doc_id").isin([i for i in ids if i is not None])).select(pieces)
     enc = encoder(tokenizer)
     end = np.array([end_id], enc.width).tobytes()
-    samples = sorted(ids + end for ids in enc.encode_many([r[0] or "" for r in texts.limit(2 * DICT_DOCUMENTS).collect()]))
+    lists = [r[0] for r in texts.limit(2 * DICT_DOCUMENTS).collect()]
+    last = [k == len(own) - 1 for own in lists for k in range(len(own))]
+    samples = sorted(ids + end if at_end else ids for ids, at_end in zip(enc.encode_many([t for own in lists for t in own]), last))
     try:
         return zstandard.train_dictionary(DICT_BYTES, samples).as_bytes()
     except zstandard.ZstdError:

@@ -92,6 +92,19 @@ def test_packs_of_another_dictionary_are_refused(spark, docs, tmp_path):
         token_files.read_token_files(spark, f"{tmp_path}/t").collect()
 
 
+def test_dictionary_sees_the_ends_of_long_texts(spark, monkeypatch):
+    seen: list[bytes] = []
+    monkeypatch.setattr(token_files.zstandard, "train_dictionary", lambda size, samples: (seen.extend(samples), token_files.zstandard.ZstdCompressionDict(b""))[1])
+    long = "river " * 8000 + "mountain " * 50 + "river " * 40_000 + "harbour " * 100
+    frame = spark.createDataFrame([(1, long), (2, "short text"), (3, None)], "doc_id bigint, text string")
+    token_files.train_dictionary(frame, WORD_BPE, 1)
+    enc = token_files.encoder(WORD_BPE)
+    end, harbour = np.array([1], enc.width).tobytes(), enc.encode_many(["harbour"])[0]
+    assert any(s.endswith(harbour * 10 + end) for s in seen)
+    assert {end, enc.encode_many(["short text"])[0] + end} <= set(seen) and sum(s.endswith(end) for s in seen) == 3
+    assert sum(map(len, seen)) <= token_files.DICT_PIECES * token_files.PIECE_CHARS * np.dtype(enc.width).itemsize
+
+
 def test_no_documents_make_no_packs(spark, empty, tmp_path):
     token_files.write_token_files(empty, f"{tmp_path}/t", WORD_BPE, end_id=1)
     assert token_files.read_token_files(spark, f"{tmp_path}/t").count() == 0
