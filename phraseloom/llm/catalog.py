@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from phraseloom.llm import exact_dedup, jaccard_join, kd_search, license_scan, mixing, piece_fst, quality, substring_dedup, token_files, toxicity
+from phraseloom.llm import exact_dedup, jaccard_join, kd_search, license_scan, mixing, piece_fst, quality, resampling, substring_dedup, token_alignment, token_files, toxicity, web_archive
 from phraseloom.llm.scratch import shared_folder
 
 
@@ -64,6 +64,20 @@ def op10_kd_search(spark: SparkSession, sf: str) -> DataFrame:
     return kd_search.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op11_web_archive(spark: SparkSession, sf: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/web_archive-{uuid.uuid4().hex}"
+    web_archive.archive_pages(table(spark, sf, "pages"), path)
+    return web_archive.archived_pages(spark, path)
+
+
+def op12_resampling(spark: SparkSession, sf: str) -> DataFrame:
+    return resampling.resample(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+def op13_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return token_alignment.align(table(spark, sf, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))[0]
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
@@ -78,5 +92,64 @@ FROM d WINDOW g AS (PARTITION BY text_sha256)
 """
 
 
+OP11_SQL = r"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (
+  SELECT page_id, octet_length(payload) AS payload_bytes, sha256(payload) AS payload_digest,
+         min(page_id) OVER (PARTITION BY sha256(payload)) AS first_id
+  FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM d
+"""
+
+# A word's crc32 is taken byte by byte with the usual table, once per distinct word.
+OP12_SQL = r"""
+WITH crc_table AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, b::BIGINT)) AS t
+),
+both_sides AS (
+  SELECT doc_id, text, false AS target, row_number() OVER () AS row FROM documents
+  UNION ALL SELECT NULL, text, true, -row_number() OVER () FROM benchmark
+),
+word_rows AS (
+  SELECT row, target, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word
+  FROM both_sides
+),
+counted AS (SELECT row, target, word, count(*) AS n FROM word_rows GROUP BY ALL),
+words AS (
+  SELECT word, xor(4294967295, list_reduce(
+           list_transform(range(1, 2 * octet_length(encode(word)) + 1, 2), lambda i: ('0x' || substr(hex(encode(word)), i, 2))::BIGINT),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295::BIGINT)) % 10000 AS bucket
+  FROM (SELECT DISTINCT word FROM counted), crc_table
+),
+by_bucket AS (
+  SELECT b.bucket, coalesce(sum(n) FILTER (NOT target), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (target), 0)::DOUBLE AS t
+  FROM range(10000) b(bucket) LEFT JOIN (counted JOIN words USING (word)) USING (bucket) GROUP BY ALL
+),
+gain AS (
+  SELECT bucket, floor(1000.0::DOUBLE * ln((t + 1) * (sum(s) OVER () + 10000) / ((s + 1) * (sum(t) OVER () + 10000))))::BIGINT AS gain FROM by_bucket
+),
+weighed AS (
+  SELECT row, sum(n)::BIGINT AS n_features, floor(sum(n * gain)::DOUBLE / sum(n))::BIGINT AS weight
+  FROM counted JOIN words USING (word) JOIN gain USING (bucket) WHERE NOT target GROUP BY row
+),
+scored AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000.0::DOUBLE * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE)))::BIGINT AS score
+  FROM both_sides LEFT JOIN weighed USING (row) WHERE NOT target
+),
+ranked AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n
+  FROM scored WHERE n_features >= 20 AND doc_id IS NOT NULL
+)
+SELECT s.doc_id, n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank
+FROM scored s LEFT JOIN ranked r ON s.doc_id = r.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_dedup": OP5_SQL}
+    return {"op5_exact_dedup": OP5_SQL, "op11_web_archive": OP11_SQL, "op12_resampling": OP12_SQL}
