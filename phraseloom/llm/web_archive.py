@@ -10,9 +10,9 @@ Pages are archived as response records. Of those with equal payloads of at least
 smallest page_id is a response and the others are revisit records: HTTP fields without payload, naming the response.
 Records of WARC files, plain or gzipped, can be taken in too, and any archive can be written out as record bytes.
 
-A payload that a third of all pages share is stored once; it is dealt over tasks in as many copies as COPIES_A_TASK asks
-for when its records are given back. Payloads are not shuffled to find copies, only their digests, and the copies of a
-payload shrink to one in each task before they are.
+A payload that a third of all pages share is stored once, with their number; it is dealt over tasks in as many copies as
+COPIES_A_TASK asks for when its records are given back. The copies of a payload shrink to one in each task before it is
+shuffled to be stored; the records are made from digests alone.
 
 Defined results: null html is an empty payload, null url an empty one (line breaks in it stand as %0D and %0A); rows
 that share a page_id, or have none, are records of their own; null ids come last when the response is chosen, and of
@@ -94,8 +94,8 @@ def _verified_sizes(facts: DataFrame) -> DataFrame:
 
 
 def _store_payloads(payloads: DataFrame, path: str) -> None:
-    """Write (digest, payload) once per digest."""
-    payloads.groupBy("digest").agg(F.first("payload").alias("payload")).write.option("compression", "zstd").parquet(f"{path}/payloads")
+    """Write (digest, payload) once per digest, and how many records share it."""
+    payloads.groupBy("digest").agg(F.first("payload").alias("payload"), F.count(F.lit(1)).alias("copies")).write.option("compression", "zstd").parquet(f"{path}/payloads")
 
 
 def archive_pages(pages: DataFrame, path: str, date: str = "1970-01-01T00:00:00Z") -> None:
@@ -176,8 +176,7 @@ def with_payloads(spark: SparkSession, path: str) -> DataFrame:
     salts = F.ceil(F.col("copies") / COPIES_A_TASK).cast("int")
     records = records.withColumn("salt", F.pmod(F.xxhash64("file", "place"), salts).cast("int"))
     # Payloads that are asked for often go to several tasks; the others, nearly all, have the one salt 0.
-    often = records.filter(F.col("copies") > COPIES_A_TASK).select("digest", salts.alias("_salts")).distinct()
-    dealt = payloads.join(often, "digest", "left").select("digest", "payload", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)).alias("salt"))
+    dealt = payloads.select("digest", "payload", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
     both = records.join(dealt, ["digest", "salt"])
     return both.select("file", "place", "head", "with_payload", "digest", "payload")
 
