@@ -6,7 +6,7 @@ Index. A class is a point: its shingles are hashed into groups, about one per tw
 coordinates are the group counts; a point with more groups folds onto one with fewer. Two sets
 share at most the sum of their coordinate minima, and a box of points (a node of the R-tree) bounds a query by its
 upper corner. Top levels of the tree are equi-join keys: classes that can link share one of their keys, and lie in the
-same or in neighbouring size bands (sizes differ by 4/3 at most). Below the keys are leaves of at most 64 points, filled
+same or in neighbouring size bands (sizes differ by 4/3 at most). Below the keys are leaves of at most 256 points, filled
 by components found so far and split by hash; a leaf pair is opened only if the boxes can hold a linked pair.
 
 Keys. Shingles are ordered by hash, with those that are frequent in a bounded sample of documents last; any order gives
@@ -18,10 +18,12 @@ each set frequent): 5.4e-12 per pair at a similarity of just 0.75. If only the l
 is mostly frequent, at most 1/2: 2.4e-10. Without frequent shingles it is 1/4, and far less above 0.75. Which sets are
 capped depends on the sample.
 
-Steps. (a) Every class is tested against the smallest and the largest class of each of its keys, and links make first components; a
-large group of near copies becomes one component with a few tests per class. (b) Keys that still hold more than one
-component go through leaves, and only pairs from different components are tested. Pairs whose bound reaches the
-threshold are verified on the full sets. No pairs are emitted within a group, and no group is gathered.
+Steps. (a) Every class is tested against the smallest and the largest class of each of its keys, and links make first
+components; a large group of near copies becomes one component with a few tests per class. (b) Keys that still hold more
+than one component go through leaves; of keys that hold the same classes one is enough. In an opened leaf pair, the
+classes that have a possible partner in another component are named, at most two leaves of them; their full sets meet in
+one task, which verifies the pairs and emits a spanning forest of their links. So a group whose members share a body but
+do not link costs a row per class and leaf pair, and never a row per pair; no group is gathered.
 
 Defined results: null or empty texts have no shingles, link with nothing and are their own component; texts of one to
 four words have one shingle; whole texts count; rows that share an id share a component, each with its own n_shingles;
@@ -45,13 +47,13 @@ SHINGLE = 5
 NUMERATOR, DENOMINATOR = 75, 100
 KEYS = 32
 GROUPS, MOST_GROUPS = 128, 1 << 20
-HEAD = 16
-LEAF = 64
+LEAF = 256
+ELEMENTS_AT_ONCE = 1 << 16
 SAMPLE_ROWS = 8000
 FREQUENT = 5  # documents of the sample
 FINE = 0xFFFF
 
-SETS = "doc_id bigint, n bigint, c1 bigint, c2 bigint, counts binary, head binary, key bigint"
+SETS = "doc_id bigint, n bigint, c1 bigint, c2 bigint, counts binary, key bigint"
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
@@ -112,7 +114,7 @@ def folded(points: list[bytes], kind: str = "u1") -> np.ndarray:
 def set_rows(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
     """A row per text with its size, digest and group counts, and a row per key."""
     names = [f.split()[0] for f in SETS.split(", ")]
-    kinds = [pa.int64()] * 4 + [pa.binary(), pa.binary(), pa.int64()]
+    kinds = [pa.int64()] * 4 + [pa.binary(), pa.int64()]
     for batch in batches:
         ids = batch.column("doc_id").to_pylist()
         for row, _, data, offsets in text_slices(batch):
@@ -122,14 +124,14 @@ def set_rows(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iterato
                 counts = point_of(s).tobytes() if n else None
                 c1, c2 = (int(mix(s + np.uint64(salt)).sum().view(np.int64)) if n else 0 for salt in (1, 7))
                 own = keys_of(s, frequent).view(np.int64)
-                head.append((ids[i], n, c1, c2, counts, np.sort(own)[:HEAD].tobytes(), None))
+                head.append((ids[i], n, c1, c2, counts, None))
                 if n and ids[i] is not None:
                     keys.append(own)
                     owners += [ids[i]] * len(own)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*head), kinds)], names)
             if keys:
                 m = len(owners)
-                empty = [pa.nulls(m, k) for k in kinds[1:6]]
+                empty = [pa.nulls(m, k) for k in kinds[1:5]]
                 yield pa.RecordBatch.from_arrays([pa.array(owners, pa.int64()), *empty, pa.array(np.concatenate(keys))], names)
 
 
@@ -221,15 +223,14 @@ def group_runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Recor
         yield rest
 
 
+NAMED = "pair bigint, doc_id bigint, component bigint"
+
+
 def leaf_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs from different components, of one leaf or of its two leaves, whose group counts allow a link."""
-    found: list[np.ndarray] = []
-    size = 0
+    """The classes of a leaf pair, or of one leaf, that have a partner in another component as far as counts tell."""
     for run in group_runs(batches, "pair"):
-        ids, comp, left = (run.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "component", "left"))
+        comp, left = (run.column(c).to_numpy(zero_copy_only=False) for c in ("component", "left"))
         points = folded(run.column("counts").to_pylist())
-        heads = [set(np.frombuffer(h, np.int64).tolist()) for h in run.column("head").to_pylist()]
-        key = run.column("key")[0].as_py()
         total = points.sum(1)
         lone = left.all()
         rows = np.flatnonzero(left)
@@ -237,23 +238,60 @@ def leaf_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if len(others) == 0:
             continue
         top, top_total = points[others].max(0), total[others].min()
+        named = np.zeros(len(run), bool)
         for i in rows:
             if not reach(np.minimum(points[i], top).sum(), total[i] + top_total):
                 continue
             near = others[(others > i) if lone else slice(None)]
             near = near[comp[near] != comp[i]]
             near = near[reach(np.minimum(points[near], points[i]).sum(1), total[near] + total[i])]
-            # Of the keys that two sets share, the smallest speaks for the pair, as far as heads show it.
-            near = near[[min(heads[i] & heads[j], default=key) == key for j in near.tolist()]] if len(near) else near
             if len(near):
-                found.append(np.stack([np.minimum(ids[near], ids[i]), np.maximum(ids[near], ids[i])]))
-                size += len(near)
-        if size > 10_000:
-            out, found, size = np.concatenate(found, 1), [], 0
-            yield pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1])], ["u", "v"])
-    if found:
-        out = np.concatenate(found, 1)
-        yield pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1])], ["u", "v"])
+                named[near] = named[i] = True
+        if named.any():
+            yield run.select(["pair", "doc_id", "component"]).filter(pa.array(named))
+
+
+def shared_sizes(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all pairs of some sorted sets, a block of their elements at a time."""
+    element, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    order = np.argsort(element, kind="stable")
+    element, owner = element[order], owner[order]
+    code = np.cumsum(np.concatenate([[False], element[1:] != element[:-1]]))
+    often = np.bincount(code)[code] > 1  # an element of one set alone is shared with none
+    code, owner = code[often], owner[often]
+    out = np.zeros((len(sets), len(sets)), np.int64)
+    for start in range(0, len(code), ELEMENTS_AT_ONCE):
+        part = slice(start, start + ELEMENTS_AT_ONCE)
+        columns, at = np.unique(code[part], return_inverse=True)
+        has = np.zeros((len(sets), len(columns)), np.float32)
+        has[owner[part], at] = 1
+        out += (has @ has.T).astype(np.int64)
+        # An element cut by the end of a block meets its rest there.
+        if start + ELEMENTS_AT_ONCE < len(code) and code[start + ELEMENTS_AT_ONCE - 1] == code[start + ELEMENTS_AT_ONCE]:
+            cut = code[start + ELEMENTS_AT_ONCE]
+            before = owner[part][code[part] == cut]
+            after = owner[start + ELEMENTS_AT_ONCE :][code[start + ELEMENTS_AT_ONCE :] == cut]
+            out[np.ix_(before, after)] += 1
+            out[np.ix_(after, before)] += 1
+    return out
+
+
+def leaf_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A spanning forest, over the known components, of the links among the classes of each leaf pair."""
+    for run in group_runs(batches, "pair"):
+        ids, comp = run.column("doc_id").to_numpy(), run.column("component").to_numpy()
+        sets = [np.frombuffer(x, np.uint64) for x in run.column("shingles").to_pylist()]
+        sizes = np.array([len(s) for s in sets])
+        linked = np.triu(reach(shared_sizes(sets), sizes[:, None] + sizes[None, :]) & (comp[:, None] != comp[None, :]), 1)
+        _, up = np.unique(comp, return_inverse=True)
+        forest = []
+        for i, j in zip(*np.nonzero(linked)):
+            if up[i] != up[j]:
+                up[up == up[j]] = up[i]
+                forest.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+        if forest:
+            u, v = zip(*forest)
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
 
 def box_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,14 +321,16 @@ def leaf_boxes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
 
 
-def across_components(keyed: DataFrame, scratch: Scratch) -> DataFrame:
-    """Pairs of different components that share a key and whose group counts allow a link.
+def across_components(keyed: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """Links (u, v) between components that share a key, enough of them to join all components that link.
 
-    `keyed`: key, doc_id, n, counts, head, component.
+    `keyed`: key, doc_id, n, counts, component.
     """
     spark = keyed.sparkSession
-    mixed = keyed.groupBy("key").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).filter("_a <> _b").select("key")
-    mixed = scratch.write(mixed, "mixed")
+    h = F.xxhash64("doc_id")
+    held = [F.count(F.lit(1)).alias("_n"), F.bit_xor(h).alias("_x"), F.sum(F.shiftright(h, 32)).alias("_s"), F.min("doc_id").alias("_low"), F.max("doc_id").alias("_high")]
+    mixed = keyed.groupBy("key").agg(F.min("component").alias("_a"), F.max("component").alias("_b"), *held).filter("_a <> _b")
+    mixed = scratch.write(mixed.groupBy("_n", "_x", "_s", "_low", "_high").agg(F.min("key").alias("key")).select("key"), "mixed")
     band = F.floor(F.log("n") / math.log(DENOMINATOR / NUMERATOR) + 1e-9).cast("bigint")
     rows = scratch.write(keyed.join(mixed, "key").withColumn("band", band), "mixed_rows")
     # Small components share leaves, each whole; a large one has leaves of its own, split by hash.
@@ -319,9 +359,13 @@ def across_components(keyed: DataFrame, scratch: Scratch) -> DataFrame:
         opened.filter("la <> lb").select("pair", F.col("lb").alias("leaf"), F.lit(False).alias("left"))
     )
     sides = scratch.write(sides, "sides")
-    dealt = rows.select("leaf", "key", "doc_id", "component", "counts", "head").join(sides, "leaf").drop("leaf")
-    found = dealt.repartition(parts, "pair").sortWithinPartitions("pair").mapInArrow(leaf_pairs, "u bigint, v bigint")
-    return found.distinct()
+    dealt = rows.select("leaf", "doc_id", "component", "counts").join(sides, "leaf").drop("leaf")
+    named = scratch.write(dealt.repartition(parts, "pair").sortWithinPartitions("pair").mapInArrow(leaf_pairs, NAMED), "named")
+    ids = scratch.write(named.select("doc_id").distinct(), "named_ids")
+    sets = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").mapInArrow(full_sets, "doc_id bigint, fine binary, shingles binary")
+    sets = scratch.write(sets.select("doc_id", "shingles"), "named_sets")
+    met = named.join(sets, "doc_id").repartition(parts, "pair").sortWithinPartitions("pair")
+    return met.select("pair", "doc_id", "component", "shingles").mapInArrow(leaf_links, "u bigint, v bigint")
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -333,9 +377,9 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     rows = scratch.write(rows, "sets")
     points = rows.filter("n IS NOT NULL")
     digest = ["n", "c1", "c2"]
-    classes = points.filter("n > 0 AND doc_id IS NOT NULL").groupBy(*digest).agg(F.min("doc_id").alias("rep"), F.first("counts").alias("counts"), F.first("head").alias("head"))
+    classes = points.filter("n > 0 AND doc_id IS NOT NULL").groupBy(*digest).agg(F.min("doc_id").alias("rep"), F.first("counts").alias("counts"))
     classes = scratch.write(classes, "classes")
-    reps = classes.select(F.col("rep").alias("doc_id"), "n", "counts", "head")
+    reps = classes.select(F.col("rep").alias("doc_id"), "n", "counts")
 
     keys = rows.filter("key IS NOT NULL").select("key", "doc_id").join(reps.select("doc_id"), "doc_id", "left_semi")
     keys = scratch.write(keys.select("key", "doc_id").distinct(), "keys")
@@ -351,11 +395,10 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
     comp = F.coalesce("component", "doc_id").alias("component")
     keyed = keys.select("key", "doc_id").join(reps, "doc_id").join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    keyed = scratch.write(keyed.select("key", "doc_id", "n", "counts", "head", comp), "keyed")
-    scratch.drop("shared")
-    rest = scratch.write(across_components(keyed, scratch), "rest")
-    more = links_of(rest, docs, scratch, "more")
-    scratch.drop("star-pairs", "keyed", "leaves", "boxes", "sides", "rest")
+    keyed = scratch.write(keyed.select("key", "doc_id", "n", "counts", comp), "keyed")
+    scratch.drop("shared", "star-pairs")
+    more = scratch.write(across_components(keyed, docs, scratch), "more")
+    scratch.drop("keyed", "leaves", "boxes", "sides", "named", "named_ids", "named_sets")
     links = star.unionByName(more)
     final = scratch.write(components(links, scratch, "final"), "final_components")
 
