@@ -1,8 +1,9 @@
 """Row order without a global sort.
 
 Spark tables have no row order, yet "keep the first" and "every n-th row" need one. The order is
-carried as a comparable struct, and dense positions come from per-chunk counts plus a rank inside
-each chunk, so no task ever sees more than one chunk.
+carried as a comparable struct, and dense positions come from per-chunk counts plus a place inside
+each chunk, so no task ever sees more than one chunk. The running sum over the counts has two levels:
+inside ranges of chunks, and over the ranges.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from phraseloom.schemas import ROW_ORD
+from phraseloom.storage import stored
 
 
 def order_struct(block: Column, row: Column, file: Column | None = None, sub: Column | None = None) -> Column:
@@ -24,39 +26,77 @@ def order_struct(block: Column, row: Column, file: Column | None = None, sub: Co
     ).cast(ROW_ORD)
 
 
-def file_order() -> Column:
+def file_order(fmt: str = "json") -> Column:
     """Order of a row in its file: path, start of the file block, running number inside the task.
 
-    A task reads a block front to back, so the running number follows file order within a block.
-    Must be selected directly on top of a file read.
+    A task reads a block front to back, so the running number follows file order within a block, without a gap.
+    Parquet knows the number of a row in its file. Must be selected directly on top of a file read.
     """
-    return order_struct(
-        file=F.col("_metadata.file_path"),
-        block=F.col("_metadata.file_block_start"),
-        row=F.monotonically_increasing_id(),
-    )
+    path = F.col("_metadata.file_path")
+    if fmt == "parquet":
+        return order_struct(file=path, block=F.lit(0), row=F.col("_metadata.row_index"))
+    return order_struct(file=path, block=F.col("_metadata.file_block_start"), row=F.monotonically_increasing_id())
+
+
+def running_totals(sizes: DataFrame, keys: list[str], size: str = "_size", name: str = "_offset") -> DataFrame:
+    """Add the sum of `size` over all rows before, in the order of `keys`.
+
+    The rows are dealt into ranges of the order and stored; sums run inside each range, and the range totals, one
+    number per shuffle partition, are added up on the driver.
+    """
+    spark = sizes.sparkSession
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = sizes.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys)
+    # The number has the range in its upper bits.
+    ordered = stored(ordered.withColumn("_at", F.monotonically_increasing_id())).withColumn("_range", F.shiftright("_at", 33))
+    totals = sorted(ordered.groupBy("_range").agg(F.sum(size)).collect())
+    before, total = [], 0
+    for number, own in totals:
+        before.append((number, total))
+        total += own
+    firsts = F.broadcast(spark.createDataFrame(before, "_range bigint, _before bigint"))
+    inside = Window.partitionBy("_range").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    summed = ordered.withColumn("_inside", F.coalesce(F.sum(size).over(inside), F.lit(0))).join(firsts, "_range")
+    return summed.withColumn(name, F.col("_before") + F.col("_inside")).drop("_at", "_range", "_before", "_inside")
+
+
+def with_offsets(df: DataFrame, offsets: DataFrame, chunk: list[str], *columns: str) -> DataFrame:
+    """Rows beside columns of their chunk; null is a chunk like any other."""
+    known = offsets.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(chunk)], *columns)
+    same = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(chunk)]
+    return df.join(known, same).drop(*[f"_k{i}" for i in range(len(chunk))])
 
 
 def dense_position(df: DataFrame, chunk: list[str], order: list[str], name: str = "position") -> DataFrame:
     """Add the 0-based position in the order (chunk, order).
 
-    Chunks must be small enough for one task: a file block, or a bucket of an id. The table of chunk
-    counts has one row per chunk, so the running sum over it is the only single-task step.
+    Chunks must be small enough for one task: a file block, or a bucket of an id.
     """
     sizes = df.groupBy(*chunk).agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.orderBy(*chunk).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        *[F.col(c).alias(f"_k{i}") for i, c in enumerate(chunk)],
-        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"),
-    )
-    in_chunk = Window.partitionBy(*chunk).orderBy(*order)
-    ranked = df.withColumn("_rank", F.row_number().over(in_chunk))
-    same = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(chunk)]
-    return (
-        ranked.join(offsets, same)
-        .withColumn(name, F.col("_offset") + F.col("_rank") - 1)
-        .drop("_rank", "_offset", *[f"_k{i}" for i in range(len(chunk))])
-    )
+    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*chunk).orderBy(*order)))
+    placed = with_offsets(ranked, running_totals(sizes, chunk), chunk, "_offset")
+    return placed.withColumn(name, F.col("_offset") + F.col("_rank") - 1).drop("_rank", "_offset")
+
+
+def block_position(df: DataFrame, name: str = "position") -> tuple[DataFrame, int] | None:
+    """Rows that carry row_ord with their 0-based position in it, and their number.
+
+    For rows as a file read numbers them, without a gap inside a block: a position is the rows of all blocks before
+    plus the distance from the first number of the block, so nothing is ranked, shuffled or written but a row per
+    block. Both reads number alike, as a split of a file is one partition in each. None if the numbers have gaps.
+    """
+    place = df.withColumns({"_file": F.col("row_ord.file"), "_block": F.col("row_ord.block"), "_row": F.col("row_ord.row")})
+    # A read of no column counts lines that are no records, such as blank ones; so a data column takes part.
+    data = next((F.col(f"`{c}`") for c in df.columns if c != "row_ord"), F.lit(1))
+    every = F.count(data) + F.count_if(data.isNull())
+    sizes = place.groupBy("_file", "_block").agg(F.count("_row").alias("_size"), F.min("_row").alias("_first"), F.max("_row").alias("_last"), every.alias("_all"))
+    offsets = running_totals(sizes, ["_file", "_block"])
+    dense = (F.col("_last") - F.col("_first") + 1 == F.col("_size")) & (F.col("_all") == F.col("_size"))
+    total, ok = offsets.agg(F.coalesce(F.sum("_size"), F.lit(0)), F.coalesce(F.bool_and(F.coalesce(dense, F.lit(False))), F.lit(True))).first()
+    if not ok:
+        return None
+    placed = with_offsets(place, offsets, ["_file", "_block"], "_offset", "_first")
+    return placed.withColumn(name, F.col("_offset") + F.col("_row") - F.col("_first")).drop("_file", "_block", "_row", "_offset", "_first"), total
 
 
 SAMPLE_PER_BUCKET = 200

@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from phraseloom.functions import fixed_values as V
 from phraseloom.functions.text import as_column, cut, normalize_text
-from phraseloom.operators.ordering import dense_position, position_by_id
-from phraseloom.storage import stored
+from phraseloom.operators.ordering import block_position, dense_position, position_by_id
 
 # A list of sampled keys below this length is small enough to send to every executor.
 BROADCAST_KEYS = 100_000
@@ -42,9 +41,13 @@ def systematic_sample(df: DataFrame, n: int, id_col: str) -> DataFrame:
 def systematic_sample_by_row_ord(df: DataFrame, n: int) -> DataFrame:
     """Systematic sample in file order, for a frame that carries row_ord.
 
-    The rows are stored first: the running number in row_ord holds for one read, and two passes need the same.
+    Rows as a file read numbers them are counted per block in one pass and picked by position in another; nothing but
+    the block counts is written. Rows with other numbers are ranked inside their blocks, and must be the same in both
+    passes.
     """
-    df = stored(df)
+    if (found := block_position(df)) is not None:
+        positions, total = found
+        return _every_nth(positions, n, total).drop("position")
     place = df.select("row_ord").withColumns({"_file": F.col("row_ord.file"), "_block": F.col("row_ord.block")})
     positions = dense_position(place, ["_file", "_block"], ["row_ord"])
     chosen = _every_nth(positions, n, place.count()).select("row_ord")

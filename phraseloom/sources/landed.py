@@ -2,25 +2,28 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Callable
 from functools import reduce
+from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from phraseloom import schemas as S
 from phraseloom.functions import fixed_values as V
 from phraseloom.functions.text import any_nonzero, field, is_blank, join_tokens, strip
 from phraseloom.operators.ordering import file_order, order_struct
 from phraseloom.operators.sampling import systematic_sample_by_row_ord
+from phraseloom.storage import stored
 
 
 def read_records(spark: SparkSession, path: str, schema: StructType, fmt: str = "json", **options) -> DataFrame:
     """Records of a file or folder with a given schema and their file order."""
     reader = spark.read.format(fmt).schema(schema).option("mode", "PERMISSIVE")
-    return reader.options(**options).load(path).select("*", file_order().alias("row_ord"))
+    return reader.options(**options).load(path).select("*", file_order(fmt).alias("row_ord"))
 
 
 def read_json_lists(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -247,20 +250,32 @@ def meaning_pairs(records: DataFrame) -> DataFrame:
     ).filter(F.col("target_lang").isNotNull())
 
 
+def files_by_header(spark: SparkSession, path: str) -> list[tuple[list[str], list[str]]]:
+    """(column names, files) of each distinct header among CSV files, found in one job.
+
+    A header is the first line that is not blank; names are compared without case and white space around them.
+    """
+    meta = {"file": F.col("_metadata.file_path"), "block": F.col("_metadata.file_block_start"), "row": F.monotonically_increasing_id()}
+    lines = spark.read.text(path).select("value", *[c.alias(name) for name, c in meta.items()])
+    first = lines.filter((F.col("block") == 0) & ~is_blank("value")).groupBy("file").agg(F.min_by("value", "row").alias("header"))
+    same = first.groupBy(F.lower("header").alias("_same")).agg(F.min("header").alias("header"), F.sort_array(F.collect_list("file")).alias("files"))
+    found = same.orderBy("_same").collect()
+    names = [[c.strip().lower() for c in next(csv.reader([r["header"].lstrip("\ufeff")]))] for r in found]
+    return [(n, [unquote(f) for f in r["files"]]) for n, r in zip(names, found)]
+
+
 def csv_by_header(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """CSV files by the names in their headers, in any order; columns that are not there are null.
 
-    Files of a folder or pattern may differ in their headers, so each is read by its own.
+    Files of a folder or pattern may differ in their headers; those with the same are one scan.
     """
-    files = [r[0] for r in spark.read.format("binaryFile").load(path).select("path").orderBy("path").collect()]
     frames = []
-    for file in files:
-        found = spark.read.options(header=True, multiLine=True, escape='"').csv(file)
-        have = {c.strip().lstrip("\ufeff").lower(): c for c in found.columns}
-        columns = [
-            (F.col(f"`{have[f.name]}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields
-        ]
-        frames.append(found.select(*columns, file_order().alias("row_ord")))
+    for names, files in files_by_header(spark, path):
+        columns = StructType([StructField(f"c{i}", StringType()) for i in range(len(names))])
+        found = spark.read.options(header=True, multiLine=True, escape='"').schema(columns).csv(files)
+        have = {name: f"c{i}" for i, name in reversed(list(enumerate(names)))}
+        picked = [(F.col(have[f.name]) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields]
+        frames.append(found.select(*picked, file_order().alias("row_ord")))
     if not frames:
         return spark.createDataFrame([], StructType(schema.fields + [StructField("row_ord", S.ROW_ORD)]))
     return reduce(lambda a, b: a.unionByName(b), frames)
@@ -271,26 +286,60 @@ def read_pair_csv(spark: SparkSession, glob: str) -> DataFrame:
     return csv_by_header(spark, glob, S.UNIFIED)
 
 
+def _files(spark: SparkSession, path: str) -> list[str]:
+    """The files of a source. Only the listing is read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
+    return sorted(r[0] for r in found.collect())
+
+
+def _stem(path: str) -> str:
+    return path.rsplit("/", 1)[-1].split(".", 1)[0]
+
+
+_UNREADABLE = (AnalysisException, PySparkException, Py4JJavaError)
+
+
+def _left_out(path: str, error: Exception) -> None:
+    print(f"{path}: left out, {str(error).splitlines()[0][:200]}")
+
+
 def read_or_fallback(
     spark: SparkSession,
     reader: Callable[[SparkSession, str], DataFrame],
     primary: str,
     fallback_csv: str | None = None,
 ) -> DataFrame:
-    """The primary source; if it is missing or cannot be read the local CSV; if that fails too, no rows.
+    """The primary source, stored by one read of it; for files that cannot be read, local CSV files; else no rows.
 
-    Whether a source can be read is found by one pass over it, since a broken file shows only then.
+    A broken file shows only when it is read. Then the files are tried one by one: the good ones stay, and each
+    broken one is replaced by the CSV file of its name at `fallback_csv`, a folder or pattern. A fallback that is one
+    file of another name stands for the whole source, if nothing of it can be read or it is not there.
     """
-    for read, path in ((reader, primary), (read_pair_csv, fallback_csv)):
-        if path is None:
-            continue
+    try:
+        return stored(reader(spark, primary))
+    except _UNREADABLE as error:
+        _left_out(primary, error)
+    good, broken = [], []
+    try:
+        files = _files(spark, primary)
+    except _UNREADABLE:
+        files = []
+    for file in files if len(files) > 1 else []:
+        try:
+            good.append(stored(reader(spark, file)))
+        except _UNREADABLE as error:
+            _left_out(file, error)
+            broken.append(_stem(file))
+    if fallback_csv is not None:
         try:
-            rows = read(spark, path)
-            rows.write.format("noop").mode("overwrite").save()
-            return rows
-        except (AnalysisException, PySparkException, Py4JJavaError) as error:
-            print(f"{path}: left out, {str(error).splitlines()[0][:200]}")
-    return empty_unified(spark)
+            instead = read_pair_csv(spark, fallback_csv)
+            if good:
+                name = F.regexp_extract(F.col("row_ord.file"), r"([^/.]*)[^/]*$", 1)
+                instead = instead.filter(name.isin(*broken))
+            good.append(stored(instead))
+        except _UNREADABLE as error:
+            _left_out(fallback_csv, error)
+    return reduce(lambda a, b: a.unionByName(b), good) if good else empty_unified(spark)
 
 
 def synthetic_order(id_col: Column, sub: Column | None = None) -> Column:

@@ -50,4 +50,4 @@ def read_generator_test(spark: SparkSession, path: str, fmt: str = "csv") -> Dat
     """Evaluation pairs with their file order."""
     if fmt == "csv":
         return csv_by_header(spark, path, S.GENERATOR_TEST)
-    return read_table(spark, path, S.GENERATOR_TEST, fmt).select("*", file_order().alias("row_ord"))
+    return read_table(spark, path, S.GENERATOR_TEST, fmt).select("*", file_order(fmt).alias("row_ord"))
