@@ -5,8 +5,11 @@ Three physical forms give the same hits. Which one runs depends on sizes found b
 * the index is small: it goes to every task, and queries are scored where they are read;
 * the queries are few: they go to every task, and the index is scanned once, each task keeping k;
 * both are large: the index is cut by language, the only filter that always prunes, and by hash into blocks of
-  bounded bytes; queries are cut into chunks of bounded bytes and go to the blocks of their language. One task sees
-  one block and one chunk, a block is copied only to chunks that ask for it, and k rows per query leave a block.
+  bounded bytes, each one row of a table that is stored once, bucketed by block. Queries are packed into chunks of
+  bounded bytes and go to the blocks of their language, which are read where they are stored. A chunk visits its
+  blocks in three rounds: one block, about the root of their number, the rest. After a round, the k-th score found so
+  far is the floor of a query, and later blocks emit only what reaches it; so about k times the root of the number of
+  blocks leave per query, and not k times the number.
 
 No form emits all pairs. Ranking uses the score to 10 places, ties go to the lower row_id. An input whose plan runs
 Python, such as an encoder, is stored once before it is read by several jobs.
@@ -14,22 +17,26 @@ Python, such as an encoder, is stored once before it is read by several jobs.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import json
+import re
+import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from phraseloom.operators.filters import language_filter
+from phraseloom.operators.ordering import running_totals
 from phraseloom.schemas import HIT
-from phraseloom.storage import stored
+from phraseloom.storage import new_path, stored
 
 # Largest side that is sent to every executor, as bytes of float32 vectors.
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Every index task emits k rows per query, so this form is for a moderate number of queries.
 FEW_QUERIES = 10_000
 # Vectors in one block of the index or one chunk of the queries.
-BLOCK_BYTES = 32 * 1024 * 1024
+BLOCK_BYTES = 16 * 1024 * 1024
 SCORES_AT_ONCE = 4_000_000
 GROUP_COLUMNS = 64
 PAIRS_AT_ONCE = 50_000
@@ -106,8 +113,8 @@ def _first_copies(vectors: np.ndarray, langs: np.ndarray, k: int) -> np.ndarray:
     return keep
 
 
-def _candidates(queries: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(query, row) numbers that include the k best rows of every query, and few others.
+def _candidates(queries: np.ndarray, rows: np.ndarray, k: int, floors: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(query, row) numbers that include the k best rows of every query, and few others; none below its floor.
 
     Scores are float32 here. The k-th largest of the maxima of column groups is a lower bound for the
     k-th best score, found without sorting; the slack covers the float32 error of a dot product.
@@ -119,9 +126,11 @@ def _candidates(queries: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarr
     if groups >= k:
         heads = scores[:, : groups * GROUP_COLUMNS].reshape(len(scores), groups, GROUP_COLUMNS).max(axis=2)
     at_least = np.partition(heads, heads.shape[1] - k, axis=1)[:, heads.shape[1] - k, None]
+    if floors is not None:
+        at_least = np.maximum(at_least, floors[:, None])
     scale = np.linalg.norm(queries, axis=1).max() * np.linalg.norm(rows, axis=1).max()
     slack = 4 * queries.shape[1] * np.finfo(np.float32).eps * scale + 10.0**-_RANK_DIGITS
-    return np.nonzero(scores >= at_least - np.float32(slack))
+    return np.nonzero(scores >= (at_least - slack).astype(np.float32))
 
 
 def _exact_scores(queries: np.ndarray, at: np.ndarray, rows: np.ndarray, col: np.ndarray) -> np.ndarray:
@@ -134,8 +143,10 @@ def _exact_scores(queries: np.ndarray, at: np.ndarray, rows: np.ndarray, col: np
     return np.round(out, _RANK_DIGITS)
 
 
-def _best(queries: _Side, rows: _Side, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Scores and ids of the k best rows per query in rank order, padded with -inf; `rows` is sorted by id."""
+def _best(queries: _Side, rows: _Side, k: int, floors: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Scores and ids of the k best rows per query in rank order, padded with -inf; `rows` is sorted by id.
+
+    With `floors`, one score per query, only rows that reach it."""
     scores = np.full((len(queries.ids), k), -np.inf)
     ids = np.full((len(queries.ids), k), np.iinfo(np.int64).max)
     for lang in np.unique(queries.langs):
@@ -147,12 +158,14 @@ def _best(queries: _Side, rows: _Side, k: int) -> tuple[np.ndarray, np.ndarray]:
         step = max(1, SCORES_AT_ONCE // len(r.ids))
         for i in range(0, len(mine), step):
             part = mine[i : i + step]
-            at, col = _candidates(queries.vectors[part], r.vectors, m)
+            at, col = _candidates(queries.vectors[part], r.vectors, m, None if floors is None else floors[part])
             exact = _exact_scores(queries.vectors, part[at], r.vectors, col)
             order = np.lexsort((col, -exact, at))
             at, col, exact = at[order], col[order], exact[order]
             rank = np.arange(len(at)) - np.searchsorted(at, at)
             keep = rank < m
+            if floors is not None:
+                keep &= exact >= floors[part[at]]
             scores[part[at[keep]], rank[keep]] = exact[keep]
             ids[part[at[keep]], rank[keep]] = r.ids[col[keep]]
     return scores, ids
@@ -194,10 +207,29 @@ def _candidate_ddl(queries: DataFrame) -> str:
     return f"query_id {_id_type(queries)}, row_id bigint, raw_score double, rank int"
 
 
+# Classes of plan nodes and expressions that are costly to run twice: Python, and the functions of fitted models.
+_COSTLY = re.compile(r"\.(Python\w*|ArrowEval\w*|MapIn\w+|FlatMap\w+In\w+|ScalaUDF)$")
+
+
+def _runs_code(df: DataFrame) -> bool:
+    """Whether the plan has user code: by the classes of its parts, so that names and literals do not count."""
+    nodes = json.loads(df._jdf.queryExecution().optimizedPlan().toJSON())
+
+    def classes(part) -> Iterator[str]:
+        if isinstance(part, dict):
+            if isinstance(part.get("class"), str):
+                yield part["class"]
+            part = list(part.values())
+        if isinstance(part, list):
+            for one in part:
+                yield from classes(one)
+
+    return any(_COSTLY.search(name) for name in classes(nodes))
+
+
 def _once(df: DataFrame) -> DataFrame:
-    """The same rows; stored if their plan runs Python, since several jobs read them."""
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    return stored(df) if any(word in plan for word in ("Python", "MapInArrow", "MapInPandas")) else df
+    """The same rows; stored if their plan runs user code, since several jobs read them."""
+    return stored(df) if _runs_code(df) else df
 
 
 class _Size:
@@ -235,35 +267,119 @@ def _with_few_queries(queries: DataFrame, index: DataFrame, k: int) -> DataFrame
     return index.mapInArrow(scan, _candidate_ddl(queries))
 
 
+PACKED = "number int, lang string, data binary"
+
+
+def _cuts(side: DataFrame, rows: int) -> tuple[DataFrame, int]:
+    """Per language, the first number (`_offset`) and the number (`_size`) of its blocks, and that of all blocks."""
+    sizes = side.groupBy("lang").agg(F.ceil(F.count(F.lit(1)) / rows).alias("_size"))
+    cuts = running_totals(sizes, ["lang"])
+    return cuts, cuts.agg(F.coalesce(F.sum("_size"), F.lit(0))).first()[0]
+
+
+def _packed(side: DataFrame, id_col: str, cuts: DataFrame, finish: Callable[[_Side], _Side]) -> DataFrame:
+    """One row per block: its number, language and its rows as one Arrow stream."""
+    block = F.col("_offset") + F.pmod(F.xxhash64(id_col), F.col("_size"))
+    rows = side.join(cuts, "lang").select(id_col, "embedding", "lang", block.cast("int").alias("number"))
+    parts = int(side.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def block_of() -> pa.RecordBatch:
+            whole = pa.Table.from_batches(held)
+            number, lang = whole.column("number")[0].as_py(), whole.column("lang")[0].as_py()
+            kept = finish(_Side.of(whole, id_col))
+            vectors = pa.FixedSizeListArray.from_arrays(pa.array(kept.vectors.reshape(-1)), kept.vectors.shape[1])
+            data = pa.RecordBatch.from_arrays([pa.array(kept.ids, type=kept.id_type), vectors], names=["id", "embedding"])
+            with pa.BufferOutputStream() as sink:
+                with pa.ipc.new_stream(sink, data.schema) as out:
+                    out.write_batch(data)
+                packed = sink.getvalue().to_pybytes()
+            return pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([lang]), pa.array([packed])], names=["number", "lang", "data"])
+
+        for batch in batches:
+            numbers = batch.column("number").to_numpy()
+            cut = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), len(batch)]
+            for a, b in zip(cut, cut[1:]):
+                if held and b > a and held[-1].column("number")[0] != batch.column("number")[a]:
+                    yield block_of()
+                    held = []
+                if b > a:
+                    held.append(batch.slice(a, b - a))
+        if held:
+            yield block_of()
+
+    return rows.repartition(parts, "number").sortWithinPartitions("number").mapInArrow(pack, PACKED)
+
+
+def _unpacked(data: bytes, lang: str) -> _Side:
+    rows = pa.ipc.open_stream(data).read_all()
+    ids = rows.column("id").combine_chunks()
+    vectors = rows.column("embedding").combine_chunks()
+    matrix = vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1)
+    return _Side(ids.to_numpy(zero_copy_only=False), matrix, np.full(len(ids), lang, dtype=object), ids.type)
+
+
+def _visits(chunks: DataFrame, cuts: DataFrame, n_blocks: int) -> DataFrame:
+    """(chunk, block, round) of all visits. A chunk goes round its blocks from one that its number picks."""
+    wide = F.col("lang") == _ANY
+    reach = chunks.select(F.col("number").alias("chunk"), "lang").join(cuts.withColumn("_known", F.lit(True)), "lang", "left")
+    reach = reach.filter(wide | F.col("_known")).select(
+        "chunk", F.when(wide, 0).otherwise(F.col("_offset")).alias("first"), F.when(wide, n_blocks).otherwise(F.col("_size")).alias("n")
+    )
+    steps = reach.filter("n > 0").withColumn("step", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    block = F.col("first") + F.pmod(F.pmod(F.xxhash64("chunk"), F.col("n")) + F.col("step"), F.col("n"))
+    round_ = F.when(F.col("step") == 0, 0).when(F.col("step") <= F.ceil(F.sqrt("n")), 1).otherwise(2)
+    return steps.select("chunk", block.cast("int").alias("block"), round_.alias("round"))
+
+
 def _with_blocks(queries: DataFrame, index: DataFrame, k: int, block_rows: int) -> DataFrame:
-    """Blocks of the index by language and hash against chunks of the queries."""
-    # One row per language, numbered.
-    number = F.row_number().over(Window.orderBy("lang")).alias("number")
-    blocks = stored(index.groupBy("lang").agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("blocks")).select("lang", "blocks", number))
-    n_cells = blocks.count()
-    n_chunks = max(1, -(-queries.count() // block_rows))
-    asked = queries.withColumn("chunk", F.pmod(F.xxhash64("query_id"), F.lit(n_chunks)))
-    own = asked.filter(F.col("lang") != _ANY).join(blocks, "lang").withColumn("cell", F.col("lang"))
-    # A query without a language asks all of them.
-    free = asked.filter(F.col("lang") == _ANY).withColumn("number", F.explode(F.sequence(F.lit(1), F.lit(max(1, n_cells)))))
-    free = free.join(blocks.select("number", F.col("lang").alias("cell"), "blocks"), "number")
-    columns = ["query_id", "embedding", "lang", "chunk", "cell", "blocks"]
-    routed = own.select(*columns).unionByName(free.select(*columns))
-    routed = routed.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
-
-    # Which chunks visit a cell is known from the queries alone, before any vector moves.
-    visits = routed.select("cell", "chunk").distinct()
-    placed = index.join(blocks, "lang").withColumn("block", F.pmod(F.xxhash64("row_id"), F.col("blocks")))
-    placed = placed.withColumn("cell", F.col("lang")).join(visits, "cell").select("row_id", "embedding", "lang", "cell", "block", "chunk")
-
-    def block(left: pa.Table, right: pa.Table) -> pa.Table:
-        queries_here = _Side.of(left, "query_id")
-        rows_here = _Side.of(right, "row_id").useful(k)
-        return pa.Table.from_batches([_emit(queries_here, *_best(queries_here, rows_here, k))])
-
-    key = ["cell", "block", "chunk"]
-    left, right = routed.alias("asked").groupBy(*key), stored(placed).groupBy(*key)
-    return left.cogroup(right).applyInArrow(block, _candidate_ddl(queries))
+    """Blocks of the index by language and hash against chunks of the queries, in rounds with rising floors."""
+    spark = queries.sparkSession
+    cuts, n_blocks = _cuts(index, block_rows)
+    kind = f"query_id {_id_type(queries)}, row_id bigint, raw_score double, rank int, chunk int, place int"
+    if n_blocks == 0:
+        return spark.createDataFrame([], kind)
+    name = f"phraseloom_blocks_{uuid.uuid4().hex}"
+    blocks = _packed(index, "row_id", cuts, lambda rows: rows.useful(k)).select(F.col("number").alias("block"), F.col("data").alias("rows"))
+    buckets = max(1, min(n_blocks, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    blocks = blocks.repartition(buckets, "block").write.bucketBy(buckets, "block").sortBy("block")
+    blocks.option("path", new_path(spark, name)).saveAsTable(name)
+    try:
+        chunks = stored(_packed(queries, "query_id", _cuts(queries, block_rows)[0], _Side.by_id))
+        visits = stored(_visits(chunks, cuts, n_blocks))
+
+        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for row in (batch.slice(i, 1).to_pylist()[0] for i in range(len(batch))):
+                    asked, rows = _unpacked(row["data"], row["lang"]), _unpacked(row["rows"], _ANY)
+                    asked.langs[:] = _ANY  # a chunk only meets blocks of its language
+                    floors = None
+                    if row["floors"]:
+                        floors = np.full(len(asked.ids), -np.inf)
+                        floors[[f["place"] for f in row["floors"]]] = [f["floor"] for f in row["floors"]]
+                    scores, ids = _best(asked, rows, k, floors)
+                    out = _emit(asked, scores, ids)
+                    place = np.nonzero(scores > -np.inf)[0].astype(np.int32)
+                    out = out.append_column("chunk", pa.array(np.full(len(place), row["chunk"], np.int32)))
+                    yield out.append_column("place", pa.array(place))
+
+        found, floors = None, spark.createDataFrame([], "chunk int, floors array<struct<place: int, floor: double>>")
+        for round_ in range(3):
+            asked = visits.filter(F.col("round") == round_).join(chunks.withColumnRenamed("number", "chunk"), "chunk").join(floors, "chunk", "left")
+            met = asked.join(spark.table(name).hint("merge"), "block").select("chunk", "lang", "data", "floors", "rows")
+            new = stored(met.mapInArrow(score, kind))
+            # Only k rows per query go on: those of the rounds before are the best so far.
+            found = new if found is None else found.unionByName(new)
+            if round_ < 2:
+                found = stored(top_k(found, k))
+                kth = found.filter(F.col("rank") == k).select("chunk", F.struct("place", F.col("raw_score").alias("floor")).alias("_f"))
+                # A chunk holds a bounded number of queries, so its floors are one small list.
+                floors = kth.groupBy("chunk").agg(F.collect_list("_f").alias("floors"))
+        return found
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def top_k(candidates: DataFrame, k: int) -> DataFrame:
@@ -409,20 +525,19 @@ def attach_hits(
 ) -> DataFrame:
     """Replace `embedding` by `hits`, the list of the k best rows in rank order; no vector, no hits.
 
-    In every form, `df` is stored first if its plan runs Python. With a small index, the rest is one pass without a
-    shuffle; otherwise the search and the join back both read `df`.
+    With a small index this is one pass over `df` without a shuffle. Otherwise the search and the join back both read
+    `df`, so it is stored first if its plan runs user code.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
-    kept = _once(df)
     if isinstance(index, PreparedIndex) and (source_lang or target_lang or k > index.k or form is not None):
         index = index.rows
     if not isinstance(index, PreparedIndex):
         rows = language_filter(index, source_lang, target_lang)
         index = PreparedIndex(rows, k, broadcast_bytes if form in (None, "small_index") else -1)
     if index.shared is not None:
-        return _attach_in_one_pass(kept, index.shared, k)
-    rows = index.rows
+        return _attach_in_one_pass(df, index.shared, k)
+    kept, rows = _once(df), index.rows
     hits = pack_hits(retrieve(kept, rows, k, form=form, broadcast_bytes=broadcast_bytes, **how))
     joined = kept.drop("embedding").join(hits, "query_id", "left")
     return joined.withColumn("hits", F.coalesce("hits", F.array().cast(T.ArrayType(HIT))))
