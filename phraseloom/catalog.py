@@ -7,6 +7,7 @@ assistant turn that follows; `idx` is the embeddings with the vector label as ta
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -16,10 +17,11 @@ from phraseloom.functions import arrays, fixed_values as V, language
 from phraseloom.functions.text import clean_text, token_count
 from phraseloom.operators import dedup, detector, encode, evaluate, filters, gate, metrics, profile, retrieval
 from phraseloom.operators import sampling, splitting, translate
-from phraseloom.plans import index as index_plan, prepare, profile_report as report_plan
+from phraseloom.plans import evaluation, index as index_plan, prepare, profile_report as report_plan, unify as unify_plan
+from phraseloom.schemas import UNIFIED
 from phraseloom.sinks.tables import index_manifest as manifest_of
 from phraseloom.sources import landed
-from phraseloom.storage import shared_folder, stored
+from phraseloom.storage import new_path, shared_folder, stored
 from phraseloom.streaming.translate import translate_stream
 
 
@@ -222,6 +224,106 @@ def q_meaning_pairs(spark, sf):
     return landed.meaning_pairs(records).drop("row_ord")
 
 
+def _landing(spark: SparkSession, label: str) -> str:
+    """A new folder in the shared one, where a query lands files that it reads back."""
+    return new_path(spark, label)
+
+
+def q_csv_by_header(spark, sf):
+    """Pairs landed as CSV files of three headers: all columns, another order and case, and without the label."""
+    base = _landing(spark, "csv")
+    rows = pairs_unified(spark, sf).drop("row_ord")
+    third = F.length("source_idiom") % 3
+    orders = [list(UNIFIED.names), [c.upper() for c in reversed(UNIFIED.names)], ["source_idiom", "extra", "target_idiom", "source_lang", "target_lang"]]
+    for i, names in enumerate(orders):
+        part = rows.filter(third == i).withColumn("extra", F.lit("x, \"y\""))
+        part.select(*[F.col(n.lower()).alias(n) for n in names]).repartition(2).write.options(header=True, escape='"').csv(f"{base}/part{i}")
+    return landed.read_pair_csv(spark, f"{base}/part*").drop("row_ord")
+
+
+def _rename(spark: SparkSession, pattern: str, name: Callable[[str], str]) -> None:
+    """Give landed part files their names, which readers look at."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(pattern).getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.globStatus(hadoop.Path(pattern)):
+        fs.rename(status.getPath(), hadoop.Path(name(status.getPath().toString())))
+
+
+def _land_json_lists(df: DataFrame, key: Column, folder: str) -> None:
+    """One file per 500 keys, each a JSON list of records."""
+    every = df.select(F.to_json(F.struct(*df.columns)).alias("j"), F.floor(key / 500).alias("g"))
+    lists = every.groupBy("g").agg(F.concat(F.lit("["), F.array_join(F.collect_list("j"), ","), F.lit("]")).alias("value"))
+    lists.write.partitionBy("g").text(folder)
+    _rename(df.sparkSession, f"{folder}/g=*/part-*", lambda path: path.rsplit("/", 1)[0] + "/list.json")
+
+
+def _sentences(spark: SparkSession, sf: str) -> DataFrame:
+    label = F.when(F.col("label") == 1, "idiomatic").otherwise("literal").alias("label")
+    return lab(spark, sf).select(F.col("text").alias("sentence"), label, F.col("source").alias("idiom"), F.lit("train").alias("split"))
+
+
+def q_read_or_fallback(spark, sf):
+    """Labelled sentences landed as JSON; one file is no valid gzip file and is replaced by the CSV of its name."""
+    base, records = _landing(spark, "fallback"), _sentences(spark, sf)
+    even = F.length("sentence") % 2 == 0
+    records.filter(even).coalesce(1).write.json(f"{base}/good")
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/good/broken.json.gz")
+    out = place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place)
+    out.write(bytearray(b"\x1f\x8b no gzip stream"))
+    out.close()
+    instead = records.filter(~even).withColumns({"text": F.lit(None), "row_ord": landed.synthetic_order(F.lit(0))})
+    landed.labelled_sentences(instead).drop("row_ord").coalesce(1).write.options(header=True, escape='"').csv(f"{base}/csv")
+    _rename(spark, f"{base}/csv/part-*", lambda path: path.rsplit("/", 1)[0] + "/broken.csv")
+    return landed.read_or_fallback(spark, landed.read_labelled_sentences, f"{base}/good", f"{base}/csv/broken*.csv").drop("row_ord")
+
+
+def _land_sources(spark: SparkSession, sf: str) -> str:
+    """Raw source files from the driver tables: labelled sentences, multilingual entries, pairs and a dictionary."""
+    raw, part = _landing(spark, "raw"), table(spark, sf, "part")
+    _sentences(spark, sf).repartition(3).write.json(f"{raw}/labelled")
+    _land_json_lists(part.select(_part_languages().alias("languages"), "p_partkey"), F.col("p_partkey"), f"{raw}/multilingual")
+    both = F.struct(F.col("source_idiom").alias("en"), F.col("target_idiom").alias("hi")).alias("translation")
+    pairs(spark, sf).select(both).repartition(4).write.json(f"{raw}/parallel")
+    _land_json_lists(_dictionary(spark, sf).withColumn("n", F.col("row_ord.row")).drop("row_ord"), F.col("n"), f"{raw}/malayalam.json")
+    return raw
+
+
+def q_unify_job(spark, sf):
+    """The job over landed files; per source, rows and distinct texts of the stored table."""
+    raw, out = _land_sources(spark, sf), _landing(spark, "unified")
+    unify_plan.build_unified_dataset(spark, raw, out, sample_n=None)
+    rows = spark.read.parquet(f"{out}/unified_idioms")
+    cross = spark.read.parquet(f"{out}/cross_lingual")
+    whole = rows.groupBy("source", "label").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("source_idiom").alias("n_texts"))
+    targets = cross.groupBy("source", "label").agg(F.count(F.lit(1)).alias("n_cross"))
+    return whole.join(targets, ["source", "label"], "left").select("source", "label", "n", "n_texts", F.coalesce("n_cross", F.lit(0)).alias("n_cross"))
+
+
+def q_prepare_job(spark, sf):
+    """Cleaning and splitting as a job: the stored split table."""
+    base = _landing(spark, "prepared")
+    lab_unified(spark, sf).write.parquet(f"{base}/detection_only")
+    prepare.run_preprocessing(spark, f"{base}/detection_only", base)
+    return spark.read.parquet(f"{base}/splits").select("text", "label", "split")
+
+
+def q_index_job(spark, sf):
+    """The index as a job, read back from its folder."""
+    base = _landing(spark, "index")
+    rows = index_plan.build_index(spark, pairs_unified(spark, sf), base, "en", "te")
+    return rows.select("row_id", "source_idiom", "target_idiom", "target_lang", F.size("embedding").alias("dim"))
+
+
+def _tagging_translator():
+    return lambda systems, prompts: [f" {len(s)}:{len(p)} " for s, p in zip(systems, prompts)]
+
+
+def q_translator_hook(spark, sf):
+    """A translator hook that tells the lengths of what it was given; literal rows never reach it."""
+    answered = translate.translate_rows(requests(spark, sf), three_language_index(spark, sf), hooks.translator(_tagging_translator))
+    return answered.select("query_id", "translated", "translation")
+
+
 def q_unify_dedup(spark, sf):
     return unified(spark, sf).drop("row_ord")
 
@@ -419,6 +521,31 @@ def q_gate_without_detector(spark, sf):
     )
 
 
+def _picky_scorer():
+    """A scorer that fails on texts whose length is a multiple of five."""
+    odd = _odd_length_scorer()
+
+    def model(texts):
+        if any(len(t) % 5 == 0 for t in texts):
+            raise ValueError("no score for a text of this length\nline 2")
+        return odd(texts)
+
+    return model
+
+
+def q_gate_scoring_failure(spark, sf):
+    asked = known_detections(spark, sf).drop("detection")
+    rows = gate.retrieve_with_detector(asked, idx(spark, sf), hooks.scorer(_picky_scorer), k=3)
+    found = F.transform("retrieval", lambda h: h["target_idiom"])
+    return rows.select(
+        "query_id",
+        F.col("detection.label").alias("label"),
+        F.col("detection.confidence").alias("confidence"),
+        F.array_join(found, ",").alias("found"),
+        "message",
+    )
+
+
 def q_confusion(spark, sf):
     return metrics.confusion_matrix(scored(spark, sf))
 
@@ -543,12 +670,13 @@ def q_translate_stream(spark, sf):
 
 
 def q_translation_report(spark, sf):
-    """The evaluation report over all pairs of one language."""
-    found = stored(index_plan.index_rows(index_plan.index_pairs(pairs_unified(spark, sf))))
-    test = pairs_unified(spark, sf).select(
-        F.col("source_idiom").alias("input_text"), F.col("target_idiom").alias("target_text"), "target_lang", "row_ord"
-    )
-    return evaluate.evaluate_translations(test, found, hooks.scorer(_odd_length_scorer), "telugu")
+    """The evaluation job over all pairs of one language, with a stored index and a stored test set."""
+    base = f"{shared_folder(spark)}/report-{uuid.uuid4().hex}"
+    test = pairs_unified(spark, sf).select(F.col("source_idiom").alias("input_text"), F.col("target_idiom").alias("target_text"), "target_lang")
+    test.write.parquet(f"{base}/test")
+    index_plan.build_index(spark, pairs_unified(spark, sf), base)
+    report = evaluation.run_evaluation(spark, f"{base}/test", base, hooks.scorer(_odd_length_scorer), "telugu", fmt="parquet")
+    return report.withColumns({c: F.round(c, 6) for c in ("bleu", "token_f1")})
 
 
 def q_text_token_f1(spark, sf):
@@ -574,12 +702,20 @@ def q_train_predict(spark, sf):
     return rows.select("text", "label", "detection.confidence", F.col("detection.is_idiomatic").cast("int").alias("predicted"))
 
 
+# Coefficients in 16ths, so that sums are exact in any order.
+GIVEN = detector.GivenModel(tuple((7 * i % 13 - 6) / 16 for i in range(64)), 1 / 16)
+
+
+def q_predict_given_model(spark, sf):
+    rows = detector.detect(table(spark, sf, "documents").select("doc_id", "text"), GIVEN)
+    return rows.select("doc_id", "detection.label", "detection.confidence", F.col("detection.is_idiomatic").cast("int").alias("predicted"))
+
+
 def q_translate_text(spark, sf):
     """Detection, encoding, retrieval and translation from text alone."""
-    model, _ = _fitted(spark, sf)
     found = index_plan.index_rows(index_plan.index_pairs(pairs_unified(spark, sf)))
     asked = table(spark, sf, "documents").select(F.col("doc_id").alias("query_id"), "text")
-    return translate.translate_batch(asked, found, model, "hindi")
+    return translate.translate_batch(asked, found, GIVEN, "hindi")
 
 
 def queries() -> dict:

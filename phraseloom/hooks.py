@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from phraseloom.functions import fixed_values as V
 
 ENCODE_BATCH = 64
+SCORED = T.StructType([T.StructField("logits", T.ArrayType(T.DoubleType())), T.StructField("error", T.StringType())])
 
 
 def _loaded(name: str, load: Callable[[], Callable]) -> Callable:
@@ -66,17 +67,56 @@ def encoder(load: Callable[[], Callable[[list[str]], np.ndarray]], batch: int =
 
 
 def scorer(load: Callable[[], Callable[[list[str]], np.ndarray]], batch: int = ENCODE_BATCH) -> Callable[[Column], Column]:
-    """Text column -> array<double> of class logits."""
+    """Text column -> array<double> of class logits. A failing call fails the job.
+
+    Its attribute `guarded` is the same hook as text -> struct(logits, error): where a call fails, each text of the
+    batch is tried by itself, and the ones that fail get the error and no logits. A model that cannot be loaded is an
+    error of every text.
+    """
 
     name = uuid.uuid4().hex
 
+    def finish(rows: np.ndarray) -> list[np.ndarray]:
+        return list(rows.astype(np.float64))
+
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = _loaded(name, load)
         for texts in parts:
-            yield _in_batches(model, texts, batch, lambda rows: list(rows.astype(np.float64)))
+            yield _in_batches(model, texts, batch, finish)
 
-    return score.asNondeterministic()
+    @F.pandas_udf(SCORED)
+    def guarded(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        def tried(model: Callable, texts: pd.Series) -> tuple[list, list]:
+            try:
+                return _in_batches(model, texts, batch, finish).tolist(), [None] * len(texts)
+            except Exception as error:
+                if len(texts) == 1:
+                    return [None], [str(error) or type(error).__name__]
+            ones = [tried(model, texts.iloc[i : i + 1]) for i in range(len(texts))]
+            return [v for o in ones for v in o[0]], [e for o in ones for e in o[1]]
+
+        def broken(error: Exception) -> Callable:
+            def model(texts: list[str]) -> np.ndarray:
+                raise error
+
+            return model
+
+        try:
+            model = _loaded(name, load)
+        except Exception as error:
+            model = broken(error)
+        for texts in parts:
+            logits, errors = [], []
+            for i in range(0, len(texts), batch):
+                made, failed = tried(model, texts.iloc[i : i + batch])
+                logits += made
+                errors += failed
+            yield pd.DataFrame({"logits": pd.Series(logits, dtype=object), "error": pd.Series(errors, dtype=object)})
+
+    hook = score.asNondeterministic()
+    hook.guarded = guarded.asNondeterministic()
+    return hook
 
 
 def translator(load: Callable[[], Callable[[list[str], list[str]], list[str]]]) -> Callable[[DataFrame], DataFrame]:

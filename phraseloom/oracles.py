@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from phraseloom.functions import fixed_values as V
 from phraseloom.operators.encode import DIM, MODULUS, MULTIPLIERS
 
@@ -156,7 +158,8 @@ def _bleu_chain(t: str) -> str:
     return rf"list_filter(string_split_regex({out}, '\s+'), lambda w: w <> '')"
 
 
-def _bleu() -> str:
+def _bleu_parts(texts: str) -> str:
+    """CTEs of counts and scores of `texts` (pair_id, prediction, reference); `w` and `l` hold one row each."""
     side = """SELECT pair_id, n, gram, count(*) AS c FROM (
       SELECT pair_id, unnest([1, 2, 3, 4]) AS n,
              unnest([w, w || ' ' || w2, w || ' ' || w2 || ' ' || w3, w || ' ' || w2 || ' ' || w3 || ' ' || w4]) AS gram
@@ -164,18 +167,25 @@ def _bleu() -> str:
             FROM (SELECT pair_id, unnest({c}) AS w, generate_subscripts({c}, 1) AS i FROM toks)
             WINDOW o AS (PARTITION BY pair_id ORDER BY i)))
       WHERE gram IS NOT NULL GROUP BY ALL"""
-    return rf"""WITH texts AS (
-      SELECT doc_id AS pair_id, text AS prediction, regexp_replace(text, '^\S+\s*', '') AS reference FROM documents),
+    return rf"""texts AS ({texts}),
     toks AS (SELECT pair_id, {_bleu_chain("prediction")} AS p, {_bleu_chain("reference")} AS r FROM texts),
     gp AS ({side.format(c="p")}), gr AS ({side.format(c="r")}),
     m AS (SELECT n, sum(least(gp.c, gr.c)) AS match FROM gp JOIN gr USING (pair_id, n, gram) GROUP BY n),
     t AS (SELECT n, sum(greatest(len(p) - n + 1, 0)) AS total FROM toks, (SELECT unnest([1, 2, 3, 4]) AS n) GROUP BY n),
     l AS (SELECT sum(len(p)) AS sys_len, sum(len(r)) AS ref_len FROM toks),
     w AS (SELECT {", ".join(f"max(CASE WHEN t.n = {n} THEN total END) AS total{n}, max(CASE WHEN t.n = {n} THEN coalesce(match, 0) END) AS match{n}" for n in range(1, 5))}
-          FROM t LEFT JOIN m USING (n))
+          FROM t LEFT JOIN m USING (n))"""
+
+
+_BLEU_SCORE = """round(CASE WHEN sys_len < ref_len THEN exp(1 - ref_len / sys_len) ELSE 1 END
+             * exp((ln(100 * match1 / total1) + ln(100 * match2 / total2) + ln(100 * match3 / total3) + ln(100 * match4 / total4)) / 4), 6)"""
+
+
+def _bleu() -> str:
+    texts = r"SELECT doc_id AS pair_id, text AS prediction, regexp_replace(text, '^\S+\s*', '') AS reference FROM documents"
+    return f"""WITH {_bleu_parts(texts)}
     SELECT {", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in ["sys_len", "ref_len", *[f"total{n}" for n in range(1, 5)], *[f"match{n}" for n in range(1, 5)]])},
-           round(CASE WHEN sys_len < ref_len THEN exp(1 - ref_len / sys_len) ELSE 1 END
-             * exp((ln(100 * match1 / total1) + ln(100 * match2 / total2) + ln(100 * match3 / total3) + ln(100 * match4 / total4)) / 4), 6) AS bleu
+           {_BLEU_SCORE} AS bleu
     FROM w, l"""
 
 
@@ -257,8 +267,8 @@ def _vectors(source: str, ident: str) -> str:
         WHERE c2 IS NOT NULL GROUP BY ALL)"""
 
 
-def _text_f1() -> str:
-    """Greedy token F1 of each answer against its question, with the vectors of the distinct tokens."""
+def _token_f1_parts(texts: str) -> str:
+    """CTEs up to `f` (pair_id, f1), greedy token F1 of `texts` (pair_id, prediction, reference)."""
 
     def toks(c: str) -> str:
         return rf"list_filter(string_split_regex({c}, '\s+'), lambda w: w <> '')"
@@ -269,16 +279,72 @@ def _text_f1() -> str:
     def best(name: str, by: str) -> str:
         return f"{name} AS (SELECT pair_id, avg(m) AS {name} FROM (SELECT pair_id, {by}, max(s) AS m FROM d GROUP BY pair_id, {by}) GROUP BY pair_id)"
 
-    return f"""WITH {PAIRS}, tk AS (
-      SELECT conv_id * 1000 + turn AS pair_id, {toks('target_idiom')} AS pl, {toks('source_idiom')} AS rl FROM pairs),
+    return f"""tk AS (SELECT pair_id, {toks('prediction')} AS pl, {toks('reference')} AS rl FROM ({texts})),
     {side('pw', 'pl')}, {side('rw', 'rl')},
     wd AS (SELECT w, w AS text FROM pw UNION SELECT w, w AS text FROM rw), v AS ({_vectors('wd', 'w')}),
     need AS (SELECT DISTINCT pw.w AS a, rw.w AS b FROM pw JOIN rw USING (pair_id)),
     dots AS (SELECT a, b, sum(x.x * y.x) AS s FROM need JOIN v x ON x.w = a JOIN v y ON y.w = b AND y.pos = x.pos GROUP BY a, b),
     d AS (SELECT pw.pair_id, pw.i, rw.i AS j, coalesce(s, 0) AS s FROM pw JOIN rw USING (pair_id) LEFT JOIN dots ON a = pw.w AND b = rw.w),
-    {best('p', 'i')}, {best('r', 'j')}
-    SELECT pair_id, round(coalesce(CASE WHEN p + r <> 0 THEN 2 * p * r / (p + r) ELSE 0 END, 0), 4) AS f1
-    FROM tk LEFT JOIN p USING (pair_id) LEFT JOIN r USING (pair_id)"""
+    {best('p', 'i')}, {best('r', 'j')},
+    f AS (SELECT pair_id, coalesce(CASE WHEN p + r <> 0 THEN 2 * p * r / (p + r) ELSE 0 END, 0) AS f1
+          FROM tk LEFT JOIN p USING (pair_id) LEFT JOIN r USING (pair_id))"""
+
+
+def _text_f1() -> str:
+    texts = "SELECT conv_id * 1000 + turn AS pair_id, target_idiom AS prediction, source_idiom AS reference FROM pairs"
+    return f"WITH {PAIRS}, {_token_f1_parts(texts)} SELECT pair_id, round(f1, 4) AS f1 FROM f"
+
+
+def _answered(asked: str) -> str:
+    """CTEs up to `h` (id, context, top): the five nearest pairs of each row of `asked` (id, text, want)."""
+    return f"""ixn AS (
+      SELECT {_strip('source_idiom')} AS source_idiom, {_strip('target_idiom')} AS target_idiom, target_lang, conv_id, turn FROM pairs),
+    ix AS (
+      SELECT source_idiom, target_idiom, target_lang, min(conv_id * 1000 + turn) AS row_id FROM ixn
+      WHERE source_idiom <> '' AND target_idiom <> '' GROUP BY ALL),
+    ixt AS (SELECT row_id, source_idiom AS text FROM ix), asked AS ({asked}),
+    iv AS ({_vectors('ixt', 'row_id')}), qv AS ({_vectors('asked', 'id')}),
+    near AS (SELECT id, row_id, round(sum(CAST(iv.x AS FLOAT)::DOUBLE * CAST(qv.x AS FLOAT)::DOUBLE), 10) AS s
+             FROM qv JOIN iv USING (pos) GROUP BY id, row_id),
+    every AS (SELECT a.id, ix.row_id, ix.target_idiom, coalesce(near.s, 0) AS s
+              FROM (SELECT DISTINCT id FROM qv) v JOIN asked a USING (id) JOIN ix ON ix.target_lang = a.want
+              LEFT JOIN near ON near.id = a.id AND near.row_id = ix.row_id WHERE ix.row_id IN (SELECT row_id FROM iv)),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY s DESC, row_id) AS rank FROM every),
+    h AS (SELECT id, {_text(V.CONTEXT_PREFIX)} || string_agg('''' || target_idiom || '''', ', ' ORDER BY rank) AS context,
+                 max(CASE WHEN rank = 1 THEN target_idiom END) AS top FROM ranked WHERE rank <= 5 GROUP BY id)"""
+
+
+def _given_score() -> str:
+    """CTEs up to `given` (doc_id, text, score) of the model of given coefficients."""
+    from phraseloom.catalog import GIVEN
+
+    table = "[" + ", ".join(f"{c!r}::DOUBLE" for c in GIVEN.coefficients) + "]"
+    place = f"(unicode(w) * 31 + unicode(right(w, 1)) * 17 + length(w)) % {len(GIVEN.coefficients)} + 1"
+    return rf"""ww AS (SELECT doc_id, text, list_filter(string_split_regex(lower(coalesce(text, '')), '\s+'), lambda w: w <> '') AS l FROM documents),
+    wt AS (SELECT doc_id, text, len(l) AS n, {table} AS c, l FROM ww),
+    given AS (SELECT doc_id, text, {GIVEN.intercept!r}::DOUBLE + coalesce(list_sum(list_transform(l, lambda w: c[{place}])), 0) / greatest(n, 1) AS score FROM wt)"""
+
+
+_CONFIDENCE = "round(CASE WHEN score > 0 THEN 1 / (1 + exp(-score)) ELSE 1 / (1 + exp(score)) END, 4)"
+
+
+def _translate_text() -> str:
+    asked = f"SELECT doc_id AS id, text, score, 'hi' AS want FROM given WHERE score > 0 AND {_strip('text')} <> ''"
+    return f"""WITH {PAIRS}, {_given_score()}, {_answered(asked)}
+    SELECT a.id AS query_id, a.text AS english_idiom, {_CONFIDENCE} AS detected_confidence, coalesce(h.context, '') AS retrieved_context,
+           'Hindi' AS target_language, coalesce(h.top, a.text) AS translation
+    FROM asked a LEFT JOIN h USING (id)"""
+
+
+def _translation_report() -> str:
+    te = "te AS (SELECT conv_id * 1000 + turn AS id, source_idiom AS text, target_idiom AS reference FROM pairs WHERE target_lang = 'te')"
+    asked = f"SELECT id, text, 'te' AS want FROM te WHERE length(text) % 2 = 1 AND {_strip('text')} <> ''"
+    said = "SELECT te.id AS pair_id, CASE WHEN a.id IS NULL THEN te.text ELSE coalesce(h.top, te.text) END AS prediction, reference FROM te LEFT JOIN asked a ON a.id = te.id LEFT JOIN h ON h.id = te.id"
+    return f"""WITH {PAIRS}, {te}, {_answered(asked)}, said AS ({said}),
+    {_bleu_parts("SELECT * FROM said")}, {_token_f1_parts("SELECT * FROM said")},
+    e AS (SELECT count(*) AS pairs, count(*) FILTER ({_strip('prediction')} = {_strip('reference')}) AS exact_matches FROM said)
+    SELECT 'telugu' AS language, pairs, exact_matches, exact_matches / pairs * 100 AS exact_match_pct, {_BLEU_SCORE} AS bleu,
+           (SELECT round(avg(f1), 6) FROM f) AS token_f1, CAST(0 AS BIGINT) AS failures FROM e, w, l"""
 
 
 def _stream() -> str:
@@ -304,6 +370,11 @@ def _stream() -> str:
       FROM asked a LEFT JOIN odd USING (item_id) LEFT JOIN h USING (item_id)"""
 
 
+def _room(template: str) -> int:
+    """Characters of a template beside its {places}."""
+    return len(re.sub(r"\{\w+\}", "", template))
+
+
 def oracle_sql() -> dict[str, str]:
     name = _NAME
     by_split = _split("cleaned", "text", "label")
@@ -435,6 +506,49 @@ def oracle_sql() -> dict[str, str]:
         "gate_without_detector": f"""WITH {KNOWN}, {IDX}, {_hits("known", "idx", 3, "true")}
             SELECT query_id, 'Unavailable' AS label, string_agg(target_idiom, ',' ORDER BY rank) AS found,
             {_text(V.MESSAGE_NO_DETECTOR.format(detail="model folder not found"))} AS message FROM hits GROUP BY query_id""",
+        "gate_scoring_failure": f"""WITH {KNOWN}, {IDX}, tried AS (
+              SELECT query_id, text, embedding, length(text) % 5 = 0 AS failed, length(text) % 2 = 1 AS odd FROM known),
+            {_hits("(SELECT * FROM tried WHERE failed OR odd)", "idx", 3, "true")}
+            SELECT t.query_id, any_value(CASE WHEN failed THEN 'Unavailable' WHEN odd THEN 'Idiomatic' ELSE 'Literal' END) AS label,
+            any_value(CASE WHEN NOT failed THEN round(exp(2) / (exp(2) + 1), 4) END) AS confidence,
+            coalesce(string_agg(h.target_idiom, ',' ORDER BY h.rank), '') AS found,
+            any_value(CASE WHEN failed THEN {_text(V.MESSAGE_NO_DETECTOR.format(detail="no score for a text of this length"))}
+              WHEN NOT odd THEN {_text(V.MESSAGE_LITERAL)} END) AS message
+            FROM tried t LEFT JOIN hits h USING (query_id) GROUP BY t.query_id""",
+        "predict_given_model": f"""WITH {_given_score()} SELECT doc_id, CASE WHEN score > 0 THEN 'Idiomatic' ELSE 'Literal' END AS label,
+            {_CONFIDENCE} AS confidence, CASE WHEN score > 0 THEN 1 ELSE 0 END AS predicted FROM given""",
+        "translate_text": _translate_text(),
+        "translation_report": _translation_report(),
+        "read_or_fallback": f"""WITH {LAB}, blank AS (SELECT *, CASE WHEN length(text) % 2 = 0 THEN '' END AS none FROM lab)
+            SELECT text AS source_idiom, 'en' AS source_lang, none AS target_idiom, none AS target_lang,
+            CAST(label AS INTEGER) AS label, source AS idiom_string, 'train' AS split, 'MAGPIE' AS source FROM blank""",
+        "unify_job": f"""WITH {LAB}, {PAIRS}, {DICTIONARY}, everything AS (
+            SELECT text AS source_idiom, 'en' AS source_lang, '' AS target_idiom, CAST(label AS INTEGER) AS label, 'MAGPIE' AS source, 0 AS pri FROM lab
+            UNION ALL SELECT source_idiom, source_lang, target_idiom, label, source, 1 FROM ({_pair_expand()})
+            UNION ALL SELECT {_strip('source_idiom')}, 'en', {_strip('target_idiom')}, -1, 'Kunchukuttan', 2 FROM pairs
+              WHERE {_strip('source_idiom')} <> '' AND {_strip('target_idiom')} <> ''
+            UNION ALL SELECT source_idiom, source_lang, target_idiom, label, source, 3 + sub FROM both_ways),
+            first AS (SELECT source_idiom, source_lang, label, min(pri) AS pri FROM everything GROUP BY ALL),
+            kept AS (SELECT source_idiom, source_lang, label, CASE pri WHEN 0 THEN 'MAGPIE' WHEN 1 THEN 'LIDIOMS' WHEN 2 THEN 'Kunchukuttan'
+                     WHEN 3 THEN 'Kaggle-Indian-Idioms' ELSE 'Kaggle-Indian-Idioms-Reverse' END AS source, pri FROM first)
+            SELECT source, label, count(*) AS n, count(DISTINCT source_idiom) AS n_texts,
+                   CASE WHEN any_value(pri) = 0 THEN 0 ELSE count(*) END AS n_cross FROM kept GROUP BY source, label""",
+        "prepare_job": f"WITH {CLEANED} SELECT text, label, split FROM {by_split}",
+        "index_job": f"""WITH {PAIRS}, n AS (
+            SELECT {_strip('source_idiom')} AS source_idiom, {_strip('target_idiom')} AS target_idiom, target_lang, conv_id, turn FROM pairs
+            WHERE target_lang = 'te'), f AS (
+            SELECT source_idiom, target_idiom, target_lang, min(conv_id * 1000 + turn) AS place FROM n
+            WHERE source_idiom <> '' AND target_idiom <> '' GROUP BY ALL)
+            SELECT row_number() OVER (ORDER BY place) - 1 AS row_id, source_idiom, target_idiom, target_lang, CAST({DIM} AS INTEGER) AS dim FROM f""",
+        "translator_hook": f"""WITH {TRANSLATED} SELECT a.query_id, r.query_id IS NOT NULL AS translated,
+            CASE WHEN r.query_id IS NOT NULL THEN CAST({_room(V.SYSTEM_TEXT)} + {V.SYSTEM_TEXT.count("{")} * length(a.lang_name) AS VARCHAR) || ':' ||
+              CAST({_room(V.PROMPT_IDIOM_LINE)} + length(a.text) + {_room(V.PROMPT_LAST_LINE)} + length(a.lang_name)
+                + CASE WHEN r.retrieved_context <> '' THEN {_room(V.PROMPT_CONTEXT_LINE)} + length(r.retrieved_context) ELSE 0 END AS VARCHAR) END AS translation
+            FROM asked a LEFT JOIN records r USING (query_id)""",
+        "csv_by_header": f"""WITH {PAIRS}, p AS (SELECT *, length(source_idiom) % 3 < 2 AS full_header FROM pairs)
+            SELECT source_idiom, source_lang, target_idiom, target_lang, CASE WHEN full_header THEN -1 END AS label,
+            CAST(NULL AS VARCHAR) AS idiom_string, CASE WHEN full_header THEN 'train' END AS split,
+            CASE WHEN full_header THEN 'conversations' END AS source FROM p""",
         "confusion": f"""WITH {COUNTS} SELECT 'Literal' AS actual, c00 AS literal, c01 AS idiomatic FROM four
             UNION ALL SELECT 'Idiomatic', c10, c11 FROM four""",
         "class_report": f"""WITH {COUNTS}

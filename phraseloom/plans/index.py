@@ -16,7 +16,7 @@ from phraseloom.schemas import INDEX, UNIFIED_ORDERED
 from phraseloom.sinks.tables import write_index, write_index_manifest
 from phraseloom.sources import landed
 from phraseloom.sources.tables import read_if_exists, read_index
-from phraseloom.storage import stored
+from phraseloom.storage import stored, stored_until_done
 
 BUILTIN_MODEL = "char-3gram-hash"
 
@@ -92,10 +92,11 @@ def build_index(
     model_name: str = BUILTIN_MODEL,
 ) -> DataFrame:
     """Write the index and its manifest; return the stored index. A build without pairs leaves a stored one alone."""
-    kept = stored(index_pairs(pairs, source_lang, target_lang))
-    if kept.isEmpty():
-        raise ValueError("no pair is left in these languages; the stored index was left as it is")
-    write_index(index_rows(kept, encoder), f"{out}/index")
+    with stored_until_done(spark):
+        kept = stored(index_pairs(pairs, source_lang, target_lang))
+        if kept.isEmpty():
+            raise ValueError("no pair is left in these languages; the stored index was left as it is")
+        write_index(index_rows(kept, encoder), f"{out}/index")
     index = read_index(spark, f"{out}/index")
     write_index_manifest(index, f"{out}/manifest", model_name)
     return index

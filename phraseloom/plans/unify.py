@@ -12,7 +12,7 @@ from phraseloom.schemas import UNIFIED_ORDERED
 from phraseloom.sinks import tables as sinks
 from phraseloom.sources import landed
 from phraseloom.sources.tables import read_table
-from phraseloom.storage import stored
+from phraseloom.storage import stored_until_done
 
 # Order of concatenation; "first" in the deduplication means first in this order.
 ORDER = ["labelled", "tagged", "multilingual", "parallel", "malayalam", "telugu", "hindi"]
@@ -21,7 +21,7 @@ ORDER = ["labelled", "tagged", "multilingual", "parallel", "malayalam", "telugu"
 def read_sources(
     spark: SparkSession, raw: str, fallbacks: dict[str, str] | None = None, sample_n: int | None = V.PARALLEL_SAMPLE
 ) -> dict[str, DataFrame]:
-    """The seven sources below one folder; a missing one gives its fallback CSV or no rows.
+    """The seven sources below one folder, each stored; what cannot be read is replaced by its fallback CSV or left out.
 
     `sample_n` rows of the parallel corpus are sampled; None takes all.
     """
@@ -60,15 +60,15 @@ def build_unified_dataset(
     are, and without parallel rows the stored pairs do. The unified table is written once, and the subsets are
     scans of it.
     """
-    sources = read_sources(spark, raw, fallbacks, sample_n)
-    if all(source.isEmpty() for source in sources.values()):
-        raise ValueError("none of the sources holds a row; the stored tables were left as they are")
-    # The sample of the parallel corpus is read by two writers, so it is stored once. Pairs are saved before the
-    # deduplication over all sources.
-    sources["parallel"] = stored(sources["parallel"])
-    if not sources["parallel"].isEmpty():
-        sinks.write_parallel_pairs(sources["parallel"], f"{out}/hindi_pairs", fmt)
-    sinks.write_unified(unify(sources), f"{out}/unified_idioms")
+    with stored_until_done(spark):
+        # Every source is stored by the one read of it.
+        sources = read_sources(spark, raw, fallbacks, sample_n)
+        if all(source.isEmpty() for source in sources.values()):
+            raise ValueError("none of the sources holds a row; the stored tables were left as they are")
+        # Pairs are saved before the deduplication over all sources.
+        if not sources["parallel"].isEmpty():
+            sinks.write_parallel_pairs(sources["parallel"], f"{out}/hindi_pairs", fmt)
+        sinks.write_unified(unify(sources), f"{out}/unified_idioms")
     unified = read_table(spark, f"{out}/unified_idioms", UNIFIED_ORDERED)
     if fmt != "parquet":
         sinks.write_unified(unified, f"{out}/unified_idioms_{fmt}", fmt)

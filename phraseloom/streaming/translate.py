@@ -13,6 +13,7 @@ from phraseloom.operators.detector import detect
 from phraseloom.operators.retrieval import PreparedIndex
 from phraseloom.operators.translate import api_response, requests_with_language, translate_rows
 from phraseloom.schemas import REQUEST
+from phraseloom.storage import stored_until_done
 
 
 def respond(
@@ -55,8 +56,9 @@ def translate_stream(
 
     def answer(batch: DataFrame, batch_id: int) -> None:
         # Splits and retries of a batch see the same rows, because the file source replays its offsets.
-        responses = respond(batch, prepared, detector, translator, encoder, **how)
-        responses.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        with stored_until_done(spark):
+            responses = respond(batch, prepared, detector, translator, encoder, **how)
+            responses.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     reader = spark.readStream.schema(REQUEST)
     if max_files is not None:
