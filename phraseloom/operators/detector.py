@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import IDF, HashingTF, NGram, RegexTokenizer, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
@@ -18,6 +19,7 @@ from phraseloom.operators.metrics import macro_metrics
 FEATURES = 1 << 16
 GRID = (0.001, 0.01, 0.1)
 MAX_ITERATIONS = 25
+TRIES_AT_ONCE = 3
 
 
 def feature_stages(max_tokens: int | None = None, features: int = FEATURES) -> list:
@@ -45,8 +47,8 @@ def fit_detector(
 ) -> tuple[PipelineModel, list[tuple[float, float]]]:
     """Fit one classifier per regularisation strength; keep the best macro F1 on `val`.
 
-    Returns the model and (strength, macro F1) of each try. Classes are weighted by their share, and
-    every try reads the same stored feature table. Only scalars reach the driver.
+    Returns the model and (strength, macro F1) of each try; of equal tries the first is kept. Classes are weighted by
+    their share, and every try reads the same stored counts. Only scalars reach the driver.
     """
     literal, idiomatic, total = train.agg(
         F.count_if(F.col("label") == 0), F.count_if(F.col("label") == 1), F.count(F.lit(1))
@@ -55,13 +57,17 @@ def fit_detector(
         raise ValueError(f"training needs the labels 0 and 1 only: {literal} and {idiomatic} of {total} rows")
     weight = F.when(F.col("label") == 0, total / (2.0 * literal)).otherwise(total / (2.0 * idiomatic))
 
-    prepare = Pipeline(stages=feature_stages(features=features)).fit(_with_text(train, "text"))
-    keep = ["label", "features"]
-    train_features = prepare.transform(_with_text(train, "text")).select(*keep, weight.alias("_weight")).persist()
-    val_features = prepare.transform(_with_text(val, "text")).select(*keep).persist()
-    tries, best = [], None
+    *counting, idf = feature_stages(features=features)
+    count = PipelineModel(stages=counting)
+    keep = ["label", "_tf"]
+    # Texts are cut into words once per side; weights of terms and all fits come from the stored counts.
+    counted = count.transform(_with_text(train, "text")).select(*keep, weight.alias("_weight")).persist()
+    counted_val = count.transform(_with_text(val, "text")).select(*keep).persist()
     try:
-        for strength in grid:
+        weights = idf.fit(counted)
+        train_features, val_features = weights.transform(counted), weights.transform(counted_val)
+
+        def attempt(strength: float) -> tuple[float, LogisticRegressionModel]:
             lr = LogisticRegression(
                 labelCol="label", weightCol="_weight", regParam=strength, maxIter=MAX_ITERATIONS, family="binomial"
             )
@@ -69,14 +75,16 @@ def fit_detector(
             scored = model.transform(val_features).select(
                 F.col("label").alias("actual"), F.col("prediction").cast("int").alias("predicted")
             )
-            f1 = macro_metrics(scored).first()["f1"]
-            tries.append((strength, f1))
-            if best is None or f1 > best[0]:
-                best = (f1, model)
+            return macro_metrics(scored).first()["f1"], model
+
+        # The tries do not depend on each other, and small ones leave tasks free.
+        with ThreadPoolExecutor(min(len(grid), TRIES_AT_ONCE)) as pool:
+            found = list(pool.map(attempt, grid))
     finally:
-        train_features.unpersist()
-        val_features.unpersist()
-    return PipelineModel(stages=[*prepare.stages, best[1]]), tries
+        counted.unpersist()
+        counted_val.unpersist()
+    best = max(found, key=lambda try_: try_[0])[1]
+    return PipelineModel(stages=[*counting, weights, best]), [(s, f1) for s, (f1, _) in zip(grid, found)]
 
 
 def predict(df: DataFrame, model: PipelineModel, col: str = "text") -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from phraseloom.functions import fixed_values as V
 from phraseloom.functions.language import require_language
-from phraseloom.functions.text import as_column, is_blank, strip, tokens
+from phraseloom.functions.text import as_column, emit_json, is_blank, strip, tokens
 from phraseloom.operators.encode import gram_counts
 from phraseloom.operators.detector import detect
 from phraseloom.operators.translate import literal_passthrough, translate_rows
@@ -300,7 +300,7 @@ def evaluate_translations(
     if n is not None:
         picked = picked.orderBy("row_ord").limit(n)
     inputs = picked.select(
-        F.to_json("row_ord").alias("query_id"),
+        emit_json("row_ord").alias("query_id"),
         F.col("input_text").alias("text"),
         F.col("target_text").alias("reference"),
         F.lit(language).alias("target_language"),
