@@ -149,12 +149,17 @@ def reach(shared: np.ndarray, total: np.ndarray) -> np.ndarray:
     return DENOMINATOR * shared >= NUMERATOR * (total - shared)
 
 
+def views(column: pa.Array) -> list[pa.Buffer]:
+    """The binary values of a column where they lie, without copies."""
+    return [value.as_buffer() for value in column]
+
+
 def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs (u, v) whose group counts allow a link."""
     for batch in batches:
         if len(batch):
             keep = []
-            for pair in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+            for pair in zip(views(batch.column("a")), views(batch.column("b"))):
                 both = folded(list(pair))
                 keep.append(bool(reach(both.min(0).sum(), both.sum())))
             yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v")], ["u", "v"]).filter(pa.array(keep))
@@ -164,7 +169,7 @@ def closely_bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     """Pairs (u, v) whose counts in 65,536 groups, kept as sorted lists of group numbers, allow a link."""
     for batch in batches:
         keep = []
-        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+        for a, b in zip(views(batch.column("a")), views(batch.column("b"))):
             x, y = np.frombuffer(a, np.uint16), np.frombuffer(b, np.uint16)
             groups = np.bincount(x, minlength=FINE + 1) if len(x) > 4096 else None
             if groups is not None:
@@ -181,7 +186,7 @@ def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs (u, v) whose sets reach the threshold."""
     for batch in batches:
         keep = []
-        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+        for a, b in zip(views(batch.column("a")), views(batch.column("b"))):
             x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
             keep.append(bool(reach(np.intersect1d(x, y, assume_unique=True).size, len(x) + len(y))))
         yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v")], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
@@ -280,7 +285,7 @@ def leaf_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A spanning forest, over the known components, of the links among the classes of each leaf pair."""
     for run in group_runs(batches, "pair"):
         ids, comp = run.column("doc_id").to_numpy(), run.column("component").to_numpy()
-        sets = [np.frombuffer(x, np.uint64) for x in run.column("shingles").to_pylist()]
+        sets = [np.frombuffer(x, np.uint64) for x in views(run.column("shingles"))]
         sizes = np.array([len(s) for s in sets])
         linked = np.triu(reach(shared_sizes(sets), sizes[:, None] + sizes[None, :]) & (comp[:, None] != comp[None, :]), 1)
         _, up = np.unique(comp, return_inverse=True)
