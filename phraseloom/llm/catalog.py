@@ -82,6 +82,44 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
+OP4_SQL = r"""
+WITH lists AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS k FROM lists),
+windows AS (
+  SELECT doc_id, k, count(*) OVER f AS n, string_agg(word, ' ') OVER f AS twenty FROM words
+  WINDOW f AS (PARTITION BY doc_id ORDER BY k ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)
+),
+again AS (SELECT doc_id, k FROM (SELECT doc_id, k, row_number() OVER (PARTITION BY twenty ORDER BY doc_id, k) AS place FROM windows WHERE n = 20) WHERE place > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(k, k + 20)) AS k FROM again),
+kept AS (
+  SELECT words.doc_id, count(gone.k) AS n_removed, string_agg(word, ' ' ORDER BY words.k) FILTER (gone.k IS NULL) AS text
+  FROM words LEFT JOIN gone ON gone.doc_id = words.doc_id AND gone.k = words.k GROUP BY words.doc_id
+)
+SELECT lists.doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM lists LEFT JOIN kept USING (doc_id)
+"""
+
+OP7_SQL = r"""
+WITH RECURSIVE lists AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS k, len(w) AS n_words FROM lists),
+runs AS (
+  SELECT doc_id, k, n_words, count(*) OVER f AS n, string_agg(word, ' ') OVER f AS five FROM words
+  WINDOW f AS (PARTITION BY doc_id ORDER BY k ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING)
+),
+sets AS (SELECT DISTINCT doc_id, five FROM runs WHERE n = 5 OR (n_words < 5 AND k = 1)),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+both_ways AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM sets a JOIN sets b ON a.five = b.five AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM both_ways JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * both_ways.n >= 75 * (x.n + y.n - both_ways.n)
+),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM lists UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
+SELECT lists.doc_id, coalesce(any_value(sizes.n), 0) AS n_shingles, min(reach.b) AS component_id
+FROM lists JOIN reach ON reach.a = lists.doc_id LEFT JOIN sizes ON sizes.doc_id = lists.doc_id GROUP BY lists.doc_id
+"""
+
 OP5_SQL = r"""
 WITH d AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents
@@ -152,4 +190,4 @@ FROM scored s LEFT JOIN ranked r ON s.doc_id = r.doc_id
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_dedup": OP5_SQL, "op11_web_archive": OP11_SQL, "op12_resampling": OP12_SQL}
+    return {"op4_substring_dedup": OP4_SQL, "op5_exact_dedup": OP5_SQL, "op7_jaccard_join": OP7_SQL, "op11_web_archive": OP11_SQL, "op12_resampling": OP12_SQL}
