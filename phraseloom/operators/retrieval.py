@@ -24,6 +24,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from phraseloom.operators.filters import language_filter
@@ -213,7 +214,10 @@ _COSTLY = re.compile(r"\.(Python\w*|ArrowEval\w*|MapIn\w+|FlatMap\w+In\w+|ScalaU
 
 def _runs_code(df: DataFrame) -> bool:
     """Whether the plan has user code: by the classes of its parts, so that names and literals do not count."""
-    nodes = json.loads(df._jdf.queryExecution().optimizedPlan().toJSON())
+    try:
+        nodes = json.loads(df._jdf.queryExecution().optimizedPlan().toJSON())
+    except (Py4JJavaError, ValueError):
+        return True  # a plan that cannot be looked into may hold anything
 
     def classes(part) -> Iterator[str]:
         if isinstance(part, dict):
