@@ -13,8 +13,9 @@ aggregates with a map-side step; the joins that hand them back read two written
 a hot anchor. Lists are gathered by document only, so they are no longer than a text.
 
 Defined results: null and empty texts have no words and the digest of the empty string; texts under 20 words keep all;
-whole texts count, however long; a row without id is neither searched nor cut; of rows that share an id, windows at the
-same place count as one place; an empty table gives no rows; other columns are not read, whatever their names.
+whole texts count, however long; a row without id is neither searched nor cut; rows that share an id are one document:
+their windows at the same place count as one place, and each row is cut by its own windows; an empty table gives no rows;
+other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -87,20 +88,20 @@ def anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = Words(data, offsets, BLANKS, lower=False)
             anchors = Anchors(words)
             text = words.text[anchors.at]
-            ids = batch.column("doc_id").slice(row, to - row).take(pa.array(text))
+            ids, keys = (batch.column(c).slice(row, to - row).take(pa.array(text)) for c in ("doc_id", "row"))
             out = pa.RecordBatch.from_arrays(
-                [pa.array(anchors.gram[anchors.at].view(np.int64)), ids, pa.array((anchors.at - words.first[text]).astype(np.int32))],
-                ["anchor", "doc_id", "at"],
+                [pa.array(anchors.gram[anchors.at].view(np.int64)), ids, keys, pa.array((anchors.at - words.first[text]).astype(np.int32))],
+                ["anchor", "doc_id", "row", "at"],
             )
             yield out.filter(ids.is_valid())
 
 
-PATHS = "doc_id bigint, text string, n_words bigint, kept_sha256 string, anchor bigint, content bigint, start int, n int, windows binary"
+PATHS = "doc_id bigint, row bigint, text string, n_words bigint, kept_sha256 string, anchor bigint, content bigint, start int, n int, windows binary"
 
 
 def path_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A text without repeated anchors gives its result at once; another gives its paths and a row with its text."""
-    kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
     names = [f.split()[0] for f in PATHS.split(", ")]
 
     def rows(columns: dict[str, object], n: int) -> pa.RecordBatch:
@@ -108,7 +109,7 @@ def path_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays(arrays, names)
 
     for batch in batches:
-        ids, lists = batch.column("doc_id").to_pylist(), batch.column("ats")
+        ids, keys, lists = batch.column("doc_id").to_pylist(), batch.column("row").to_pylist(), batch.column("ats")
         for row, to, data, offsets in text_slices(batch):
             words = Words(data, offsets, BLANKS, lower=False)
             marked = [np.asarray(lists[i].values) + words.first[i - row] if lists[i].is_valid else np.zeros(0, np.int64) for i in range(row, to)]
@@ -121,7 +122,8 @@ def path_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(free) == to - row:
                 continue
             busy = np.flatnonzero(hit)
-            yield rows({"doc_id": [ids[row + i] for i in busy], "n_words": counts[busy], "text": [texts[i].decode() for i in busy]}, len(busy))
+            own_key = {"doc_id": [ids[row + i] for i in busy], "row": [keys[row + i] for i in busy]}
+            yield rows({**own_key, "n_words": counts[busy], "text": [texts[i].decode() for i in busy]}, len(busy))
             anchors = Anchors(words)
             flag = np.zeros(len(words), bool)
             flag[np.concatenate(marked)] = True
@@ -141,6 +143,7 @@ def path_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield rows(
                 {
                     "doc_id": [ids[row + i] for i in text],
+                    "row": [keys[row + i] for i in text],
                     "anchor": anchors.gram[at].view(np.int64),
                     "content": content,
                     "start": (begin - words.first[text]).astype(np.int32),
@@ -162,9 +165,10 @@ def single_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 batch.column("anchor").take(pa.array(row)),
                 pa.array(window),
                 batch.column("doc_id").take(pa.array(row)),
+                batch.column("row").take(pa.array(row)),
                 pa.array((batch.column("start").to_numpy()[row] + within).astype(np.int32)),
             ],
-            ["anchor", "window", "doc_id", "start"],
+            ["anchor", "window", "doc_id", "row", "start"],
         )
 
 
@@ -187,38 +191,45 @@ def cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def keyed_rows(docs: DataFrame) -> DataFrame:
+    """doc_id, row and text. (doc_id, row) names a row, or equal rows: `row` is a hash of the text where ids repeat."""
+    again = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    row = F.lit(0).cast("bigint") if again.isEmpty() else F.xxhash64("text")
+    return docs.select("doc_id", row.alias("row"), "text")
+
+
 def repeated_spans(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """(spans of repeated windows as doc_id, start, n; one row per document with its text or its finished result)."""
-    texts = docs.select("doc_id", "text")
-    anchors = scratch.write(texts.mapInArrow(anchor_rows, "anchor bigint, doc_id bigint, at int"), "anchors")
+    """(spans of repeated windows as doc_id, row, start, n; one row per document with its text or its finished result)."""
+    texts = keyed_rows(docs)
+    anchors = scratch.write(texts.mapInArrow(anchor_rows, "anchor bigint, doc_id bigint, row bigint, at int"), "anchors")
     repeated = scratch.write(anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("anchor"), "repeated")
-    lists = scratch.write(anchors.join(repeated, "anchor").groupBy("doc_id").agg(F.collect_list("at").alias("ats")), "lists")
+    lists = scratch.write(anchors.join(repeated, "anchor").groupBy("doc_id", "row").agg(F.collect_set("at").alias("ats")), "lists")
     scratch.drop("anchors", "repeated")
-    walked = scratch.write(texts.join(lists, "doc_id", "left").mapInArrow(path_rows, PATHS), "walked")
+    walked = scratch.write(texts.join(lists, ["doc_id", "row"], "left").mapInArrow(path_rows, PATHS), "walked")
     scratch.drop("lists")
 
-    paths = walked.filter("anchor IS NOT NULL").select("anchor", "content", "doc_id", "start", "n", "windows")
+    paths = walked.filter("anchor IS NOT NULL").select("anchor", "content", "doc_id", "row", "start", "n", "windows")
     place = F.struct("doc_id", "start")
     summary = scratch.write(
         paths.groupBy("anchor").agg(F.min("content").alias("_low"), F.max("content").alias("_high"), F.min(place).alias("_first")), "summary"
     )
     known = paths.join(summary, "anchor")
     one = F.col("_low") == F.col("_high")
-    whole = known.filter(one & (place != F.col("_first"))).select("doc_id", "start", "n")
-    branching = known.filter(~one).select("anchor", "doc_id", "start", "n", "windows")
-    single = scratch.write(branching.mapInArrow(single_windows, "anchor bigint, window bigint, doc_id bigint, start int"), "single")
+    whole = known.filter(one & (place != F.col("_first"))).select("doc_id", "row", "start", "n")
+    branching = known.filter(~one).select("anchor", "doc_id", "row", "start", "n", "windows")
+    single = scratch.write(branching.mapInArrow(single_windows, "anchor bigint, window bigint, doc_id bigint, row bigint, start int"), "single")
     first = scratch.write(single.groupBy("anchor", "window").agg(F.min(place).alias("_first")), "first")
     later = single.join(first, ["anchor", "window"]).filter(place != F.col("_first"))
-    spans = scratch.write(whole.unionByName(later.select("doc_id", "start", F.lit(1).alias("n"))), "spans")
+    spans = scratch.write(whole.unionByName(later.select("doc_id", "row", "start", F.lit(1).alias("n"))), "spans")
     scratch.drop("summary", "single", "first")
-    return spans, walked.filter("n_words IS NOT NULL").select("doc_id", "text", "n_words", "kept_sha256")
+    return spans, walked.filter("n_words IS NOT NULL").select("doc_id", "row", "text", "n_words", "kept_sha256")
 
 
 def substring_dedup(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed and kept_sha256 of every row of docs."""
     spans, rows = repeated_spans(docs, Scratch(docs.sparkSession, "substring_dedup"))
     done = rows.filter("text IS NULL").select("doc_id", "n_words", F.lit(0).cast("bigint").alias("n_removed"), "kept_sha256")
-    cuts = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("_cuts"))
-    cuts = cuts.select("doc_id", F.col("_cuts.start").alias("starts"), F.col("_cuts.n").alias("sizes"))
-    open_ = rows.filter("text IS NOT NULL").select("doc_id", "text", "n_words").join(cuts, "doc_id", "left")
+    cuts = spans.groupBy("doc_id", "row").agg(F.collect_set(F.struct("start", "n")).alias("_cuts"))
+    cuts = cuts.select("doc_id", "row", F.col("_cuts.start").alias("starts"), F.col("_cuts.n").alias("sizes"))
+    open_ = rows.filter("text IS NOT NULL").select("doc_id", "row", "text", "n_words").join(cuts, ["doc_id", "row"], "left")
     return done.unionByName(open_.mapInArrow(cut_rows, "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"))

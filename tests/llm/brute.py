@@ -38,22 +38,20 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def cut(rows: list[tuple]) -> list[tuple]:
-    """(doc_id, n_words, n_removed, kept_sha256); rows that share an id share places."""
+    """(doc_id, n_words, n_removed, kept_sha256); rows that share an id share places, but not what is cut of them."""
     first: dict[tuple, tuple] = {}
     for i, t in rows:
         w = words_of(t)
         for k in range(len(w) - 19) if i is not None else []:
             key = tuple(w[k : k + 20])
             first[key] = min(first.get(key, (i, k)), (i, k))
-    out, gone = [], defaultdict(set)
+    out = []
     for i, t in rows:
-        w = words_of(t)
+        w, gone = words_of(t), set()
         for k in range(len(w) - 19) if i is not None else []:
             if first[tuple(w[k : k + 20])] != (i, k):
-                gone[i].update(range(k, k + 20))
-    for i, t in rows:
-        w = words_of(t)
-        kept = [x for k, x in enumerate(w) if k not in gone[i]] if i is not None else w
+                gone.update(range(k, k + 20))
+        kept = [x for k, x in enumerate(w) if k not in gone]
         out.append((i, len(w), len(w) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()))
     return out
 
