@@ -212,7 +212,7 @@ def test_archive_of_files(spark, tmp_path):
 def test_archive_refuses_wrong_payloads(spark, tmp_path):
     _, table = pages(spark)
     web_archive.archive_pages(table.limit(4), str(tmp_path / "a"))
-    spark.read.parquet(str(tmp_path / "a" / "payloads")).selectExpr("digest", "CAST('other' AS BINARY) AS payload").write.parquet(str(tmp_path / "c" / "payloads"))
+    spark.read.parquet(str(tmp_path / "a" / "payloads")).selectExpr("digest", "CAST('other' AS BINARY) AS payload", "copies").write.parquet(str(tmp_path / "c" / "payloads"))
     spark.read.parquet(str(tmp_path / "a" / "records")).write.parquet(str(tmp_path / "c" / "records"))
     with pytest.raises(Exception, match="another digest"):
         web_archive.archived_pages(spark, str(tmp_path / "c")).collect()
@@ -223,3 +223,114 @@ def test_archive_refuses_wrong_payloads(spark, tmp_path):
 def test_archive_of_nothing(spark, tmp_path):
     web_archive.archive_pages(spark.createDataFrame([], "page_id bigint, url string, html string"), str(tmp_path / "a"))
     assert web_archive.archived_pages(spark, str(tmp_path / "a")).isEmpty()
+
+
+def test_shared_sizes(monkeypatch):
+    from phraseloom.llm import jaccard_join
+
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 80, rng.integers(1, 60)).astype(np.uint64)) for _ in range(17)]
+    want = [[len(set(a.tolist()) & set(b.tolist())) for b in sets] for a in sets]
+    for size in (7, 23, 1 << 16):
+        monkeypatch.setattr(jaccard_join, "ELEMENTS_AT_ONCE", size)
+        got = jaccard_join.shared_sizes(sets)
+        assert all(got[i, j] == want[i][j] for i in range(17) for j in range(17) if i != j)
+
+
+def test_group_with_a_common_body_that_does_not_link(spark, monkeypatch):
+    """Similarity about 0.65 within the group: a bounded number of rows per class, and few links."""
+    from brute import linked
+    from phraseloom.llm import jaccard_join
+    from phraseloom.llm.scratch import Scratch
+
+    rng = np.random.default_rng(8)
+    text = lambda n: [f"v{x}" for x in rng.integers(0, 50_000, n)]
+    body = text(150)
+    named = []
+    real = Scratch.write
+
+    def write(self, df, name):
+        out = real(self, df, name)
+        if name == "named":
+            named.append(out.count())
+        return out
+
+    monkeypatch.setattr(Scratch, "write", write)
+    monkeypatch.setattr(jaccard_join, "FREQUENT", 10**9)  # as if the sample had not met the body
+    counts = []
+    for group in (75, 150, 300):
+        rows = [(i, " ".join(body + text(36))) for i in range(group)] + [(10_000 + i, " ".join(body + text(36))) for i in range(2)]
+        rows += [(20_000, rows[0][1] + " more"), (20_001, rows[1][1] + " words here")]
+        named.clear()
+        frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+        got = jaccard_join.jaccard_components(frame).select("doc_id", "n_shingles", "component_id").collect()
+        assert sorted(map(tuple, got)) == sorted(linked(rows))
+        counts.append(named[0])
+    # A leaf holds up to 256 classes. A class is named once for each of a few sets of classes that keys hold, not per pair.
+    assert counts[0] <= 10 * 79 and counts[1] <= 2.6 * counts[0] and counts[2] <= 8 * counts[0]
+
+
+# ------------------------------------------------------------------ scales, repeated ids and special marks
+
+
+@pytest.mark.parametrize("scale", [1e-6, 1e6, 1e-150, 1e150])
+def test_kd_search_at_any_scale(spark, scale):
+    from pyspark.sql import functions as F
+
+    from phraseloom.llm import kd_search
+
+    rng = np.random.default_rng(7)
+    vectors = rng.normal(size=(900, 16)) * scale
+    vectors[:5] *= 1e-9  # short queries beside long vectors
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<double>")
+    got: dict[int, list] = {}
+    for r in kd_search.nearest(frame, F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    found = 0
+    unit = vectors / scale
+    for q in range(0, 900, 20):
+        scores = unit @ unit[q]
+        scores[q] = -np.inf
+        found += len({v for v, _ in got[q]} & set(np.argsort(-scores)[:20].tolist()))
+        with np.errstate(over="ignore", under="ignore"):
+            want = [float((vectors[q] * vectors[v]).sum()) for v, _ in got[q]]
+        assert [s for _, s in got[q]] == pytest.approx(want, rel=1e-12, abs=0)
+    assert found >= 0.95 * 20 * 45
+
+
+def test_queries_that_share_an_id_have_lists_of_their_own(spark):
+    from pyspark.sql import functions as F
+
+    from phraseloom.llm import kd_search
+
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [0.9, 0.1]), (2, [0.1, 0.9])]
+    got = kd_search.nearest(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), F.col("vec_id") == 0, k=2).collect()
+    assert sorted((r["query_id"], r["rank"], r["vec_id"]) for r in got) == [(0, 1, 1), (0, 1, 2), (0, 2, 1), (0, 2, 2)]
+
+
+def test_substring_dedup_where_one_id_has_several_texts(spark):
+    from brute import cut
+    from phraseloom.llm import substring_dedup
+
+    w = lambda letter, n: " ".join(f"{letter}{i}" for i in range(n))
+    rows = [(1, w("w", 60)), (2, w("w", 60)), (2, "short one"), (2, w("z", 70)), (2, w("w", 60)), (3, w("z", 40)), (4, None), (4, w("z", 30))]
+    for part in (rows, rows[:3], [rows[0], rows[1], rows[3]]):
+        got = substring_dedup.substring_dedup(spark.createDataFrame(part, "doc_id bigint, text string")).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
+        assert sorted(map(tuple, got)) == sorted(cut(part))
+
+
+def test_special_marks_in_any_case_are_the_library_s():
+    from tokenizers import Tokenizer
+
+    from phraseloom.llm import token_files
+
+    path = tokenizer_path("word_bpe_49k.json")
+    library, own = Tokenizer.from_file(path), token_files.encoder(path)
+    rng = random.Random(9)
+    parts = ["<|ENDOFTEXT|>", "<|endoftext|>", "<|StartOfText|>", "<|startoftext|>", "<|", "|>", "ENDOFTEXT", "word", "Word", " ", "\n", "é", "É", "K", "ſ", ".", "x" * 300]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 12))) for _ in range(5000)]
+    for start in range(0, 5000, 500):
+        got = own.encode_many(texts[start : start + 500])
+        want = library.encode_batch(texts[start : start + 500], add_special_tokens=False)
+        assert [np.frombuffer(g, own.width).tolist() for g in got] == [e.ids for e in want]
+    assert max(map(len, own.memo)) <= token_files.MEMO_CHARS
