@@ -20,10 +20,15 @@ several shards. A query first searches one shard of its own cell and then, with
 whose box passes the test. Queries travel in blocks, so a task holds one shard and one block; the best k of a shard are
 merged by a ranked window, of which Spark keeps k rows per query before the shuffle.
 
+Scores are compared as exact products of doubles. The search works on copies scaled by powers of two, one for the table
+and one for each query, so that neither squares nor products leave the range of doubles, and bounds on the error of
+matrix products are relative to the lengths of the vectors.
+
 Defined results: null or zero vectors and those that hold a null or non-finite component take no part, as query or
 candidate; nor do null ids or vectors of another length than the most common one; rows that share an id count each,
-but never as their own neighbour; ties go to the smaller id; fewer candidates than k give fewer rows; no queries or an
-empty table give no rows; other columns are not read, whatever their names.
+as queries with a list of their own and as candidates, but never as neighbours of their id; ties go to the smaller id;
+fewer candidates than k give fewer rows; no queries or an empty table give no rows; other columns are not read, whatever
+their names. A component smaller than the longest vector by a factor of 2**500 may count as 0 in the search.
 """
 
 from __future__ import annotations
@@ -44,9 +49,10 @@ STOP = RECALL
 LEAF = 256
 SHARD_ROWS = 16_384
 QUERY_BLOCK = 4096
-SAMPLE_ROWS = 32_768
-SLACK = 1e-9
-DIGITS, TIE, LAST = 10, 1e-13, np.iinfo(np.int64).max  # LEAF * TIE is less than one step of the last digit
+SAMPLE_ROWS, MOST_SAMPLE_ROWS = 32_768, 1 << 21  # projections, of a few numbers each
+SAMPLE_PER_CELL = 32
+LAST = np.iinfo(np.int64).max
+EPS = float(np.finfo(np.float64).eps)
 
 
 def directions(dimension: int, m: int = DIRECTIONS, seed: int = 5) -> np.ndarray:
@@ -150,6 +156,11 @@ def search(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries:
     order = list(split_points(points, LEAF))
     low, high = (np.array([f(points[o], axis=0) for o in order]) for f in (np.min, np.max))
     length = np.sqrt((queries**2).sum(1))
+    part_of = np.zeros(len(vectors), np.int64)
+    for number, own in enumerate(order):
+        part_of[own] = number
+    sizes = np.sqrt((vectors**2).sum(1))
+    longest = np.array([sizes[own].max() for own in order])
     far = box_distance(scaled(queries, norm), low, high)
     turn = np.argsort(far, axis=1, kind="stable")
     best = np.full((len(queries), k), -np.inf)
@@ -172,21 +183,28 @@ def search(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries:
             scores = queries[own] @ vectors[at].T
             scores[query_ids[own][:, None] == ids[at][None, :]] = -np.inf
             verified += scores.size
-            hit = np.flatnonzero(scores.max(1) > best[own, -1] - SLACK)
+            slack = 4 * vectors.shape[1] * EPS * length[own] * longest[part_of[at[0]]]
+            hit = np.flatnonzero(scores.max(1) >= best[own, -1] - slack)
             if not len(hit):
                 continue
-            own, scores = own[hit], scores[hit]
-            # The best k of the leaf, ties within the rounding by id, then the best k of those and the ones at hand.
-            key = np.round(scores, DIGITS) - TIE * np.argsort(np.argsort(ids[at]))
-            top = np.argpartition(-key, k - 1, axis=1)[:, :k] if len(at) > k else np.broadcast_to(np.arange(len(at)), scores.shape)
-            both = np.concatenate([best[own], np.take_along_axis(scores, top, 1)], axis=1)
-            who = np.concatenate([rows[own], at[top]], axis=1)
-            pick = np.lexsort((np.where(who >= 0, ids[who], LAST), -np.round(both, DIGITS)), axis=1)[:, :k]
-            best[own] = np.take_along_axis(both, pick, 1)
-            rows[own] = np.take_along_axis(who, pick, 1)
-    q, j = np.nonzero(np.isfinite(best))
-    at = rows[q, j]
-    return q, ids[at], (queries[q] * vectors[at]).sum(1), verified
+            own, scores, slack = own[hit], scores[hit], slack[hit]
+            # All that may be among the best k, by the product of matrices and its error; their exact products decide.
+            enough = best[own, -1]
+            if len(at) > k:
+                enough = np.maximum(enough, np.partition(scores, len(at) - k, axis=1)[:, len(at) - k])
+            who, col = np.nonzero((scores >= (enough - slack)[:, None]) & np.isfinite(scores))
+            exact = np.einsum("ij,ij->i", queries[own[who]], vectors[at[col]])
+            have, place = np.nonzero(rows[own] >= 0)
+            who, exact = np.concatenate([have, who]), np.concatenate([best[own][have, place], exact])
+            found = np.concatenate([rows[own][have, place], at[col]])
+            order_ = np.lexsort((ids[found], -exact, who))
+            who, exact, found = who[order_], exact[order_], found[order_]
+            rank = np.arange(len(who)) - np.searchsorted(who, who)
+            keep = rank < k
+            best[own[who[keep]], rank[keep]] = exact[keep]
+            rows[own[who[keep]], rank[keep]] = found[keep]
+    q, j = np.nonzero(rows >= 0)
+    return q, ids[rows[q, j]], best[q, j], verified
 
 
 def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -198,6 +216,21 @@ def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
+def list_array(points: np.ndarray) -> pa.Array:
+    """Rows of a matrix as a list column."""
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(points) + 1, dtype=np.int32) * points.shape[1]), pa.array(points.ravel()))
+
+
+def power_of_two(vectors: np.ndarray, shift: int | np.ndarray) -> np.ndarray:
+    """Rows times 2**shift."""
+    return np.ldexp(vectors, shift if isinstance(shift, int) else shift[:, None])
+
+
+def own_shift(vectors: np.ndarray) -> np.ndarray:
+    """The power that brings the largest component of every row to between 1/2 and 1."""
+    return -np.frexp(np.abs(vectors).max(1))[1]
+
+
 def usable(vectors: DataFrame, vector: str) -> DataFrame:
     """vec_id, `v`, an array of doubles, and `asks` of the rows that take part."""
     v = F.col(vector).cast("array<double>")
@@ -211,33 +244,47 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vector: str = "em
     spark = vectors.sparkSession
     scratch = Scratch(spark, "kd_search")
     rows = usable(vectors.withColumn("_asks", F.coalesce(is_query, F.lit(False))), vector)
-    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
-    shapes = rows.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n"), F.max(length).alias("m"), F.count_if("asks").alias("q"))
+    largest = F.array_max(F.transform("v", lambda x: F.abs(x)))
+    length = largest * F.sqrt(F.aggregate(F.transform("v", lambda x: x / largest), F.lit(0.0), lambda a, x: a + x * x))
+    shapes = rows.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n"), F.max(largest).alias("m"), F.max(length).alias("l"), F.count_if("asks").alias("q"))
     shape = shapes.orderBy(F.desc("n"), "d").first()
-    out = "query_id bigint, vec_id bigint, score double"
+    out = "row bigint, query_id bigint, vec_id bigint, score double, unit int"
     if shape is None:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    dimension, total, norm = shape["d"], shape["n"], float(shape["m"])
+    dimension, total = shape["d"], shape["n"]
+    # Copies in the search are shorter than 1: components lie below 2**-shift, which is no more than 1 / sqrt(dimension).
+    shift = -math.frexp(float(shape["m"]))[1] - math.ceil(math.log2(dimension) / 2)
+    norm = min(1.0, math.ldexp(float(shape["l"]), shift)) if math.isfinite(shape["l"]) else 1.0
     rows = rows.filter(F.size("v") == dimension)
+    rows = scratch.write(rows.select(F.monotonically_increasing_id().alias("row"), "vec_id", "v", "asks"), "rows")
 
-    sample = rows.orderBy(F.xxhash64("vec_id")).limit(SAMPLE_ROWS).select("v").toArrow()
     depth = max(0, math.ceil(math.log2(total / SHARD_ROWS)))
-    cells = Cells.fit(lifted(matrix(sample.column("v")), norm), min(depth, int(math.log2(SAMPLE_ROWS)) - 4))
+    wanted = min(max(SAMPLE_ROWS, SAMPLE_PER_CELL << depth), MOST_SAMPLE_ROWS)
+    some = rows.filter(F.pmod(F.xxhash64("row", F.lit(9)), F.lit(1 << 30)) < int((1 << 30) * min(1.0, wanted / total))).select("v").limit(2 * wanted)
+
+    def projected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                yield pa.RecordBatch.from_arrays([list_array(lifted(power_of_two(matrix(batch.column("v")), shift), norm))], ["point"])
+
+    sample = matrix(some.mapInArrow(projected, "point array<double>").toArrow().column("point"))
+    cells = Cells.fit(sample, min(depth, max(0, int(math.log2(max(1, len(sample)))) - 4)))
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if len(batch):
                 own = matrix(batch.column("v"))
-                points = lifted(own, norm)
+                points = lifted(power_of_two(own, shift), norm)
                 # A query stands at its scaled projection, which for most is close to its own cell.
-                at = scaled(own, norm)
+                at = scaled(power_of_two(own, own_shift(own)), norm)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("vec_id"), batch.column("v"), batch.column("asks"), pa.array(cells.of(points)), pa.array(cells.of(at)), pa.array(points.tolist())],
-                    ["vec_id", "v", "asks", "cell", "home", "point"],
+                    [*(batch.column(c) for c in ("row", "vec_id", "v", "asks")), pa.array(cells.of(points)), pa.array(cells.of(at)), list_array(points)],
+                    ["row", "vec_id", "v", "asks", "cell", "home", "point"],
                 )
 
-    kinds = "vec_id bigint, v array<double>, asks boolean, cell bigint, home bigint, point array<double>"
+    kinds = "row bigint, vec_id bigint, v array<double>, asks boolean, cell bigint, home bigint, point array<double>"
     index = scratch.write(rows.mapInArrow(placed, kinds), "index")
+    scratch.drop("rows")
 
     # Shards of bounded size: cells with too many rows are dealt by hash. One row per cell, far fewer than vectors.
     sizes = index.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / SHARD_ROWS).alias("parts"))
@@ -247,40 +294,44 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vector: str = "em
     cell_ids, parts = boxes.column("cell").to_numpy(), boxes.column("parts").to_numpy().astype(np.int64)
     offsets = np.concatenate([[0], np.cumsum(parts)])
     table = spark.createDataFrame([(int(c), int(o), int(p)) for c, o, p in zip(cell_ids, offsets, parts)], "cell bigint, base bigint, parts bigint")
-    shard = (F.col("base") + F.pmod(F.xxhash64("vec_id"), F.col("parts"))).alias("shard")
+    shard = (F.col("base") + F.pmod(F.xxhash64("row"), F.col("parts"))).alias("shard")
     shards = index.join(table, "cell").select("vec_id", "v", shard)
 
     n_blocks = max(1, math.ceil(shape["q"] / QUERY_BLOCK))
-    block = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(n_blocks)).alias("block")
-    home = F.coalesce("base", F.lit(0)) + F.pmod(F.xxhash64("vec_id", F.lit(2)), F.coalesce("parts", F.lit(1)))
+    block = F.pmod(F.xxhash64("row", F.lit(1)), F.lit(n_blocks)).alias("block")
+    home = F.coalesce("base", F.lit(0)) + F.pmod(F.xxhash64("row", F.lit(2)), F.coalesce("parts", F.lit(1)))
     queries = index.filter("asks").join(table.withColumnRenamed("cell", "home"), "home", "left")
-    queries = scratch.write(queries.select("vec_id", "v", block, home.alias("home")), "queries")
+    queries = scratch.write(queries.select("row", "vec_id", "v", block, home.alias("home")), "queries")
 
     def found(shard_rows: pa.Table, query_rows: pa.Table) -> pa.Table:
+        names, kinds_ = ["row", "query_id", "vec_id", "score", "unit"], (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int32())
         if len(shard_rows) == 0 or len(query_rows) == 0:
-            return pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.float64())], ["query_id", "vec_id", "score"])
+            return pa.table([pa.array([], t) for t in kinds_], names)
         ids, query_ids = (t.column("vec_id").to_numpy() for t in (shard_rows, query_rows))
-        known = query_rows.column("known").to_numpy()
-        q, vec, score, _ = search(ids, matrix(shard_rows.column("v")), query_ids, matrix(query_rows.column("v")), known, norm, k)
-        return pa.table([pa.array(query_ids[q]), pa.array(vec), pa.array(score)], ["query_id", "vec_id", "score"])
+        known, own = query_rows.column("known").to_numpy(), matrix(query_rows.column("v"))
+        up = own_shift(own)
+        q, vec, score, _ = search(ids, power_of_two(matrix(shard_rows.column("v")), shift), query_ids, power_of_two(own, up), known, norm, k)
+        units = pa.array((-up - shift)[q].astype(np.int32))
+        return pa.table([pa.array(query_rows.column("row").to_numpy()[q]), pa.array(query_ids[q]), pa.array(vec), pa.array(score), units], names)
 
     def searched(asked: DataFrame, name: str) -> DataFrame:
-        """`asked`: vec_id, v, block, shard, known. Shards are copied to the blocks that visit them."""
+        """`asked`: row, vec_id, v, block, shard, known. Shards are copied to the blocks that visit them."""
         pairs = scratch.write(asked.select("shard", "block").distinct(), name)
         left = shards.join(pairs, "shard").groupBy("shard", "block")
         return left.cogroup(asked.groupBy("shard", "block")).applyInArrow(found, out)
 
     nothing = F.lit(float("-inf")).alias("known")
-    first = scratch.write(searched(queries.select("vec_id", "v", "block", F.col("home").alias("shard"), nothing), "home_pairs"), "first")
-    best = first.groupBy("query_id").agg(F.min("score").alias("_worst"), F.count(F.lit(1)).alias("_n"))
+    first = scratch.write(searched(queries.select("row", "vec_id", "v", "block", F.col("home").alias("shard"), nothing), "home_pairs"), "first")
+    best = first.groupBy("row").agg(F.min("score").alias("_worst"), F.count(F.lit(1)).alias("_n"))
     known = F.when(F.col("_n") >= k, F.col("_worst")).otherwise(float("-inf")).alias("known")
-    again = queries.join(best.withColumnRenamed("query_id", "vec_id"), "vec_id", "left").select("vec_id", "v", "block", "home", F.coalesce(known, nothing).alias("known"))
+    again = queries.join(best, "row", "left").select("row", "vec_id", "v", "block", "home", F.coalesce(known, nothing).alias("known"))
 
     def targets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not len(batch):
                 continue
             own, worst = matrix(batch.column("v")), batch.column("known").to_numpy()
+            own = power_of_two(own, own_shift(own))
             size = np.sqrt((own**2).sum(1))
             reach = 2 * norm * np.maximum(norm - worst / size, 0)
             with np.errstate(divide="ignore", invalid="ignore"):
@@ -289,13 +340,17 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vector: str = "em
             home_ = batch.column("home").to_numpy()
             lists = [[s for c in np.flatnonzero(g) for s in range(offsets[c], offsets[c + 1]) if s != h] for g, h in zip(go, home_)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("vec_id"), batch.column("v"), batch.column("block"), batch.column("known"), pa.array(lists, pa.list_(pa.int64()))],
-                ["vec_id", "v", "block", "known", "shards"],
+                [*(batch.column(c) for c in ("row", "vec_id", "v", "block", "known")), pa.array(lists, pa.list_(pa.int64()))],
+                ["row", "vec_id", "v", "block", "known", "shards"],
             )
 
-    routed = again.mapInArrow(targets, "vec_id bigint, v array<double>, block bigint, known double, shards array<bigint>")
-    routed = scratch.write(routed.select("vec_id", "v", "block", F.explode("shards").alias("shard"), "known"), "routed")
+    routed = again.mapInArrow(targets, "row bigint, vec_id bigint, v array<double>, block bigint, known double, shards array<bigint>")
+    routed = scratch.write(routed.select("row", "vec_id", "v", "block", F.explode("shards").alias("shard"), "known"), "routed")
     second = searched(routed, "other_pairs")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    rank = F.row_number().over(Window.partitionBy("row").orderBy(F.desc("score"), "vec_id"))
     ranked = first.unionByName(second).withColumn("rank", rank).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+
+    # Scaling by powers of two changes no digit of a product, so it is taken back. In two steps, as a power may be too large.
+    half = F.floor(F.col("unit") / 2)
+    score = F.col("score") * F.pow(F.lit(2.0), half) * F.pow(F.lit(2.0), F.col("unit") - half)
+    return ranked.select("query_id", "rank", "vec_id", score.alias("score"))
