@@ -32,7 +32,8 @@ DICT_DOCUMENTS = 512
 DICT_PIECES, PIECE_CHARS = 8, 2500  # of a document
 DICT_BYTES = 64 << 10
 PACK_BYTES = 4 << 20
-MEMO_CHUNKS = 200_000
+MEMO_CHUNKS, MEMO_CHARS = 150_000, 256
+PART_BYTES = 64 << 20
 LOT_BYTES = 1 << 20
 LOT_ROWS = 1000
 LATIN_END = "\u0250"
@@ -67,7 +68,8 @@ class WordEncoder:
         self.width, self.code = ("<u2", "H") if short else ("<u4", "I")
         spec = json.loads(self.tokenizer.to_str())
         self.by_word = '"invert": true' in json.dumps(spec.get("pre_tokenizer")) and all(x in json.dumps(spec) for x in ('"Lowercase"', '"ByteLevel"', '"BPE"'))
-        self.special = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]) or r"(?!)")
+        # In any case: a chunk is lowered, which could make an added token of other letters.
+        self.special = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]) or r"(?!)", re.IGNORECASE)
         self.memo: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}  # the memo before it was last full; what is still used moves on
 
@@ -120,7 +122,11 @@ class WordEncoder:
         self._learn(new)
         get = self.memo.__getitem__
         marked = self.special.search
-        return [self._library([t])[0] if marked(t) else b"".join(map(get, chunks)) for t, chunks in zip(texts, lists)]
+        out = [self._library([t])[0] if marked(t) else b"".join(map(get, chunks)) for t, chunks in zip(texts, lists)]
+        if any(len(chunk) > MEMO_CHARS for chunk in new):  # long ones go, so that the memo is bounded in bytes too
+            for chunk in [c for c in self.memo if len(c) > MEMO_CHARS]:
+                del self.memo[chunk]
+        return out
 
 
 def encoder(path: str) -> WordEncoder:
@@ -152,15 +158,17 @@ def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int) -> bytes:
 
     Empty if there is too little to train on; frames are then compressed without one.
     """
-    picked = docs.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(DICT_DOCUMENTS)
-    ids = [r[0] for r in picked.collect()]
+    place = [F.xxhash64("doc_id"), F.col("doc_id")]
+    picked = docs.select("doc_id").filter("doc_id IS NOT NULL").orderBy(*place).limit(DICT_DOCUMENTS)
+    ids = sorted({r[0] for r in picked.collect()})
     size = F.length("text")
     spread = [F.substring("text", (1 + F.floor((size - PIECE_CHARS) * k / (DICT_PIECES - 1))).cast("int"), F.lit(PIECE_CHARS)) for k in range(DICT_PIECES)]
     pieces = F.when(size > DICT_PIECES * PIECE_CHARS, F.array(*spread)).otherwise(F.array(F.coalesce("text", F.lit(""))))
-    texts = docs.filter(F.col("doc_id").isin([i for i in ids if i is not None])).select(pieces)
+    texts = docs.filter(F.col("doc_id").isin(ids)).select(pieces.alias("_pieces"), place[0].alias("_h"), "doc_id", F.xxhash64("text").alias("_t"))
+    texts = texts.orderBy("_h", "doc_id", "_t").limit(2 * DICT_DOCUMENTS).select("_pieces")
     enc = encoder(tokenizer)
     end = np.array([end_id], enc.width).tobytes()
-    lists = [r[0] for r in texts.limit(2 * DICT_DOCUMENTS).collect()]
+    lists = [r[0] for r in texts.collect()]
     last = [k == len(own) - 1 for own in lists for k in range(len(own))]
     samples = sorted(ids + end if at_end else ids for ids, at_end in zip(enc.encode_many([t for own in lists for t in own]), last))
     try:
@@ -225,7 +233,12 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, f
     # Written once: dealing out by range looks at the ids first, which would encode every text twice.
     scratch = Scratch(spark, "token_files")
     compressed = scratch.write(docs.select("doc_id", "text").mapInArrow(frames, "doc_id bigint, n bigint, frame binary"), "frames")
-    ordered = compressed.repartitionByRange(files or partitions(spark), "doc_id").sortWithinPartitions("doc_id")
+    if files is None:
+        total = compressed.agg(F.coalesce(F.sum(F.octet_length("frame")), F.lit(0))).first()[0]
+        files = max(partitions(spark), -(-total // PART_BYTES))
+    # Rows of one id, or of none, may stand in any order; the second column deals many of them over several parts.
+    order = ["doc_id", F.xxhash64("frame")]
+    ordered = compressed.repartitionByRange(files, *order).sortWithinPartitions(*order)
     ordered.mapInArrow(packs, PACKS).write.parquet(f"{path}/packs")
     scratch.drop("frames")
 
