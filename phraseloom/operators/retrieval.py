@@ -18,9 +18,11 @@ Python, such as an encoder, is stored once before it is read by several jobs.
 from __future__ import annotations
 
 import json
+import math
 import re
 import uuid
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +36,10 @@ from phraseloom.storage import new_path, stored
 
 # Largest side that is sent to every executor, as bytes of float32 vectors.
 BROADCAST_BYTES = 64 * 1024 * 1024
-# Every index task emits k rows per query, so this form is for a moderate number of queries.
+# Every index task emits k rows per query, so this form is chosen for a moderate number of queries.
 FEW_QUERIES = 10_000
+# Share of the broadcast bytes that parts of a large query side fill on average.
+PART_FILL = 0.8
 # Vectors in one block of the index or one chunk of the queries.
 BLOCK_BYTES = 16 * 1024 * 1024
 SCORES_AT_ONCE = 4_000_000
@@ -392,6 +396,13 @@ def top_k(candidates: DataFrame, k: int) -> DataFrame:
     return candidates.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
+def _in_parts(queries: DataFrame, size: _Size, broadcast_bytes: int) -> list[DataFrame]:
+    """The queries, cut by hash into parts that may each be sent to every task; one part if all of them may."""
+    n = math.ceil(size.bytes / (PART_FILL * broadcast_bytes)) if size.bytes > broadcast_bytes else 1
+    part = F.pmod(F.xxhash64("query_id", F.lit("part")), F.lit(n))
+    return [queries.filter(part == i) for i in range(n)] if n > 1 else [queries]
+
+
 def cosine_top_k(
     queries: DataFrame,
     index: DataFrame,
@@ -400,30 +411,38 @@ def cosine_top_k(
     form: str | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
     block_rows: int | None = None,
+    parts: bool = False,
 ) -> DataFrame:
     """(query_id, rank, row_id, raw_score) of the k nearest rows of each query.
 
     `queries` has a unique query_id of any type and embedding, and want_lang if each query asks for its
     own target language (null: any). All vectors have unit length; a null vector has no hits. `form`
-    forces one of "small_index", "few_queries", "blocks"; a side that is then sent to all tasks must still fit.
+    forces one of "small_index", "few_queries", "blocks"; the bytes that are then sent to all tasks must still fit. With
+    `parts`, forced "few_queries" takes any number of queries, in parts that fit; each part scans the index once.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
     want = F.col("want_lang") if "want_lang" in queries.columns else F.lit(None)
     q = _once(_slim(queries, "query_id", F.coalesce(want.cast("string"), F.lit(_ANY))))
     r = _once(_slim(index, "row_id", F.coalesce(F.col("target_lang").cast("string"), F.lit(_ANY))))
-    sizes = {"small_index": lambda: _Size(r, "lang").bytes <= broadcast_bytes}
-    sizes["few_queries"] = lambda: (n := _Size(q, "lang", "query_id")).bytes <= broadcast_bytes and n.rows <= FEW_QUERIES
+    asked = None
     if form is None:
-        form = next((name for name, fits in sizes.items() if fits()), "blocks")
-    elif form in sizes and not sizes[form]():
-        raise ValueError(f"{form}: this side is too large to be sent to every task")
+        form = "blocks"
+        if _Size(r, "lang").bytes <= broadcast_bytes:
+            form = "small_index"
+        elif (asked := _Size(q, "lang", "query_id")).bytes <= broadcast_bytes and asked.rows <= FEW_QUERIES:
+            form = "few_queries"
+    elif form in ("small_index", "few_queries"):
+        # How many rows tasks emit is the caller's choice here; what every task holds is not.
+        asked = _Size(r, "lang") if form == "small_index" else _Size(q, "lang", "query_id")
+        if asked.bytes > broadcast_bytes and not (parts and form == "few_queries"):
+            raise ValueError(f"{form}: this side is too large to be sent to every task")
     columns = ["query_id", "rank", "row_id", "raw_score"]
     if form == "small_index":
         # Each query has met the whole index in one task, so its ranks are final: no shuffle.
         return _with_small_index(q, r, k).select(*columns)
     if form == "few_queries":
-        found = _with_few_queries(q, r, k)
+        found = reduce(DataFrame.unionByName, [_with_few_queries(part, r, k) for part in _in_parts(q, asked, broadcast_bytes)])
     elif form == "blocks":
         found = _with_blocks(q, r, k, block_rows or max(1, BLOCK_BYTES // _Size(r).vector_bytes))
     else:

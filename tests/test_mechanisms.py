@@ -52,6 +52,23 @@ def test_floors_cut_what_blocks_emit(spark, monkeypatch):
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("phraseloom_blocks")]
 
 
+def test_more_queries_than_few_are_searched_in_parts(spark, monkeypatch):
+    """The forced form takes any number of queries; every part fits the broadcast, and no query is lost."""
+    rng = np.random.default_rng(5)
+    vectors, queries = unit(rng.normal(size=(200, 8))), unit(rng.normal(size=(300, 8)))
+    monkeypatch.setattr(retrieval, "FEW_QUERIES", 100)
+    sent, real = [], retrieval._with_few_queries
+    monkeypatch.setattr(retrieval, "_with_few_queries", lambda q, r, k: (sent.append(retrieval._Size(q, "lang", "query_id").bytes), real(q, r, k))[1])
+    q = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(queries)], "query_id bigint, embedding array<float>")
+    index = index_frame(spark, vectors, ["hi"] * 200)
+    scores = np.round(queries.astype(np.float64) @ vectors.T.astype(np.float64), 10)
+    want = {(i, r) for i in range(300) for r in sorted(range(200), key=lambda r: (-scores[i, r], r))[:3]}
+    for how in ({}, {"parts": True, "broadcast_bytes": 3000}):
+        got = retrieval.cosine_top_k(q, index, 3, form="few_queries", **how).collect()
+        assert {(r["query_id"], r["row_id"]) for r in got} == want and len(got) == 900
+    assert len(sent) > 2 and max(sent[1:]) <= 3000
+
+
 def test_blocks_without_an_index_or_a_known_language(spark):
     vectors = unit(np.eye(4))
     q = spark.createDataFrame([(1, [1.0, 0.0, 0.0, 0.0], "xx"), (2, [0.0, 1.0, 0.0, 0.0], None)], "query_id bigint, embedding array<float>, want_lang string")
