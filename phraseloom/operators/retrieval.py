@@ -6,7 +6,8 @@ Three physical forms give the same hits. Which one runs depends on sizes found b
 * the queries are few: they go to every task, and the index is scanned once, each task keeping k;
 * both are large: the index is cut by language, the only filter that always prunes, and by hash into blocks of
   bounded bytes, each one row of a table that is stored once, bucketed by block. Queries are packed into chunks of
-  bounded bytes and go to the blocks of their language, which are read where they are stored. A chunk visits its
+  bounded bytes and go to the blocks of their language, which are read where they are stored. A query moves once per
+  block, so blocks grow with the index and their number does not, up to MOST_BLOCKS blocks of BLOCK_BYTES. A chunk visits its
   blocks in three rounds: one block, about the root of their number, the rest. After a round, the k-th score found so
   far is the floor of a query, and later blocks emit only what reaches it; so about k times the root of the number of
   blocks leave per query, and not k times the number.
@@ -40,11 +41,18 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 FEW_QUERIES = 10_000
 # Share of the broadcast bytes that parts of a large query side fill on average.
 PART_FILL = 0.8
-# Vectors in one block of the index or one chunk of the queries.
-BLOCK_BYTES = 16 * 1024 * 1024
+# Vectors in one block of the index, and in one chunk of the queries.
+BLOCK_BYTES = 32 * 1024 * 1024
+CHUNK_BYTES = 16 * 1024 * 1024
+# A query moves once per block of its language: smaller blocks than BLOCK_BYTES grow until the index has this many.
+MOST_BLOCKS = 16
+# Chunks of the queries, and tasks that meet blocks, that keep executors busy.
+CHUNKS = 64
+MEETING_TASKS = 32
 SCORES_AT_ONCE = 4_000_000
 GROUP_COLUMNS = 64
 PAIRS_AT_ONCE = 50_000
+ROWS_AT_ONCE = 8_192
 _RANK_DIGITS = 10
 _ANY = ""
 
@@ -93,7 +101,8 @@ class _Side:
     def useful(self, k: int) -> "_Side":
         """In id order, without rows that cannot be a hit."""
         rows = self.by_id()
-        return rows.take(_first_copies(rows.vectors, rows.langs, k))
+        keep = _first_copies(rows.vectors, rows.langs, k)
+        return rows if keep.all() else rows.take(keep)
 
 
 def _first_copies(vectors: np.ndarray, langs: np.ndarray, k: int) -> np.ndarray:
@@ -105,10 +114,11 @@ def _first_copies(vectors: np.ndarray, langs: np.ndarray, k: int) -> np.ndarray:
     keep = np.ones(len(vectors), dtype=bool)
     if len(vectors) <= k:
         return keep
-    words = np.ascontiguousarray(vectors, dtype=np.float32).view(np.uint32).astype(np.uint64)
+    words = np.ascontiguousarray(vectors, dtype=np.float32).view(np.uint32)
     mix = np.random.default_rng(0).integers(1, 2**63, size=words.shape[1], dtype=np.uint64) | np.uint64(1)
     # A hash finds the few vectors that may repeat; only these are compared as a whole.
-    _, group, size = np.unique(words @ mix, return_inverse=True, return_counts=True)
+    hashes = np.concatenate([words[i : i + ROWS_AT_ONCE].astype(np.uint64) @ mix for i in range(0, len(words), ROWS_AT_ONCE)])
+    _, group, size = np.unique(hashes, return_inverse=True, return_counts=True)
     often = np.flatnonzero(size[group] > k)
     seen: dict[tuple, int] = {}
     for i in often:
@@ -118,7 +128,14 @@ def _first_copies(vectors: np.ndarray, langs: np.ndarray, k: int) -> np.ndarray:
     return keep
 
 
-def _candidates(queries: np.ndarray, rows: np.ndarray, k: int, floors: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+def _longest(vectors: np.ndarray) -> float:
+    """Length of the longest vector."""
+    return max(float(np.linalg.norm(vectors[i : i + ROWS_AT_ONCE], axis=1).max()) for i in range(0, len(vectors), ROWS_AT_ONCE))
+
+
+def _candidates(
+    queries: np.ndarray, rows: np.ndarray, k: int, longest: float, floors: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """(query, row) numbers that include the k best rows of every query, and few others; none below its floor.
 
     Scores are float32 here. The k-th largest of the maxima of column groups is a lower bound for the
@@ -133,7 +150,7 @@ def _candidates(queries: np.ndarray, rows: np.ndarray, k: int, floors: np.ndarra
     at_least = np.partition(heads, heads.shape[1] - k, axis=1)[:, heads.shape[1] - k, None]
     if floors is not None:
         at_least = np.maximum(at_least, floors[:, None])
-    scale = np.linalg.norm(queries, axis=1).max() * np.linalg.norm(rows, axis=1).max()
+    scale = _longest(queries) * longest
     slack = 4 * queries.shape[1] * np.finfo(np.float32).eps * scale + 10.0**-_RANK_DIGITS
     return np.nonzero(scores >= (at_least - slack).astype(np.float32))
 
@@ -159,11 +176,11 @@ def _best(queries: _Side, rows: _Side, k: int, floors: np.ndarray | None = None)
         r = rows if lang == _ANY else rows.take(rows.langs == lang)
         if len(r.ids) == 0:
             continue
-        m = min(k, len(r.ids))
+        m, longest = min(k, len(r.ids)), _longest(r.vectors)
         step = max(1, SCORES_AT_ONCE // len(r.ids))
         for i in range(0, len(mine), step):
             part = mine[i : i + step]
-            at, col = _candidates(queries.vectors[part], r.vectors, m, None if floors is None else floors[part])
+            at, col = _candidates(queries.vectors[part], r.vectors, m, longest, None if floors is None else floors[part])
             exact = _exact_scores(queries.vectors, part[at], r.vectors, col)
             order = np.lexsort((col, -exact, at))
             at, col, exact = at[order], col[order], exact[order]
@@ -296,6 +313,7 @@ def _packed(side: DataFrame, id_col: str, cuts: DataFrame, finish: Callable[[_Si
 
         def block_of() -> pa.RecordBatch:
             whole = pa.Table.from_batches(held)
+            held.clear()
             number, lang = whole.column("number")[0].as_py(), whole.column("lang")[0].as_py()
             kept = finish(_Side.of(whole, id_col))
             vectors = pa.FixedSizeListArray.from_arrays(pa.array(kept.vectors.reshape(-1)), kept.vectors.shape[1])
@@ -303,8 +321,10 @@ def _packed(side: DataFrame, id_col: str, cuts: DataFrame, finish: Callable[[_Si
             with pa.BufferOutputStream() as sink:
                 with pa.ipc.new_stream(sink, data.schema) as out:
                     out.write_batch(data)
-                packed = sink.getvalue().to_pybytes()
-            return pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([lang]), pa.array([packed])], names=["number", "lang", "data"])
+                packed = sink.getvalue()
+            ends = pa.py_buffer(np.array([0, packed.size], np.int32))
+            one = pa.BinaryArray.from_buffers(pa.binary(), 1, [None, ends, packed])
+            return pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([lang]), one], names=["number", "lang", "data"])
 
         for batch in batches:
             numbers = batch.column("number").to_numpy()
@@ -312,7 +332,6 @@ def _packed(side: DataFrame, id_col: str, cuts: DataFrame, finish: Callable[[_Si
             for a, b in zip(cut, cut[1:]):
                 if held and b > a and held[-1].column("number")[0] != batch.column("number")[a]:
                     yield block_of()
-                    held = []
                 if b > a:
                     held.append(batch.slice(a, b - a))
         if held:
@@ -321,7 +340,7 @@ def _packed(side: DataFrame, id_col: str, cuts: DataFrame, finish: Callable[[_Si
     return rows.repartition(parts, "number").sortWithinPartitions("number").mapInArrow(pack, PACKED)
 
 
-def _unpacked(data: bytes, lang: str) -> _Side:
+def _unpacked(data: pa.Buffer, lang: str) -> _Side:
     rows = pa.ipc.open_stream(data).read_all()
     ids = rows.column("id").combine_chunks()
     vectors = rows.column("embedding").combine_chunks()
@@ -329,6 +348,17 @@ def _unpacked(data: bytes, lang: str) -> _Side:
     return _Side(ids.to_numpy(zero_copy_only=False), matrix, np.full(len(ids), lang, dtype=object), ids.type)
 
 
+def _block_rows(rows: int, vector_bytes: int, least: int | None) -> int:
+    """Rows of an index block: as many as fit, or `least` if that does not make more than MOST_BLOCKS blocks."""
+    fit = max(1, BLOCK_BYTES // vector_bytes)
+    return fit if least is None else max(least, min(fit, math.ceil(rows / MOST_BLOCKS)))
+
+
+def _chunk_rows(rows: int, vector_bytes: int, least: int | None) -> int:
+    """Rows of a query chunk: enough chunks for all tasks, of bounded bytes."""
+    return max(least or 1, min(max(1, CHUNK_BYTES // vector_bytes), math.ceil(rows / CHUNKS)))
+
+
 def _visits(chunks: DataFrame, cuts: DataFrame, n_blocks: int) -> DataFrame:
     """(chunk, block, round) of all visits. A chunk goes round its blocks from one that its number picks."""
     wide = F.col("lang") == _ANY
@@ -342,41 +372,49 @@ def _visits(chunks: DataFrame, cuts: DataFrame, n_blocks: int) -> DataFrame:
     return steps.select("chunk", block.cast("int").alias("block"), round_.alias("round"))
 
 
-def _with_blocks(queries: DataFrame, index: DataFrame, k: int, block_rows: int) -> DataFrame:
+def _with_blocks(queries: DataFrame, index: DataFrame, k: int, block_rows: int | None) -> DataFrame:
     """Blocks of the index by language and hash against chunks of the queries, in rounds with rising floors."""
     spark = queries.sparkSession
-    cuts, n_blocks = _cuts(index, block_rows)
+    asked, rows = _Size(queries), _Size(index)
+    cuts, n_blocks = _cuts(index, _block_rows(rows.rows, rows.vector_bytes, block_rows))
     kind = f"query_id {_id_type(queries)}, row_id bigint, raw_score double, rank int, chunk int, place int"
     if n_blocks == 0:
         return spark.createDataFrame([], kind)
     name = f"phraseloom_blocks_{uuid.uuid4().hex}"
-    blocks = _packed(index, "row_id", cuts, lambda rows: rows.useful(k)).select(F.col("number").alias("block"), F.col("data").alias("rows"))
-    buckets = max(1, min(n_blocks, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    blocks = blocks.repartition(buckets, "block").write.bucketBy(buckets, "block").sortBy("block")
+    # A block lies on several shelves if there are few blocks, and a chunk goes to one of them.
+    copies = math.ceil(MEETING_TASKS / n_blocks)
+    shelves = F.explode(F.sequence(F.col("number") * copies, (F.col("number") + 1) * copies - 1)).alias("shelf")
+    blocks = _packed(index, "row_id", cuts, lambda rows: rows.useful(k)).select(shelves, F.col("data").alias("rows"))
+    buckets = max(1, min(2 * n_blocks * copies, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    blocks = blocks.repartition(buckets, "shelf").write.bucketBy(buckets, "shelf").sortBy("shelf")
     blocks.option("path", new_path(spark, name)).saveAsTable(name)
     try:
-        chunks = stored(_packed(queries, "query_id", _cuts(queries, block_rows)[0], _Side.by_id))
-        visits = stored(_visits(chunks, cuts, n_blocks))
+        chunk_cuts = _cuts(queries, _chunk_rows(asked.rows, asked.vector_bytes, block_rows))[0]
+        chunks = stored(_packed(queries, "query_id", chunk_cuts, _Side.by_id))
+        shelf = F.col("block") * copies + F.pmod("chunk", F.lit(copies))
+        visits = stored(_visits(chunks, cuts, n_blocks).select("chunk", shelf.alias("shelf"), "round"))
 
         def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for row in (batch.slice(i, 1).to_pylist()[0] for i in range(len(batch))):
-                    asked, rows = _unpacked(row["data"], row["lang"]), _unpacked(row["rows"], _ANY)
-                    asked.langs[:] = _ANY  # a chunk only meets blocks of its language
+                for i in range(len(batch)):
+                    row = {c: batch.column(c)[i] for c in batch.schema.names}
+                    # A chunk only meets blocks of its language.
+                    asked, rows = _unpacked(row["data"].as_buffer(), _ANY), _unpacked(row["rows"].as_buffer(), _ANY)
                     floors = None
-                    if row["floors"]:
+                    if row["floors"].is_valid:
+                        known = row["floors"].values
                         floors = np.full(len(asked.ids), -np.inf)
-                        floors[[f["place"] for f in row["floors"]]] = [f["floor"] for f in row["floors"]]
+                        floors[known.field("place").to_numpy()] = known.field("floor").to_numpy()
                     scores, ids = _best(asked, rows, k, floors)
                     out = _emit(asked, scores, ids)
                     place = np.nonzero(scores > -np.inf)[0].astype(np.int32)
-                    out = out.append_column("chunk", pa.array(np.full(len(place), row["chunk"], np.int32)))
+                    out = out.append_column("chunk", pa.array(np.full(len(place), row["chunk"].as_py(), np.int32)))
                     yield out.append_column("place", pa.array(place))
 
         found, floors = None, spark.createDataFrame([], "chunk int, floors array<struct<place: int, floor: double>>")
         for round_ in range(3):
             asked = visits.filter(F.col("round") == round_).join(chunks.withColumnRenamed("number", "chunk"), "chunk").join(floors, "chunk", "left")
-            met = asked.join(spark.table(name).hint("merge"), "block").select("chunk", "lang", "data", "floors", "rows")
+            met = asked.join(spark.table(name).hint("merge"), "shelf").select("chunk", "data", "floors", "rows")
             new = stored(met.mapInArrow(score, kind))
             # Only k rows per query go on: those of the rounds before are the best so far.
             found = new if found is None else found.unionByName(new)
@@ -444,7 +482,7 @@ def cosine_top_k(
     if form == "few_queries":
         found = reduce(DataFrame.unionByName, [_with_few_queries(part, r, k) for part in _in_parts(q, asked, broadcast_bytes)])
     elif form == "blocks":
-        found = _with_blocks(q, r, k, block_rows or max(1, BLOCK_BYTES // _Size(r).vector_bytes))
+        found = _with_blocks(q, r, k, block_rows)
     else:
         raise ValueError(f"unknown form {form!r}")
     return top_k(found, k).select(*columns)

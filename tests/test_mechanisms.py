@@ -69,6 +69,28 @@ def test_more_queries_than_few_are_searched_in_parts(spark, monkeypatch):
     assert len(sent) > 2 and max(sent[1:]) <= 3000
 
 
+def test_visits_do_not_grow_with_the_square_of_the_rows(spark, monkeypatch):
+    """A query moves once per block: small blocks grow, so four times the rows meet no more blocks."""
+    visits, real = [], retrieval.stored
+
+    def watched(df):
+        out = real(df)
+        if out.columns == ["chunk", "shelf", "round"]:
+            visits.append(out.groupBy("chunk").count().agg(F.max("count")).first()[0])
+        return out
+
+    monkeypatch.setattr(retrieval, "stored", watched)
+    rng = np.random.default_rng(9)
+    for n in (400, 1600):
+        vectors = unit(rng.normal(size=(n, 6)))
+        q = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "query_id bigint, embedding array<float>")
+        got = retrieval.cosine_top_k(q, index_frame(spark, vectors, ["hi"] * n), 2, form="blocks", block_rows=10).collect()
+        scores = np.round(vectors.astype(np.float64) @ vectors.T.astype(np.float64), 10)
+        best = {(i, r) for i in range(n) for r in sorted(range(n), key=lambda r: (-scores[i, r], r))[:2]}
+        assert {(r["query_id"], r["row_id"]) for r in got} == best
+    assert max(visits) <= retrieval.MOST_BLOCKS
+
+
 def test_blocks_without_an_index_or_a_known_language(spark):
     vectors = unit(np.eye(4))
     q = spark.createDataFrame([(1, [1.0, 0.0, 0.0, 0.0], "xx"), (2, [0.0, 1.0, 0.0, 0.0], None)], "query_id bigint, embedding array<float>, want_lang string")
