@@ -223,6 +223,30 @@ def test_scanner_equals_the_rules(spark):
     assert got == want
 
 
+def test_token_vectors_are_held_for_a_few_rows(spark, monkeypatch):
+    """However large a batch is, vectors of a bounded number of tokens are held at a time; scores stay the same."""
+    rng = random.Random(4)
+    texts = [(i, " ".join(f"w{rng.randrange(900)}" for _ in range(rng.randrange(0, 30))), None if i % 17 == 0 else f"w{i} w{i + 1} w5") for i in range(600)]
+    texts.append((600, " ".join(f"long{i}" for i in range(2500)), "long1 long2"))
+    df = spark.createDataFrame(texts, "pair_id int, prediction string, reference string").coalesce(1)
+    calls = spark.sparkContext.accumulator(0)
+
+    def load():
+        def model(words):
+            calls.add(len(words))
+            return evaluate.gram_counts([f" {w.lower()} " for w in words])
+
+        return model
+
+    monkeypatch.setattr(evaluate, "TOKENS_AT_ONCE", 10**9)
+    whole = {r["pair_id"]: r["f1"] for r in evaluate.text_token_f1(df, load).collect()}
+    at_once = calls.value
+    monkeypatch.setattr(evaluate, "TOKENS_AT_ONCE", 100)
+    small = {r["pair_id"]: r["f1"] for r in evaluate.text_token_f1(df, load).collect()}
+    assert small == pytest.approx(whole, abs=1e-12) and len(small) == 601
+    assert calls.value - at_once > 2 * at_once - 2500  # words come again in later rows, since they are not kept
+
+
 # ---------------------------------------------------------------------- profile
 
 
