@@ -303,6 +303,23 @@ def _left_out(path: str, error: Exception) -> None:
     print(f"{path}: left out, {str(error).splitlines()[0][:200]}")
 
 
+def _readable(spark: SparkSession, reader: Callable, files: list[str]) -> tuple[list[DataFrame], list[str]]:
+    """Stored reads of the files that can be read, and the broken files.
+
+    A set of files that fails is halved, so a broken file costs about twice the logarithm of their number in reads, and
+    the good ones are a few scans of many files.
+    """
+    try:
+        return [stored(reduce(lambda a, b: a.unionByName(b), [reader(spark, file) for file in files]))], []
+    except _UNREADABLE as error:
+        if len(files) == 1:
+            _left_out(files[0], error)
+            return [], files
+    half = len(files) // 2
+    (good, broken), (more, others) = _readable(spark, reader, files[:half]), _readable(spark, reader, files[half:])
+    return good + more, broken + others
+
+
 def read_or_fallback(
     spark: SparkSession,
     reader: Callable[[SparkSession, str], DataFrame],
@@ -311,9 +328,10 @@ def read_or_fallback(
 ) -> DataFrame:
     """The primary source, stored by one read of it; for files that cannot be read, local CSV files; else no rows.
 
-    A broken file shows only when it is read. Then the files are tried one by one: the good ones stay, and each
-    broken one is replaced by the CSV file of its name at `fallback_csv`, a folder or pattern. A fallback that is one
-    file of another name stands for the whole source, if nothing of it can be read or it is not there.
+    A broken file shows only when it is read. Then halves of the files are tried, down to the broken ones: the good ones
+    stay, and each broken one is replaced by the CSV files of its name (up to the first dot) at `fallback_csv`, a folder
+    or pattern. A fallback that is one file of another name stands for the whole source, if nothing of it can be read or
+    it is not there.
     """
     try:
         return stored(reader(spark, primary))
@@ -324,12 +342,12 @@ def read_or_fallback(
         files = _files(spark, primary)
     except _UNREADABLE:
         files = []
-    for file in files if len(files) > 1 else []:
-        try:
-            good.append(stored(reader(spark, file)))
-        except _UNREADABLE as error:
-            _left_out(file, error)
-            broken.append(_stem(file))
+    if len(files) > 1:
+        half = len(files) // 2
+        for part in (files[:half], files[half:]):
+            frames, bad = _readable(spark, reader, part)
+            good += frames
+            broken += [_stem(file) for file in bad]
     if fallback_csv is not None:
         try:
             instead = read_pair_csv(spark, fallback_csv)

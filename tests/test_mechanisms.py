@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from phraseloom import hooks, storage
+from phraseloom import catalog, hooks, storage
 from phraseloom.functions import fixed_values as V
 from phraseloom.operators import detector, evaluate, gate, ordering, retrieval, sampling
 from phraseloom.plans import evaluation, index as index_plan, profile_report
@@ -194,6 +194,35 @@ def test_each_broken_file_has_its_fallback_and_good_ones_are_read_once(spark, tm
     assert [r["source_idiom"] for r in rows.collect()] == ["from a"]
 
 
+def test_a_broken_file_among_many_costs_a_few_reads(spark, tmp_path, monkeypatch):
+    """Sets of files are halved down to the broken one; several CSV files stand for it."""
+    good, csv = tmp_path / "src", tmp_path / "csv"
+    good.mkdir(), csv.mkdir()
+    for i in range(40):
+        (good / f"f{i}.json").write_text(json.dumps({"sentence": f"from {i}", "label": "idiomatic"}))
+    (good / "f17.json").unlink()
+    (good / "f17.json.gz").write_bytes(b"\x1f\x8bnothing")
+    for part in ("0", "1"):
+        (csv / f"f17.{part}.csv").write_text(f"source_idiom,source_lang\nfallback {part},en\n")
+    reads, real = [], landed.stored
+    monkeypatch.setattr(landed, "stored", lambda df: (reads.append(1), real(df))[1])
+    rows = landed.read_or_fallback(spark, landed.read_labelled_sentences, str(good), str(csv / "f*.csv")).collect()
+    assert sorted(r["source_idiom"] for r in rows) == sorted([f"from {i}" for i in range(40) if i != 17] + ["fallback 0", "fallback 1"])
+    assert len(reads) <= 14
+
+
+def test_no_task_lands_or_reads_a_whole_source(spark, monkeypatch):
+    """The landed files have bounded numbers of rows, and so has the task that reads one."""
+    monkeypatch.setattr(catalog, "ROWS_PER_CSV", 5, raising=False)
+    paths, real = [], catalog._landing
+    monkeypatch.setattr(catalog, "_landing", lambda s, label: (paths.append(real(s, label)), paths[-1])[1])
+    sf = "/root/testdata/sf0.001"
+    rows = catalog.queries()["read_or_fallback"](spark, sf)
+    assert rows.count() == catalog.lab(spark, sf).count()
+    sizes = [r["count"] for r in spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(f"{paths[0]}/csv/broken*.csv").groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) > 3 and max(sizes) <= 5
+
+
 def test_jobs_leave_nothing_stored(spark):
     had = list(storage._STORED)
     with pytest.raises(RuntimeError), storage.stored_until_done(spark):
