@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -20,6 +21,8 @@ FEATURES = 1 << 16
 GRID = (0.001, 0.01, 0.1)
 MAX_ITERATIONS = 25
 TRIES_AT_ONCE = 3
+# Text of one task; the counts that every fit reads again take several times as much.
+TASK_BYTES = 8 * 1024 * 1024
 
 
 def feature_stages(max_tokens: int | None = None, features: int = FEATURES) -> list:
@@ -42,6 +45,12 @@ def _with_text(df: DataFrame, col: str) -> DataFrame:
     return df.withColumn("text", F.coalesce(F.col(col), F.lit("")))
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Label and text in parts of bounded bytes, since each try reads what one task has counted in one task again."""
+    total = df.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
+    return df.select("label", "text").repartition(max(1, math.ceil(total / TASK_BYTES)))
+
+
 def fit_detector(
     train: DataFrame, val: DataFrame, grid: tuple[float, ...] = GRID, features: int = FEATURES
 ) -> tuple[PipelineModel, list[tuple[float, float]]]:
@@ -61,8 +70,8 @@ def fit_detector(
     count = PipelineModel(stages=counting)
     keep = ["label", "_tf"]
     # Texts are cut into words once per side; weights of terms and all fits come from the stored counts.
-    counted = count.transform(_with_text(train, "text")).select(*keep, weight.alias("_weight")).persist()
-    counted_val = count.transform(_with_text(val, "text")).select(*keep).persist()
+    counted = count.transform(_with_text(_spread(train), "text")).select(*keep, weight.alias("_weight")).persist()
+    counted_val = count.transform(_with_text(_spread(val), "text")).select(*keep).persist()
     try:
         weights = idf.fit(counted)
         train_features, val_features = weights.transform(counted), weights.transform(counted_val)

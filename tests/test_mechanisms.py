@@ -337,6 +337,24 @@ def test_rows_that_fail_to_score_are_searched_with_a_message(spark):
         detector.detect(asked, hooks.scorer(fails_on_x)).collect()
 
 
+def test_a_fit_is_spread_over_tasks_of_bounded_text(spark, monkeypatch):
+    """However few parts the rows come in, a task counts, keeps and reads again a bounded number of bytes."""
+    monkeypatch.setattr(detector, "TASK_BYTES", 4000, raising=False)
+    sizes, real = [], detector.PipelineModel.transform
+
+    def watched(model, df, *a):
+        if "_tf" not in df.columns and not sizes:
+            sizes.extend(r["s"] for r in df.groupBy(F.spark_partition_id()).agg(F.sum(F.octet_length("text")).alias("s")).collect())
+        return real(model, df, *a)
+
+    monkeypatch.setattr(detector.PipelineModel, "transform", watched)
+    text = F.when(F.col("id") % 2 == 0, "plain words stand here").otherwise("an idiom kicks the bucket")
+    rows = spark.range(1000).select(F.concat(text, F.lit(" "), F.col("id")).alias("text"), (F.col("id") % 2).cast("int").alias("label")).coalesce(1)
+    model, tries = detector.fit_detector(rows, rows, grid=(0.01,), features=256)
+    assert tries[0][1] == 1.0 and detector.predict(rows, model).filter(F.col("detection.is_idiomatic") != (F.col("label") == 1)).isEmpty()
+    assert sum(sizes) > 20_000 and max(sizes) < 8000
+
+
 def test_given_coefficients(spark):
     model = detector.GivenModel((1.0, -2.0, 0.5, 0.25, 3.0), -0.5)
 
