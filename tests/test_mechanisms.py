@@ -3,6 +3,7 @@
 import json
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from phraseloom import catalog, hooks, storage
 from phraseloom.functions import fixed_values as V
 from phraseloom.operators import detector, evaluate, gate, ordering, retrieval, sampling
+from phraseloom.operators.encode import gram_counts
 from phraseloom.plans import evaluation, index as index_plan, profile_report
 from phraseloom.sources import landed
 from test_retrieval import index_frame, unit
@@ -276,6 +278,18 @@ def test_token_vectors_are_held_for_a_few_rows(spark, monkeypatch):
     assert calls.value - at_once > 2 * at_once - 2500  # words come again in later rows, since they are not kept
 
 
+def test_grams_are_held_for_a_bounded_number_of_characters():
+    """The same counts as text by text, with little beside them."""
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("abc é日") for _ in range(rng.choice((0, 2, 40, 3000)))) for _ in range(1000)] + ["long text " * 40_000, "x"]
+    tracemalloc.start()
+    counts = gram_counts(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert all((counts[i] == gram_counts([text])[0]).all() for i, text in enumerate(texts))
+    assert peak < 50_000_000
+
+
 # ---------------------------------------------------------------------- profile
 
 
