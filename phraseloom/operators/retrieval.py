@@ -51,7 +51,8 @@ CHUNKS = 64
 MEETING_TASKS = 32
 SCORES_AT_ONCE = 4_000_000
 GROUP_COLUMNS = 64
-PAIRS_AT_ONCE = 50_000
+# Bytes of the float64 vectors of one side of the pairs that are scored exactly at a time.
+EXACT_BYTES = 16 * 1024 * 1024
 ROWS_AT_ONCE = 8_192
 _RANK_DIGITS = 10
 _ANY = ""
@@ -158,8 +159,9 @@ def _candidates(
 def _exact_scores(queries: np.ndarray, at: np.ndarray, rows: np.ndarray, col: np.ndarray) -> np.ndarray:
     """Dot products of the given pairs in float64, in pieces, since copies can make many candidates."""
     out = np.empty(len(at))
-    for i in range(0, len(at), PAIRS_AT_ONCE):
-        s = slice(i, i + PAIRS_AT_ONCE)
+    step = max(1, EXACT_BYTES // (8 * max(1, queries.shape[1])))
+    for i in range(0, len(at), step):
+        s = slice(i, i + step)
         left, right = queries[at[s]].astype(np.float64), rows[col[s]].astype(np.float64)
         out[s] = np.einsum("ij,ij->i", left, right)
     return np.round(out, _RANK_DIGITS)

@@ -290,6 +290,37 @@ def test_grams_are_held_for_a_bounded_number_of_characters():
     assert peak < 50_000_000
 
 
+def test_ngrams_are_scanned_for_bounded_bytes(spark, monkeypatch):
+    """Long texts in one batch are scanned a megabyte at a time, or one by one, with the same sums."""
+    rng = random.Random(6)
+    texts = [(" ".join(f"w{rng.randrange(300)}" for _ in range(n)), " ".join(f"w{rng.randrange(300)}" for _ in range(3000))) for n in [4000] * 120 + [0, 400_000, 7]]
+    df = spark.createDataFrame([*texts, (None, "a b c d")], "prediction string, reference string").coalesce(1)
+    want = evaluate.bleu_statistics(df.repartition(124)).first()
+    too_large, real = spark.sparkContext.accumulator(0), evaluate._clipped
+
+    def watched(batch):
+        too_large.add(int(len(batch) > 1 and batch.nbytes > (1 << 20) + 10_000))
+        return real(batch)
+
+    monkeypatch.setattr(evaluate, "_clipped", watched)
+    assert evaluate.bleu_statistics(df).first() == want and want["total4"] > 300_000
+    assert too_large.value == 0
+
+
+def test_exact_scores_hold_bounded_bytes():
+    """Ties make many candidates; their vectors are widened a few at a time, however many numbers a vector has."""
+    rng = np.random.default_rng(2)
+    queries, rows = unit(rng.normal(size=(300, 512))), unit(rng.normal(size=(400, 512)))
+    at, col = rng.integers(0, 300, 60_000), rng.integers(0, 400, 60_000)
+    tracemalloc.start()
+    got = retrieval._exact_scores(queries, at, rows, col)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    want = (queries.astype(np.float64) @ rows.astype(np.float64).T)[at, col]
+    assert np.abs(got - want).max() <= 1e-10
+    assert peak < 80_000_000
+
+
 # ---------------------------------------------------------------------- profile
 
 
