@@ -121,21 +121,29 @@ class GivenModel:
     intercept: float = 0.0
 
     def score(self, text: Column) -> Column:
-        words = tokens(F.lower(text))
         table = F.array(*[F.lit(float(c)) for c in self.coefficients])
 
         def weight(w: Column) -> Column:
             place = F.ascii(w) * 31 + F.ascii(F.right(w, F.lit(1))) * 17 + F.length(w)
             return F.element_at(table, (place % len(self.coefficients) + 1).cast("int"))
 
-        total = F.aggregate(words, F.lit(0.0), lambda acc, w: acc + weight(w))
-        return F.lit(float(self.intercept)) + total / F.greatest(F.size(words), F.lit(1))
+        def mean(words: Column) -> Column:
+            total = F.aggregate(words, F.lit(0.0), lambda acc, w: acc + weight(w))
+            return F.lit(float(self.intercept)) + total / F.greatest(F.size(words), F.lit(1))
+
+        # The words go through a one-element array, so a text is cut once for both the sum and the number.
+        return F.transform(F.array(tokens(F.lower(text))), mean).getItem(0)
 
 
 def predict_given(df: DataFrame, model: GivenModel, col: str = "text") -> DataFrame:
-    """The struct `detection` from a model of given coefficients, in built-in functions only."""
+    """The struct `detection` from a model of given coefficients, in built-in functions only.
+
+    A text is scored once: the steps hand on one-element arrays, and the last is exploded, since a column that is only
+    projected is computed again in each of its uses and in a filter on it.
+    """
     logits = F.array(F.lit(0.0), model.score(F.coalesce(F.col(col), F.lit(""))))
-    return df.withColumn("_logits", logits).withColumn("detection", detection_struct(softmax("_logits"))).drop("_logits")
+    detections = F.transform(F.transform(F.array(logits), softmax), detection_struct)
+    return df.withColumn("detection", F.explode(detections))
 
 
 def detect(df: DataFrame, detector, col: str = "text") -> DataFrame:

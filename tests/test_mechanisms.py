@@ -416,6 +416,13 @@ def test_given_coefficients(spark):
     assert "Python" not in plan_of(detector.detect(df, model))
 
 
+def test_given_coefficients_score_a_text_once(spark):
+    """Texts are cut once per row, though the label, the confidence and a filter on the label all need the score."""
+    df = spark.createDataFrame([(1, "Some words here"), (2, "")], "i int, text string")
+    found = detector.detect(df, detector.GivenModel((1.0, -2.0, 0.5), -0.5)).filter("detection.is_idiomatic")
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+
+
 def test_evaluation_job_writes_its_report(spark, tmp_path):
     pairs = [("kick the bucket", "en", "मर जाना", "hi", "x"), ("spill the beans", "en", "राज़ खोलना", "hi", "x")]
     df = spark.createDataFrame(pairs, "source_idiom string, source_lang string, target_idiom string, target_lang string, source string")
