@@ -12,6 +12,9 @@ Three physical forms give the same hits. Which one runs depends on sizes found b
   far is the floor of a query, and later blocks emit only what reaches it; so about k times the root of the number of
   blocks leave per query, and not k times the number.
 
+Where hits become a column of the rows that ask (attach_hits), the first form also serves an index of a bounded number
+of such parts: a task reads them one after another, and the score that a row has reached is its floor in the next.
+
 No form emits all pairs. Ranking uses the score to 10 places, ties go to the lower row_id. An input whose plan runs
 Python, such as an encoder, is stored once before it is read by several jobs.
 """
@@ -28,6 +31,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 from py4j.protocol import Py4JJavaError
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from phraseloom.operators.filters import language_filter
@@ -39,8 +43,13 @@ from phraseloom.storage import new_path, stored
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Every index task emits k rows per query, so this form is chosen for a moderate number of queries.
 FEW_QUERIES = 10_000
-# Share of the broadcast bytes that parts of a large query side fill on average.
+# Share of the broadcast bytes that parts of a larger side fill on average.
 PART_FILL = 0.8
+# Parts of an index, with its texts, that are sent to every executor for one pass over the rows that get hits; a task
+# holds one at a time.
+MOST_PARTS = 20
+# Rows with their hits that leave a task at a time.
+ROWS_OUT = 2_048
 # Vectors in one block of the index, and in one chunk of the queries.
 BLOCK_BYTES = 32 * 1024 * 1024
 CHUNK_BYTES = 16 * 1024 * 1024
@@ -50,7 +59,7 @@ MOST_BLOCKS = 16
 CHUNKS = 64
 MEETING_TASKS = 32
 SCORES_AT_ONCE = 4_000_000
-GROUP_COLUMNS = 64
+GROUP_ROWS = 32
 # Bytes of the float64 vectors of one side of the pairs that are scored exactly at a time.
 EXACT_BYTES = 16 * 1024 * 1024
 ROWS_AT_ONCE = 8_192
@@ -136,24 +145,46 @@ def _longest(vectors: np.ndarray) -> float:
 
 def _candidates(
     queries: np.ndarray, rows: np.ndarray, k: int, longest: float, floors: np.ndarray | None = None
-) -> tuple[np.ndarray, np.ndarray]:
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(query, row) numbers that include the k best rows of every query, and few others; none below its floor.
 
-    Scores are float32 here. The k-th largest of the maxima of column groups is a lower bound for the
-    k-th best score, found without sorting; the slack covers the float32 error of a dot product.
+    Scores are float32 here, of ROWS_AT_ONCE rows at a time. The k-th largest of the maxima of row groups so far is a
+    lower bound for the k-th best score, found without sorting, and only groups that reach it are looked into; the
+    slack covers the float32 error of a dot product. Pairs come at the end, or earlier if there are many.
     """
-    scores = queries @ rows.T
-    n = scores.shape[1]
-    groups = n // GROUP_COLUMNS
-    heads = scores
-    if groups >= k:
-        heads = scores[:, : groups * GROUP_COLUMNS].reshape(len(scores), groups, GROUP_COLUMNS).max(axis=2)
-    at_least = np.partition(heads, heads.shape[1] - k, axis=1)[:, heads.shape[1] - k, None]
-    if floors is not None:
-        at_least = np.maximum(at_least, floors[:, None])
-    scale = _longest(queries) * longest
-    slack = 4 * queries.shape[1] * np.finfo(np.float32).eps * scale + 10.0**-_RANK_DIGITS
-    return np.nonzero(scores >= (at_least - slack).astype(np.float32))
+    slack = 4 * queries.shape[1] * np.finfo(np.float32).eps * _longest(queries) * longest + 10.0**-_RANK_DIGITS
+    best = np.full((len(queries), k), -np.inf, dtype=np.float32)
+    found: list[tuple[np.ndarray, ...]] = []
+
+    def reached() -> tuple[np.ndarray, np.ndarray]:
+        at, col, score = (np.concatenate(c) for c in zip(*found))
+        found.clear()
+        keep = score >= bound[at]
+        return at[keep], col[keep]
+
+    for start in range(0, len(rows), ROWS_AT_ONCE):
+        scores = queries @ rows[start : start + ROWS_AT_ONCE].T
+        n = scores.shape[1]
+        groups = n // GROUP_ROWS if n // GROUP_ROWS >= k else 0
+        grouped = groups * GROUP_ROWS
+        # A group is every so many-th row, so that maxima are taken of whole lines; the rows left over stand alone.
+        heads = scores[:, :grouped].reshape(len(scores), GROUP_ROWS, groups).max(axis=1)
+        heads = np.hstack([heads, scores[:, grouped:]])
+        best = np.partition(np.hstack([best, heads]), heads.shape[1], axis=1)[:, heads.shape[1] :]
+        at_least = best[:, 0] if floors is None else np.maximum(best[:, 0], floors)
+        bound = (at_least - slack).astype(np.float32)
+        at, head = np.nonzero(heads >= bound[:, None])
+        alone = head >= groups
+        found.append((at[alone], start + grouped + head[alone] - groups, heads[at[alone], head[alone]]))
+        at, head = at[~alone], head[~alone]
+        col = head[:, None] + groups * np.arange(GROUP_ROWS)
+        inside = scores[at[:, None], col]
+        i, j = np.nonzero(inside >= bound[at][:, None])
+        found.append((at[i], start + col[i, j], inside[i, j]))
+        if sum(len(at) for at, *_ in found) > SCORES_AT_ONCE:
+            yield reached()
+    if found:
+        yield reached()
 
 
 def _exact_scores(queries: np.ndarray, at: np.ndarray, rows: np.ndarray, col: np.ndarray) -> np.ndarray:
@@ -175,28 +206,32 @@ def _best(queries: _Side, rows: _Side, k: int, floors: np.ndarray | None = None)
     ids = np.full((len(queries.ids), k), np.iinfo(np.int64).max)
     for lang in np.unique(queries.langs):
         mine = np.nonzero(queries.langs == lang)[0]
-        r = rows if lang == _ANY else rows.take(rows.langs == lang)
+        asked = np.ones(len(rows.ids), dtype=bool) if lang == _ANY else rows.langs == lang
+        r = rows if asked.all() else rows.take(asked)
         if len(r.ids) == 0:
             continue
         m, longest = min(k, len(r.ids)), _longest(r.vectors)
-        step = max(1, SCORES_AT_ONCE // len(r.ids))
+        step = max(1, SCORES_AT_ONCE // min(len(r.ids), ROWS_AT_ONCE))
         for i in range(0, len(mine), step):
             part = mine[i : i + step]
-            at, col = _candidates(queries.vectors[part], r.vectors, m, longest, None if floors is None else floors[part])
-            exact = _exact_scores(queries.vectors, part[at], r.vectors, col)
-            order = np.lexsort((col, -exact, at))
-            at, col, exact = at[order], col[order], exact[order]
-            rank = np.arange(len(at)) - np.searchsorted(at, at)
-            keep = rank < m
-            if floors is not None:
-                keep &= exact >= floors[part[at]]
-            scores[part[at[keep]], rank[keep]] = exact[keep]
-            ids[part[at[keep]], rank[keep]] = r.ids[col[keep]]
+            for at, col in _candidates(queries.vectors[part], r.vectors, m, longest, None if floors is None else floors[part]):
+                exact = _exact_scores(queries.vectors, part[at], r.vectors, col)
+                order = np.lexsort((col, -exact, at))
+                at, col, exact = at[order], col[order], exact[order]
+                rank = np.arange(len(at)) - np.searchsorted(at, at)
+                keep = rank < m
+                if floors is not None:
+                    keep &= exact >= floors[part[at]]
+                here = np.full((len(part), k), -np.inf), np.full((len(part), k), np.iinfo(np.int64).max)
+                here[0][at[keep], rank[keep]] = exact[keep]
+                here[1][at[keep], rank[keep]] = r.ids[col[keep]]
+                scores[part], ids[part] = _merged((scores[part], ids[part]), here, k)
     return scores, ids
 
 
-def _ranked(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k best per row in rank order."""
+def _merged(one: tuple[np.ndarray, np.ndarray], other: tuple[np.ndarray, np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Scores and ids of the k best of both per row, in rank order."""
+    scores, ids = (np.hstack(both) for both in zip(one, other))
     order = np.lexsort((ids, -scores), axis=-1)[:, :k]
     return np.take_along_axis(scores, order, 1), np.take_along_axis(ids, order, 1)
 
@@ -287,7 +322,7 @@ def _with_few_queries(queries: DataFrame, index: DataFrame, k: int) -> DataFrame
         asked, best = _Side(*few.value), None
         for batch in batches:
             here = _best(asked, _Side.of(batch, "row_id").useful(k), k)
-            best = here if best is None else _ranked(np.hstack([best[0], here[0]]), np.hstack([best[1], here[1]]), k)
+            best = here if best is None else _merged(best, here, k)
         if best is not None:
             yield _emit(asked, *best)
 
@@ -436,11 +471,11 @@ def top_k(candidates: DataFrame, k: int) -> DataFrame:
     return candidates.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def _in_parts(queries: DataFrame, size: _Size, broadcast_bytes: int) -> list[DataFrame]:
-    """The queries, cut by hash into parts that may each be sent to every task; one part if all of them may."""
+def _in_parts(side: DataFrame, id_col: str, size: _Size, broadcast_bytes: int) -> list[DataFrame]:
+    """The rows, cut by hash into parts that may each be sent to every task; one part if all of them may."""
     n = math.ceil(size.bytes / (PART_FILL * broadcast_bytes)) if size.bytes > broadcast_bytes else 1
-    part = F.pmod(F.xxhash64("query_id", F.lit("part")), F.lit(n))
-    return [queries.filter(part == i) for i in range(n)] if n > 1 else [queries]
+    part = F.pmod(F.xxhash64(id_col, F.lit("part")), F.lit(n))
+    return [side.filter(part == i) for i in range(n)] if n > 1 else [side]
 
 
 def cosine_top_k(
@@ -482,7 +517,7 @@ def cosine_top_k(
         # Each query has met the whole index in one task, so its ranks are final: no shuffle.
         return _with_small_index(q, r, k).select(*columns)
     if form == "few_queries":
-        found = reduce(DataFrame.unionByName, [_with_few_queries(part, r, k) for part in _in_parts(q, asked, broadcast_bytes)])
+        found = reduce(DataFrame.unionByName, [_with_few_queries(part, r, k) for part in _in_parts(q, "query_id", asked, broadcast_bytes)])
     elif form == "blocks":
         found = _with_blocks(q, r, k, block_rows)
     else:
@@ -529,48 +564,90 @@ def pack_hits(hits: DataFrame) -> DataFrame:
 _META = ["source_idiom", "source_lang", "target_idiom", "target_lang"]
 
 
+class _Part:
+    """Some rows of an index, sent out: ids, vectors and languages, and apart from them their texts."""
+
+    def __init__(self, rows: DataFrame, k: int):
+        data = rows.select("row_id", "embedding", "lang", *_META).toArrow().sort_by("row_id")
+        data = data.filter(pa.array(_first_copies(_matrix(data.column("embedding")), _strings(data.column("lang")), k)))
+        side, send = _Side.of(data, "row_id"), rows.sparkSession.sparkContext.broadcast
+        self.side, self.texts = send(side.parts()), send((side.ids, [data.column(c).combine_chunks() for c in _META]))
+
+
 class PreparedIndex:
-    """An index made ready once for many calls of attach_hits(): stored if computed, and sent out if it is small."""
+    """An index made ready once for many calls of attach_hits(): stored if computed, and sent out in parts of at most
+    `broadcast_bytes` each unless it needs more than MOST_PARTS of them."""
 
     def __init__(self, index: DataFrame, k: int, broadcast_bytes: int = BROADCAST_BYTES):
         self.rows, self.k, self.shared = _once(index), k, None
-        if _Size(self.rows, *_META).bytes <= broadcast_bytes:
+        size = _Size(self.rows, *_META)
+        if size.bytes <= MOST_PARTS * PART_FILL * broadcast_bytes:
             rows = self.rows.filter(F.col("embedding").isNotNull()).withColumn("lang", F.coalesce("target_lang", F.lit(_ANY)))
-            data = rows.select("row_id", "embedding", "lang", *_META).toArrow().sort_by("row_id")
-            data = data.filter(pa.array(_first_copies(_matrix(data.column("embedding")), _strings(data.column("lang")), k)))
-            self.shared = index.sparkSession.sparkContext.broadcast(
-                (_Side.of(data, "row_id").parts(), [data.column(c).combine_chunks() for c in _META])
-            )
-
-
-def _attach_in_one_pass(df: DataFrame, shared, k: int) -> DataFrame:
+            self.shared = [_Part(part, k) for part in _in_parts(rows, "row_id", size, broadcast_bytes)]
+
+
+def _read(shared: Broadcast, keep: bool):
+    """The value of a broadcast. Unless it is kept, the next call reads it from its file again."""
+    value = shared.value
+    if not keep and hasattr(shared, "_path"):
+        vars(shared).pop("_value", None)
+    return value
+
+
+def _texts_of(ids: np.ndarray, parts: list[_Part]) -> tuple[list[pa.Array], np.ndarray]:
+    """The text columns of index rows, each row once, and where each id stands in them; a task holds the texts of one
+    part at a time."""
+    ids, of = np.unique(ids, return_inverse=True)
+    places, found = [], [[] for _ in _META]
+    for part in parts:
+        known, texts = _read(part.texts, len(parts) == 1)
+        at = np.searchsorted(known, ids)
+        mine = np.flatnonzero(known[np.minimum(at, len(known) - 1)] == ids) if len(known) else np.zeros(0, np.int64)
+        places.append(mine)
+        for column, all_texts in zip(found, texts):
+            column.append(all_texts.take(pa.array(at[mine])))
+        del known, texts, all_texts
+    where = np.empty(len(ids), np.int64)
+    where[np.concatenate(places)] = np.arange(len(ids))
+    return [pa.concat_arrays(found.pop(0)) for _ in _META], where[of]
+
+
+def _attach_in_one_pass(df: DataFrame, shared: list[_Part], k: int) -> DataFrame:
     out = T.StructType([f for f in df.schema.fields if f.name != "embedding"] + [T.StructField("hits", T.ArrayType(HIT))])
     kept = [f.name for f in out.fields[:-1]]
     has_want = "want_lang" in df.columns
 
+    def searched(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Scores and ids of the hits of the rows with a vector, and the numbers of these rows."""
+        asked = np.flatnonzero(batch.column("embedding").is_valid().to_numpy(zero_copy_only=False))
+        langs = _strings(batch.column("want_lang"))[asked] if has_want else np.full(len(asked), _ANY, dtype=object)
+        queries, best = _Side(asked, _matrix(batch.column("embedding").drop_null()), langs, pa.int64()), None
+        for part in shared:
+            rows = _Side(*_read(part.side, len(shared) == 1))
+            # The k-th score so far is the floor of a query.
+            here = _best(queries, rows, k, None if best is None else best[0][:, -1])
+            best = here if best is None else _merged(best, here, k)
+            del rows
+        return *best, asked
+
+    def attached(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        scores, ids, asked = searched(batch)
+        at, rank = np.nonzero(scores > -np.inf)
+        texts, where = _texts_of(ids[at, rank], shared)
+        ends = np.concatenate([[0], np.cumsum(np.bincount(asked[at], minlength=len(batch)))]).astype(np.int32)
+        for a in range(0, len(batch), ROWS_OUT):
+            here = batch.slice(a, ROWS_OUT)
+            mine = slice(ends[a], ends[a + len(here)])
+            numbers, shown = (rank[mine] + 1).astype(np.int32), np.round(scores[at[mine], rank[mine]], 4)
+            columns = [pa.array(numbers), *[c.take(pa.array(where[mine])) for c in texts], pa.array(shown)]
+            hits = pa.ListArray.from_arrays(pa.array(ends[a : a + len(here) + 1] - ends[a]), pa.StructArray.from_arrays(columns, names=HIT.names))
+            yield pa.RecordBatch.from_arrays([*[here.column(c) for c in kept], hits], names=[*kept, "hits"])
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        side, meta = shared.value
-        rows = _Side(*side)
         for batch in batches:
-            n = batch.num_rows
-            asked = np.flatnonzero(batch.column("embedding").is_valid().to_numpy(zero_copy_only=False))
-            vectors = _matrix(batch.column("embedding").drop_null())
-            langs = _strings(batch.column("want_lang"))[asked] if has_want else np.full(len(asked), _ANY, dtype=object)
-            scores, ids = _best(_Side(asked, vectors, langs, pa.int64()), rows, k)
-            at, rank = np.nonzero(scores > -np.inf)
-            place = pa.array(np.searchsorted(rows.ids, ids[at, rank]))
-            per_row = np.zeros(n + 1, dtype=np.int32)
-            np.add.at(per_row, asked[at] + 1, 1)
-            hit = pa.StructArray.from_arrays(
-                [
-                    pa.array((rank + 1).astype(np.int32)),
-                    *[c.take(place) for c in meta],
-                    pa.array(np.round(scores[at, rank], 4)),
-                ],
-                names=HIT.names,
-            )
-            hits = pa.ListArray.from_arrays(pa.array(np.cumsum(per_row, dtype=np.int32)), hit)
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], hits], names=[*kept, "hits"])
+            yield from attached(batch)
+            # Else the pool keeps what a batch took.
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(scan, out)
 
@@ -588,8 +665,8 @@ def attach_hits(
 ) -> DataFrame:
     """Replace `embedding` by `hits`, the list of the k best rows in rank order; no vector, no hits.
 
-    With a small index this is one pass over `df` without a shuffle. Otherwise the search and the join back both read
-    `df`, so it is stored first if its plan runs user code.
+    With an index of up to MOST_PARTS parts this is one pass over `df` without a shuffle. Otherwise the search and the
+    join back both read `df`, so it is stored first if its plan runs user code.
     """
     if k < 1:
         raise ValueError("k must be at least 1")

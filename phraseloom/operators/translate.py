@@ -11,7 +11,7 @@ from phraseloom.functions.language import language_code, language_name
 from phraseloom.functions.text import as_column, capitalize, is_blank
 from phraseloom.hooks import top_hit_translator
 from phraseloom.operators.detector import detect
-from phraseloom.operators.filters import idiomatic_only, nonempty_text
+from phraseloom.operators.filters import idiomatic_only, language_filter, nonempty_text
 from phraseloom.operators.gate import with_hits
 
 RECORD = ["english_idiom", "detected_confidence", "retrieved_context", "target_language", "translation"]
@@ -105,6 +105,9 @@ def translate_batch(
     """Detect and translate (query_id, text), all into `language` or each into its target_language."""
     if language is not None:
         df = df.withColumn("target_language", F.lit(language))
+        if isinstance(index, DataFrame):
+            # Rows of other languages are no hits of any row; an unknown language searches all.
+            index = language_filter(index, None, V.LANGUAGE_CODES.get(language.lower()))
     return translate_detected(detect(nonempty_text(df), detector), index, translator, encoder, **how)
 
 

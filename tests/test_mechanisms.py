@@ -1,6 +1,7 @@
 """How the larger operators work: what they write, emit, scan and shuffle."""
 
 import json
+import pickle
 import random
 import re
 import tracemalloc
@@ -8,11 +9,12 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark import Broadcast
 from pyspark.sql import functions as F
 
 from phraseloom import catalog, hooks, storage
 from phraseloom.functions import fixed_values as V
-from phraseloom.operators import detector, evaluate, gate, ordering, retrieval, sampling
+from phraseloom.operators import detector, evaluate, gate, ordering, retrieval, sampling, translate
 from phraseloom.operators.encode import gram_counts
 from phraseloom.plans import evaluation, index as index_plan, profile_report
 from phraseloom.sources import landed
@@ -416,6 +418,73 @@ def test_given_coefficients(spark):
     assert "Python" not in plan_of(detector.detect(df, model))
 
 
+@pytest.mark.parametrize("rows_at_once,scores_at_once", [(8192, 4_000_000), (400, 10_000), (70, 1), (7, 50)])
+def test_scores_of_few_rows_at_a_time_give_the_same_hits(monkeypatch, rows_at_once, scores_at_once):
+    """With copies of vectors beyond k, in pieces of any size; a floor cuts nothing that reaches it."""
+    rng = np.random.default_rng(5)
+    vectors = unit(rng.normal(size=(900, 8))).astype(np.float32)
+    vectors[100:400] = vectors[100 + np.arange(300) % 3]
+    queries = np.vstack([vectors[95:105], unit(rng.normal(size=(30, 8)))]).astype(np.float32)
+    side = lambda v: retrieval._Side(np.arange(len(v)), v, np.full(len(v), "", dtype=object), pa.int64())
+    exact = np.round(queries.astype(np.float64) @ vectors.T.astype(np.float64), 10)
+    order = np.argsort(-exact, axis=1, kind="stable")
+    monkeypatch.setattr(retrieval, "ROWS_AT_ONCE", rows_at_once)
+    monkeypatch.setattr(retrieval, "SCORES_AT_ONCE", scores_at_once)
+    for k in (1, 4, 1000):
+        want = order[:, :k]
+        scores, ids = retrieval._best(side(queries), side(vectors), k)
+        assert (ids[:, :900] == want).all() and (scores[:, :900] == np.take_along_axis(exact, want, 1)).all()
+        floors = exact[np.arange(len(queries)), order[:, min(k, 900) // 2]]
+        scores, ids = retrieval._best(side(queries), side(vectors), k, floors)
+        here = np.take_along_axis(exact, want, 1) >= floors[:, None]
+        assert ((scores[:, :900] > -np.inf) == here).all() and (ids[:, :900][here] == want[here]).all()
+
+
+def test_an_index_of_some_parts_needs_no_shuffle_and_no_store(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    vectors = unit(rng.normal(size=(400, 16)))
+    vectors[50:150] = vectors[50]
+    langs = [["hi", "te", None, "ml"][i % 4] for i in range(400)]
+    wants = [None if i % 4 == 0 else ["hi", "te", "ml", "xx"][i % 4] for i in range(60)]
+    rows = [(f"q{i}", "text" * (i % 3), vectors[i * 5].tolist() if i % 5 else None, w) for i, w in enumerate(wants)]
+    q = spark.createDataFrame(rows, "query_id string, text string, embedding array<float>, want_lang string").repartition(3)
+    index = index_frame(spark, vectors, langs)
+    want = {r["query_id"]: r["hits"] for r in retrieval.attach_hits(q, index, 4, form="blocks").collect()}
+    monkeypatch.setattr(retrieval, "ROWS_OUT", 7)
+    monkeypatch.setattr(retrieval, "stored", None)
+    got = retrieval.attach_hits(q, index, 4, broadcast_bytes=6000)
+    assert "Exchange" not in plan_of(got).replace("Exchange RoundRobinPartitioning", "") and "Join" not in plan_of(got)
+    assert {r["query_id"]: r["hits"] for r in got.collect()} == want and len(want) == 60
+    assert len(retrieval.PreparedIndex(index, 4, 6000).shared) > 3
+    assert retrieval.PreparedIndex(index, 4, 500).shared is None
+
+
+def test_parts_of_an_index_are_not_kept(tmp_path):
+    """A task holds the part that it reads; a lone part is read once."""
+    (tmp_path / "part").write_bytes(pickle.dumps(list(range(5))))
+    part = Broadcast(path=str(tmp_path / "part"))
+    for _ in range(2):
+        assert retrieval._read(part, False) == list(range(5)) and "_value" not in vars(part)
+    assert retrieval._read(part, True) is retrieval._read(part, True)
+
+
+def test_a_batch_in_one_language_meets_its_index_only(spark, monkeypatch):
+    texts = spark.createDataFrame([("a", "kick the bucket"), ("b", " ")], "query_id string, text string")
+    index = index_frame(spark, unit(np.eye(6)), ["hi", "te", "hi", "ml", None, "te"])
+    met, real = [], gate.attach_hits
+
+    def watched(df, index, *a, **how):
+        met.append(sorted(str(r["target_lang"]) for r in index.collect()))
+        return real(df, index, *a, **how)
+
+    monkeypatch.setattr(gate, "attach_hits", watched)
+    one = hooks.encoder(lambda: lambda texts: np.ones((len(texts), 6)))
+    for language in ("Hindi", "tamil"):
+        found = translate.translate_batch(texts, index, hooks.scorer(lambda: lambda texts: np.array([[0.0, 1.0]] * len(texts))), language, encoder=one)
+        assert [r["query_id"] for r in found.collect()] == ["a"]
+    assert met == [["hi", "hi"], ["None", "hi", "hi", "ml", "te", "te"]]
+
+
 def test_given_coefficients_score_a_text_once(spark):
     """Texts are cut once per row, though the label, the confidence and a filter on the label all need the score."""
     df = spark.createDataFrame([(1, "Some words here"), (2, "")], "i int, text string")
