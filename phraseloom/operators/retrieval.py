@@ -59,6 +59,8 @@ MOST_BLOCKS = 16
 CHUNKS = 64
 MEETING_TASKS = 32
 SCORES_AT_ONCE = 4_000_000
+# Pairs that are looked into and scored exactly at a time, about; near ties can make many.
+PAIRS_AT_ONCE = 250_000
 GROUP_ROWS = 32
 # Bytes of the float64 vectors of one side of the pairs that are scored exactly at a time.
 EXACT_BYTES = 16 * 1024 * 1024
@@ -153,7 +155,7 @@ def _candidates(
     slack covers the float32 error of a dot product. Pairs come at the end, or earlier if there are many.
     """
     slack = 4 * queries.shape[1] * np.finfo(np.float32).eps * _longest(queries) * longest + 10.0**-_RANK_DIGITS
-    best = np.full((len(queries), k), -np.inf, dtype=np.float32)
+    best, step = np.full((len(queries), k), -np.inf, dtype=np.float32), max(1, PAIRS_AT_ONCE // GROUP_ROWS)
     found: list[tuple[np.ndarray, ...]] = []
 
     def reached() -> tuple[np.ndarray, np.ndarray]:
@@ -177,12 +179,14 @@ def _candidates(
         alone = head >= groups
         found.append((at[alone], start + grouped + head[alone] - groups, heads[at[alone], head[alone]]))
         at, head = at[~alone], head[~alone]
-        col = head[:, None] + groups * np.arange(GROUP_ROWS)
-        inside = scores[at[:, None], col]
-        i, j = np.nonzero(inside >= bound[at][:, None])
-        found.append((at[i], start + col[i, j], inside[i, j]))
-        if sum(len(at) for at, *_ in found) > SCORES_AT_ONCE:
-            yield reached()
+        for i in range(0, len(at), step):
+            here = at[i : i + step, None]
+            col = head[i : i + step, None] + groups * np.arange(GROUP_ROWS)
+            inside = scores[here, col]
+            row, place = np.nonzero(inside >= bound[here])
+            found.append((here[row, 0], start + col[row, place], inside[row, place]))
+            if sum(len(one) for one, *_ in found) >= PAIRS_AT_ONCE:
+                yield reached()
     if found:
         yield reached()
 

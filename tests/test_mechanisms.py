@@ -430,6 +430,7 @@ def test_scores_of_few_rows_at_a_time_give_the_same_hits(monkeypatch, rows_at_on
     order = np.argsort(-exact, axis=1, kind="stable")
     monkeypatch.setattr(retrieval, "ROWS_AT_ONCE", rows_at_once)
     monkeypatch.setattr(retrieval, "SCORES_AT_ONCE", scores_at_once)
+    monkeypatch.setattr(retrieval, "PAIRS_AT_ONCE", scores_at_once // 8)
     for k in (1, 4, 1000):
         want = order[:, :k]
         scores, ids = retrieval._best(side(queries), side(vectors), k)
@@ -440,6 +441,20 @@ def test_scores_of_few_rows_at_a_time_give_the_same_hits(monkeypatch, rows_at_on
         assert ((scores[:, :900] > -np.inf) == here).all() and (ids[:, :900][here] == want[here]).all()
 
 
+def test_near_ties_are_held_for_a_bounded_number_of_pairs():
+    """Where all rows come within the error of a float32 score, all pairs are scored exactly, some at a time."""
+    rng = np.random.default_rng(7)
+    rows, queries = (unit(1 + rng.normal(size=(n, 8)) * 1e-6).astype(np.float32) for n in (3000, 1300))
+    side = lambda v: retrieval._Side(np.arange(len(v)), v, np.full(len(v), "", dtype=object), pa.int64())
+    tracemalloc.start()
+    scores, ids = retrieval._best(side(queries), side(rows), 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    exact = np.round(queries.astype(np.float64) @ rows.T.astype(np.float64), 10)
+    order = np.argsort(-exact, axis=1, kind="stable")[:, :3]
+    assert (ids == order).all() and peak < 150_000_000
+
+
 def test_an_index_of_some_parts_needs_no_shuffle_and_no_store(spark, monkeypatch):
     rng = np.random.default_rng(6)
     vectors = unit(rng.normal(size=(400, 16)))
